@@ -24,11 +24,17 @@ def grade(
     """
     if side not in ("le", "ge"):
         raise ValueError(f"side must be 'le' or 'ge', not {side!r}")
+    if not steps:
+        raise ValueError("a ladder needs at least one step")
     bounds = [bound for bound, _ in steps]
     if bounds != sorted(bounds, reverse=side == "ge"):
         raise ValueError(f"steps are out of order for side={side!r}: {bounds}")
-    label = F.lit(otherwise)
-    for bound, name in reversed(steps):
-        meets = value <= F.lit(bound) if side == "le" else value >= F.lit(bound)
-        label = F.when(meets, F.lit(name)).otherwise(label)
-    return label
+
+    def meets(bound: float) -> Column:
+        return value <= F.lit(bound) if side == "le" else value >= F.lit(bound)
+
+    (first, label), *rest = steps
+    ladder = F.when(meets(first), F.lit(label))
+    for bound, label in rest:
+        ladder = ladder.when(meets(bound), F.lit(label))
+    return ladder.otherwise(F.lit(otherwise))

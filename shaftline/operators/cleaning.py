@@ -35,15 +35,21 @@ def drop_incomplete(df: DataFrame, measures: Sequence[str]) -> DataFrame:
 
 
 def usable(df: DataFrame, cfg: Monitor = DEFAULT) -> Column:
-    """Whether a row has every measure, none of them NaN or its sentinel."""
+    """Whether a row has every measure, none of them NaN or its sentinel.
+
+    Spark orders NaN above infinity, so ``<= inf`` is one plain comparison,
+    known to the file scan, that neither NaN nor null meets. The condition is
+    null, not false, for a null measure.
+    """
     conditions = []
     for name in cfg.measures:
         column = F.col(name)
-        conditions.append(column.isNotNull())
+        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            conditions.append(column <= F.lit(float("inf")))
+        else:
+            conditions.append(column.isNotNull())
         if name in cfg.sentinels:
             conditions.append(column != F.lit(cfg.sentinels[name]))
-        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-            conditions.append(~F.isnan(column))
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
 

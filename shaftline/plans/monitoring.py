@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from shaftline.config import DEFAULT, Monitor
 from shaftline.operators.baseline import baseline_zscore, significant_day_count
@@ -76,7 +77,8 @@ def run_monitoring(
     table works on one row per machine and day.
 
     The clean readings stay unpartitioned, since laying them out by day would
-    shuffle all of them again; the daily tables are partitioned by day.
+    shuffle all of them again. The daily tables are partitioned by day; grading
+    keeps the layout of the daily table it reads and shuffles nothing.
     """
     tables = Tables(target)
     by_day = {"partition_by": [cfg.date], "sort_by": [cfg.key]}
@@ -98,6 +100,7 @@ def run_monitoring(
         flagged_days(daily, cfg),
         tables.flagged,
         counts={"RestrictedDays": is_restricted(cfg)},
+        arrange=False,
         **by_day,
     )
     write_table(baseline_zscore(daily, **cfg.baseline_rule, cfg=cfg), tables.scored, **by_day)
@@ -105,12 +108,11 @@ def run_monitoring(
 
 
 def inspect_run(spark: SparkSession, tables: Tables, cfg: Monitor = DEFAULT) -> DataFrame:
-    """One row of headline counts, re-read from the stored tables.
-
-    Both sides are a single row each, joined on a constant key.
-    """
+    """One row of headline counts, re-read from the stored tables."""
     anomalies = anomaly_day_count(read_table(spark, tables.flagged), cfg)
     significant = significant_day_count(read_table(spark, tables.scored), cfg=cfg)
-    return anomalies.selectExpr("1 AS one", "*").join(
-        significant.selectExpr("1 AS one", "*"), "one"
-    ).drop("one")
+    both = anomalies.unionByName(significant, allowMissingColumns=True)
+    return both.agg(
+        F.max("AnomalyDays").alias("AnomalyDays"),
+        F.max("SignificantDays").alias("SignificantDays"),
+    )

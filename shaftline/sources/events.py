@@ -7,8 +7,7 @@ exact copies are spread over all machines.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from shaftline.config import FAULTY_MACHINES, Monitor
 from shaftline.sources.tables import read_table
@@ -17,52 +16,31 @@ from shaftline.sources.tables import read_table
 EVENT_MONITOR = Monitor(baseline_cutoff="2024-01-07")
 
 
-def _dbl(column: Column) -> Column:
-    return column.cast("double")
-
-
 def readings_from_events(events: DataFrame) -> DataFrame:
     """One reading per event, and a second, identical one for some of them.
 
     The copies come from exploding a literal array, so the events are read
     once.
     """
-    event_id = F.col("event_id")
-    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
-    faulty = F.col("MachineID").isin(*FAULTY_MACHINES)
-    copies = F.when(event_id % 101 == 42, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-
-    vibration = (
-        F.when(event_id % 199 == 13, F.lit(-999.0))
-        .when(event_id % 211 == 5, F.lit(None))
-        .when(faulty, F.lit(0.8) + day * F.lit(0.15) + _dbl(event_id % 31) / F.lit(200.0))
-        .otherwise(F.lit(0.5) + _dbl(event_id * 7919 % 901) / F.lit(1000.0))
-    )
-    temperature = (
-        F.when(event_id % 223 == 7, F.lit(None))
-        .when(faulty, F.lit(45.0) + day * F.lit(1.7) + _dbl(event_id % 41) / F.lit(20.0))
-        .otherwise(F.lit(40.0) + _dbl(event_id * 104729 % 3001) / F.lit(100.0))
-    )
-    current = F.when(event_id % 227 == 9, F.lit(None)).otherwise(
-        F.lit(10.0) + _dbl(event_id * 31 % 501) / F.lit(100.0)
-    )
-    speed = F.when(event_id % 229 == 11, F.lit(None)).otherwise(
-        F.lit(1452.0) + _dbl(event_id * 17 % 161) / F.lit(10.0)
-    )
-    return (
-        events.withColumn("MachineID", (event_id % 20 + 1).cast("int"))
-        .select(
-            "MachineID",
-            F.col("ts").alias("Timestamp"),
-            vibration.alias("VibrationVelocity"),
-            temperature.alias("BearingTemperature"),
-            current.alias("MotorCurrentDraw"),
-            speed.alias("RotationalSpeed"),
-            F.col("event_type").alias("Status"),
-            F.explode(copies).alias("__copy"),
-        )
-        .drop("__copy")
-    )
+    faulty = f"event_id % 20 + 1 IN {FAULTY_MACHINES}"
+    day = "datediff(ts, DATE '2024-01-01')"
+    return events.selectExpr(
+        "CAST(event_id % 20 + 1 AS INT) AS MachineID",
+        "ts AS Timestamp",
+        f"""CASE WHEN event_id % 199 = 13 THEN -999D
+                 WHEN event_id % 211 = 5 THEN NULL
+                 WHEN {faulty} THEN 0.8D + {day} * 0.15D + event_id % 31 / 200D
+                 ELSE 0.5D + event_id * 7919 % 901 / 1000D END AS VibrationVelocity""",
+        f"""CASE WHEN event_id % 223 = 7 THEN NULL
+                 WHEN {faulty} THEN 45D + {day} * 1.7D + event_id % 41 / 20D
+                 ELSE 40D + event_id * 104729 % 3001 / 100D END AS BearingTemperature""",
+        """CASE WHEN event_id % 227 = 9 THEN NULL
+                ELSE 10D + event_id * 31 % 501 / 100D END AS MotorCurrentDraw""",
+        """CASE WHEN event_id % 229 = 11 THEN NULL
+                ELSE 1452D + event_id * 17 % 161 / 10D END AS RotationalSpeed""",
+        "event_type AS Status",
+        "explode(IF(event_id % 101 = 42, array(0, 1), array(0))) AS copy",
+    ).drop("copy")
 
 
 def event_readings(spark: SparkSession, folder: str) -> DataFrame:

@@ -46,43 +46,49 @@ def read_table(
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def _laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
+def _laid_out(
+    df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str], arrange: bool
+) -> DataFrame:
     """Rows of one partition value together, in files of the advised size.
 
     Rebalancing lets adaptive execution merge small partition values and split
     a large one over several tasks; a plain repartition would write it in one.
     """
-    if partition_by:
+    if partition_by and arrange:
         df = df.hint("rebalance", *partition_by)
     order = [*partition_by, *sort_by]
     return df.sortWithinPartitions(*order) if order else df
 
 
+def _save(
+    df: DataFrame, path: str, partition_by: Sequence[str], only_given_partitions: bool = False
+) -> None:
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by).option(
+            "partitionOverwriteMode", "dynamic" if only_given_partitions else "static"
+        )
+    writer.parquet(path)
+
+
 def write_table(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
+    arrange: bool = True,
     only_given_partitions: bool = False,
 ) -> None:
     """Replace the Parquet table at ``path``.
 
-    Without ``partition_by`` rows stay where they are: no shuffle. With it,
+    Without ``partition_by`` rows stay where they are: no shuffle. With it they
+    are brought together by partition value, unless ``arrange=False`` says they
+    already are, as when they come row by row from a table partitioned alike.
     ``only_given_partitions`` replaces just the partition values ``df`` has.
     Rows are never sorted globally.
     """
-    _save(_laid_out(df, partition_by, sort_by), path, partition_by, only_given_partitions)
-
-
-def _save(
-    df: DataFrame, path: str, partition_by: Sequence[str], only_given_partitions: bool = False
-) -> None:
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option(
-            "partitionOverwriteMode", "dynamic" if only_given_partitions else "static"
-        )
-    writer.parquet(path)
+    arranged = _laid_out(df, partition_by, sort_by, arrange)
+    _save(arranged, path, partition_by, only_given_partitions)
 
 
 @dataclass(frozen=True)
@@ -100,17 +106,18 @@ def publish(
     counts: Mapping[str, Column] | None = None,
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
+    arrange: bool = True,
 ) -> Receipt:
     """Replace the table at any Hadoop file-system URI and count what was written.
 
     One job writes and counts: rows, and for each entry of ``counts`` the rows
     meeting its condition. Counting happens in the stage that writes, so a
     retried task or a lost executor does not count twice. Files of an earlier
-    publish do not survive.
+    publish do not survive. The layout is as in ``write_table``.
     """
     conditions = dict(counts or {})
     observation = Observation()
-    observed = _laid_out(df, partition_by, sort_by).observe(
+    observed = _laid_out(df, partition_by, sort_by, arrange).observe(
         observation,
         F.count(F.lit(1)).alias("rows"),
         *(F.count_if(condition).alias(f"n_{name}") for name, condition in conditions.items()),
