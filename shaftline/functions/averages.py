@@ -9,21 +9,25 @@ from pyspark.sql import functions as F
 GUARD_DECIMALS = 3
 # Readings up to this many units are exact in a double with room to spare.
 _MAX_UNITS = float(2**50)
-# Low bits are summed apart from high bits: each sum fits in a long for any
-# group that fits in a cluster (2**43 rows, or 10**9 rows of the largest value).
+# Low bits are summed apart from high bits, so that neither sum outgrows a
+# long before a group has 2**42 readings (or 2**33 of the largest value).
 _LOW_BITS = 20
 
 
+def _div(dividend: Column, divisor: Column) -> Column:
+    return F.call_function("div", dividend, divisor)
+
+
 def rounded_average(column: str, decimals: int, exact: bool = True) -> Column:
     """Aggregate: ``avg(column)`` rounded half-up to ``decimals``.
 
     A sum of doubles changes in its last bits with the order of the tasks, so
     an average that lies on a rounding tie can come out differently after a
     retry. The exact form counts every reading in whole units of
-    ``10 ** -(decimals + 3)`` and sums those as longs, which is associative,
-    combines map-side in 8-byte buffers and costs no more than a double sum.
-    Readings too large for that (and NaN or infinities) are summed as doubles
-    beside it, so they keep their usual effect on the average.
+    ``10 ** -(decimals + 3)`` and sums those as longs, which is associative
+    and combines map-side in 8-byte buffers. Readings too large for that (and
+    NaN or infinities) are summed as doubles beside it, so they keep their
+    usual effect on the average.
 
     ``exact=False`` is the plain ``round(avg(column))``.
     """
@@ -36,16 +40,22 @@ def rounded_average(column: str, decimals: int, exact: bool = True) -> Column:
     units = F.when(in_range, F.rint(reading * F.lit(float(scale))).cast("bigint"))
     high = F.sum(F.shiftright(units, _LOW_BITS))
     low = F.sum(units.bitwiseAND(F.lit(2**_LOW_BITS - 1).cast("bigint")))
-    total = high.cast("decimal(20,0)") * F.lit(2**_LOW_BITS) + low.cast("decimal(20,0)")
     outliers = F.sum(F.when(~in_range, reading))
     readings = F.count(reading)
 
-    # Half-up: floor((2 |total| + d) / 2d), with d units per last kept digit.
-    divisor = readings.cast("decimal(20,0)") * F.lit(10**GUARD_DECIMALS)
-    doubled = F.abs(total) * F.lit(2) + divisor
-    # Both are positive, so dropping the remainder is the floor.
-    digits = F.call_function("div", doubled, divisor * F.lit(2))
-    rounded = digits * F.signum(total) / F.lit(float(10**decimals))
-
-    blended = (outliers + F.coalesce(total.cast("double"), F.lit(0.0)) / F.lit(float(scale))) / readings
+    # Long division of high * 2**20 + low by the count, and the mean in whole
+    # units below and above the quotient.
+    n = F.nullif(readings, F.lit(0).cast("bigint"))
+    carried = F.pmod(high, n)
+    rest = carried * F.lit(2**_LOW_BITS) + low
+    floor = _div(high - carried, n) * F.lit(2**_LOW_BITS) + _div(rest, n)
+    ceiling = floor + F.when(rest % n > 0, 1).otherwise(0)
+
+    # Half-up, away from zero, over the guard digits; div drops fractions.
+    last, half = F.lit(10**GUARD_DECIMALS), F.lit(10**GUARD_DECIMALS // 2)
+    digits = F.when(floor >= 0, _div(floor + half, last)).otherwise(_div(ceiling - half, last))
+    rounded = digits / F.lit(float(10**decimals))
+
+    in_units = high.cast("double") * F.lit(float(2**_LOW_BITS)) + low.cast("double")
+    blended = (outliers + F.coalesce(in_units, F.lit(0.0)) / F.lit(float(scale))) / readings
     return F.when(outliers.isNotNull(), F.round(blended, decimals)).otherwise(rounded)

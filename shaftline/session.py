@@ -15,13 +15,6 @@ SETTINGS = {
 }
 
 
-def shuffle_partitions(input_bytes: int, per_partition: int = 256 * 2**20, least: int = 200) -> int:
-    """Shuffle partitions so that removing copies, which shuffles every row,
-    hands each task ``per_partition`` bytes. Adaptive execution merges the
-    surplus behind rollups, so only too few hurts."""
-    return max(least, -(-input_bytes // per_partition))
-
-
 def build_session(app: str = "shaftline", settings: Mapping[str, str] | None = None) -> SparkSession:
     """A session with ``SETTINGS``, overridden and extended by ``settings``."""
     builder = SparkSession.builder.appName(app)

@@ -8,11 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shaftline.__main__ import main
 from shaftline.config import READINGS, Monitor
 from shaftline.operators import baseline as bl
 from shaftline.operators import cleaning, grading, rollup
 from shaftline.plans import monitoring
-from shaftline.session import shuffle_partitions
 from shaftline.sources import tables
 from shaftline.sources.scratch import scratch_path
 
@@ -178,12 +178,6 @@ def test_scratch_refuses_a_machine_local_folder_on_a_cluster():
     assert scratch_path(Settings(**{"spark.master": "local[2]"}), "x")
 
 
-def test_shuffle_partitions():
-    assert shuffle_partitions(0) == 200
-    assert shuffle_partitions(100 * 10**12) == 372_530
-    assert shuffle_partitions(2**40, per_partition=2**30) == 1024
-
-
 # A machine developing a fault over 30 days of 96 readings, without noise:
 # vibration 0.8 + 4.5 p and temperature 45 + 50 p, p going from 0 to 1.
 @pytest.fixture(scope="module")
@@ -250,3 +244,13 @@ def test_stored_run(spark, ramp, rows, tmp_path, store_clean, cfg):
     again = monitoring.run_monitoring(spark, ramp, str(tmp_path), cfg, store_clean)
     assert again.receipt.rows == 30
     assert tables.read_table(spark, run.tables.flagged).count() == 30
+
+
+def test_command_line(spark, ramp, tmp_path, capsys):
+    source, target, public = (str(tmp_path / name) for name in ("csv", "out", "public"))
+    ramp.write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(source, header=True)
+    main([source, target, "--baseline-days", "7", "--publish", public], spark)
+    shown = capsys.readouterr().out
+    assert "{'original': 2880, 'distinct': 2880, 'final': 2880}" in shown
+    assert tables.read_table(spark, public).count() == 30
+    assert "Verified" in shown and "true" in shown
