@@ -68,7 +68,8 @@ class Monitor:
 
     The baseline is either a calendar ``baseline_cutoff`` shared by the fleet
     or the first ``baseline_days`` days of each key; setting the cutoff to
-    ``None`` selects the second.
+    ``None`` selects the second. ``exact_averages=False`` rounds the plain
+    double averages instead of the exact ones.
     """
 
     key: str = KEY
@@ -78,6 +79,7 @@ class Monitor:
     sentinels: Mapping[str, float] = field(default_factory=lambda: dict(SENTINELS))
     vibration: DailyMeasure = VIBRATION
     temperature: DailyMeasure = TEMPERATURE
+    exact_averages: bool = True
     zones: tuple[tuple[float, str], ...] = ZONES
     zone_above: str = ZONE_ABOVE
     restricted_zones: tuple[str, ...] = RESTRICTED_ZONES

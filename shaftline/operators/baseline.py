@@ -90,7 +90,8 @@ def baseline_zscore(
     _check_rule(cutoff, first_days)
     whole_key = _whole_key(cfg)
     started = _with_start(daily, first_days, cfg)
-    value = F.when(_in_baseline(cutoff, first_days, cfg), F.col(cfg.vibration.name))
+    counts = F.col(cfg.key).isNotNull() & _in_baseline(cutoff, first_days, cfg)
+    value = F.when(counts, F.col(cfg.vibration.name))
     scored = started.withColumns(
         {
             "BaselineMean": F.avg(value).over(whole_key),

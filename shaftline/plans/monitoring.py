@@ -15,9 +15,15 @@ from shaftline.operators.rollup import daily_average
 from shaftline.sources.tables import Receipt, publish, read_table, write_table
 
 
+def daily_from_clean(cleaned: DataFrame, cfg: Monitor = DEFAULT) -> DataFrame:
+    return daily_average(
+        cleaned, cfg.key, cfg.time, cfg.daily_measures, cfg.date, cfg.exact_averages
+    )
+
+
 def daily_from_readings(readings: DataFrame, cfg: Monitor = DEFAULT) -> DataFrame:
     """Clean and roll up, as one lazy plan."""
-    return daily_average(clean(readings, cfg), cfg.key, cfg.time, cfg.daily_measures, cfg.date)
+    return daily_from_clean(clean(readings, cfg), cfg)
 
 
 def flagged_from_readings(readings: DataFrame, cfg: Monitor = DEFAULT) -> DataFrame:
@@ -67,6 +73,7 @@ def run_monitoring(
     target: str,
     cfg: Monitor = DEFAULT,
     store_clean: bool = True,
+    by_day: bool = True,
 ) -> Run:
     """Clean, roll up, grade and score ``readings`` into tables below ``target``.
 
@@ -77,11 +84,12 @@ def run_monitoring(
     table works on one row per machine and day.
 
     The clean readings stay unpartitioned, since laying them out by day would
-    shuffle all of them again. The daily tables are partitioned by day; grading
-    keeps the layout of the daily table it reads and shuffles nothing.
+    shuffle all of them again. The daily tables are partitioned by day, unless
+    ``by_day=False`` says that a fleet is too small to fill a file per day;
+    grading keeps the layout of the daily table it reads and shuffles nothing.
     """
     tables = Tables(target)
-    by_day = {"partition_by": [cfg.date], "sort_by": [cfg.key]}
+    layout = {"partition_by": [cfg.date] if by_day else [], "sort_by": [cfg.key]}
 
     if store_clean:
         counts = Observation()
@@ -92,8 +100,8 @@ def run_monitoring(
         cleaning = None
         cleaned = clean(readings, cfg)
 
-    daily = daily_average(cleaned, cfg.key, cfg.time, cfg.daily_measures, cfg.date)
-    write_table(daily, tables.daily, **by_day)
+    daily = daily_from_clean(cleaned, cfg)
+    write_table(daily, tables.daily, **layout)
     daily = read_table(spark, tables.daily, daily.schema)
 
     receipt = publish(
@@ -101,9 +109,9 @@ def run_monitoring(
         tables.flagged,
         counts={"RestrictedDays": is_restricted(cfg)},
         arrange=False,
-        **by_day,
+        **layout,
     )
-    write_table(baseline_zscore(daily, **cfg.baseline_rule, cfg=cfg), tables.scored, **by_day)
+    write_table(baseline_zscore(daily, **cfg.baseline_rule, cfg=cfg), tables.scored, **layout)
     return Run(tables, receipt, cleaning)
 
 

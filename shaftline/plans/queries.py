@@ -11,6 +11,7 @@ from shaftline.config import FAULTY_MACHINES, ZONES, DailyMeasure, Monitor
 from shaftline.operators import baseline as bl
 from shaftline.operators import charts, cleaning, grading, quality, rollup
 from shaftline.plans.monitoring import (
+    daily_from_clean,
     daily_from_readings,
     flagged_from_readings,
     inspect_run,
@@ -64,10 +65,7 @@ def _lineitem(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _daily_shipments(spark: SparkSession, sf: str) -> DataFrame:
-    cfg = SHIPMENTS
-    return rollup.daily_average(
-        _lineitem(spark, sf), cfg.key, cfg.time, cfg.daily_measures, cfg.date
-    )
+    return daily_from_clean(_lineitem(spark, sf), SHIPMENTS)
 
 
 def _comparable(df: DataFrame, decimals: int = 6) -> DataFrame:

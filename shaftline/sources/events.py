@@ -8,10 +8,20 @@ exact copies are spread over all machines.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from shaftline.config import FAULTY_MACHINES, Monitor
 from shaftline.sources.tables import read_table
 
+# The columns the readings are derived from.
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("event_type", T.StringType()),
+    ]
+)
+
 # The derived readings start on 1 January 2024; so does their baseline week.
 EVENT_MONITOR = Monitor(baseline_cutoff="2024-01-07")
 
@@ -44,4 +54,4 @@ def readings_from_events(events: DataFrame) -> DataFrame:
 
 
 def event_readings(spark: SparkSession, folder: str) -> DataFrame:
-    return readings_from_events(read_table(spark, f"{folder}/events.parquet"))
+    return readings_from_events(read_table(spark, f"{folder}/events.parquet", EVENTS))

@@ -13,7 +13,7 @@ def spark(tmp_path_factory) -> SparkSession:
         {
             "spark.master": "local[8]",
             "spark.driver.memory": "4g",
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

@@ -24,6 +24,7 @@ ROWS = (
     + days(2, [1.0] * 9)  # constant baseline: deviation zero
     + days(3, [2.0, 3.0], first=6)  # one baseline day
     + days(4, [1.0, 5.0], first=10)  # no day before the cutoff
+    + days(None, [1.0, 2.0, 4.0])  # readings that name no machine
 )
 
 
@@ -38,7 +39,7 @@ def table(df):
 
 def test_baseline_takes_days_up_to_the_cutoff(daily):
     got = {r.MachineID: r for r in bl.baseline(daily, cutoff=CUTOFF).collect()}
-    assert set(got) == {1, 2, 3}
+    assert set(got) == {1, 2, 3, None}
     assert math.isclose(got[1].BaselineMean, statistics.mean(RAMP[:7]))
     assert math.isclose(got[1].BaselineStdDev, statistics.stdev(RAMP[:7]))
     assert got[2].BaselineStdDev == 0.0
@@ -47,7 +48,7 @@ def test_baseline_takes_days_up_to_the_cutoff(daily):
 
 def test_baseline_of_each_keys_first_days(daily):
     got = {r.MachineID: r for r in bl.baseline(daily, first_days=7).collect()}
-    assert set(got) == {1, 2, 3, 4}
+    assert set(got) == {1, 2, 3, 4, None}
     assert math.isclose(got[1].BaselineMean, statistics.mean(RAMP[:7]))
     assert got[3].BaselineMean == 2.5
     assert got[4].BaselineMean == 3.0
@@ -87,7 +88,7 @@ def test_scores(daily):
         assert math.isclose(z, (value - mean) / deviation, rel_tol=1e-9, abs_tol=1e-12)
     # Zero or undefined deviation, and no baseline at all: kept, without score.
     assert all(r.ZScore is None for (m, _), r in scored.items() if m != 1)
-    assert {r.BaselineMean for (m, _), r in scored.items() if m == 4} == {None}
+    assert {r.BaselineMean for (m, _), r in scored.items() if m in (4, None)} == {None}
 
 
 def test_significance_is_strict_and_two_sided(spark):

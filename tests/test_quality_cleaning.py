@@ -220,5 +220,5 @@ def test_hot_copies_and_a_hot_machine_stay_whole(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     sizes = [r["count"] for r in parts]
-    assert len(sizes) == 8
-    assert max(sizes) < 1.2 * sum(sizes) / 8
+    assert len(sizes) == 4
+    assert max(sizes) < 1.2 * sum(sizes) / 4

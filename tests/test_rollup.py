@@ -61,6 +61,17 @@ def test_many_readings_do_not_overflow(spark):
     assert df.agg(rounded_average("x", 3).alias("a")).first().a == 1125899906.5
 
 
+def test_rounded_average_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert average(spark, [-0.001, -0.002, None]) == -0.002
+        assert average(spark, [None]) is None
+        assert average(spark, [1e300, 2.0]) == 5e299
+        assert math.isnan(average(spark, [NAN, 1.0]))
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-200_000, 200_000), min_size=1, max_size=40), st.integers(1, 5))
 def test_rounded_average_is_the_exact_one(spark, thousandths, parts):

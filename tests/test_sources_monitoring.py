@@ -210,9 +210,15 @@ def test_closed_form_of_a_developing_fault(ramp):
     assert [i for i, r in enumerate(scored) if r.ZScore > 3] == list(range(10, 30))
 
 
-@pytest.mark.parametrize("store_clean", [True, False])
-@pytest.mark.parametrize("cfg", [Monitor(), Monitor(baseline_cutoff=None)])
-def test_stored_run(spark, ramp, rows, tmp_path, store_clean, cfg):
+@pytest.mark.parametrize(
+    "cfg, store_clean, by_day",
+    [
+        (Monitor(), True, True),
+        (Monitor(baseline_cutoff=None), False, True),
+        (Monitor(exact_averages=False), False, False),
+    ],
+)
+def test_stored_run(spark, ramp, rows, tmp_path, cfg, store_clean, by_day):
     healthy = ramp.select(
         F.lit(1).alias("MachineID"),
         "Timestamp",
@@ -224,15 +230,17 @@ def test_stored_run(spark, ramp, rows, tmp_path, store_clean, cfg):
     )
     dirty = ramp.limit(5).withColumn("VibrationVelocity", F.lit(-999.0))
     readings = ramp.union(healthy).union(healthy.limit(7)).union(dirty)
-    run = monitoring.run_monitoring(spark, readings, str(tmp_path), cfg, store_clean)
+    run = monitoring.run_monitoring(spark, readings, str(tmp_path), cfg, store_clean, by_day)
 
     expected = {"original": 5772, "distinct": 5765, "final": 5760}
     assert run.cleaning == (expected if store_clean else None)
     assert (tmp_path / "clean").exists() == store_clean
+    for table in ("daily", "flagged", "scored"):
+        assert len(list((tmp_path / table).glob("Date=*"))) == (30 if by_day else 0)
     assert run.receipt.rows == 60
     assert run.receipt.counts == {"RestrictedDays": 17}
 
-    daily = rollup.daily_average(cleaning.clean(readings, cfg))
+    daily = rollup.daily_average(cleaning.clean(readings, cfg), exact=cfg.exact_averages)
     assert rows(tables.read_table(spark, run.tables.daily, daily.schema)) == rows(daily)
     flagged = grading.flagged_days(daily, cfg)
     assert rows(tables.read_table(spark, run.tables.flagged, flagged.schema)) == rows(flagged)
@@ -241,7 +249,7 @@ def test_stored_run(spark, ramp, rows, tmp_path, store_clean, cfg):
     assert tuple(monitoring.inspect_run(spark, run.tables, cfg).first()) == (17, 20)
 
     # A second run replaces the first.
-    again = monitoring.run_monitoring(spark, ramp, str(tmp_path), cfg, store_clean)
+    again = monitoring.run_monitoring(spark, ramp, str(tmp_path), cfg, store_clean, by_day)
     assert again.receipt.rows == 30
     assert tables.read_table(spark, run.tables.flagged).count() == 30
 
