@@ -111,6 +111,31 @@ def test_unpartitioned_write_does_not_shuffle(spark):
     assert "REBALANCE_PARTITIONS_BY_COL" in laid._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
+    df = spark.range(200_000, numPartitions=8).selectExpr(
+        "CAST(id AS int) AS MachineID",
+        "IF(id % 10 < 9, DATE '2026-01-01', DATE '2026-01-02') AS Date",
+        "rand(7) AS x",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        tables.write_table(df, str(tmp_path / "t"), partition_by=["Date"], sort_by=["MachineID"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t" / "Date=2026-01-01").glob("part-*"))) > 2
+    assert spark.read.parquet(str(tmp_path / "t")).distinct().count() == 200_000
+
+
+def test_stored_zones_are_filtered_in_the_scan(spark, tmp_path):
+    daily = spark.createDataFrame(
+        [(1, date(2026, 1, 1), 3.0, 50.0)], "MachineID int, Date date, AvgVibration double, AvgTemperature double"
+    )
+    tables.write_table(grading.flagged_days(daily), str(tmp_path / "f"), partition_by=["Date"])
+    stored = grading.restricted_days(tables.read_table(spark, str(tmp_path / "f")))
+    text = stored._jdf.queryExecution().executedPlan().toString()
+    assert "In(VibrationZone, [C,D])" in text
+
+
 @pytest.mark.parametrize("options", [{}, {"partition_by": ["Date"], "sort_by": ["MachineID"]}])
 def test_publish_and_verify(spark, tmp_path, options):
     df = spark.createDataFrame(DAYS, DDL)
