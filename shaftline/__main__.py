@@ -34,6 +34,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--infer", action="store_true", help="infer the schema")
     parser.add_argument("--timestamp-format", help="needed for fractional seconds only")
     parser.add_argument("--no-clean-table", action="store_true", help="skip storing clean rows")
+    parser.add_argument(
+        "--keep-other-days",
+        action="store_true",
+        help="READINGS holds whole days; keep the other days of TARGET (stores no clean rows)",
+    )
     parser.add_argument("--publish", metavar="URI", help="also publish the flagged days there")
     rule = parser.add_mutually_exclusive_group()
     rule.add_argument("--baseline-cutoff", default=BASELINE_CUTOFF, metavar="YYYY-MM-DD")
@@ -61,7 +66,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     preview(readings, 10).show(truncate=False)
     quality_report(readings, cfg.sentinels).show(vertical=True)
 
-    run = run_monitoring(spark, readings, args.target, cfg, not args.no_clean_table)
+    run = run_monitoring(
+        spark,
+        readings,
+        args.target,
+        cfg,
+        store_clean=not (args.no_clean_table or args.keep_other_days),
+        keep_other_days=args.keep_other_days,
+    )
     if run.cleaning is not None:
         print("Rows by cleaning step:", run.cleaning)
     daily = read_table(spark, run.tables.daily)

@@ -74,6 +74,7 @@ def run_monitoring(
     cfg: Monitor = DEFAULT,
     store_clean: bool = True,
     by_day: bool = True,
+    keep_other_days: bool = False,
 ) -> Run:
     """Clean, roll up, grade and score ``readings`` into tables below ``target``.
 
@@ -87,7 +88,15 @@ def run_monitoring(
     shuffle all of them again. The daily tables are partitioned by day, unless
     ``by_day=False`` says that a fleet is too small to fill a file per day;
     grading keeps the layout of the daily table it reads and shuffles nothing.
+
+    With ``keep_other_days`` the readings are all those of some days, such as
+    the last one, and only these days of the daily table are replaced. Copies
+    agree in their timestamp, so no day depends on another, and the result
+    equals a run over all readings without reading them again. The flagged and
+    scored days are always rebuilt, since a new baseline day changes all scores.
     """
+    if keep_other_days and (store_clean or not by_day):
+        raise ValueError("keep_other_days needs store_clean=False and by_day=True")
     tables = Tables(target)
     layout = {"partition_by": [cfg.date] if by_day else [], "sort_by": [cfg.key]}
 
@@ -101,7 +110,7 @@ def run_monitoring(
         cleaned = clean(readings, cfg)
 
     daily = daily_from_clean(cleaned, cfg)
-    write_table(daily, tables.daily, **layout)
+    write_table(daily, tables.daily, **layout, only_given_partitions=keep_other_days)
     daily = read_table(spark, tables.daily, daily.schema)
 
     receipt = publish(

@@ -279,6 +279,30 @@ def test_stored_run(spark, ramp, rows, tmp_path, cfg, store_clean, by_day):
     assert tables.read_table(spark, run.tables.flagged).count() == 30
 
 
+def test_days_added_one_batch_at_a_time_equal_one_run(spark, ramp, rows, tmp_path):
+    cfg = Monitor(baseline_cutoff=None)
+    readings = ramp.union(ramp.limit(50))
+    whole = monitoring.run_monitoring(spark, readings, str(tmp_path / "whole"), cfg)
+    for low, high in ((0, 5), (4, 10), (20, 30), (10, 20)):  # in any order, a day twice
+        batch = readings.where(F.dayofmonth("Timestamp").between(low + 1, high))
+        run = monitoring.run_monitoring(
+            spark, batch, str(tmp_path / "parts"), cfg, store_clean=False, keep_other_days=True
+        )
+    assert run.receipt == tables.Receipt(
+        str(tmp_path / "parts/flagged"), whole.receipt.rows, whole.receipt.counts
+    )
+    for ours, theirs in ((run.tables.daily, whole.tables.daily), (run.tables.scored, whole.tables.scored)):
+        one = tables.read_table(spark, theirs)
+        assert rows(tables.read_table(spark, ours, one.schema)) == rows(one)
+
+
+def test_kept_days_exclude_a_clean_table(spark, ramp, tmp_path):
+    for options in ({}, {"store_clean": False, "by_day": False}):
+        with pytest.raises(ValueError):
+            monitoring.run_monitoring(spark, ramp, str(tmp_path), keep_other_days=True, **options)
+    assert not list(tmp_path.iterdir())
+
+
 def test_command_line(spark, ramp, tmp_path, capsys):
     source, target, public = (str(tmp_path / name) for name in ("csv", "out", "public"))
     ramp.write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(source, header=True)
