@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from shaftline.config import BASELINE_CUTOFF, BASELINE_DAYS, Monitor
 from shaftline.operators.baseline import baseline, significant_days, worst_zscore
+from shaftline.operators.cleaning import cleaning_report
 from shaftline.operators.grading import (
     danger_entities,
     is_restricted,
@@ -64,7 +65,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     )
     readings.printSchema()
     preview(readings, 10).show(truncate=False)
-    quality_report(readings, cfg.sentinels).show(vertical=True)
 
     run = run_monitoring(
         spark,
@@ -74,8 +74,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         store_clean=not (args.no_clean_table or args.keep_other_days),
         keep_other_days=args.keep_other_days,
     )
-    if run.cleaning is not None:
-        print("Rows by cleaning step:", run.cleaning)
+    if run.counts is None:
+        quality_report(readings, cfg.sentinels).show(vertical=True)
+        cleaning_report(readings, cfg).show(vertical=True)
+    else:  # counted while the clean rows were written
+        for name, count in run.counts.items():
+            print(f"{name}: {count}")
     daily = read_table(spark, run.tables.daily)
     flagged = read_table(spark, run.tables.flagged)
     scored = read_table(spark, run.tables.scored)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shaftline.config import DEFAULT, Monitor
-from shaftline.operators.quality import copies_of_rows
+from shaftline.operators.quality import copies_of_rows, weighed_counts
 
 _COPIES = "__copies"
 
@@ -102,22 +102,21 @@ def cleaning_report(df: DataFrame, cfg: Monitor = DEFAULT) -> DataFrame:
 def clean_and_observe(
     df: DataFrame, observation: Observation, cfg: Monitor = DEFAULT
 ) -> DataFrame:
-    """``clean`` whose one action also yields the counts of ``cleaning_report``.
+    """``clean`` whose one action also counts what it found and removed.
 
-    ``observation`` gets ``original``, ``distinct`` and ``final`` once the
-    returned frame has been written. They are counted behind the shuffle, in
-    the stage that writes, so a recomputed shuffle stage does not count twice.
-    Unusable rows travel through the shuffle to be counted, which is the price
-    of saving the second read of the raw data.
+    Once the returned frame has been written, ``observation`` has the counts
+    of ``quality_report`` and ``FinalRows``; it stays empty for no rows. They
+    are counted behind the shuffle, in the stage that writes, so a recomputed
+    shuffle stage does not count twice. Unusable rows travel through the
+    shuffle to be counted, which saves a second read of the raw data.
     """
     keep = usable(df, cfg)
     cleaned = (
         copies_of_rows(df, _COPIES)
         .observe(
             observation,
-            F.coalesce(F.sum(_COPIES), F.lit(0)).alias("original"),
-            F.count(F.lit(1)).alias("distinct"),
-            F.count_if(keep).alias("final"),
+            *weighed_counts(df.columns, cfg.sentinels, _COPIES),
+            F.count_if(keep).alias("FinalRows"),
         )
         .where(keep)
         .drop(_COPIES)

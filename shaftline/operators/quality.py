@@ -8,7 +8,7 @@ task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,23 +84,27 @@ def duplicate_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def quality_report(df: DataFrame, sentinels: Mapping[str, float]) -> DataFrame:
-    """Duplicates, nulls and sentinels of a table in one pass and one shuffle.
-
-    The counts per column are taken over distinct rows weighted by their
-    copies, which equals counting over all rows.
-    """
+def weighed_counts(
+    columns: Sequence[str], sentinels: Mapping[str, float], copies: str = _COPIES
+) -> list[Column]:
+    """Aggregates over distinct rows and their ``copies`` that equal counting
+    over all rows: rows, distinct rows, nulls per column, sentinels per column."""
 
     def weighed(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col(_COPIES))), F.lit(0))
+        return F.coalesce(F.sum(F.when(condition, F.col(copies))), F.lit(0))
+
+    return [
+        F.coalesce(F.sum(copies), F.lit(0)).alias("TotalRows"),
+        F.count(F.lit(1)).alias("DistinctRows"),
+        *(weighed(F.col(f"`{c}`").isNull()).alias(f"Null{c}") for c in columns),
+        *(weighed(F.col(c) == F.lit(v)).alias(f"Sentinel{c}") for c, v in sentinels.items()),
+    ]
+
 
+def quality_report(df: DataFrame, sentinels: Mapping[str, float]) -> DataFrame:
+    """Duplicates, nulls and sentinels of a table in one pass and one shuffle."""
     return (
         copies_of_rows(df)
-        .agg(
-            F.coalesce(F.sum(_COPIES), F.lit(0)).alias("TotalRows"),
-            F.count(F.lit(1)).alias("DistinctRows"),
-            *(weighed(F.col(f"`{c}`").isNull()).alias(f"Null{c}") for c in df.columns),
-            *(weighed(F.col(c) == F.lit(v)).alias(f"Sentinel{c}") for c, v in sentinels.items()),
-        )
+        .agg(*weighed_counts(df.columns, sentinels))
         .withColumn("DuplicateRows", F.col("TotalRows") - F.col("DistinctRows"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -60,11 +61,11 @@ class Tables:
 @dataclass(frozen=True)
 class Run:
     """Stored tables of a run, the receipt of the flagged days and, if the
-    clean readings were stored, how many rows each cleaning step left."""
+    clean readings were stored, what was found and left by cleaning."""
 
     tables: Tables
     receipt: Receipt
-    cleaning: dict[str, int] | None
+    counts: Mapping[str, int] | None
 
 
 def run_monitoring(
@@ -79,8 +80,8 @@ def run_monitoring(
     """Clean, roll up, grade and score ``readings`` into tables below ``target``.
 
     The raw readings are read once. With ``store_clean`` that job writes the
-    clean readings and counts what cleaning removed, and the rollup starts
-    from the stored table; without it the readings go straight to the daily
+    clean readings and counts nulls, sentinels, copies and the rows left, and
+    the rollup starts from the stored table; without it the readings go straight to the daily
     table and the clean rows are never written. Everything after the daily
     table works on one row per machine and day.
 
@@ -92,7 +93,8 @@ def run_monitoring(
     With ``keep_other_days`` the readings are all those of some days, such as
     the last one, and only these days of the daily table are replaced. Copies
     agree in their timestamp, so no day depends on another, and the result
-    equals a run over all readings without reading them again. The flagged and
+    equals a run over all readings without reading them again; only a day whose
+    new readings are all unusable keeps its former averages. The flagged and
     scored days are always rebuilt, since a new baseline day changes all scores.
     """
     if keep_other_days and (store_clean or not by_day):
@@ -101,12 +103,12 @@ def run_monitoring(
     layout = {"partition_by": [cfg.date] if by_day else [], "sort_by": [cfg.key]}
 
     if store_clean:
-        counts = Observation()
-        write_table(clean_and_observe(readings, counts, cfg), tables.clean)
-        cleaning = {name: counts.get.get(name, 0) for name in ("original", "distinct", "final")}
+        observation = Observation()
+        write_table(clean_and_observe(readings, observation, cfg), tables.clean)
+        counts = observation.get
         cleaned = read_table(spark, tables.clean)
     else:
-        cleaning = None
+        counts = None
         cleaned = clean(readings, cfg)
 
     daily = daily_from_clean(cleaned, cfg)
@@ -121,7 +123,7 @@ def run_monitoring(
         **layout,
     )
     write_table(baseline_zscore(daily, **cfg.baseline_rule, cfg=cfg), tables.scored, **layout)
-    return Run(tables, receipt, cleaning)
+    return Run(tables, receipt, counts)
 
 
 def inspect_run(spark: SparkSession, tables: Tables, cfg: Monitor = DEFAULT) -> DataFrame:

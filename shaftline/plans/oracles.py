@@ -330,8 +330,8 @@ FROM (SELECT count(*) AS Rows,
     ),
     "stored_run_summary": _with(
         SCORED + "," + FLAGGED.removeprefix(DAILY + ","),
-        f"""SELECT o AS original, u AS "distinct", k AS final,
-       (SELECT count(*) FROM d) AS machine_days,
+        f"""SELECT o AS TotalRows, u AS DistinctRows, k AS FinalRows,
+       (SELECT count(*) FROM d) AS MachineDays,
        (SELECT count(*) FROM f WHERE VibrationZone IN ('C', 'D')) AS AnomalyDays,
        (SELECT count(*) FROM s WHERE abs(ZScore) > 3) AS SignificantDays
 FROM ({_STEPS})""",

@@ -114,7 +114,8 @@ def publish_verify(spark: SparkSession, sf: str) -> DataFrame:
 def stored_run_summary(spark: SparkSession, sf: str) -> DataFrame:
     """All tables stored; headline counts of the run next to those re-read."""
     run = run_monitoring(spark, event_readings(spark, sf), scratch_path(spark, "run"), CFG)
-    counted = {**run.cleaning, "machine_days": run.receipt.rows}
+    counted = {name: run.counts.get(name, 0) for name in ("TotalRows", "DistinctRows", "FinalRows")}
+    counted["MachineDays"] = run.receipt.rows
     return inspect_run(spark, run.tables, CFG).select(
         *(F.lit(n).cast("bigint").alias(name) for name, n in counted.items()),
         F.col("AnomalyDays"),

@@ -170,11 +170,13 @@ def test_observed_counts_equal_the_report(dirty, empty, rows, tmp_path):
         observation = Observation()
         cleaned = cleaning.clean_and_observe(df, observation)
         cleaned.write.parquet(str(tmp_path / str(i)))
-        report = cleaning.cleaning_report(df).first()
         seen = observation.get
-        assert seen.get("original", 0) == report.OriginalRows
-        assert seen.get("distinct", 0) == report.DedupedRows
-        assert seen.get("final", 0) == report.FinalRows
+        report = cleaning.cleaning_report(df).first()
+        assert seen.get("TotalRows", 0) == report.OriginalRows
+        assert seen.get("DistinctRows", 0) == report.DedupedRows
+        assert seen.get("FinalRows", 0) == report.FinalRows
+        for name, count in quality.quality_report(df, SENTINELS).first().asDict().items():
+            assert name == "DuplicateRows" or seen.get(name, 0) == count
         assert rows(cleaned) == rows(cleaning.clean(df))
 
 
