@@ -104,9 +104,10 @@ def run_monitoring(
 
     if store_clean:
         observation = Observation()
-        write_table(clean_and_observe(readings, observation, cfg), tables.clean)
+        observed = clean_and_observe(readings, observation, cfg)
+        write_table(observed, tables.clean)
         counts = observation.get
-        cleaned = read_table(spark, tables.clean)
+        cleaned = read_table(spark, tables.clean, observed.schema)
     else:
         counts = None
         cleaned = clean(readings, cfg)

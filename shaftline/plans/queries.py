@@ -92,8 +92,9 @@ def baseline_zscore_join(spark: SparkSession, sf: str) -> DataFrame:
     """The daily table is stored first: baseline and join both read it, and
     would otherwise each clean and roll up the raw readings."""
     path = scratch_path(spark, "daily")
-    write_table(_daily(spark, sf), path, partition_by=[CFG.date], sort_by=[CFG.key])
-    daily = read_table(spark, path)
+    daily = _daily(spark, sf)
+    write_table(daily, path, partition_by=[CFG.date], sort_by=[CFG.key])
+    daily = read_table(spark, path, daily.schema)
     return _comparable(
         bl.score_with(daily, bl.baseline(daily, cutoff=CFG.baseline_cutoff, cfg=CFG), CFG)
     )
