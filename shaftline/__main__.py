@@ -33,7 +33,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("readings", help="CSV file or folder with a header")
     parser.add_argument("target", help="folder for the stored tables")
     parser.add_argument("--infer", action="store_true", help="infer the schema")
-    parser.add_argument("--timestamp-format", help="needed for fractional seconds only")
+    parser.add_argument("--timestamp-format", help="of times not written as 2026-01-31 12:30:00")
     parser.add_argument("--no-clean-table", action="store_true", help="skip storing clean rows")
     parser.add_argument(
         "--keep-other-days",

@@ -26,7 +26,8 @@ def read_readings(
     the files; the header is checked against it, and a malformed value fails
     the read instead of turning into a null that cleaning would drop
     (``mode="PERMISSIVE"`` turns that off). ``infer=True`` takes types from
-    the data. ``timestamp_format`` is only needed for fractional seconds.
+    the data. ``timestamp_format`` is only needed for times that are not
+    written as ``2026-01-31 12:30:00``, with or without fractions.
     """
     reader = spark.read.option("header", True)
     if timestamp_format is not None:

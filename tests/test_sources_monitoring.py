@@ -62,6 +62,14 @@ def test_a_reordered_header_is_refused(spark, tmp_path):
         tables.read_readings(spark, path).collect()
 
 
+def test_csv_of_fractional_seconds_and_other_notations(spark, tmp_path):
+    path = csv(tmp_path, "1,2026-01-01 00:15:00.123456,0.8,45.2,12.1,1460.3,Running")
+    assert tables.read_readings(spark, path).first().Timestamp == datetime(2026, 1, 1, 0, 15, 0, 123456)
+    path = csv(tmp_path, "1,01/02/2026 00:15,0.8,45.2,12.1,1460.3,Running")
+    df = tables.read_readings(spark, path, timestamp_format="dd/MM/yyyy HH:mm")
+    assert df.first().Timestamp == datetime(2026, 2, 1, 0, 15)
+
+
 def test_several_csv_files(spark, tmp_path):
     one = csv(tmp_path, "1,2026-01-01 00:15:00,0.8,45.2,12.1,1460.3,Running", name="a.csv")
     two = csv(tmp_path, "2,2026-01-01 00:15:00,0.8,45.2,12.1,1460.3,Idle", name="b.csv")
@@ -283,6 +291,21 @@ def test_stored_run(spark, ramp, rows, tmp_path, cfg, store_clean, by_day):
     assert tables.read_table(spark, run.tables.flagged).count() == 30
 
 
+def test_shuffles_of_the_composed_flow(spark, ramp, tmp_path):
+    """One shuffle of raw rows, one of partial sums, one of daily rows."""
+    ramp.write.parquet(str(tmp_path / "r"))
+    stored = spark.read.parquet(str(tmp_path / "r"))
+    for df, shuffles in (
+        (cleaning.clean(stored), 1),
+        (monitoring.flagged_from_readings(stored), 2),
+        (monitoring.scored_from_readings(stored), 3),
+    ):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning") == text.count("Exchange") == shuffles
+        assert text.count("FileScan") == 1
+        assert "Python" not in text and "SortAggregate" not in text
+
+
 def test_days_added_one_batch_at_a_time_equal_one_run(spark, ramp, rows, tmp_path):
     cfg = Monitor(baseline_cutoff=None)
     readings = ramp.union(ramp.limit(50))
