@@ -88,6 +88,8 @@ def write_table(
     ``only_given_partitions`` replaces just the partition values ``df`` has.
     Rows are never sorted globally.
     """
+    if only_given_partitions and not partition_by:
+        raise ValueError("only_given_partitions needs partition_by")
     arranged = _laid_out(df, partition_by, sort_by, arrange)
     _save(arranged, path, partition_by, only_given_partitions)
 

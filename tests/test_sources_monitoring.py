@@ -107,6 +107,8 @@ def test_only_given_partitions(spark, tmp_path, rows):
     assert rows(tables.read_table(spark, path, df.schema)) == rows(
         df.where("Date <> '2026-01-02'").union(new)
     )
+    with pytest.raises(ValueError):
+        tables.write_table(new, path, only_given_partitions=True)
 
 
 def test_unpartitioned_write_does_not_shuffle(spark):
