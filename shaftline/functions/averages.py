@@ -25,9 +25,9 @@ def rounded_average(column: str, decimals: int, exact: bool = True) -> Column:
     an average that lies on a rounding tie can come out differently after a
     retry. The exact form counts every reading in whole units of
     ``10 ** -(decimals + 3)`` and sums those as longs, which is associative
-    and combines map-side in 8-byte buffers. Readings too large for that (and
-    NaN or infinities) are summed as doubles beside it, so they keep their
-    usual effect on the average.
+    and combines map-side in 8-byte buffers; a reading finer than a unit is
+    rounded to it. Readings too large to count (and NaN or infinities) are
+    summed as doubles beside it, so they keep their usual effect on the average.
 
     ``exact=False`` is the plain ``round(avg(column))``.
     """
