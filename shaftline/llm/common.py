@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shaftline.sources.scratch import scratch_path
 
@@ -39,7 +40,7 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def stored(df: DataFrame, name: str, **partition: Sequence[str]) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a new shared folder and read back.
 
     Later jobs start from the files: a lost executor costs no recomputation,
@@ -67,7 +68,7 @@ def find_library(spark: SparkSession) -> None:
 def map_arrow(
     df: DataFrame,
     per_batch: Callable[[pa.RecordBatch], Iterator[dict[str, object]]],
-    schema: str,
+    schema: str | T.StructType,
 ) -> DataFrame:
     """``df.mapInArrow`` for a function from one batch to columns of any number
     of batches."""

@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shaftline.llm import block_naming
+from shaftline.llm.block_naming import op6_exact_dedup
 from shaftline.llm.packing import op9_best_fit_packing
+from shaftline.llm.repetition import op2_repetition
 from shaftline.llm.tokens import op7_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_repetition": op2_repetition,
+    "op6_exact_dedup": op6_exact_dedup,
     "op7_token_files": op7_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_exact_dedup": block_naming.ORACLE,
+}
