@@ -6,19 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shaftline.llm import block_naming
+from shaftline.llm import block_naming, url_rules
 from shaftline.llm.block_naming import op6_exact_dedup
+from shaftline.llm.chat import op8_chat_format
 from shaftline.llm.packing import op9_best_fit_packing
+from shaftline.llm.pieces import op4_sentencepiece
 from shaftline.llm.repetition import op2_repetition
+from shaftline.llm.secrets import op5_secret_scan
 from shaftline.llm.tokens import op7_token_files
+from shaftline.llm.url_rules import op3_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repetition": op2_repetition,
+    "op3_url_filter": op3_url_filter,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_secret_scan": op5_secret_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_files": op7_token_files,
+    "op8_chat_format": op8_chat_format,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_url_filter": url_rules.ORACLE,
     "op6_exact_dedup": block_naming.ORACLE,
 }
