@@ -1,8 +1,7 @@
 """Token ids in ORC files.
 
-Encoding splits every text at single spaces, where the byte-level vocabulary
-always has a token boundary, and encodes each distinct segment once per Python
-worker. ORC stores the ids in stripes with integer run-length encoding, with a
+Texts are cut where the vocabulary always has a token boundary, and each distinct
+segment is encoded once per Python worker. ORC stores the ids in stripes with integer run-length encoding, with a
 row index and a Bloom filter on ``doc_id``, so that stripes are read in parallel
 and a look-up of some documents skips all others by metadata.
 """
@@ -22,18 +21,21 @@ from shaftline.llm.common import find_library, map_arrow, of_bounded_size, token
 from shaftline.sources.scratch import scratch_path
 
 END = 2
-# Segments a worker remembers before it starts anew: about 200 MB.
-REMEMBERED = 800_000
+# Segments a worker remembers before it starts anew: about 250 MB.
+REMEMBERED = 1_200_000
+# White space next to white space, where a token may hold more than one of them.
 _RUN = re.compile(r"\s\s")
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers.
 
-    ``spaced`` vocabularies put a space into the token that follows it; the
-    others drop white space, and both have a boundary where a segment starts.
+    Texts are cut where every token ends, at single spaces and line ends, and
+    each distinct segment is encoded once. ``spaced`` vocabularies put a space
+    into the token behind it and have a token for a line end; the others drop
+    white space. Their segments are told apart here by their first character:
+    one that starts with a line end has it in front, any other a space.
     """
 
     def __init__(self, path: str, spaced: bool) -> None:
@@ -44,32 +46,65 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
         self.known: dict[str, bytes] = {}
+        # Segments are encoded many at a time, parted by a token of its own.
+        self.parting = "\n" if spaced else " \u2605 "
+        (self.part_id,) = self._ids(self.parting)
+        self.line_end = np.array([self.part_id], "<u4").tobytes()
 
-    def segments(self, text: str) -> list[str]:
-        """Parts of a text whose ids are those of the text when put together.
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._ids(text), "<u4").tobytes()
 
-        Next to other white space a space may belong to a longer token, so
-        only spaces between two other characters part such a text.
-        """
+    def segments(self, text: str) -> list[str]:
         if not self.spaced:
-            return text.split(" ")
-        parts = _SAFE.split(text) if _RUN.search(text) else text.split(" ")
-        head, *rest = parts
-        return [head, *[f" {part}" for part in rest]]
+            return text.replace("\n", " ").split(" ")
+        return ("\n" + text).replace("\n", " \n")[1:].split(" ")
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode new segments, those that are plain words a thousand at a time."""
+        plain: dict[bool, list[str]] = {False: [], True: []}
+        for part in new:
+            bare = self.spaced and part.startswith("\n")
+            body = part[1:] if bare else part
+            if body and not body[0].isspace() and not body[-1].isspace():
+                plain[bare].append(body)
+            elif bare:
+                self.known[part] = self.line_end + self._whole(body)
+            else:
+                self.known[part] = self._whole(f" {body}") if self.spaced else self._whole(body)
+        for bare, words in plain.items():
+            lead = " " if self.spaced and not bare else ""
+            first, front = (self.line_end, "\n") if bare else (b"", "")
+            for at in range(0, len(words), 1_000):
+                some = words[at : at + 1_000]
+                joined = self.parting.join([lead + word for word in some])
+                ids = np.array(self._ids(joined), "<u4")
+                cuts = np.flatnonzero(ids == self.part_id).tolist()
+                if len(cuts) != len(some) - 1:  # a word holds the token that parts them
+                    self.known.update((front + w, first + self._whole(lead + w)) for w in some)
+                    continue
+                raw = ids.tobytes()
+                starts, ends = [0, *(4 * c + 4 for c in cuts)], [*(4 * c for c in cuts), len(raw)]
+                for word, a, b in zip(some, starts, ends):
+                    self.known[front + word] = first + raw[a:b]
 
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
-        parted = [self.segments(text) for text in texts]
-        known = self.known
-        new = list({part for parts in parted for part in parts if part not in known})
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list({part for parts in parted for part in parts})
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            for part, one in zip(some, encoded):
-                known[part] = np.array(one.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, parts)) for parts in parted]
+        cut = [not (self.spaced and _RUN.search(text)) for text in texts]
+        parted = [self.segments(text) if ok else [] for text, ok in zip(texts, cut)]
+        new = set().union(*parted) - self.known.keys()
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = set().union(*parted)
+        self._learn(list(new))
+        find = self.known.__getitem__
+        # The first segment had a line end put in front.
+        skip = 4 if self.spaced else 0
+        return [
+            b"".join(map(find, parts))[skip:] if ok else self._whole(text)
+            for text, parts, ok in zip(texts, parted, cut)
+        ]
 
 
 def encoder(path: str, spaced: bool) -> Encoder:
