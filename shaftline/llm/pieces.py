@@ -45,8 +45,7 @@ class Pieces:
         self.text = [model.id_to_piece(i) for i in range(n)]
         self.of_byte = {i: b for b, i in enumerate(self.bytes)}
         normal = [i for i in range(n) if i not in special and not model.is_byte(i)]
-        self.ids = {self.text[i]: i for i in normal}
-        self.scores = np.array([model.get_score(i) for i in range(n)])
+        self.scores = _log_scores(np.array([model.get_score(i) for i in range(n)]))
         self.unknown = float(self.scores[normal].min()) - UNKNOWN_PENALTY
         if any(SPACE in self.text[i].lstrip(SPACE) or "\n" in self.text[i] for i in normal):
             raise ValueError("pieces that go over a space or a line end are not supported")
@@ -85,10 +84,9 @@ class Pieces:
         lengths = sorted((x for x in self.tables if x <= size), reverse=True)
         score = np.full((len(lengths), n, size + 1), -np.inf)
         piece = np.full((len(lengths), n, size + 1), -1, np.int32)
-        power, powers = np.uint64(1), [np.uint64(1)]
-        for _ in range(max(lengths, default=0)):
-            power = power * self.base
-            powers.append(power)
+        powers = np.full(size + 1, self.base)
+        powers[0] = 1
+        powers = np.multiply.accumulate(powers)
         for k, length in enumerate(lengths):
             hashes, ids, own = self.tables[length]
             found = prefixes[:, length:] - prefixes[:, :-length] * powers[length]
@@ -183,6 +181,17 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
+def _log_scores(scores: np.ndarray) -> np.ndarray:
+    """Scores that add up along a text.
+
+    A unigram model has log-probabilities. A merge model has merge ranks, as
+    whole numbers from 0 down, whose sums mean nothing; frequency falls with
+    rank, so they are read as -log(1 + rank).
+    """
+    ranks = (scores <= 0).all() and (scores == np.rint(scores)).all()
+    return -np.log1p(-scores) if ranks else scores
+
+
 def _code_points(words: list[str]) -> np.ndarray:
     """Words of equal length as rows of code points."""
     flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
