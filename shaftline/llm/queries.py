@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shaftline.llm import block_naming, url_rules
 from shaftline.llm.block_naming import op6_exact_dedup
 from shaftline.llm.chat import op8_chat_format
+from shaftline.llm.minmax import op10_near_dedup
 from shaftline.llm.packing import op9_best_fit_packing
 from shaftline.llm.pieces import op4_sentencepiece
 from shaftline.llm.repetition import op2_repetition
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_files": op7_token_files,
     "op8_chat_format": op8_chat_format,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
