@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shaftline.llm import block_naming, url_rules
 from shaftline.llm.block_naming import op6_exact_dedup
+from shaftline.llm.brown import op1_class_lm
 from shaftline.llm.chat import op8_chat_format
 from shaftline.llm.minmax import op10_near_dedup
 from shaftline.llm.packing import op9_best_fit_packing
@@ -18,6 +19,7 @@ from shaftline.llm.tokens import op7_token_files
 from shaftline.llm.url_rules import op3_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_class_lm": op1_class_lm,
     "op2_repetition": op2_repetition,
     "op3_url_filter": op3_url_filter,
     "op4_sentencepiece": op4_sentencepiece,
