@@ -7,8 +7,12 @@ permutations make a band of six. Documents that agree in a band are candidates:
 1. Equal sets are one class. Only classes go on, so copies cost one row a task.
 2. In each bucket of a band, every class is compared with the bucket's first.
 3. Verified links give components. Where a bucket still holds more than one
-   component, its members outside the first one's are compared with all members
-   of other components, so no candidate link between components goes unseen.
+   component, its members outside the first one's are compared with a few
+   members of that one, which ties most of them to it.
+4. Whatever then is still outside is held against all members of other
+   components, so no candidate link between components goes unseen. Two
+   bits of each signature value tell, where the rows meet, which of these pairs
+   can't reach the threshold.
 
 Links are confirmed on full sets. Within a component nothing needs comparing:
 more links there would not change the result.
@@ -42,6 +46,15 @@ PER_BAND = 3
 # Ids up to this many are broadcast to pick their texts; more go by a shuffle.
 BROADCAST_IDS = 500_000
 
+# Two bits a value of the signature, in longs. A pair at the threshold differs in
+# 72 of them, give or take 9.5; one that differs in more than 115 (four and a half
+# deviations) is not looked at. That loses 3 links at the threshold in a million,
+# far fewer than the bands do.
+BIT_LONGS = 2 * 2 * PER_BAND * BANDS // 64
+MOST_BITS_APART = 115
+# Members of a bucket's first component that those outside it meet first.
+WITNESSES = 4
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -99,18 +112,29 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key.view(np.int64)
 
 
+def signature_bits(signature: np.ndarray) -> np.ndarray:
+    """Two bits of each value, packed into longs: equal values agree in both, others
+    in each with even chance."""
+    two = _mixed(signature.ravel().astype(np.uint64) + np.uint64(1)) & np.uint64(3)
+    bits = np.stack([two & np.uint64(1), two >> np.uint64(1)]).astype(np.uint8)
+    return np.packbits(bits.ravel()).view(np.int64)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """``row``, ``doc_id``, ``text_key``, ``n_shingles``, ``set_key`` and ``bands``
-    of every row; ``set_key`` is a 128-bit digest of the set."""
+    """``row``, ``doc_id``, ``text_key``, ``n_shingles``, ``set_key``, ``bands`` and
+    ``bits`` of every row; ``set_key`` is a 128-bit digest of the set."""
+    none = np.zeros(0, np.int64)
 
     def per_batch(batch: pa.RecordBatch) -> Iterator[dict[str, object]]:
         for part in of_bounded_size(batch):
-            sizes, keys, bands = [], [], []
+            sizes, keys, bands, bits = [], [], [], []
             for text in part["text"].to_pylist():
                 own = shingle_set(text)
                 sizes.append(len(own))
                 keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                bands.append(band_keys(minmax(own)) if len(own) else np.zeros(0, np.int64))
+                signature = minmax(own) if len(own) else None
+                bands.append(none if signature is None else band_keys(signature))
+                bits.append(none if signature is None else signature_bits(signature))
             yield {
                 "row": part["row"],
                 "doc_id": part["doc_id"],
@@ -118,6 +142,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 "n_shingles": pa.array(sizes, pa.int64()),
                 "set_key": pa.array(keys, pa.binary()),
                 "bands": pa.array(bands, pa.list_(pa.int64())),
+                "bits": pa.array(bits, pa.list_(pa.int64())),
             }
 
     rows = docs.select(
@@ -131,7 +156,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         rows,
         per_batch,
         f"row bigint, doc_id {kind}, text_key string, n_shingles bigint, set_key binary, "
-        "bands array<bigint>",
+        "bands array<bigint>, bits array<bigint>",
     )
 
 
@@ -225,6 +250,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = rows.where("n_shingles > 0").groupBy("set_key").agg(
         _first("text_key").alias("rep"),
         F.first("bands").alias("bands"),
+        F.first("bits").alias("bits"),
         F.first("n_shingles").alias("n"),
     )
     classes = stored(
@@ -234,6 +260,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.col("rep.doc_id").alias("rep_id"),
             F.col("rep.text_key").alias("rep_key"),
             "bands",
+            "bits",
             "n",
         ),
         "classes",
@@ -257,16 +284,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     links = stored(_verified(pairs, sets), "star-links")
     label = components(links)
-    across = stored(_across(members, label), "across")
-    if across.count():
-        links = links.unionByName(_verified(across, sets))
-        label = components(links)
+    bits = classes.select("node", "bits")
+    for pairs_in in (_with_witnesses, _with_all):
+        pairs = stored(pairs_in(_mixed_buckets(members, label, bits)), "across")
+        if pairs.isEmpty():
+            break
+        links = stored(links.unionByName(_verified(pairs, sets)), "links-so-far")
+        label = stored(components(links), "labels")
 
     in_component = classes.join(label, "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("component")
     )
     in_component = stored(in_component, "set-components")
-    joined = rows.drop("bands").join(in_component, "set_key", "left")
+    joined = rows.drop("bands", "bits").join(in_component, "set_key", "left")
     # Documents without shingles are components of their own.
     alone = F.when(F.col("component").isNull(), F.col("row"))
     joined = stored(joined.withColumn("alone", alone), "in-components")
@@ -284,37 +314,70 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _across(members: DataFrame, label: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of classes in one bucket but not in one component.
+def _mixed_buckets(members: DataFrame, label: DataFrame, bits: DataFrame) -> DataFrame:
+    """Rows of buckets that hold more than one component: ``key``, ``node``, ``n``,
+    ``component``, ``one`` (the component of least number there) and ``bits``.
 
-    Buckets of one component, however large, have none and are left out before
-    rows meet. In the others, only members outside the first one's component
-    look for partners.
+    Buckets of a single component, however large, are left out before rows meet.
     """
     placed = members.join(label, "node", "left").select(
         "key", "node", "n", F.coalesce("component", "node").alias("component")
     )
     placed = stored(placed, "placed")
-    mixed = placed.groupBy("key").agg(
-        F.min("component").alias("one"), F.max("component").alias("other")
-    )
-    mixed = mixed.where("one <> other").select("key", "one")
-    inside = stored(placed.join(mixed, "key"), "mixed-buckets")
-    # A pair outside the first component is looked for from both sides.
-    a = inside.where("component <> one").select(
-        "key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a")
+    mixed = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("one"), F.max("component").alias("other"))
+        .where("one <> other")
+        .select("key", "one")
     )
-    b = inside.select(
-        "key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b")
+    return stored(placed.join(mixed, "key").join(bits, "node"), "mixed-buckets")
+
+
+def _side(rows: DataFrame, x: str) -> DataFrame:
+    return rows.select(
+        "key",
+        F.col("node").alias(x),
+        F.col("n").alias(f"n_{x}"),
+        F.col("component").alias(f"c_{x}"),
+        *(F.col("bits")[i].alias(f"bits_{x}_{i}") for i in range(BIT_LONGS)),
     )
+
+
+def _pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs of one bucket and different components that may reach the threshold."""
+    a, b = _side(a, "a"), _side(b, "b")
+    apart = F.lit(0)
+    for i in range(BIT_LONGS):
+        apart += F.bit_count(F.col(f"bits_a_{i}").bitwiseXOR(F.col(f"bits_b_{i}")))
     pair = (a["key"] == b["key"]) & (a["c_a"] != b["c_b"]) & _similar_sizes("n_a", "n_b")
     return (
-        a.join(b, pair)
+        a.join(b, pair & (apart <= MOST_BITS_APART))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
 
 
+def _with_witnesses(mixed: DataFrame) -> DataFrame:
+    """Members outside the first component of a bucket with a few of its members,
+    drawn by hash and so others in every bucket."""
+    drawn = mixed.where("component = one").groupBy("key").agg(
+        *(
+            F.max(F.struct(F.xxhash64(F.lit(k), "key", "node"), "node", "n", "component", "bits"))
+            .alias(f"w{k}")
+            for k in range(WITNESSES)
+        )
+    )
+    some = drawn.select("key", F.explode(F.array(*drawn.columns[1:])).alias("w"))
+    some = some.select("key", "w.node", "w.n", "w.component", "w.bits").distinct()
+    return _pairs(mixed.where("component <> one"), some)
+
+
+def _with_all(mixed: DataFrame) -> DataFrame:
+    """The same with all members of other components. Two members outside the
+    first component are looked for from both sides."""
+    return _pairs(mixed.where("component <> one"), mixed)
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, all columns kept."""
     found = stored(near_duplicates(docs), "near-duplicates")
