@@ -10,9 +10,9 @@ permutations make a band of six. Documents that agree in a band are candidates:
    component, its members outside the first one's are compared with a few
    members of that one, which ties most of them to it.
 4. Whatever then is still outside is held against all members of other
-   components, so no candidate link between components goes unseen. Two
-   bits of each signature value tell, where the rows meet, which of these pairs
-   can't reach the threshold.
+   components, so no candidate link between components goes unseen. Where the
+   rows meet, a bit of each value of a longer signature tells which of these
+   pairs can't reach the threshold.
 
 Links are confirmed on full sets. Within a component nothing needs comparing:
 more links there would not change the result.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,12 +47,14 @@ PER_BAND = 3
 # Ids up to this many are broadcast to pick their texts; more go by a shuffle.
 BROADCAST_IDS = 500_000
 
-# Two bits a value of the signature, in longs. A pair at the threshold differs in
-# 72 of them, give or take 9.5; one that differs in more than 115 (four and a half
+# Permutations of the longer signature that candidates get, and longs that hold a
+# bit of each of its values. A pair at the threshold differs in 256 of the 2048
+# bits, give or take 15; one that differs in more than 323 (four and a half
 # deviations) is not looked at. That loses 3 links at the threshold in a million,
 # far fewer than the bands do.
-BIT_LONGS = 2 * 2 * PER_BAND * BANDS // 64
-MOST_BITS_APART = 115
+LONGER = 1024
+BIT_LONGS = 2 * LONGER // 64
+MOST_BITS_APART = 323
 # Members of a bucket's first component that those outside it meet first.
 WITNESSES = 4
 
@@ -84,20 +87,22 @@ def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
+@cache
 def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20240229)
     factors = rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     return factors[:, None], rng.integers(0, 1 << 32, n, dtype=np.uint32)[:, None]
 
 
-def minmax(shingles: np.ndarray, bands: int = BANDS) -> np.ndarray:
+def minmax(shingles: np.ndarray, permutations: int = BANDS * PER_BAND) -> np.ndarray:
     """Least and greatest value under each permutation, two to a row."""
-    factors, shifts = _permutations(bands * PER_BAND)
+    factors, shifts = _permutations(permutations)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     out = np.empty((len(factors), 2), np.uint32)
     out[:, 0], out[:, 1] = np.iinfo(np.uint32).max, 0
-    for at in range(0, len(short), 4096):
-        values = factors * short[None, at : at + 4096] + shifts
+    step = max(1, 600_000 // permutations)
+    for at in range(0, len(short), step):
+        values = factors * short[None, at : at + step] + shifts
         np.minimum(out[:, 0], values.min(axis=1), out=out[:, 0])
         np.maximum(out[:, 1], values.max(axis=1), out=out[:, 1])
     return out
@@ -112,29 +117,26 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key.view(np.int64)
 
 
-def signature_bits(signature: np.ndarray) -> np.ndarray:
-    """Two bits of each value, packed into longs: equal values agree in both, others
-    in each with even chance."""
-    two = _mixed(signature.ravel().astype(np.uint64) + np.uint64(1)) & np.uint64(3)
-    bits = np.stack([two & np.uint64(1), two >> np.uint64(1)]).astype(np.uint8)
-    return np.packbits(bits.ravel()).view(np.int64)
+def signature_bits(shingles: np.ndarray) -> np.ndarray:
+    """A bit of each value of the longer signature, packed into longs: equal values
+    agree, others with even chance."""
+    values = minmax(shingles, LONGER).ravel().astype(np.uint64) + np.uint64(1)
+    return np.packbits((_mixed(values) & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``row``, ``doc_id``, ``text_key``, ``n_shingles``, ``set_key``, ``bands`` and
-    ``bits`` of every row; ``set_key`` is a 128-bit digest of the set."""
+    """``row``, ``doc_id``, ``text_key``, ``n_shingles``, ``set_key`` and ``bands``
+    of every row; ``set_key`` is a 128-bit digest of the set."""
     none = np.zeros(0, np.int64)
 
     def per_batch(batch: pa.RecordBatch) -> Iterator[dict[str, object]]:
         for part in of_bounded_size(batch):
-            sizes, keys, bands, bits = [], [], [], []
+            sizes, keys, bands = [], [], []
             for text in part["text"].to_pylist():
                 own = shingle_set(text)
                 sizes.append(len(own))
                 keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                signature = minmax(own) if len(own) else None
-                bands.append(none if signature is None else band_keys(signature))
-                bits.append(none if signature is None else signature_bits(signature))
+                bands.append(band_keys(minmax(own)) if len(own) else none)
             yield {
                 "row": part["row"],
                 "doc_id": part["doc_id"],
@@ -142,7 +144,6 @@ def sketches(docs: DataFrame) -> DataFrame:
                 "n_shingles": pa.array(sizes, pa.int64()),
                 "set_key": pa.array(keys, pa.binary()),
                 "bands": pa.array(bands, pa.list_(pa.int64())),
-                "bits": pa.array(bits, pa.list_(pa.int64())),
             }
 
     rows = docs.select(
@@ -156,7 +157,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         rows,
         per_batch,
         f"row bigint, doc_id {kind}, text_key string, n_shingles bigint, set_key binary, "
-        "bands array<bigint>, bits array<bigint>",
+        "bands array<bigint>",
     )
 
 
@@ -171,7 +172,7 @@ def _similar_sizes(a: str, b: str) -> Column:
 
 
 def _shingles_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node`` and ``shingles`` (array of bigint) of some classes.
+    """``node``, ``shingles`` and ``bits`` (arrays of bigint) of some classes.
 
     ``nodes`` has the id and text key of a row that stands for each class.
     """
@@ -185,10 +186,15 @@ def _shingles_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def per_batch(batch: pa.RecordBatch) -> Iterator[dict[str, object]]:
         for part in of_bounded_size(batch):
-            sets = [shingle_set(t).view(np.int64) for t in part["text"].to_pylist()]
-            yield {"node": part["node"], "shingles": pa.array(sets, pa.list_(pa.int64()))}
+            sets = [shingle_set(t) for t in part["text"].to_pylist()]
+            bits = [signature_bits(own) for own in sets]
+            yield {
+                "node": part["node"],
+                "shingles": pa.array([own.view(np.int64) for own in sets], pa.list_(pa.int64())),
+                "bits": pa.array(bits, pa.list_(pa.int64())),
+            }
 
-    return map_arrow(texts, per_batch, "node bigint, shingles array<bigint>")
+    return map_arrow(texts, per_batch, "node bigint, shingles array<bigint>, bits array<bigint>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -250,7 +256,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = rows.where("n_shingles > 0").groupBy("set_key").agg(
         _first("text_key").alias("rep"),
         F.first("bands").alias("bands"),
-        F.first("bits").alias("bits"),
         F.first("n_shingles").alias("n"),
     )
     classes = stored(
@@ -260,7 +265,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.col("rep.doc_id").alias("rep_id"),
             F.col("rep.text_key").alias("rep_key"),
             "bands",
-            "bits",
             "n",
         ),
         "classes",
@@ -284,7 +288,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     links = stored(_verified(pairs, sets), "star-links")
     label = components(links)
-    bits = classes.select("node", "bits")
+    bits = sets.select("node", "bits")
     for pairs_in in (_with_witnesses, _with_all):
         pairs = stored(pairs_in(_mixed_buckets(members, label, bits)), "across")
         if pairs.isEmpty():
@@ -296,7 +300,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "set_key", F.coalesce("component", "node").alias("component")
     )
     in_component = stored(in_component, "set-components")
-    joined = rows.drop("bands", "bits").join(in_component, "set_key", "left")
+    joined = rows.drop("bands").join(in_component, "set_key", "left")
     # Documents without shingles are components of their own.
     alone = F.when(F.col("component").isNull(), F.col("row"))
     joined = stored(joined.withColumn("alone", alone), "in-components")
