@@ -288,7 +288,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     links = stored(_verified(pairs, sets), "star-links")
     label = components(links)
-    bits = sets.select("node", "bits")
+    bits = sets.select("node", "bits").join(classes.select("node", "bands"), "node")
     for pairs_in in (_with_witnesses, _with_all):
         pairs = stored(pairs_in(_mixed_buckets(members, label, bits)), "across")
         if pairs.isEmpty():
@@ -343,19 +343,27 @@ def _side(rows: DataFrame, x: str) -> DataFrame:
         F.col("node").alias(x),
         F.col("n").alias(f"n_{x}"),
         F.col("component").alias(f"c_{x}"),
+        F.col("bands").alias(f"bands_{x}"),
         *(F.col("bits")[i].alias(f"bits_{x}_{i}") for i in range(BIT_LONGS)),
     )
 
 
-def _pairs(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components that may reach the threshold."""
+def _pairs(a: DataFrame, b: DataFrame, once: bool) -> DataFrame:
+    """Pairs of one bucket and different components that may reach the threshold.
+
+    With ``once``, which is right where both are in all their buckets, a pair
+    comes out of the first bucket it shares only.
+    """
     a, b = _side(a, "a"), _side(b, "b")
     apart = F.lit(0)
     for i in range(BIT_LONGS):
         apart += F.bit_count(F.col(f"bits_a_{i}").bitwiseXOR(F.col(f"bits_b_{i}")))
     pair = (a["key"] == b["key"]) & (a["c_a"] != b["c_b"]) & _similar_sizes("n_a", "n_b")
+    pair &= apart <= MOST_BITS_APART
+    if once:
+        pair &= F.array_intersect("bands_a", "bands_b")[0] == a["key"]
     return (
-        a.join(b, pair & (apart <= MOST_BITS_APART))
+        a.join(b, pair)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
@@ -364,22 +372,24 @@ def _pairs(a: DataFrame, b: DataFrame) -> DataFrame:
 def _with_witnesses(mixed: DataFrame) -> DataFrame:
     """Members outside the first component of a bucket with a few of its members,
     drawn by hash and so others in every bucket."""
+    own = ("node", "n", "component", "bits", "bands")
     drawn = mixed.where("component = one").groupBy("key").agg(
         *(
-            F.max(F.struct(F.xxhash64(F.lit(k), "key", "node"), "node", "n", "component", "bits"))
-            .alias(f"w{k}")
+            F.max(F.struct(F.xxhash64(F.lit(k), "key", "node"), *own)).alias(f"w{k}")
             for k in range(WITNESSES)
         )
     )
     some = drawn.select("key", F.explode(F.array(*drawn.columns[1:])).alias("w"))
-    some = some.select("key", "w.node", "w.n", "w.component", "w.bits").distinct()
-    return _pairs(mixed.where("component <> one"), some)
+    some = some.select("key", *(f"w.{c}" for c in own)).distinct()
+    return _pairs(mixed.where("component <> one"), some, once=False)
 
 
 def _with_all(mixed: DataFrame) -> DataFrame:
     """The same with all members of other components. Two members outside the
     first component are looked for from both sides."""
-    return _pairs(mixed.where("component <> one"), mixed)
+    # A pair's first shared bucket may have the component of one of the two as
+    # its first; the other then looks for partners there, so neither is missed.
+    return _pairs(mixed.where("component <> one"), mixed, once=True)
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
