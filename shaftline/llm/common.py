@@ -78,6 +78,8 @@ def map_arrow(
         for batch in batches:
             for columns in per_batch(batch):
                 yield pa.RecordBatch.from_pydict(columns)
+        # The worker lives on, for tasks of other operators.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -21,8 +21,8 @@ from shaftline.llm.common import find_library, map_arrow, of_bounded_size, token
 from shaftline.sources.scratch import scratch_path
 
 END = 2
-# Segments a worker remembers before it starts anew: about 250 MB.
-REMEMBERED = 1_200_000
+# Segments of one generation; a worker remembers two, up to about 120 MB.
+REMEMBERED = 300_000
 # White space next to white space, where a token may hold more than one of them.
 _RUN = re.compile(r"\s\s")
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
@@ -45,7 +45,10 @@ class Encoder:
         # The strings of special tokens in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
+        # Segments seen lately, and those seen before them: what comes up again
+        # moves on to the new generation, the rest is forgotten with the old one.
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         # Segments are encoded many at a time, parted by a token of its own.
         self.parting = "\n" if spaced else " \u2605 "
         (self.part_id,) = self._ids(self.parting)
@@ -95,9 +98,11 @@ class Encoder:
         parted = [self.segments(text) if ok else [] for text, ok in zip(texts, cut)]
         new = set().union(*parted) - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
+            self.known, self.before = {}, self.known
             new = set().union(*parted)
-        self._learn(list(new))
+        again = new & self.before.keys()
+        self.known.update((part, self.before[part]) for part in again)
+        self._learn(list(new - again))
         find = self.known.__getitem__
         # The first segment had a line end put in front.
         skip = 4 if self.spaced else 0
