@@ -66,9 +66,9 @@ TEMPERATURE = DailyMeasure("BearingTemperature", "AvgTemperature", 2)
 class Monitor:
     """Column names, dirt rules and thresholds of one fleet.
 
-    The baseline is either a calendar ``baseline_cutoff`` shared by the fleet
-    or the first ``baseline_days`` days of each key; setting the cutoff to
-    ``None`` selects the second. ``exact_averages=False`` rounds the plain
+    The baseline is each key's own first ``baseline_days`` days, whenever they
+    were, unless a calendar ``baseline_cutoff`` is set for the whole fleet.
+    ``highlight`` are the keys that charts mark. ``exact_averages=False`` rounds the plain
     double averages instead of the exact ones.
     """
 
@@ -87,8 +87,9 @@ class Monitor:
     alerts: tuple[tuple[float, str], ...] = ALERTS
     alert_below: str = ALERT_BELOW
     z_limit: float = Z_LIMIT
-    baseline_cutoff: str | None = BASELINE_CUTOFF
+    baseline_cutoff: str | None = None
     baseline_days: int = BASELINE_DAYS
+    highlight: tuple[object, ...] = FAULTY_MACHINES
 
     @property
     def daily_measures(self) -> tuple[DailyMeasure, ...]:

@@ -5,17 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Decimals kept per reading beyond those the average is rounded to.
-GUARD_DECIMALS = 3
-# Readings up to this many units are exact in a double with room to spare.
-_MAX_UNITS = float(2**50)
-# Low bits are summed apart from high bits, so that neither sum outgrows a
-# long before a group has 2**42 readings (or 2**33 of the largest value).
+# Readings that are a whole number of units below this are counted as longs.
+_MOST_UNITS = float(2**43)
+# Low bits are summed apart from high bits, so that neither sum outgrows a long
+# before a group has 2**40 readings; Spark raises an error if one ever does.
 _LOW_BITS = 20
-
-
-def _div(dividend: Column, divisor: Column) -> Column:
-    return F.call_function("div", dividend, divisor)
+# Digits of the decimals that all other readings are summed as, and of sums.
+_READING = "decimal(38,18)"
+_SUM = "decimal(36,18)"
 
 
 def rounded_average(column: str, decimals: int, exact: bool = True) -> Column:
@@ -23,11 +20,11 @@ def rounded_average(column: str, decimals: int, exact: bool = True) -> Column:
 
     A sum of doubles changes in its last bits with the order of the tasks, so
     an average that lies on a rounding tie can come out differently after a
-    retry. The exact form counts every reading in whole units of
-    ``10 ** -(decimals + 3)`` and sums those as longs, which is associative
-    and combines map-side in 8-byte buffers; a reading finer than a unit is
-    rounded to it. Readings too large to count (and NaN or infinities) are
-    summed as doubles beside it, so they keep their usual effect on the average.
+    retry. The exact form adds every reading with its own decimal value, to 18
+    decimals, and rounds once, the mean. A reading that is a whole number of
+    ``10 ** -decimals`` is added as a long and any other as a decimal: the same
+    value either way, only faster as a long. NaN and infinities follow IEEE
+    arithmetic. Readings of 1e20 or more and sums of 1e18 or more raise an error.
 
     ``exact=False`` is the plain ``round(avg(column))``.
     """
@@ -35,27 +32,36 @@ def rounded_average(column: str, decimals: int, exact: bool = True) -> Column:
     if not exact:
         return F.round(F.avg(reading), decimals)
 
-    scale = 10 ** (decimals + GUARD_DECIMALS)
-    in_range = F.abs(reading) < F.lit(_MAX_UNITS / scale)
-    units = F.when(in_range, F.rint(reading * F.lit(float(scale))).cast("bigint"))
+    scale = float(10**decimals)
+    finite = F.abs(reading) < F.lit(float("inf"))
+    rounded = F.rint(reading * F.lit(scale))
+    # The double nearest to the whole number of units is the reading itself.
+    whole = (F.abs(rounded) < F.lit(_MOST_UNITS)) & (rounded / F.lit(scale) == reading)
+    units = F.when(whole, rounded.cast("bigint"))
     high = F.sum(F.shiftright(units, _LOW_BITS))
     low = F.sum(units.bitwiseAND(F.lit(2**_LOW_BITS - 1).cast("bigint")))
-    outliers = F.sum(F.when(~in_range, reading))
-    readings = F.count(reading)
-
-    # Long division of high * 2**20 + low by the count, and the mean in whole
-    # units below and above the quotient.
-    n = F.nullif(readings, F.lit(0).cast("bigint"))
-    carried = F.pmod(high, n)
-    rest = carried * F.lit(2**_LOW_BITS) + low
-    floor = _div(high - carried, n) * F.lit(2**_LOW_BITS) + _div(rest, n)
-    ceiling = floor + F.when(rest % n > 0, 1).otherwise(0)
-
-    # Half-up, away from zero, over the guard digits; div drops fractions.
-    last, half = F.lit(10**GUARD_DECIMALS), F.lit(10**GUARD_DECIMALS // 2)
-    digits = F.when(floor >= 0, _div(floor + half, last)).otherwise(_div(ceiling - half, last))
-    rounded = digits / F.lit(float(10**decimals))
-
-    in_units = high.cast("double") * F.lit(float(2**_LOW_BITS)) + low.cast("double")
-    blended = (outliers + F.coalesce(in_units, F.lit(0.0)) / F.lit(float(scale))) / readings
-    return F.when(outliers.isNotNull(), F.round(blended, decimals)).otherwise(rounded)
+    other = finite & ~whole
+    too_large = F.raise_error(F.lit(f"a reading of {column} is too large to average"))
+    decimal = F.when(F.abs(reading) < F.lit(1e20), reading.cast(_READING)).otherwise(
+        too_large.cast(_READING)
+    )
+    # Null if the sum overflows and overflows are no errors in the session.
+    others = F.when(F.count_if(other) > 0, F.sum(F.when(other, decimal)).cast(_SUM))
+    odd = F.sum(F.when(~finite, reading))
+
+    unit = F.lit(f"{10**-decimals:.{decimals}f}").cast(f"decimal({decimals + 1},{decimals})")
+    counted = high.cast("decimal(20,0)") * F.lit(2**_LOW_BITS) + low
+    zero = F.lit(0).cast(_SUM)
+    total = F.coalesce((counted * unit).cast(_SUM), zero) + others.otherwise(zero)
+    # The mean is total / readings; in units, total / step. Bound by a lambda, the
+    # two are not spelled out, and compiled, once for each time they are used.
+    step = F.nullif(F.count(reading), F.lit(0)).cast("decimal(20,0)") * unit
+    both = F.array(F.struct(total.alias("total"), step.alias("step"), odd.alias("odd")))
+    return F.element_at(F.transform(both, lambda sums: _mean(sums, scale)), 1)
+
+
+def _mean(sums: Column, scale: float) -> Column:
+    total, step, odd = sums["total"], sums["step"], sums["odd"]
+    below = F.call_function("div", total, step)
+    away = F.when(2 * F.abs(total % step) >= step, F.signum(total).cast("bigint")).otherwise(0)
+    return F.when(odd.isNotNull(), odd).otherwise((below + away) / F.lit(scale))

@@ -106,11 +106,20 @@ def score_with(daily: DataFrame, baselines: DataFrame, cfg: Monitor = DEFAULT) -
 
     No broadcast is forced: there is one baseline per key, which grows with
     the fleet, so Spark picks the join from the size it measures. Both sides
-    hold few rows per key, so a sort-merge join has no hot key either.
+    hold few rows per key, so a sort-merge join has no hot key either. Of the
+    two forms only ``baseline_zscore`` sums in a fixed order; a score that lies
+    on a limit to the last bit can differ between runs here.
     """
     return _with_zscore(daily.join(baselines, on=cfg.key, how="left"), cfg)
 
 
+def entities_without_baseline(scored: DataFrame, cfg: Monitor = DEFAULT) -> DataFrame:
+    """One row: how many keys have no baseline that a day can be scored against."""
+    usable = F.max((F.col("BaselineStdDev") > 0).cast("int"))
+    keys = scored.groupBy(cfg.key).agg(F.coalesce(usable, F.lit(0)).alias("usable"))
+    return keys.agg(F.count_if(F.col("usable") == 0).alias("MachinesWithoutBaseline"))
+
+
 def is_significant(z: float) -> Column:
     return F.abs("ZScore") > F.lit(z)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shaftline.config import DEFAULT, Monitor
-from shaftline.operators.quality import copies_of_rows, weighed_counts
+from shaftline.operators.quality import copies_of_rows, quoted, weighed_counts
 
 _COPIES = "__copies"
 
@@ -26,31 +26,35 @@ def dedup(df: DataFrame) -> DataFrame:
 
 def sentinel_to_null(df: DataFrame, sentinels: Mapping[str, float]) -> DataFrame:
     """Turn each column's sentinel value into null."""
-    return df.withColumns({c: F.nullif(F.col(c), F.lit(v)) for c, v in sentinels.items()})
+    return df.withColumns({c: F.nullif(quoted(c), F.lit(v)) for c, v in sentinels.items()})
 
 
 def drop_incomplete(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     """Drop rows in which any of ``measures`` is null or NaN."""
-    return df.dropna(how="any", subset=list(measures))
+    return df.where(_whole(df, measures))
 
 
-def usable(df: DataFrame, cfg: Monitor = DEFAULT) -> Column:
-    """Whether a row has every measure, none of them NaN or its sentinel.
+def _whole(df: DataFrame, measures: Sequence[str]) -> Column:
+    """Whether none of ``measures`` is null or NaN.
 
     Spark orders NaN above infinity, so ``<= inf`` is one plain comparison,
     known to the file scan, that neither NaN nor null meets. The condition is
     null, not false, for a null measure.
     """
-    conditions = []
-    for name in cfg.measures:
-        column = F.col(name)
+    conditions = [F.lit(True)]
+    for name in measures:
         if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-            conditions.append(column <= F.lit(float("inf")))
+            conditions.append(quoted(name) <= F.lit(float("inf")))
         else:
-            conditions.append(column.isNotNull())
-        if name in cfg.sentinels:
-            conditions.append(column != F.lit(cfg.sentinels[name]))
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
+            conditions.append(quoted(name).isNotNull())
+    return reduce(lambda a, b: a & b, conditions)
+
+
+def usable(df: DataFrame, cfg: Monitor = DEFAULT) -> Column:
+    """Whether a row has every measure, none of them NaN or its sentinel."""
+    measured = [name for name in cfg.measures if name in cfg.sentinels]
+    sentinels = (quoted(name) != F.lit(cfg.sentinels[name]) for name in measured)
+    return reduce(lambda a, b: a & b, sentinels, _whole(df, cfg.measures))
 
 
 def _other_sentinels(cfg: Monitor) -> dict[str, float]:
@@ -99,6 +103,16 @@ def cleaning_report(df: DataFrame, cfg: Monitor = DEFAULT) -> DataFrame:
     )
 
 
+def both_reports(df: DataFrame, cfg: Monitor = DEFAULT) -> DataFrame:
+    """``quality_report`` and ``FinalRows`` in one row, from one pass and one shuffle."""
+    keep = usable(df, cfg)
+    return (
+        copies_of_rows(df, _COPIES)
+        .agg(*weighed_counts(df.columns, cfg.sentinels, _COPIES), F.count_if(keep).alias("FinalRows"))
+        .withColumn("DuplicateRows", F.col("TotalRows") - F.col("DistinctRows"))
+    )
+
+
 def clean_and_observe(
     df: DataFrame, observation: Observation, cfg: Monitor = DEFAULT
 ) -> DataFrame:

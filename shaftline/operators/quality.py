@@ -21,6 +21,11 @@ def _is_float(field: T.StructField) -> bool:
     return isinstance(field.dataType, (T.DoubleType, T.FloatType))
 
 
+def quoted(name: str) -> Column:
+    """The column of just that name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """One row: ``Rows``."""
     return df.agg(F.count(F.lit(1)).alias("Rows"))
@@ -32,44 +37,56 @@ def preview(df: DataFrame, n: int, order_by: list[str | Column] | None = None) -
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
-    """One row per column: type, nullability, rows, nulls and NaNs, in one pass."""
+    """One row per column: position, name, type and nullability.
+
+    Known without reading a row: the plan holds no scan.
+    """
+    columns = [
+        (i, field.name, field.dataType.simpleString(), field.nullable)
+        for i, field in enumerate(df.schema, start=1)
+    ]
+    return df.sparkSession.createDataFrame(
+        columns, "Position int, ColumnName string, DataType string, Nullable boolean"
+    )
+
+
+def column_counts(df: DataFrame) -> DataFrame:
+    """One row per column: rows, nulls and NaNs, in one pass."""
     counts = [F.count(F.lit(1)).alias("rows")]
     for i, field in enumerate(df.schema):
-        column = F.col(f"`{field.name}`")
+        column = quoted(field.name)
         counts.append(F.count_if(column.isNull()).alias(f"nulls_{i}"))
         nans = F.count_if(F.isnan(column)) if _is_float(field) else F.lit(0).cast("bigint")
         counts.append(nans.alias(f"nans_{i}"))
-    profiles = [
+    found = [
         F.struct(
             F.lit(i + 1).alias("Position"),
             F.lit(field.name).alias("ColumnName"),
-            F.lit(field.dataType.simpleString()).alias("DataType"),
-            F.lit(field.nullable).alias("Nullable"),
             F.col("rows").alias("Rows"),
             F.col(f"nulls_{i}").alias("Nulls"),
             F.col(f"nans_{i}").alias("NaNs"),
         )
         for i, field in enumerate(df.schema)
     ]
-    return df.agg(*counts).select(F.inline(F.array(*profiles)))
+    return df.agg(*counts).select(F.inline(F.array(*found)))
 
 
 def null_counts(df: DataFrame) -> DataFrame:
     """One row with, under each column's own name, how many values are null.
 
-    NaN is a value, not a null; ``schema_profile`` counts it apart.
+    NaN is a value, not a null; ``column_counts`` counts it apart.
     """
-    return df.agg(*(F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns))
+    return df.agg(*(F.count_if(quoted(c).isNull()).alias(c) for c in df.columns))
 
 
 def sentinel_counts(df: DataFrame, sentinels: Mapping[str, float]) -> DataFrame:
     """One row with, per column, how often its sentinel value occurs."""
-    return df.agg(*(F.count_if(F.col(c) == F.lit(v)).alias(c) for c, v in sentinels.items()))
+    return df.agg(*(F.count_if(quoted(c) == F.lit(v)).alias(c) for c, v in sentinels.items()))
 
 
 def copies_of_rows(df: DataFrame, copies: str = _COPIES) -> DataFrame:
     """Each distinct row once, with how many copies of it there are."""
-    return df.groupBy(*(f"`{c}`" for c in df.columns)).agg(F.count(F.lit(1)).alias(copies))
+    return df.groupBy(*map(quoted, df.columns)).agg(F.count(F.lit(1)).alias(copies))
 
 
 def duplicate_summary(df: DataFrame) -> DataFrame:
@@ -96,8 +113,8 @@ def weighed_counts(
     return [
         F.coalesce(F.sum(copies), F.lit(0)).alias("TotalRows"),
         F.count(F.lit(1)).alias("DistinctRows"),
-        *(weighed(F.col(f"`{c}`").isNull()).alias(f"Null{c}") for c in columns),
-        *(weighed(F.col(c) == F.lit(v)).alias(f"Sentinel{c}") for c, v in sentinels.items()),
+        *(weighed(quoted(c).isNull()).alias(f"Null{c}") for c in columns),
+        *(weighed(quoted(c) == F.lit(v)).alias(f"Sentinel{c}") for c, v in sentinels.items()),
     ]
 
 

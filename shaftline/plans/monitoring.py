@@ -2,18 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shaftline.config import DEFAULT, Monitor
-from shaftline.operators.baseline import baseline_zscore, significant_day_count
-from shaftline.operators.cleaning import clean, clean_and_observe
-from shaftline.operators.grading import anomaly_day_count, flagged_days, is_restricted
-from shaftline.operators.rollup import daily_average
-from shaftline.sources.tables import Receipt, publish, read_table, write_table
+from shaftline.operators.baseline import (
+    baseline,
+    baseline_zscore,
+    entities_without_baseline,
+    significant_day_count,
+    significant_entities,
+    worst_zscore,
+)
+from shaftline.operators.charts import max_bars, trend_series
+from shaftline.operators.cleaning import clean, clean_and_observe, dedup, usable
+from shaftline.operators.grading import (
+    anomaly_day_count,
+    danger_entities,
+    flagged_days,
+    is_restricted,
+    worst_per_entity,
+)
+from shaftline.operators.rollup import daily_average, with_date
+from shaftline.sources.scratch import scratch_path
+from shaftline.sources.tables import (
+    Receipt,
+    drop_partitions,
+    publish,
+    read_table,
+    table_exists,
+    write_table,
+)
 
 
 def daily_from_clean(cleaned: DataFrame, cfg: Monitor = DEFAULT) -> DataFrame:
@@ -37,9 +61,13 @@ def scored_from_readings(readings: DataFrame, cfg: Monitor = DEFAULT) -> DataFra
 
 @dataclass(frozen=True)
 class Tables:
-    """Addresses of the stored tables below one target folder."""
+    """The stored tables below one target folder.
+
+    ``schemas``, where a run has filled it in, lets tables of no rows be read.
+    """
 
     target: str
+    schemas: Mapping[str, T.StructType] = field(default_factory=dict, compare=False)
 
     @property
     def clean(self) -> str:
@@ -57,6 +85,14 @@ class Tables:
     def scored(self) -> str:
         return f"{self.target}/scored"
 
+    def report(self, name: str) -> str:
+        return f"{self.target}/reports/{name}"
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        """One of the tables, or reports, by name."""
+        path = self.report(name) if name in REPORTS else f"{self.target}/{name}"
+        return read_table(spark, path, self.schemas.get(name))
+
 
 @dataclass(frozen=True)
 class Run:
@@ -68,6 +104,47 @@ class Run:
     counts: Mapping[str, int] | None
 
 
+# Reports stored by every run, whole and in the order they are shown in.
+REPORTS = (
+    "worst",
+    "danger",
+    "baseline",
+    "significant",
+    "worst_zscore",
+    "vibration_trend",
+    "max_vibration",
+    "zscore_trend",
+)
+
+
+def _reports(
+    daily: DataFrame, flagged: DataFrame, scored: DataFrame, cfg: Monitor
+) -> dict[str, DataFrame]:
+    bounds = (bound for bound, _ in cfg.zones)
+    lines = dict(zip(("BoundaryAB", "BoundaryBC", "BoundaryCD"), bounds))
+    limits = {"LowerBound": -cfg.z_limit, "UpperBound": cfg.z_limit}
+    frames = (
+        worst_per_entity(daily, cfg=cfg),
+        danger_entities(flagged, cfg=cfg).orderBy(cfg.key),
+        baseline(daily, **cfg.baseline_rule, cfg=cfg).orderBy(cfg.key),
+        significant_entities(scored, cfg=cfg).orderBy(cfg.key),
+        worst_zscore(scored, cfg=cfg),
+        trend_series(daily, cfg.vibration.name, cfg.highlight, lines, cfg),
+        max_bars(daily, cfg=cfg),
+        trend_series(scored, "ZScore", cfg.highlight, limits, cfg),
+    )
+    return dict(zip(REPORTS, frames))
+
+
+def _store_reports(spark: SparkSession, tables: Tables, cfg: Monitor) -> Tables:
+    """The reports, from stored daily tables; ``tables`` with their schemas."""
+    frames = _reports(*(tables.read(spark, x) for x in ("daily", "flagged", "scored")), cfg)
+    for name, frame in frames.items():
+        write_table(frame, tables.report(name))
+    schemas = {name: frame.schema for name, frame in frames.items()}
+    return Tables(tables.target, {**tables.schemas, **schemas})
+
+
 def run_monitoring(
     spark: SparkSession,
     readings: DataFrame,
@@ -75,7 +152,6 @@ def run_monitoring(
     cfg: Monitor = DEFAULT,
     store_clean: bool = True,
     by_day: bool = True,
-    keep_other_days: bool = False,
 ) -> Run:
     """Clean, roll up, grade and score ``readings`` into tables below ``target``.
 
@@ -83,22 +159,14 @@ def run_monitoring(
     clean readings and counts nulls, sentinels, copies and the rows left, and
     the rollup starts from the stored table; without it the readings go straight to the daily
     table and the clean rows are never written. Everything after the daily
-    table works on one row per machine and day.
+    table works on one row per machine and day. The reports of ``REPORTS`` are
+    stored too, whole.
 
     The clean readings stay unpartitioned, since laying them out by day would
     shuffle all of them again. The daily tables are partitioned by day, unless
     ``by_day=False`` says that a fleet is too small to fill a file per day;
     grading keeps the layout of the daily table it reads and shuffles nothing.
-
-    With ``keep_other_days`` the readings are all those of some days, such as
-    the last one, and only these days of the daily table are replaced. Copies
-    agree in their timestamp, so no day depends on another, and the result
-    equals a run over all readings without reading them again; only a day whose
-    new readings are all unusable keeps its former averages. The flagged and
-    scored days are always rebuilt, since a new baseline day changes all scores.
     """
-    if keep_other_days and (store_clean or not by_day):
-        raise ValueError("keep_other_days needs store_clean=False and by_day=True")
     tables = Tables(target)
     layout = {"partition_by": [cfg.date] if by_day else [], "sort_by": [cfg.key]}
 
@@ -113,26 +181,110 @@ def run_monitoring(
         cleaned = clean(readings, cfg)
 
     daily = daily_from_clean(cleaned, cfg)
-    write_table(daily, tables.daily, **layout, only_given_partitions=keep_other_days)
+    write_table(daily, tables.daily, **layout)
     daily = read_table(spark, tables.daily, daily.schema)
 
+    flagged = flagged_days(daily, cfg)
     receipt = publish(
-        flagged_days(daily, cfg),
+        flagged,
         tables.flagged,
         counts={"RestrictedDays": is_restricted(cfg)},
         arrange=False,
         **layout,
     )
-    write_table(baseline_zscore(daily, **cfg.baseline_rule, cfg=cfg), tables.scored, **layout)
-    return Run(tables, receipt, counts)
+    scored = baseline_zscore(daily, **cfg.baseline_rule, cfg=cfg)
+    write_table(scored, tables.scored, **layout)
+    schemas = {"clean": cleaned, "daily": daily, "flagged": flagged, "scored": scored}
+    tables = Tables(target, {name: frame.schema for name, frame in schemas.items()})
+    return Run(_store_reports(spark, tables, cfg), receipt, counts)
+
+
+def update_monitoring(
+    spark: SparkSession,
+    readings: DataFrame,
+    target: str,
+    cfg: Monitor = DEFAULT,
+    whole_days: bool = False,
+) -> Run:
+    """Bring the tables below ``target`` up to date with more ``readings``.
+
+    The first call starts the tables; any split of the readings over calls gives
+    what one run over all of them gives. The clean readings are kept
+    partitioned by day. Those of the days that ``readings`` touches are read
+    back, copies are removed again, and just these days are rolled up, graded
+    and scored anew; other days are scored anew only if a baseline has changed.
+
+    With ``whole_days`` the readings are all those of their days and replace
+    them; a day left without a usable reading is removed. The number of days
+    touched is bounded by the calendar.
+    """
+    if set(cfg.sentinels) - set(cfg.measures):
+        # Blanked, two rows that were different could no longer be told apart.
+        raise ValueError("updates need every sentinel to be in a measure")
+    tables = Tables(target)
+    dated = with_date(readings, cfg.time, cfg.date)
+    days = [row[0] for row in dated.select(cfg.date).distinct().collect() if row[0] is not None]
+    touched = F.col(cfg.date).isin(days) if days else F.lit(False)
+    unusable = F.col(cfg.date).isNull()
+    batch = dated.where(usable(readings, cfg) & ~unusable)
+    schemas = {"clean": batch.schema}
+    started = table_exists(spark, tables.clean)
+    if started and not whole_days:
+        kept = read_table(spark, tables.clean, batch.schema).where(touched)
+        batch = kept.unionByName(batch)
+    layout = {"partition_by": [cfg.date], "sort_by": [cfg.key]}
+
+    # The partitions that are replaced are read by what replaces them.
+    waiting = scratch_path(spark, "clean")
+    write_table(dedup(batch), waiting, partition_by=[cfg.date])
+    fresh = read_table(spark, waiting, schemas["clean"])
+    left = {row[0] for row in fresh.select(cfg.date).distinct().collect()}
+
+    def replace(frame: DataFrame, path: str, only: Sequence[object], **how: object) -> None:
+        write_table(frame, path, partition_by=[cfg.date], only_given_partitions=True, **how)
+        drop_partitions(spark, path, cfg.date, [day for day in only if day not in left])
+
+    replace(fresh, tables.clean, days, arrange=False)
+    daily = daily_from_clean(fresh.drop(cfg.date), cfg)
+    schemas["daily"] = daily.schema
+    replace(daily, tables.daily, days, sort_by=[cfg.key])
+
+    daily = read_table(spark, tables.daily, schemas["daily"])
+    flagged = flagged_days(daily, cfg)
+    schemas["flagged"] = flagged.schema
+    replace(flagged.where(touched), tables.flagged, days, sort_by=[cfg.key], arrange=False)
+
+    scored = baseline_zscore(daily, **cfg.baseline_rule, cfg=cfg)
+    schemas["scored"] = scored.schema
+    if started and _same_elsewhere(spark, scored, tables, ~touched):
+        replace(scored.where(touched), tables.scored, days, sort_by=[cfg.key])
+    else:
+        write_table(scored, tables.scored, **layout)
+
+    tables = _store_reports(spark, Tables(target, schemas), cfg)
+    counted = tables.read(spark, "flagged").agg(
+        F.count(F.lit(1)), F.count_if(is_restricted(cfg))
+    )
+    n, restricted = counted.first()
+    receipt = Receipt(tables.flagged, n, {"RestrictedDays": restricted}, schemas["flagged"])
+    return Run(tables, receipt, None)
+
+
+def _same_elsewhere(
+    spark: SparkSession, scored: DataFrame, tables: Tables, elsewhere: Column
+) -> bool:
+    """Whether the stored scores of the other days are still right."""
+    old = read_table(spark, tables.scored, scored.schema).where(elsewhere)
+    return scored.where(elsewhere).exceptAll(old).isEmpty()
 
 
 def inspect_run(spark: SparkSession, tables: Tables, cfg: Monitor = DEFAULT) -> DataFrame:
     """One row of headline counts, re-read from the stored tables."""
-    anomalies = anomaly_day_count(read_table(spark, tables.flagged), cfg)
-    significant = significant_day_count(read_table(spark, tables.scored), cfg=cfg)
-    both = anomalies.unionByName(significant, allowMissingColumns=True)
-    return both.agg(
-        F.max("AnomalyDays").alias("AnomalyDays"),
-        F.max("SignificantDays").alias("SignificantDays"),
+    scored = tables.read(spark, "scored")
+    counts = (
+        anomaly_day_count(tables.read(spark, "flagged"), cfg),
+        significant_day_count(scored, cfg=cfg),
+        entities_without_baseline(scored, cfg),
     )
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts)
+    return both.agg(*(F.max(name).alias(name) for name in both.columns))

@@ -80,11 +80,12 @@ c AS (SELECT * FROM blanked WHERE {_COMPLETE})"""
 
 
 def _half_up(column: str, decimals: int) -> str:
-    """The average of readings with at most that many decimals, half-up, in
-    integers."""
-    units = f"sum(CAST(round({column} * {10**decimals}) AS BIGINT))"
-    n = f"count({column})"
-    return f"CAST((2 * {units} + {n}) // (2 * {n}) AS DOUBLE) / {10**decimals}"
+    """The average of the decimals the readings are written as, rounded half-up
+    once, in integers."""
+    text = f"CAST(sum(CAST(CAST({column} AS VARCHAR) AS DECIMAL(38, 18))) AS VARCHAR)"
+    total = f"CAST(replace({text}, '.', '') AS HUGEINT)"
+    step = f"(count({column}) * CAST({10 ** (18 - decimals)} AS HUGEINT))"
+    return f"CAST((2 * {total} + {step}) // (2 * {step}) AS DOUBLE) / {10**decimals}"
 
 
 DAILY = (
@@ -176,6 +177,33 @@ b AS (
 )
 
 
+_FINE = f"""
+d AS (
+  SELECT l_suppkey, CAST(l_shipdate AS DATE) AS "Date",
+         {_half_up("round(l_extendedprice * (1 - l_discount) / 7, 9)", 2)} AS AvgNet
+  FROM lineitem
+  GROUP BY 1, 2
+)"""
+
+USERS = f"""
+d AS (
+  SELECT user_id, CAST(ts AS DATE) AS "Date",
+         {_half_up("value", 3)} AS AvgValue, {_half_up("value", 2)} AS AvgValue2
+  FROM events
+  GROUP BY 1, 2
+)"""
+USERS_SCORED = (
+    USERS
+    + """,
+b AS (
+  SELECT user_id, avg(AvgValue) AS m, stddev_samp(AvgValue) AS sd
+  FROM d JOIN (SELECT user_id, min("Date") AS start FROM d GROUP BY 1) USING (user_id)
+  WHERE date_diff('day', start, "Date") < 7
+  GROUP BY 1
+)"""
+)
+
+
 def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select}"
 
@@ -184,14 +212,23 @@ def _nulls(columns: tuple[str, ...], prefix: str = "") -> str:
     return ", ".join(f'count(*) - count("{c}") AS "{prefix}{c}"' for c in columns)
 
 
+_TYPES = ("int", "timestamp_ntz", "double", "double", "double", "double", "string")
+
+
 def _profile() -> str:
-    types = ("int", "timestamp_ntz", "double", "double", "double", "double", "string")
+    return "\nUNION ALL ".join(
+        f"SELECT {i} AS Position, '{c}' AS ColumnName, '{t}' AS DataType, true AS Nullable"
+        for i, (c, t) in enumerate(zip(_COLUMNS, _TYPES), start=1)
+    )
+
+
+def _column_counts() -> str:
     rows = [
-        f"SELECT {i} AS Position, '{c}' AS ColumnName, '{t}' AS DataType, "
+        f"SELECT {i} AS Position, '{c}' AS ColumnName, "
         f'count(*) AS Rows, count(*) - count("{c}") AS Nulls, '
         + (f'count(*) FILTER (isnan("{c}"))' if t == "double" else "CAST(0 AS BIGINT)")
         + " AS NaNs FROM r"
-        for i, (c, t) in enumerate(zip(_COLUMNS, types), start=1)
+        for i, (c, t) in enumerate(zip(_COLUMNS, _TYPES), start=1)
     ]
     return "\nUNION ALL ".join(rows)
 
@@ -204,9 +241,31 @@ _STEPS = """SELECT (SELECT count(*) FROM r) AS o,
               (SELECT count(*) FROM (SELECT DISTINCT * FROM r)) AS u,
               (SELECT count(*) FROM c) AS k"""
 
+_STORED = SCORED + "," + FLAGGED.removeprefix(DAILY + ",")
+_HEADLINES = """(SELECT count(*) FROM d) AS MachineDays,
+       (SELECT count(*) FROM f WHERE VibrationZone IN ('C', 'D')) AS AnomalyDays,
+       (SELECT count(*) FROM s WHERE abs(ZScore) > 3) AS SignificantDays,
+       (SELECT count(*) FROM (SELECT MachineID FROM s GROUP BY MachineID
+                              HAVING count(*) FILTER (BaselineStdDev > 0) = 0))
+         AS MachinesWithoutBaseline"""
+
+_WORST_MACHINES = f"""SELECT *, {_zone("MaxVibrationReached")} AS WorstZoneReached
+FROM (SELECT MachineID, max(AvgVibration) AS MaxVibrationReached,
+             max(AvgTemperature) AS MaxTemperatureReached
+      FROM d GROUP BY MachineID)
+ORDER BY MaxVibrationReached DESC, MachineID"""
+_WORST_SUPPLIERS = f"""SELECT *, {_zone("MaxVibrationReached", (20, 30, 40))} AS WorstZoneReached
+FROM (SELECT l_suppkey, max(AvgQuantity) AS MaxVibrationReached,
+             max(AvgPrice) AS MaxTemperatureReached
+      FROM d GROUP BY l_suppkey)
+ORDER BY MaxVibrationReached DESC, l_suppkey"""
+_WORST_Z = """SELECT MachineID, round(max(ZScore), 6) + 0.0 AS MaxZScore FROM s GROUP BY MachineID
+ORDER BY max(ZScore) DESC NULLS LAST, MachineID"""
+
 ORACLES: dict[str, str] = {
     "csv_ingest": _with(READINGS, "SELECT * FROM r"),
-    "schema_profile": _with(READINGS, _profile()),
+    "schema_profile": _profile(),
+    "column_counts": _with(READINGS, _column_counts()),
     "preview_rows": _with(
         READINGS,
         'SELECT * FROM r ORDER BY "Timestamp", MachineID, VibrationVelocity NULLS FIRST, '
@@ -218,6 +277,13 @@ ORACLES: dict[str, str] = {
     "null_counts_lineitem": f"SELECT {_nulls(_LINEITEM)} FROM lineitem",
     "duplicate_summary": _with(READINGS, _DUPLICATES.format(table="r")),
     "duplicate_summary_lineitem": _DUPLICATES.format(table="lineitem"),
+    "duplicate_summary_documents": "WITH t AS (SELECT * EXCLUDE (doc_id) FROM documents) "
+    + _DUPLICATES.format(table="t"),
+    "null_counts_documents": """SELECT count(*) - count(doc_id) AS doc_id,
+       count(*) - count(lang) AS lang, count(*) - count(source) AS source,
+       count(*) - count(n_chars) AS n_chars, count(*) - count(quality) AS quality,
+       count(*) - count(toxic) AS toxic
+FROM documents LEFT JOIN labels USING (doc_id)""",
     "sentinel_counts": _with(
         READINGS,
         "SELECT count(*) FILTER (VibrationVelocity = -999) AS VibrationVelocity FROM r",
@@ -243,6 +309,30 @@ FROM (SELECT count(*) AS TotalRows, {_nulls(_COLUMNS, "Null")},
        o - u AS DuplicatesRemoved, u - k AS IncompleteRemoved, o - k AS TotalRemoved,
        round(CAST(100 * (o - k) AS DOUBLE) / nullif(o, 0), 2) AS PercentRemoved
 FROM ({_STEPS})""",
+    ),
+    "both_reports": _with(
+        CLEAN,
+        f"""SELECT *, TotalRows - DistinctRows AS DuplicateRows
+FROM (SELECT count(*) AS TotalRows, {_nulls(_COLUMNS, "Null")},
+             count(*) FILTER (VibrationVelocity = -999) AS SentinelVibrationVelocity
+      FROM r),
+     (SELECT count(*) AS DistinctRows FROM (SELECT DISTINCT * FROM r)),
+     (SELECT count(*) AS FinalRows FROM c)""",
+    ),
+    "daily_average_fine": _with(_FINE, "SELECT * FROM d"),
+    "daily_average_users": _with(USERS, "SELECT * FROM d"),
+    "worst_per_user": _with(
+        USERS,
+        f"""SELECT *, {_zone("MaxVibrationReached", (10, 20, 40))} AS WorstZoneReached
+FROM (SELECT user_id, max(AvgValue) AS MaxVibrationReached,
+             max(AvgValue2) AS MaxTemperatureReached
+      FROM d GROUP BY user_id)""",
+    ),
+    "baseline_zscore_users": _with(
+        USERS_SCORED,
+        """SELECT d.*, round(m, 4) AS BaselineMean, round(sd, 4) AS BaselineStdDev,
+       round((AvgValue - m) / nullif(sd, 0), 4) + 0.0 AS ZScore
+FROM d LEFT JOIN b USING (user_id)""",
     ),
     "daily_average": _with(DAILY, "SELECT * FROM d"),
     "daily_average_lineitem": _with(SHIPMENTS, "SELECT * FROM d"),
@@ -251,22 +341,10 @@ FROM ({_STEPS})""",
     "restricted_days": _with(
         FLAGGED, "SELECT * FROM f WHERE VibrationZone IN ('C', 'D') ORDER BY MachineID, \"Date\""
     ),
-    "worst_per_machine": _with(
-        DAILY,
-        f"""SELECT *, {_zone("MaxVibrationReached")} AS WorstZoneReached
-FROM (SELECT MachineID, max(AvgVibration) AS MaxVibrationReached,
-             max(AvgTemperature) AS MaxTemperatureReached
-      FROM d GROUP BY MachineID)
-ORDER BY MaxVibrationReached DESC, MachineID LIMIT 20""",
-    ),
-    "worst_per_supplier": _with(
-        SHIPMENTS,
-        f"""SELECT *, {_zone("MaxVibrationReached", (20, 30, 40))} AS WorstZoneReached
-FROM (SELECT l_suppkey, max(AvgQuantity) AS MaxVibrationReached,
-             max(AvgPrice) AS MaxTemperatureReached
-      FROM d GROUP BY l_suppkey)
-ORDER BY MaxVibrationReached DESC, l_suppkey""",
-    ),
+    "worst_per_machine": _with(DAILY, _WORST_MACHINES),
+    "worst_machines_top": _with(DAILY, f"{_WORST_MACHINES} LIMIT 5"),
+    "worst_per_supplier": _with(SHIPMENTS, _WORST_SUPPLIERS),
+    "worst_suppliers_top": _with(SHIPMENTS, f"{_WORST_SUPPLIERS} LIMIT 5"),
     "anomaly_day_count": _with(
         FLAGGED, "SELECT count(*) AS AnomalyDays FROM f WHERE VibrationZone IN ('C', 'D')"
     ),
@@ -294,11 +372,8 @@ FROM d LEFT JOIN b USING (l_suppkey)""",
     "significant_machines": _with(
         SCORED, "SELECT DISTINCT MachineID FROM s WHERE abs(ZScore) > 3"
     ),
-    "worst_zscore": _with(
-        SCORED,
-        """SELECT MachineID, round(max(ZScore), 6) + 0.0 AS MaxZScore FROM s GROUP BY MachineID
-ORDER BY max(ZScore) DESC NULLS LAST, MachineID LIMIT 20""",
-    ),
+    "worst_zscore": _with(SCORED, _WORST_Z),
+    "worst_zscore_top": _with(SCORED, f"{_WORST_Z} LIMIT 5"),
     "vibration_trend_series": _with(
         DAILY,
         """SELECT MachineID, "Date", AvgVibration, MachineID IN (3, 11, 17) AS Highlighted,
@@ -329,11 +404,11 @@ FROM (SELECT count(*) AS Rows,
              count(*) FILTER (VibrationZone IN ('C', 'D')) AS RestrictedDays FROM f)""",
     ),
     "stored_run_summary": _with(
-        SCORED + "," + FLAGGED.removeprefix(DAILY + ","),
-        f"""SELECT o AS TotalRows, u AS DistinctRows, k AS FinalRows,
-       (SELECT count(*) FROM d) AS MachineDays,
-       (SELECT count(*) FROM f WHERE VibrationZone IN ('C', 'D')) AS AnomalyDays,
-       (SELECT count(*) FROM s WHERE abs(ZScore) > 3) AS SignificantDays
+        _STORED,
+        f"""SELECT o AS TotalRows, u AS DistinctRows, k AS FinalRows, {_HEADLINES}
 FROM ({_STEPS})""",
     ),
+    "stored_run_incremental": _with(
+        _STORED, f"SELECT (SELECT count(*) FROM c) AS FinalRows, {_HEADLINES}"
+    ),
 }

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from shaftline.config import FAULTY_MACHINES, ZONES, DailyMeasure, Monitor
 from shaftline.operators import baseline as bl
 from shaftline.operators import charts, cleaning, grading, quality, rollup
+from shaftline.plans.event_readings import EVENT_MONITOR as CFG
+from shaftline.plans.event_readings import event_readings
 from shaftline.plans.monitoring import (
     daily_from_clean,
     daily_from_readings,
@@ -17,9 +19,8 @@ from shaftline.plans.monitoring import (
     inspect_run,
     run_monitoring,
     scored_from_readings,
+    update_monitoring,
 )
-from shaftline.sources.events import EVENT_MONITOR as CFG
-from shaftline.sources.events import event_readings
 from shaftline.sources.scratch import scratch_path
 from shaftline.sources.tables import (
     publish,
@@ -43,6 +44,17 @@ SHIPMENTS = Monitor(
     baseline_cutoff=None,
 )
 
+# A third one: users and the values of their events.
+USERS = Monitor(
+    key="user_id",
+    time="ts",
+    measures=("value",),
+    sentinels={},
+    vibration=DailyMeasure("value", "AvgValue", 3),
+    temperature=DailyMeasure("value", "AvgValue2", 2),
+    zones=((10.0, "A"), (20.0, "B"), (40.0, "C")),
+)
+
 _MICROSECONDS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _Z_LINES = {"LowerBound": -CFG.z_limit, "UpperBound": CFG.z_limit}
 _ZONE_LINES = dict(zip(("BoundaryAB", "BoundaryBC", "BoundaryCD"), (z for z, _ in ZONES)))
@@ -68,6 +80,30 @@ def _daily_shipments(spark: SparkSession, sf: str) -> DataFrame:
     return daily_from_clean(_lineitem(spark, sf), SHIPMENTS)
 
 
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, f"{sf}/documents.parquet")
+
+
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with their labels, which many of them lack."""
+    labels = read_table(spark, f"{sf}/labels.parquet")
+    return _documents(spark, sf).join(labels, "doc_id", "left").drop("text")
+
+
+def _daily_users(spark: SparkSession, sf: str) -> DataFrame:
+    events = read_table(spark, f"{sf}/events.parquet").select("user_id", "ts", "value")
+    return daily_from_clean(events, USERS)
+
+
+def daily_average_fine(spark: SparkSession, sf: str) -> DataFrame:
+    """Averages of a value with more decimals than are asked for."""
+    fine = _lineitem(spark, sf).selectExpr(
+        "l_suppkey", "l_shipdate", "round(l_extendedprice * (1 - l_discount) / 7, 9) AS net"
+    )
+    net = DailyMeasure("net", "AvgNet", 2)
+    return rollup.daily_average(fine, "l_suppkey", "l_shipdate", (net,))
+
+
 def _comparable(df: DataFrame, decimals: int = 6) -> DataFrame:
     """Baseline columns rounded, so that engines agreeing up to the order of
     floating-point sums compare equal. The operators return them unrounded."""
@@ -118,18 +154,29 @@ def stored_run_summary(spark: SparkSession, sf: str) -> DataFrame:
     counted = {name: run.counts.get(name, 0) for name in ("TotalRows", "DistinctRows", "FinalRows")}
     counted["MachineDays"] = run.receipt.rows
     return inspect_run(spark, run.tables, CFG).select(
-        *(F.lit(n).cast("bigint").alias(name) for name, n in counted.items()),
-        F.col("AnomalyDays"),
-        F.col("SignificantDays"),
+        *(F.lit(n).cast("bigint").alias(name) for name, n in counted.items()), "*"
+    )
+
+
+def stored_run_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The same tables from three batches that cut across days and overlap."""
+    readings, target = event_readings(spark, sf), scratch_path(spark, "updated")
+    machine, hour = F.col(CFG.key), F.hour(CFG.time)
+    for batch in (hour < 9, (hour >= 7) & (machine <= 8), machine > 8):
+        run = update_monitoring(spark, readings.where(batch), target, CFG)
+    final = run.tables.read(spark, "clean").count()
+    return inspect_run(spark, run.tables, CFG).select(
+        F.lit(final).cast("bigint").alias("FinalRows"),
+        F.lit(run.receipt.rows).cast("bigint").alias("MachineDays"),
+        "*",
     )
 
 
 QUERIES: dict[str, Query] = {
     # Sources and profile
     "csv_ingest": csv_ingest,
-    "schema_profile": lambda s, sf: quality.schema_profile(event_readings(s, sf)).select(
-        "Position", "ColumnName", "DataType", "Rows", "Nulls", "NaNs"
-    ),
+    "schema_profile": lambda s, sf: quality.schema_profile(event_readings(s, sf)),
+    "column_counts": lambda s, sf: quality.column_counts(event_readings(s, sf)),
     "preview_rows": preview_rows,
     "row_count": lambda s, sf: quality.row_count(event_readings(s, sf)),
     # Quality
@@ -137,6 +184,10 @@ QUERIES: dict[str, Query] = {
     "null_counts_lineitem": lambda s, sf: quality.null_counts(_lineitem(s, sf)),
     "duplicate_summary": lambda s, sf: quality.duplicate_summary(event_readings(s, sf)),
     "duplicate_summary_lineitem": lambda s, sf: quality.duplicate_summary(_lineitem(s, sf)),
+    "duplicate_summary_documents": lambda s, sf: quality.duplicate_summary(
+        _documents(s, sf).drop("doc_id")
+    ),
+    "null_counts_documents": lambda s, sf: quality.null_counts(_labelled(s, sf)),
     "sentinel_counts": lambda s, sf: quality.sentinel_counts(
         event_readings(s, sf), CFG.sentinels
     ),
@@ -151,17 +202,27 @@ QUERIES: dict[str, Query] = {
     "dedup_rows": lambda s, sf: cleaning.dedup(event_readings(s, sf)),
     "clean_readings": lambda s, sf: cleaning.clean(event_readings(s, sf), CFG),
     "cleaning_report": lambda s, sf: cleaning.cleaning_report(event_readings(s, sf), CFG),
+    "both_reports": lambda s, sf: cleaning.both_reports(event_readings(s, sf), CFG),
     # Rollup
     "daily_average": _daily,
     "daily_average_lineitem": _daily_shipments,
+    "daily_average_fine": daily_average_fine,
+    "daily_average_users": _daily_users,
     "machine_daily_series": lambda s, sf: rollup.series(_daily(s, sf), 11, CFG),
     # Thresholds
     "flagged_days": _flagged,
     "restricted_days": lambda s, sf: grading.restricted_days(_flagged(s, sf), cfg=CFG),
-    "worst_per_machine": lambda s, sf: grading.worst_per_entity(_daily(s, sf), n=20, cfg=CFG),
+    "worst_per_machine": lambda s, sf: grading.worst_per_entity(_daily(s, sf), cfg=CFG),
+    "worst_machines_top": lambda s, sf: grading.worst_per_entity(_daily(s, sf), n=5, cfg=CFG),
+    "worst_suppliers_top": lambda s, sf: grading.worst_per_entity(
+        _daily_shipments(s, sf), n=5, cfg=SHIPMENTS
+    ),
     "worst_per_supplier": lambda s, sf: grading.worst_per_entity(
         _daily_shipments(s, sf), cfg=SHIPMENTS
     ),
+    "worst_per_user": lambda s, sf: grading.worst_per_entity(
+        _daily_users(s, sf), cfg=USERS
+    ),
     "anomaly_day_count": lambda s, sf: grading.anomaly_day_count(_flagged(s, sf), CFG),
     "danger_machines": lambda s, sf: grading.danger_entities(_flagged(s, sf), cfg=CFG),
     # Baseline
@@ -179,10 +240,14 @@ QUERIES: dict[str, Query] = {
     "baseline_zscore_lineitem": lambda s, sf: _comparable(
         bl.baseline_zscore(_daily_shipments(s, sf), first_days=365, cfg=SHIPMENTS), 4
     ),
+    "baseline_zscore_users": lambda s, sf: _comparable(
+        bl.baseline_zscore(_daily_users(s, sf), first_days=7, cfg=USERS), 4
+    ),
     "significant_days": lambda s, sf: _comparable(bl.significant_days(_scored(s, sf), cfg=CFG)),
     "significant_day_count": lambda s, sf: bl.significant_day_count(_scored(s, sf), cfg=CFG),
     "significant_machines": lambda s, sf: bl.significant_entities(_scored(s, sf), cfg=CFG),
-    "worst_zscore": lambda s, sf: _comparable(bl.worst_zscore(_scored(s, sf), n=20, cfg=CFG)),
+    "worst_zscore": lambda s, sf: _comparable(bl.worst_zscore(_scored(s, sf), cfg=CFG)),
+    "worst_zscore_top": lambda s, sf: _comparable(bl.worst_zscore(_scored(s, sf), n=5, cfg=CFG)),
     # Chart data
     "vibration_trend_series": lambda s, sf: charts.trend_series(
         _daily(s, sf), CFG.vibration.name, FAULTY_MACHINES, _ZONE_LINES, CFG
@@ -194,4 +259,5 @@ QUERIES: dict[str, Query] = {
     # Stored results
     "publish_verify": publish_verify,
     "stored_run_summary": stored_run_summary,
+    "stored_run_incremental": stored_run_incremental,
 }

@@ -38,6 +38,36 @@ def read_readings(
     return reader.schema(schema).option("mode", mode).option("enforceSchema", False).csv(path)
 
 
+REJECT = "Line"
+
+
+def read_with_rejects(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType = READINGS,
+    timestamp_format: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """CSV readings, and the lines that don't fit the schema, as text.
+
+    A malformed line neither ends the read nor turns into nulls: it is in the
+    second frame, with one column ``Line``. Each frame is a scan of its own.
+    """
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = reader.option("columnNameOfCorruptRecord", REJECT)
+    if timestamp_format is not None:
+        reader = reader.option("timestampFormat", timestamp_format)
+        reader = reader.option("timestampNTZFormat", timestamp_format)
+    lines = reader.schema(T.StructType([*schema.fields, T.StructField(REJECT, T.StringType())]))
+    parsed = lines.csv(path)
+    # Spark parses, and so rejects, only columns that are used; this, always true,
+    # uses all of them.
+    everything = (F.col(f"`{c}`").cast("string") for c in schema.names)
+    beside = F.length(F.concat_ws("", *everything)) >= 0
+    good = parsed.where(F.col(REJECT).isNull() & beside)
+    bad = parsed.where(F.col(REJECT).isNotNull() & beside)
+    return good.select(*(f"`{c}`" for c in schema.names)), bad.select(REJECT)
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
@@ -47,6 +77,27 @@ def read_table(
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system for ``path``, and the path as it wants it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[object]) -> None:
+    """Delete the partitions of these values, where there are any.
+
+    Writing only given partitions leaves those alone that no row is left for.
+    """
+    for value in values:
+        files, where = _file_system(spark, f"{path}/{column}={value}")
+        files.delete(where, True)
+
+
 def _laid_out(
     df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str], arrange: bool
 ) -> DataFrame:
@@ -96,11 +147,13 @@ def write_table(
 
 @dataclass(frozen=True)
 class Receipt:
-    """What one publish wrote: its address, the row count and further counts."""
+    """What one publish wrote: its address, the row count, further counts, and the
+    schema, without which a publish of no rows could not be read back."""
 
     uri: str
     rows: int
     counts: Mapping[str, int]
+    schema: T.StructType | None = None
 
 
 def publish(
@@ -127,7 +180,7 @@ def publish(
     )
     _save(observed, uri, partition_by)
     seen = observation.get
-    return Receipt(uri, seen.get("rows", 0), {n: seen.get(f"n_{n}", 0) for n in conditions})
+    return Receipt(uri, seen.get("rows", 0), {n: seen.get(f"n_{n}", 0) for n in conditions}, df.schema)
 
 
 def verify_publish(
@@ -143,7 +196,7 @@ def verify_publish(
     missing = set(conditions) - set(receipt.counts)
     if missing:
         raise ValueError(f"the receipt has no count of {sorted(missing)}")
-    found = read_table(spark, receipt.uri).agg(
+    found = read_table(spark, receipt.uri, receipt.schema).agg(
         F.count(F.lit(1)).alias("Rows"),
         *(F.count_if(condition).alias(name) for name, condition in conditions.items()),
     )

@@ -119,8 +119,8 @@ def test_bad_rules_are_refused(daily, rule):
 
 
 def test_monitor_picks_the_rule():
-    assert Monitor().baseline_rule == {"cutoff": CUTOFF}
-    assert Monitor(baseline_cutoff=None).baseline_rule == {"first_days": 7}
+    assert Monitor(baseline_cutoff=CUTOFF).baseline_rule == {"cutoff": CUTOFF}
+    assert Monitor().baseline_rule == {"first_days": 7}
 
 
 def test_scoring_shuffles_once(daily):

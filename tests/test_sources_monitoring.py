@@ -285,7 +285,9 @@ def test_stored_run(spark, ramp, rows, tmp_path, cfg, store_clean, by_day):
     assert rows(tables.read_table(spark, run.tables.flagged, flagged.schema)) == rows(flagged)
     scored = bl.baseline_zscore(daily, **cfg.baseline_rule, cfg=cfg)
     assert rows(tables.read_table(spark, run.tables.scored, scored.schema)) == rows(scored)
-    assert tuple(monitoring.inspect_run(spark, run.tables, cfg).first()) == (17, 20)
+    assert tuple(monitoring.inspect_run(spark, run.tables, cfg).first()) == (17, 20, 0)
+    assert [r[0] for r in run.tables.read(spark, "danger").collect()] == [3]
+    assert run.tables.read(spark, "vibration_trend").count() == 60
 
     # A second run replaces the first.
     again = monitoring.run_monitoring(spark, ramp, str(tmp_path), cfg, store_clean, by_day)
@@ -308,35 +310,105 @@ def test_shuffles_of_the_composed_flow(spark, ramp, tmp_path):
         assert "Python" not in text and "SortAggregate" not in text
 
 
-def test_days_added_one_batch_at_a_time_equal_one_run(spark, ramp, rows, tmp_path):
-    cfg = Monitor(baseline_cutoff=None)
+def test_any_split_of_the_readings_equals_one_run(spark, ramp, rows, tmp_path):
     readings = ramp.union(ramp.limit(50))
-    whole = monitoring.run_monitoring(spark, readings, str(tmp_path / "whole"), cfg)
-    for low, high in ((0, 5), (4, 10), (20, 30), (10, 20)):  # in any order, a day twice
-        batch = readings.where(F.dayofmonth("Timestamp").between(low + 1, high))
-        run = monitoring.run_monitoring(
-            spark, batch, str(tmp_path / "parts"), cfg, store_clean=False, keep_other_days=True
-        )
-    assert run.receipt == tables.Receipt(
-        str(tmp_path / "parts/flagged"), whole.receipt.rows, whole.receipt.counts
+    whole = monitoring.run_monitoring(spark, readings, str(tmp_path / "whole"))
+    hour, day = F.hour("Timestamp"), F.dayofmonth("Timestamp")
+    for batch in (day > 20, hour < 13, hour >= 11):  # days cut across, rows given twice
+        run = monitoring.update_monitoring(spark, readings.where(batch), str(tmp_path / "parts"))
+    assert run.receipt.counts == whole.receipt.counts
+    for name in ("clean", "daily", "flagged", "scored", *monitoring.REPORTS):
+        one = whole.tables.read(spark, name)
+        assert rows(run.tables.read(spark, name).select(*one.columns)) == rows(one)
+
+
+def some_readings(spark, *values, day="2027-03-01"):
+    times = (f"{day} 0{k}:00:00" for k in range(len(values)))
+    rows = [(1, t, v, 50.0, 12.0, 1460.0, "Running") for t, v in zip(times, values)]
+    names = "MachineID int, Timestamp string, VibrationVelocity double, BearingTemperature double"
+    df = spark.createDataFrame(rows, names + ", MotorCurrentDraw double, RotationalSpeed double, Status string")
+    return df.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
+
+
+def test_a_partial_batch_adds_to_its_day(spark, tmp_path):
+    first, second = some_readings(spark, 1.0, 3.0), some_readings(spark, 0.0, 0.0, 5.0).offset(2)
+    for batch in (first, second):
+        run = monitoring.update_monitoring(spark, batch, str(tmp_path))
+    assert [r.AvgVibration for r in run.tables.read(spark, "daily").collect()] == [3.0]
+
+
+def test_a_replaced_day_without_usable_readings_is_removed(spark, tmp_path):
+    both = some_readings(spark, 1.0, 2.0).union(some_readings(spark, 4.0, day="2027-03-02"))
+    monitoring.update_monitoring(spark, both, str(tmp_path))
+    unusable = some_readings(spark, -999.0, None)
+    run = monitoring.update_monitoring(spark, unusable, str(tmp_path), whole_days=True)
+    for name in ("clean", "daily", "flagged", "scored"):
+        assert [str(r.Date) for r in run.tables.read(spark, name).collect()] == ["2027-03-02"]
+    run = monitoring.update_monitoring(
+        spark, some_readings(spark, 7.0, day="2027-03-02"), str(tmp_path), whole_days=True
     )
-    for ours, theirs in ((run.tables.daily, whole.tables.daily), (run.tables.scored, whole.tables.scored)):
-        one = tables.read_table(spark, theirs)
-        assert rows(tables.read_table(spark, ours, one.schema)) == rows(one)
+    assert [r.AvgVibration for r in run.tables.read(spark, "daily").collect()] == [7.0]
 
 
-def test_kept_days_exclude_a_clean_table(spark, ramp, tmp_path):
-    for options in ({}, {"store_clean": False, "by_day": False}):
-        with pytest.raises(ValueError):
-            monitoring.run_monitoring(spark, ramp, str(tmp_path), keep_other_days=True, **options)
+def test_updates_refuse_sentinels_outside_the_measures(spark, ramp, tmp_path):
+    cfg = Monitor(sentinels={"Status": -1.0})
+    with pytest.raises(ValueError):
+        monitoring.update_monitoring(spark, ramp, str(tmp_path), cfg)
     assert not list(tmp_path.iterdir())
 
 
+def test_a_run_of_unusable_readings(spark, tmp_path):
+    bad = some_readings(spark, -999.0, None)
+    for k, act in enumerate((monitoring.run_monitoring, monitoring.update_monitoring)):
+        run = act(spark, bad, str(tmp_path / str(k)))
+        assert run.receipt.rows == 0
+        assert tables.verify_publish(spark, run.receipt).first().Verified
+        assert tuple(monitoring.inspect_run(spark, run.tables).first()) == (0, 0, 0)
+        assert all(run.tables.read(spark, name).count() == 0 for name in monitoring.REPORTS)
+
+
+def test_a_publish_of_no_partitions_is_verified(spark, tmp_path):
+    receipt = tables.publish(spark.createDataFrame([], DDL), str(tmp_path / "p"), partition_by=["Date"])
+    assert tables.verify_publish(spark, receipt).first().Verified
+
+
+def test_reports_are_whole(spark, ramp, tmp_path):
+    fleet = ramp.drop("MachineID").where("hour(Timestamp) = 0").crossJoin(
+        spark.range(60).select(F.col("id").cast("int").alias("MachineID"))
+    )
+    run = monitoring.run_monitoring(spark, fleet.select(ramp.columns), str(tmp_path))
+    assert run.tables.read(spark, "worst").count() == 60
+    assert run.tables.read(spark, "worst_zscore").count() == 60
+    assert [r[0] for r in run.tables.read(spark, "significant").collect()] == list(range(60))
+
+
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    head = "MachineID,Timestamp,VibrationVelocity,BearingTemperature,MotorCurrentDraw,RotationalSpeed,Status"
+    good = "3,2026-01-01 00:00:00,1.0,50.0,12.0,1460.0,Running"
+    lines = [head, good, "3,soon,1.0,50.0,12.0,1460.0,Running", good, "x,y"]
+    (tmp_path / "r.csv").write_text("\n".join(lines) + "\n")
+    readings, rejects = tables.read_with_rejects(spark, str(tmp_path / "r.csv"))
+    assert readings.count() == 2 and readings.columns == READINGS.names
+    assert sorted(r.Line for r in rejects.collect()) == sorted([lines[2], lines[4]])
+    assert readings.count() + rejects.count() == len(lines) - 1
+
+
 def test_command_line(spark, ramp, tmp_path, capsys):
     source, target, public = (str(tmp_path / name) for name in ("csv", "out", "public"))
     ramp.write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(source, header=True)
-    main([source, target, "--baseline-days", "7", "--publish", public], spark)
+    main([source, target, "--publish", public], spark)
     shown = capsys.readouterr().out
     assert "TotalRows: 2880\n" in shown and "FinalRows: 2880\n" in shown
     assert tables.read_table(spark, public).count() == 30
     assert "Verified" in shown and "true" in shown
+    assert "significant (whole in" in shown
+
+    # Parquet of another year, and lines that don't fit.
+    parquet = str(tmp_path / "parquet")
+    ramp.withColumn("Timestamp", F.expr("Timestamp + INTERVAL 1 YEAR")).write.parquet(parquet)
+    main([parquet, target, "--parquet", "--no-clean-table"], spark)
+    assert "FinalRows" in capsys.readouterr().out
+    scored = tables.read_table(spark, f"{target}/scored")
+    assert scored.where("ZScore IS NOT NULL").count() == 30
+    main([source, target, "--rejects", str(tmp_path / "rejects"), "--update", "days"], spark)
+    assert "RejectedLines: 0" in capsys.readouterr().out
