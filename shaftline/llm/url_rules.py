@@ -95,10 +95,9 @@ def url_tokens(text: str) -> set[str]:
 def token_counts(pages: DataFrame, rules: Sequence[Rule]) -> dict[str, int]:
     """How many URLs have each token that some rule needs.
 
-    One row a token comes back, as many as the rules have. Repeated URLs are
-    counted in each task before anything is shuffled.
+    One row a token comes back, as many as the rules have. Tokens are counted in
+    each task before anything is shuffled, so a token of all URLs costs one row a task.
     """
-    spark = pages.sparkSession
     needed = sorted({t for rule in rules for t in rule.tokens})
     if not needed:
         return {}
@@ -108,8 +107,7 @@ def token_counts(pages: DataFrame, rules: Sequence[Rule]) -> dict[str, int]:
         "abcdefghijklmnopqrstuvwxyz",
     )
     tokens = pages.select(F.explode(F.array_distinct(F.split(text, "[^a-z0-9]+"))).alias("token"))
-    wanted = spark.createDataFrame([(t,) for t in needed], "token string")
-    counted = tokens.join(wanted, "token").groupBy("token").count().collect()
+    counted = tokens.where(F.col("token").isin(needed)).groupBy("token").count().collect()
     return {**dict.fromkeys(needed, 0), **{row["token"]: row["count"] for row in counted}}
 
 
