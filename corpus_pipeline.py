@@ -41,8 +41,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document stands in sequences of 4096 tokens."""
-    return pack_documents(docs)
+    """Where each piece of each document stands in sequences of 4096 tokens.
+
+    The workers still hold what earlier stages left, so they remember less here.
+    """
+    return pack_documents(docs, remembered=150_000)
 
 
 STAGES: list[tuple[str, Stage]] = [

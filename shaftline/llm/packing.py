@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shaftline.llm.common import find_library, map_arrow, of_bounded_size, stored, tokenizer_path
-from shaftline.llm.tokens import encoder
+from shaftline.llm.tokens import REMEMBERED, encoder
 
 END = 1
 CAPACITY = 4096
@@ -126,19 +126,22 @@ def pieces_of_documents(
     end: int = END,
     capacity: int = CAPACITY,
     with_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked
     for, ``ids`` of every document's pieces.
 
     A document longer than ``capacity`` is cut into pieces of that length, the
     last of which may be shorter; a null or empty text is the end id alone.
+    ``remembered`` is how many segments a worker keeps the ids of, twice: memory
+    that saves encoding them again.
     """
     path = vocabulary or tokenizer_path("word_bpe_49k.json")
     last = np.array([end], "<u4").tobytes()
     step = 4 * capacity
 
     def per_batch(batch: pa.RecordBatch) -> Iterator[dict[str, object]]:
-        encode = encoder(path, False)
+        encode = encoder(path, False, remembered)
         for part in of_bounded_size(batch):
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, coded in enumerate(encode([t or "" for t in part["text"].to_pylist()])):
@@ -211,9 +214,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> Dat
     return ranked.mapInArrow(place, f"{schema}, sequence_id bigint, offset bigint")
 
 
-def pack_documents(docs: DataFrame) -> DataFrame:
+def pack_documents(docs: DataFrame, remembered: int = REMEMBERED) -> DataFrame:
     """Pieces of all documents with the sequence and offset each goes to."""
-    return pack(stored(pieces_of_documents(docs), "pieces"))
+    return pack(stored(pieces_of_documents(docs, remembered=remembered), "pieces"))
 
 
 def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:

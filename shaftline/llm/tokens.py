@@ -21,11 +21,11 @@ from shaftline.llm.common import find_library, map_arrow, of_bounded_size, token
 from shaftline.sources.scratch import scratch_path
 
 END = 2
-# Segments of one generation; a worker remembers two, up to about 120 MB.
-REMEMBERED = 300_000
+# Segments of one generation; a worker remembers two, up to about 300 MB.
+REMEMBERED = 800_000
 # White space next to white space, where a token may hold more than one of them.
 _RUN = re.compile(r"\s\s")
-_encoders: dict[tuple[str, bool], "Encoder"] = {}
+_encoders: dict[tuple[str, bool, int], "Encoder"] = {}
 
 
 class Encoder:
@@ -38,13 +38,14 @@ class Encoder:
     one that starts with a line end has it in front, any other a space.
     """
 
-    def __init__(self, path: str, spaced: bool) -> None:
+    def __init__(self, path: str, spaced: bool, remembered: int = REMEMBERED) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         # The strings of special tokens in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
+        self.remembered = remembered
         # Segments seen lately, and those seen before them: what comes up again
         # moves on to the new generation, the rest is forgotten with the old one.
         self.known: dict[str, bytes] = {}
@@ -97,7 +98,7 @@ class Encoder:
         cut = [not (self.spaced and _RUN.search(text)) for text in texts]
         parted = [self.segments(text) if ok else [] for text, ok in zip(texts, cut)]
         new = set().union(*parted) - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
+        if len(self.known) + len(new) > self.remembered:
             self.known, self.before = {}, self.known
             new = set().union(*parted)
         again = new & self.before.keys()
@@ -112,14 +113,15 @@ class Encoder:
         ]
 
 
-def encoder(path: str, spaced: bool) -> Encoder:
+def encoder(path: str, spaced: bool, remembered: int = REMEMBERED) -> Encoder:
     """One encoder per worker and vocabulary; it lives as long as the worker."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if (path, spaced) not in _encoders:
-        _encoders[path, spaced] = Encoder(path, spaced)
-    return _encoders[path, spaced]
+    key = (path, spaced, remembered)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
 
 
 def encode_documents(docs: DataFrame, vocabulary: str | None = None, end: int = END) -> DataFrame:

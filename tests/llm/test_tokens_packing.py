@@ -33,9 +33,8 @@ def test_cut_texts_encode_like_whole_ones(path, spaced):
         assert np.frombuffer(coded, "<u4").tolist() == whole
 
 
-def test_encoder_starts_anew_when_full(monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED", 3)
-    own = tokens.Encoder(BYTE, True)
+def test_encoder_forgets_when_full():
+    own = tokens.Encoder(BYTE, True, remembered=3)
     for text in ("a b c d e", "a f", "g h i j"):
         assert np.frombuffer(own([text])[0], "<u4").tolist() == plain(BYTE, text)
 
