@@ -2,7 +2,8 @@
 
 Three kinds are looked for (``KINDS``). A worklist holds the layers of a text: it
 starts with the text itself, and each layer that is scanned adds what its URL
-escapes, character escapes, base64 runs and compressed base64 runs decode to. A
+escapes, character escapes, base64 runs and compressed base64 runs decode to;
+compressed bytes are inflated until no compressed header is left. A
 layer seen before is not scanned again, so the list runs dry. Spans found in a
 layer are mapped back to the characters of the text it came from: escapes map
 one to one, a base64 run maps as a whole.
@@ -17,6 +18,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +42,13 @@ URL_ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 CHARACTER_ESCAPES = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#x([0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 COMPRESSED = {b"\x1f\x8b": 31, b"\x78\x01": 15, b"\x78\x5e": 15, b"\x78\x9c": 15, b"\x78\xda": 15}
-# Bytes that a compressed run may decode to per byte of the text; deflate reaches
-# 1032, so nothing that is compressed once is refused.
-EXPANSION = 1100
+# What is inflated is read to its end, a window of so many bytes at a time; the next
+# window starts so much before the end of the last one, or where a run of base64
+# that reaches its end starts.
+WINDOW, OVERLAP = 1 << 22, 1 << 16
+# Streams within streams that are opened: one that holds itself would never end.
+LEVELS = 200
+IN_RUNS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=\r\n"
 
 
 @dataclass(frozen=True)
@@ -103,16 +109,76 @@ def _as_text(raw: bytes) -> str | None:
     return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
 
 
-def _inflated(raw: bytes, most: int) -> bytes | None:
-    kind = COMPRESSED.get(raw[:2])
-    if kind is None:
-        return None
-    opened = zlib.decompressobj(kind)
+def _members(stream: Iterator[bytes]) -> Iterator[bytes]:
+    """What compressed members, one behind the other, decode to. A member that is
+    cut off or damaged gives what can be read of it; what follows the last member
+    comes as it is."""
+    data = b""
+    for piece in stream:
+        data += piece
+        while len(data) >= 2 and data[:2] in COMPRESSED:
+            opened = zlib.decompressobj(COMPRESSED[data[:2]])
+            while not opened.eof:
+                if not data:
+                    data = next(stream, b"")
+                    if not data:
+                        return
+                before = opened.copy()
+                try:
+                    out = opened.decompress(data, 1 << 16)
+                except zlib.error:
+                    yield from _readable(before, data)
+                    return
+                data = opened.unused_data if opened.eof else opened.unconsumed_tail
+                if out:
+                    yield out
+            if len(data) < 2:
+                data += next(stream, b"")
+        if len(data) >= 2:
+            yield data
+            yield from stream
+            return
+    if data:
+        yield data
+
+
+def _readable(opened: zlib._Decompress, data: bytes) -> Iterator[bytes]:
+    """What comes out ahead of the byte that can't be read."""
     try:
-        out = opened.decompress(raw, most)
+        for i in range(len(data)):
+            out = opened.decompress(data[i : i + 1])
+            if out:
+                yield out
     except zlib.error:
-        return None
-    return out if opened.eof else None
+        return
+
+
+def _inflated(raw: bytes) -> Iterator[bytes]:
+    """Windows of what a compressed run decodes to, and of what that decodes to in
+    turn, until nothing compressed is left. Nothing is held but a window a level."""
+    if raw[:2] not in COMPRESSED:
+        return
+    stream, heads = iter([raw]), set()
+    for _ in range(LEVELS):
+        stream = _members(stream)
+        head = b""
+        while len(head) < 4_096 and (piece := next(stream, b"")):
+            head += piece
+        stream = chain([head], stream) if head else iter(())
+        mark = hashlib.sha256(head).digest()
+        if head[:2] not in COMPRESSED or mark in heads:
+            break
+        heads.add(mark)
+    held = bytearray()
+    for piece in stream:
+        held += piece
+        while len(held) >= WINDOW:
+            window = bytes(held[:WINDOW])
+            yield window
+            ahead = len(window.rstrip(IN_RUNS))
+            del held[: min(ahead, WINDOW - OVERLAP) if ahead >= WINDOW // 2 else WINDOW - OVERLAP]
+    if held:
+        yield bytes(held)
 
 
 def _replaced(layer: Layer, parts: list[tuple[int, int, str]]) -> Layer:
@@ -159,7 +225,7 @@ def _escape_layer(layer: Layer) -> Layer | None:
     return _replaced(layer, parts) if parts else None
 
 
-def _base64_layers(layer: Layer, most: int) -> Iterator[Layer]:
+def _base64_layers(layer: Layer) -> Iterator[Layer]:
     for m in BASE64.finditer(layer.text):
         body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
@@ -168,12 +234,24 @@ def _base64_layers(layer: Layer, most: int) -> Iterator[Layer]:
             raw = base64.b64decode(body + "=" * (-len(body) % 4))
         except (binascii.Error, ValueError):
             continue
-        opened = _inflated(raw, most)
-        text = _as_text(raw if opened is None else opened)
-        if text:
-            start, end = layer.origin(m.start(), m.end())
-            n = len(text)
-            yield Layer(text, layer.depth + 1, np.full(n, start), np.full(n, end))
+        where = layer.origin(m.start(), m.end())
+        for part in chain([raw], _inflated(raw)):
+            text = _as_text(part)
+            if text:
+                yield _whole(text, layer.depth + 1, where)
+
+
+def _whole(text: str, depth: int, where: tuple[int, int]) -> Layer:
+    """A layer whose characters all come from one range."""
+    return Layer(text, depth, *(np.broadcast_to(np.int64(x), len(text)) for x in where))
+
+
+def _decoded(layer: Layer) -> Iterator[Layer]:
+    for decode in (_url_layer, _escape_layer):
+        found = decode(layer)
+        if found:
+            yield found
+    yield from _base64_layers(layer)
 
 
 def find_secrets(text: str | None) -> list[Span]:
@@ -184,19 +262,23 @@ def find_secrets(text: str | None) -> list[Span]:
     if not text:
         return []
     found: dict[tuple[int, int, str], int] = {}
-    work, seen = [Layer(text)], set()
-    most = max(EXPANSION * len(text), 1 << 16)
+    seen: dict[tuple[bytes, tuple[int, int]], int] = {}
+    # Depth first: of each layer on the way, only one window is held at a time.
+    work = [iter([Layer(text)])]
     while work:
-        layer = work.pop(0)
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
         where = layer.origin(0, len(layer.text))
         mark = (hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest(), where)
-        if mark in seen:
+        if seen.get(mark, layer.depth + 1) <= layer.depth:
             continue
-        seen.add(mark)
+        seen[mark] = layer.depth
         for start, end, kind in matches(layer.text):
-            found.setdefault((*layer.origin(start, end), kind), layer.depth)
-        work += [x for x in (_url_layer(layer), _escape_layer(layer)) if x]
-        work += _base64_layers(layer, most)
+            key = (*layer.origin(start, end), kind)
+            found[key] = min(layer.depth, found.get(key, layer.depth))
+        work.append(_decoded(layer))
     spans = [Span(a, b, kind, depth) for (a, b, kind), depth in found.items()]
     return sorted(spans, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 

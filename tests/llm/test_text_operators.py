@@ -99,6 +99,33 @@ def test_secrets_in_layers(coded):
     assert coded not in secrets.masked(text, found)
 
 
+def compressed() -> dict[str, bytes]:
+    raw = SECRET.encode()
+    noise = "".join(random.Random(1).choices("abcdefgh ", k=3_000)).encode()
+    return {
+        "twice": gzip.compress(gzip.compress(raw)),
+        "zlib of gzip": zlib.compress(gzip.compress(raw)),
+        "many times": __import__("functools").reduce(lambda x, _: gzip.compress(x), range(30), raw),
+        "second member": gzip.compress(b"first") + gzip.compress(raw),
+        "across members": gzip.compress(raw[:9]) + gzip.compress(raw[9:]),
+        "behind the members": gzip.compress(b"first") + b"\n" + raw,
+        "cut off": gzip.compress(raw + b"\n" + noise)[:-500],
+        "cut off inside": gzip.compress(zlib.compress(raw + b"\n" + noise)[:-500]),
+        "damaged": zlib.compress(raw + noise)[:-4] + b"zzzz",
+        "long": gzip.compress(gzip.compress(b"." * 9_000_000 + raw + b"." * 9_000_000)),
+        "across windows": gzip.compress(b"." * (secrets.WINDOW - 9) + raw + b"." * 9),
+        "run across windows": gzip.compress(b"." * (secrets.WINDOW - 300_000) + base64.b64encode(zlib.compress("".join(random.Random(2).choices("ABCDEFGHIJ", k=600_000)).encode() + b"\n" + raw)) + b"." * 9),
+    }
+
+
+@pytest.mark.parametrize("kind", compressed())
+def test_secrets_in_compressed_layers(kind):
+    coded = base64.b64encode(compressed()[kind]).decode()
+    text = f"lead-in {coded} tail"
+    found = secrets.find_secrets(text)
+    assert [(s.start, s.end, s.kind) for s in found] == [(8, 8 + len(coded), "assign")]
+
+
 def test_secrets_of_the_text_itself(documents, by_id):
     rng = random.Random(6)
     parts = ["password", "Api_Key", "=", ": ", '"', "'", " ", "abcdef", "0123456789abcdef" * 2, "AKIA", "X" * 16, "é", "%41", "\\x", "ſecret="]
