@@ -41,6 +41,7 @@ LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 URL_ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 CHARACTER_ESCAPES = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#x([0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+WIDE = re.compile(rb"(?:[\x01-\x7f]\0){6,}")
 COMPRESSED = {b"\x1f\x8b": 31, b"\x78\x01": 15, b"\x78\x5e": 15, b"\x78\x9c": 15, b"\x78\xda": 15}
 # What is inflated is read to its end, a window of so many bytes at a time; the next
 # window starts so much before the end of the last one, or where a run of base64
@@ -100,13 +101,18 @@ def matches(text: str) -> Iterator[tuple[int, int, str]]:
         yield m.start(), m.end(), "hex"
 
 
-def _as_text(raw: bytes) -> str | None:
-    """Decoded bytes that are text: UTF-8 without control characters."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def _as_texts(raw: bytes) -> Iterator[str]:
+    """Decoded bytes as UTF-8, whatever does not fit replaced, and as UTF-16 from
+    an even or odd place on if ASCII characters stand there with zeros between.
+
+    The three kinds are ASCII, as are all encodings, so what stands around them
+    need not be text, and either byte order comes out of little-endian pairs.
+    """
+    yield raw.decode("utf-8", "replace")
+    if b"\0" in raw:
+        raw += b"\0"
+        for odd in sorted({m.start() % 2 for m in WIDE.finditer(raw)}):
+            yield raw[odd:].decode("utf-16-le", "replace")
 
 
 def _members(stream: Iterator[bytes]) -> Iterator[bytes]:
@@ -236,8 +242,7 @@ def _base64_layers(layer: Layer) -> Iterator[Layer]:
             continue
         where = layer.origin(m.start(), m.end())
         for part in chain([raw], _inflated(raw)):
-            text = _as_text(part)
-            if text:
+            for text in _as_texts(part):
                 yield _whole(text, layer.depth + 1, where)
 
 

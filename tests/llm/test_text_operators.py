@@ -126,6 +126,19 @@ def test_secrets_in_compressed_layers(kind):
     assert [(s.start, s.end, s.kind) for s in found] == [(8, 8 + len(coded), "assign")]
 
 
+@pytest.mark.parametrize("raw", [
+    b"\xef\xbb\xbf" + SECRET.encode(), f"a\xa0b\u200b {SECRET}".encode(), f"é {SECRET}".encode("latin-1"),
+    b"\0\x0c" + SECRET.encode(), SECRET.encode() + bytes(range(128, 256)) * 9,
+    SECRET.encode("utf-16"), SECRET.encode("utf-16-le"), SECRET.encode("utf-16-be"), b"\xfe\xff" + f"梦é {SECRET}".encode("utf-16-be"),
+    b"x" + f"梦é {SECRET}".encode("utf-16-le"), ("梦" * 300 + SECRET + "梦" * 300).encode("utf-16"),
+])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_secrets_among_other_characters(raw, pack):
+    coded = base64.b64encode(pack(raw)).decode()
+    found = secrets.find_secrets(f"lead-in {coded} tail")
+    assert [(s.start, s.end, s.kind) for s in found] == [(8, 8 + len(coded), "assign")]
+
+
 def test_secrets_of_the_text_itself(documents, by_id):
     rng = random.Random(6)
     parts = ["password", "Api_Key", "=", ": ", '"', "'", " ", "abcdef", "0123456789abcdef" * 2, "AKIA", "X" * 16, "é", "%41", "\\x", "ſecret="]
