@@ -6,13 +6,12 @@ escapes, character escapes, base64 runs and compressed base64 runs decode to;
 compressed bytes are inflated until no compressed header is left. A
 layer seen before is not scanned again, so the list runs dry. Spans found in a
 layer are mapped back to the characters of the text it came from: escapes map
-one to one, a base64 run maps as a whole.
+one to one, a base64 run maps as a whole, also one that is broken into lines.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -41,6 +40,17 @@ LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 URL_ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 CHARACTER_ESCAPES = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#x([0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+# The same over several lines, and what parts its lines: also line ends that are
+# written out, and what quotes or indents a line.
+LINE_END = r"[ \t]*(?:\r\n?|\n|(?:\\r)?\\n)[ \t>]*"
+BLOCK = re.compile(
+    rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}(?:{LINE_END}[A-Za-z0-9+/_-]+)+={{0,2}}"
+)
+LAST_LINE = re.compile(r"={0,2}(?![^\s\\\"'`,;)<\]}])")
+SEPARATOR = re.compile(r"[/_-]")
+BLOCK_LINE = re.compile(rf"({LINE_END})?([A-Za-z0-9+/_-]+=*)")
+# What a base64 run starts with if it is compressed, in a run behind a prefix.
+COMPRESSED_RUN = re.compile(r"(?<=[/_-])(?:H4sI|eA[E-H]|eF[4-7]|eJ[w-z]|eN[o-r])")
 WIDE = re.compile(rb"(?:[\x01-\x7f]\0){6,}")
 COMPRESSED = {b"\x1f\x8b": 31, b"\x78\x01": 15, b"\x78\x5e": 15, b"\x78\x9c": 15, b"\x78\xda": 15}
 # What is inflated is read to its end, a window of so many bytes at a time; the next
@@ -159,12 +169,13 @@ def _readable(opened: zlib._Decompress, data: bytes) -> Iterator[bytes]:
         return
 
 
-def _inflated(raw: bytes) -> Iterator[bytes]:
+def _inflated(stream: Iterator[bytes]) -> Iterator[bytes]:
     """Windows of what a compressed run decodes to, and of what that decodes to in
     turn, until nothing compressed is left. Nothing is held but a window a level."""
-    if raw[:2] not in COMPRESSED:
+    head = next(stream, b"")
+    if head[:2] not in COMPRESSED:
         return
-    stream, heads = iter([raw]), set()
+    stream, heads = chain([head], stream), set()
     for _ in range(LEVELS):
         stream = _members(stream)
         head = b""
@@ -231,19 +242,95 @@ def _escape_layer(layer: Layer) -> Layer | None:
     return _replaced(layer, parts) if parts else None
 
 
+def _base64_bytes(body: str) -> bytes:
+    """What a run decodes to; a last character that stands for no byte is left out."""
+    body = body.rstrip("=").replace("-", "+").replace("_", "/")
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body + "=" * (-len(body) % 4))
+
+
+def _run_starts(run: str, escaped: bool) -> list[int]:
+    """Where in a run base64 may start: at its start, behind the letter of an
+    escape that it may begin with, or behind '/', '-' or '_'.
+
+    A run decodes from one start as from any other one a multiple of four
+    before it, but for what it decodes to ahead, so the first of each remainder
+    will do.
+    """
+    starts = {0: 0}
+    if escaped and run[0] in "nrt":
+        starts[1] = 1
+    for m in SEPARATOR.finditer(run):
+        if len(starts) == 4 or len(run) - m.end() < 16:
+            break
+        starts.setdefault(m.end() % 4, m.end())
+    return sorted(starts.values())
+
+
+def _blocks(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and joined lines of base64 over several lines: as wide as each
+    other, but for a shorter last one and a prefix of the first."""
+    for m in BLOCK.finditer(text):
+        lines = [(x.start(2), x.end(2)) for x in BLOCK_LINE.finditer(text, m.start(), m.end())]
+        i = 0
+        while i + 1 < len(lines):
+            start, end = lines[i]
+            width = end - start
+            after = lines[i + 1][1] - lines[i + 1][0]
+            ahead = text[max(end - after - 2, 0) : end - after]
+            if 16 <= after < width and (ahead[-1:] in "/-_" or ahead in ("\\n", "\\r", "\\t")):
+                yield from _block_from(text, lines, i, end - after)
+            to = yield from _block_from(text, lines, i, start)
+            i = max(to, i + 1)
+
+
+def _block_from(text: str, lines: list[tuple[int, int]], i: int, start: int) -> Iterator:
+    """The block whose first line is that part of line ``i`` from ``start`` on, if
+    there is one; returns the number of the line behind its full lines."""
+    width = lines[i][1] - start
+    to = i + 1
+    if width < 16:
+        return to
+    while to < len(lines) and lines[to][1] - lines[to][0] == width:
+        to += 1
+    own = [(start, lines[i][1]), *lines[i + 1 : to]]
+    # A shorter line ends the block, if it is all of its line and no PEM footer.
+    if to < len(lines) and lines[to][1] - lines[to][0] < width:
+        a, b = lines[to]
+        if not text.startswith("--", a) and LAST_LINE.match(text, b):
+            own.append((a, b))
+    if len(own) > 1:
+        yield own[0][0], own[-1][1], "".join(text[a:b] for a, b in own)
+    return to
+
+
+def _base64_parts(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """Start and end of what may be base64 in a text, and what it decodes to, with
+    compressed bytes also inflated."""
+    for m in BASE64.finditer(text):
+        run = m[0]
+        starts = _run_starts(run, text[m.start() - 1 : m.start()] == "\\")
+        for at in starts:
+            raw = _base64_bytes(run[at:])
+            for part in chain([raw], _inflated(iter([raw]))):
+                yield m.start() + at, m.end(), part
+        for inner in COMPRESSED_RUN.finditer(run):
+            at = inner.start()
+            if at not in starts:
+                # Decoded as far as it can be inflated, as there may be many.
+                raws = (_base64_bytes(run[k : k + 4_096]) for k in range(at, len(run), 4_096))
+                for part in _inflated(raws):
+                    yield m.start() + at, m.end(), part
+    for start, end, body in _blocks(text):
+        raw = _base64_bytes(body)
+        for part in chain([raw], _inflated(iter([raw]))):
+            yield start, end, part
+
+
 def _base64_layers(layer: Layer) -> Iterator[Layer]:
-    for m in BASE64.finditer(layer.text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(body + "=" * (-len(body) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        where = layer.origin(m.start(), m.end())
-        for part in chain([raw], _inflated(raw)):
-            for text in _as_texts(part):
-                yield _whole(text, layer.depth + 1, where)
+    for start, end, raw in _base64_parts(layer.text):
+        for text in _as_texts(raw):
+            yield _whole(text, layer.depth + 1, layer.origin(start, end))
 
 
 def _whole(text: str, depth: int, where: tuple[int, int]) -> Layer:

@@ -139,6 +139,46 @@ def test_secrets_among_other_characters(raw, pack):
     assert [(s.start, s.end, s.kind) for s in found] == [(8, 8 + len(coded), "assign")]
 
 
+def wrapped(raw: bytes, width: int, end: str) -> str:
+    coded = base64.b64encode(raw).decode()
+    return end.join(coded[i : i + width] for i in range(0, len(coded), width))
+
+
+@pytest.mark.parametrize("width", [50, 64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    ", "\n> ", "\\n"])
+@pytest.mark.parametrize("around", [("lead-in ", " tail"), ("-----BEGIN X-----\n", "\n-----END X-----\n"), ("key-", ""), ("'", "'"), ("-----BEGIN X-----\\n", "\\n-----END X-----\\n")])
+def test_secrets_in_wrapped_base64(width, end, around):
+    noise = "".join(random.Random(1).choices("abcdefgh ", k=700)).encode()
+    for before in range(30, 70, 3):
+        coded = wrapped(b"x" * before + b" " + SECRET.encode() + b" y" * 40, width, end)
+        text = around[0] + coded + around[1]
+        start = text.index(coded)
+        assert (start, start + len(coded), "assign") in [(s.start, s.end, s.kind) for s in secrets.find_secrets(text)]
+    for pack in (gzip.compress, zlib.compress):
+        coded = wrapped(pack(noise + SECRET.encode() + noise), width, end)
+        text = around[0] + coded + around[1]
+        masked = secrets.masked(text, secrets.find_secrets(text))
+        assert not any(line and line in masked for line in coded.split(end) if len(line) > 9)
+
+
+@pytest.mark.parametrize("prefix", ["https://host/hook/", "key-", "id_", "a/b-c_d/", "/", "x_" * 9, "//ab/", "k" * 40 + "/"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, lambda x: zlib.compress(x, 1), lambda x: zlib.compress(x, 9)])
+@pytest.mark.parametrize("suffix", ["", "/x", "-abcd"])
+def test_secrets_in_base64_behind_a_prefix(prefix, pack, suffix):
+    coded = base64.urlsafe_b64encode(pack(SECRET.encode())).decode().rstrip("=")
+    text = f"see {prefix}{coded}{suffix} end"
+    found = secrets.find_secrets(text)
+    assert {s.kind for s in found} == {"assign"}
+    assert all(4 <= s.start <= 4 + len(prefix) and s.end >= 4 + len(prefix + coded) for s in found)
+    assert coded not in secrets.masked(text, found)
+
+
+def test_prose_and_lists_are_no_blocks():
+    text = "internationalization\nof\nwords-and-more-words\nDepartment\n" + "\n".join("%040x" % k for k in range(5)) + "\nKind regards"
+    assert {s.kind for s in secrets.find_secrets(text)} == {"hex"}
+    assert all(s.depth == 0 for s in secrets.find_secrets(text))
+
+
 def test_secrets_of_the_text_itself(documents, by_id):
     rng = random.Random(6)
     parts = ["password", "Api_Key", "=", ": ", '"', "'", " ", "abcdef", "0123456789abcdef" * 2, "AKIA", "X" * 16, "é", "%41", "\\x", "ſecret="]
