@@ -291,8 +291,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bits = sets.select("node", "bits").join(classes.select("node", "bands"), "node")
     for pairs_in in (_with_witnesses, _with_all):
         pairs = stored(pairs_in(_mixed_buckets(members, label, bits)), "across")
+        # No pair with a witness does not mean none at all.
         if pairs.isEmpty():
-            break
+            continue
         links = stored(links.unionByName(_verified(pairs, sets)), "links-so-far")
         label = stored(components(links), "labels")
 

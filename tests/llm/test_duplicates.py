@@ -106,6 +106,22 @@ def test_near_duplicates(documents, by_id):
     assert {i: tuple(r.values())[1:] for i, r in got.items()} == near(texts)
 
 
+def test_links_within_a_family_of_one_template(documents, by_id):
+    # Members of the family are alike by 0.6, pairs of them by 0.758: the first member
+    # of a bucket and those drawn from its component tie nothing.
+    rng = random.Random(11)
+
+    def some(n: int) -> str:
+        return " ".join("w%d" % rng.randrange(10**9) for _ in range(n))
+
+    template, texts = some(124), []
+    for k in range(500):
+        pair = some(18)
+        texts += [(2 * k + i, f"{template} {pair} {some(22)}") for i in range(2)]
+    got = by_id(minmax.near_duplicates(documents(texts)))
+    assert [i for i, r in got.items() if r["component_id"] != i - i % 2] == []
+
+
 def test_near_duplicate_rows_without_ids(documents):
     text = " ".join("w%d" % k for k in range(50))
     texts = [(None, text), (None, text), (7, text + " end"), (7, text + " end"), (None, None), (None, None)]
