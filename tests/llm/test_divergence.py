@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import random
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+
+import __spark_entry__ as contract
+from shaftline.llm import divergence
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n bigint, term string, slot int, p int"
+
+
+@pytest.fixture
+def documents(spark):
+    def build(rows):
+        return spark.createDataFrame([(i, *r, 1, "t", 2, 3) for i, r in enumerate(rows)], SCHEMA).repartition(3)
+
+    return build
+
+
+def some_rows(seed: int = 0) -> list[tuple[str | None, str | None, str | None]]:
+    rng = random.Random(seed)
+    words = ["eins", "Zwei", "drei", "über", "Über", "x", "l'eau", "a1b", "中文", "ZWÉI", "_", ""]
+    rows = []
+    for _ in range(260):
+        text = " ".join(rng.choices(words, k=rng.choice([0, 1, 5, 30])))
+        lang = rng.choices(["de", "fr", None, ""], [8, 4, 1, 1])[0]
+        rows.append((rng.choice([text, text.upper(), None]), lang, rng.choice(["a", "b", "é", None, "c"])))
+    rows += [("eins zwei " * 3, "de", "hot")] * 200
+    rows += [(None, "xx", "only"), ("nothing kept", "yy", "a"), ("nothing kept", "yy", "b"), ("eins", "de", "once")]
+    return rows
+
+
+def by_sql(rows, least: int):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (text VARCHAR, lang VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    return sorted(con.execute(divergence.ORACLE.replace(">= 30", f">= {least}")).fetchall())
+
+
+@pytest.mark.parametrize("options", [{}, {"shard_keys": 2}, {"shard_keys": 2, "round_bytes": 1}])
+def test_matches_sql(documents, options):
+    rows = some_rows()
+    got = divergence.source_divergence(documents(rows), least=30, **options)
+    assert sorted(map(tuple, got.collect())) == by_sql(rows, 30)
+
+
+def test_pair_parts_by_blocks():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(0)
+    shares = rng.integers(1, 100, (130, 7))
+    x, at = np.nonzero(shares > 20)
+    rest = np.where(shares > 20, shares, 20)
+    x = np.concatenate([x, np.arange(130)])
+    p = np.concatenate([shares[shares > 20], np.full(130, 20)])
+    at = np.concatenate([at, np.full(130, -1)])
+    found = {}
+    for a in range(3):
+        for b in range(a, 3):
+            own = np.isin(x // divergence.BLOCK_SOURCES, [a, b])
+            n = int(own.sum())
+            table = pa.table({"lang": ["l"] * n, "a": [a] * n, "b": [b] * n, "x": x[own], "at": at[own], "p": p[own], "width": [7] * n})
+            for row in divergence._pair_parts(table).to_pylist():
+                assert (row["x"], row["y"]) not in found
+                found[row["x"], row["y"]] = row["value"]
+    assert found == {(i, j): int(abs(rest[i] - rest[j]).sum()) for i in range(130) for j in range(i + 1, 130)}
+
+
+def test_perfect_hash_is_minimal_and_verifies():
+    keys = [f"word{i}".encode() for i in range(5_000)] + [b"", b"\xff\x00"]
+    seed, sizes, bits = divergence.build_hash(keys)
+    assert int(bits.sum()) == len(keys)
+    packed = np.packbits(bits).tobytes()
+    made = divergence.Shard(seed, sizes, packed, b"", np.zeros(0, np.int64), 0)
+    made.ends = np.zeros(len(keys), np.int64)
+    slots = made.slots(keys, verify=False)
+    assert sorted(slots.tolist()) == list(range(len(keys)))
+    ordered = [keys[i] for i in np.argsort(slots)]
+    shard = divergence.Shard(seed, sizes, packed, b"".join(ordered), np.cumsum([len(k) for k in ordered]), 0)
+    assert (shard.slots(keys) == slots).all()
+    assert (shard.slots([f"other{i}".encode() for i in range(5_000)]) == -1).all()
+    assert divergence.build_hash([])[1] == []
+
+
+def test_very_long_text_and_no_documents(documents):
+    long = "wort " * 300_000 + "z" * 1_000_000
+    rows = [(long, "de", "a")] + [("wort", "de", "b")] * 3
+    got = divergence.source_divergence(documents(rows), least=3).collect()
+    assert sorted(map(tuple, got)) == by_sql(rows, 3)
+    assert divergence.source_divergence(documents([])).collect() == []
+
+
+@pytest.mark.skipif(not Path("/root/testdata").exists(), reason="test tables are not here")
+def test_query_matches_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    name = "op12_source_divergence"
+    want = con.execute(contract.oracle_sql()[name]).fetchall()
+    got = contract.queries()[name](spark, folder)
+    assert sorted(map(tuple, got.collect())) == sorted(want) and want
+    assert got.columns == [c[0] for c in con.description]

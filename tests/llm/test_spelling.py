@@ -1,0 +1,133 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+from itertools import combinations
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from shaftline.llm import spelling
+
+UPPER = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def edits_by_one(a: str, b: str) -> bool:
+    """One inserted, deleted or replaced letter, by trying each."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def brute(texts) -> dict[str, tuple]:
+    counts: Counter[str] = Counter()
+    for i, text in texts:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = run.translate(UPPER)
+            check = crc32(f"{'' if i is None else i}:{word}".encode())
+            if check % 97 == 0:
+                at = check % len(word)
+                word = word[:at] + word[at + 1 :]
+            counts[word] += 1
+    n = {w: c for w, c in counts.items() if len(w) >= 5 and c >= 3}
+    near = {w: set() for w in n}
+    for a, b in combinations(n, 2):
+        if edits_by_one(a, b):
+            near[a].add(b)
+            near[b].add(a)
+    form = {}
+    for word, others in near.items():
+        best = min(others, key=lambda o: (-n[o], o), default=None)
+        form[word] = best if others and n[best] >= 2 * n[word] else None
+    out = {}
+    for word in n:
+        root = word
+        while form[root]:
+            root = form[root]
+        out[word] = (form[word], root, n[word], len(near[word]), n[form[word]] if form[word] else None)
+    return out
+
+
+def found(df) -> dict[str, tuple]:
+    rows = df.collect()
+    assert len({r.word for r in rows}) == len(rows)
+    return {r.word: tuple(r)[1:] for r in rows}
+
+
+def some_texts(seed: int, letters: str, docs: int = 150) -> list[tuple[int | None, str | None]]:
+    rng = random.Random(seed)
+    base = ["".join(rng.choices(letters, k=rng.randint(5, 7))) for _ in range(25)]
+    words = list(base)
+    for word in base:
+        for _ in range(4):
+            k = rng.randrange(len(word))
+            words.append(rng.choice([word[:k] + word[k + 1 :], word[:k] + rng.choice(letters) + word[k:],
+                                     word[:k] + rng.choice(letters) + word[k + 1 :]]))
+    weights = [1 / (1 + rng.randrange(60)) for _ in words]
+    texts = [(i, " ".join(rng.choices(words, weights, k=40))) for i in range(docs)]
+    return texts + [(None, texts[0][1]), (5, None), (6, ""), texts[3], (9, texts[4][1].upper())]
+
+
+@pytest.mark.parametrize("tile_words", [spelling.TILE_WORDS, 3])
+@pytest.mark.parametrize("letters", ["abc", "abéÉÿ×", "etaoinshrdlu"])
+def test_equals_trying_all_pairs(documents, tile_words, letters):
+    texts = some_texts(len(letters), letters)
+    want = brute(texts)
+    assert found(spelling.spelling_variants(documents(texts), tile_words)) == want
+    assert any(v[0] for v in want.values())
+
+
+def test_chain_of_forms(documents):
+    texts = []
+    for n, word in ((3, "aaaaaa"), (6, "aaaaab"), (12, "aaaabb"), (24, "aaabbb"), (48, "aabbbb"), (99, "abbbbb")):
+        texts += [(1, word)] * n
+    got = found(spelling.spelling_variants(documents(texts)))
+    assert got == brute(texts)
+    assert {v[1] for v in got.values()} == {"abbbbb"}
+
+
+def test_ties_go_to_the_first_by_code_point(documents):
+    texts = [(1, "wordy " * 10 + "words " * 10 + "wordé " * 10 + "wordx " * 3)]
+    got = found(spelling.spelling_variants(documents(texts)))
+    assert got == brute(texts)
+    assert got["wordx"][0] == "words"
+
+
+def test_long_words_and_no_documents(documents):
+    long = "ab" * 200_000
+    texts = [(1, f"{long} {long}x {long}"), (2, f"{long} " * 4), (3, f"{long}x {long}x")]
+    got = found(spelling.spelling_variants(documents(texts)))
+    assert {len(w): v[2:] for w, v in got.items()} == {len(w): v[2:] for w, v in brute(texts).items()}
+    empty = spelling.spelling_variants(documents([]))
+    assert empty.collect() == []
+    assert empty.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert spelling.spelling_variants(documents([(1, None), (2, "ab cd")])).collect() == []
+
+
+def test_neighbours_meet_once(spark):
+    """Each pair of words one edit apart is in blocks that meet, from one side only."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(5, 7))) for _ in range(80)]
+    frame = spark.createDataFrame([(w.encode(), 3) for w in set(words)], "word binary, n bigint")
+    rows = spelling._with_cell(frame).withColumn("next", spelling._neighbours(spelling.F.col("cell"))).collect()
+    cells = {bytes(r.word).decode(): (r.cell, set(r.next)) for r in rows}
+    for a, b in combinations(sorted(set(words)), 2):
+        meet = (cells[b][0] in cells[a][1]) + (cells[a][0] in cells[b][1])
+        same = cells[a][0] == cells[b][0]
+        assert meet == 2 * same or not same and meet <= 1
+        assert meet or not edits_by_one(a, b)
+
+
+def test_gram_gives_the_pairs_that_letters_confirm():
+    rng = np.random.default_rng(2)
+    a = rng.integers(97, 100, (200, 6)).astype(np.uint8)
+    b = rng.integers(97, 100, (150, 7)).astype(np.uint8)
+    for left, right in ((a, b), (a, a), (b, b)):
+        i, j = spelling.near_pairs(left, right)
+        names = [[bytes(w).decode() for w in t] for t in (left, right)]
+        want = {(x, y) for x, v in enumerate(names[0]) for y, w in enumerate(names[1]) if edits_by_one(v, w)}
+        assert set(zip(i.tolist(), j.tolist())) == want
