@@ -22,10 +22,12 @@ from shaftline.llm.common import find_library, stored
 NEAREST = 20
 QUERY_EVERY = 20
 # The index is fitted on at most so many vectors, and so many bytes of them.
-SAMPLE_ROWS = 65_536
-SAMPLE_BYTES = 64 << 20
+SAMPLE_ROWS = 32_768
+SAMPLE_BYTES = 32 << 20
 # Queries of the sample that say how many lists hold the neighbours that are asked for.
 SAMPLE_QUERIES = 512
+# Rows that are held against all lists, or the sample, at a time.
+AT_ONCE = 2_048
 SAMPLE_RECALL = 0.97
 MOST_LISTS = 1_024
 # Lists that are read first, whole, to know how near a candidate has to be.
@@ -99,7 +101,9 @@ class Index:
 
     def assigned(self, units: np.ndarray) -> np.ndarray:
         c = self.centroids
-        return (np.einsum("ij,ij->i", c, c)[None] - 2 * (units @ c.T)).argmin(axis=1)
+        squares = np.einsum("ij,ij->i", c, c)[None]
+        parts = (units[at : at + AT_ONCE] for at in range(0, len(units), AT_ONCE))
+        return np.concatenate([np.zeros(0, np.int64), *((squares - 2 * (p @ c.T)).argmin(axis=1) for p in parts)])
 
 
 def fit(sample: np.ndarray, scale: float, rows: int, nearest: int = NEAREST, seed: int = 0) -> Index:
@@ -128,16 +132,18 @@ def fit(sample: np.ndarray, scale: float, rows: int, nearest: int = NEAREST, see
     index.centroids = index.centroids[chain]
     own = index.assigned(units)
     asked = rng.choice(n, min(n, SAMPLE_QUERIES), replace=False)
-    flat, _ = index.directions(sample[asked])
-    scores = flat @ units.T
-    scores[np.arange(len(asked)), asked] = -np.inf
     wanted = min(nearest, n - 1)
     if wanted:
-        best = np.argpartition(-scores, wanted - 1, axis=1)[:, :wanted]
-        order = index.near_lists(flat)
-        place = np.empty_like(order)
-        np.put_along_axis(place, order, np.arange(k)[None], axis=1)
-        found = np.bincount(np.take_along_axis(place, own[best], axis=1).ravel(), minlength=k).cumsum()
+        found = np.zeros(k, np.int64)
+        for at in range(0, len(asked), 32):
+            some = asked[at : at + 32]
+            flat, _ = index.directions(sample[some])
+            scores = flat @ units.T
+            scores[np.arange(len(some)), some] = -np.inf
+            best = np.argpartition(-scores, wanted - 1, axis=1)[:, :wanted]
+            place = np.argsort(index.near_lists(flat), axis=1)
+            found += np.bincount(np.take_along_axis(place, own[best], axis=1).ravel(), minlength=k)
+        found = found.cumsum()
         index.probes = int(np.searchsorted(found, SAMPLE_RECALL * found[-1])) + 1
     index.probes = max(index.probes, min(k, FIRST_LISTS))
     return index
@@ -182,9 +188,29 @@ def _assign(vectors: DataFrame, index: Index) -> DataFrame:
     return narrow.mapInArrow(run, f"gid bigint, first bigint, embedding {kind}, list int")
 
 
-def _layout(sizes: dict[int, int], lists: int, block_rows: int) -> tuple[np.ndarray, np.ndarray]:
+@dataclass
+class Layout:
     """First block of each list, and how many blocks it is dealt to. Small lists
     next to each other share a block."""
+
+    first: np.ndarray
+    spread: np.ndarray
+
+    def deal(self, rows: DataFrame, list_: str, key: str, block: str) -> DataFrame:
+        """``rows`` with the ``block`` of their ``list_``, spread by ``key`` where it has several."""
+        table = [(i, int(a), int(b)) for i, (a, b) in enumerate(zip(self.first, self.spread))]
+        where = rows.sparkSession.createDataFrame(table, f"{list_} int, __start bigint, __spread bigint")
+        number = F.col("__start") + F.pmod(F.xxhash64(key), F.col("__spread"))
+        return rows.join(where, list_).withColumn(block, number).drop("__start", "__spread")
+
+
+def _layout(rows: DataFrame, list_: str, lists: int, block_rows: int) -> Layout:
+    """For rows that are each in a list; the driver gets one number per list."""
+    counted = rows.groupBy(list_).agg(F.count(F.lit(1)).alias("n")).collect()
+    return layout({r[list_]: r["n"] for r in counted}, lists, block_rows)
+
+
+def layout(sizes: dict[int, int], lists: int, block_rows: int) -> Layout:
     first, spread = np.zeros(lists, np.int64), np.ones(lists, np.int64)
     block, held = 0, 0
     for own in range(lists):
@@ -197,21 +223,23 @@ def _layout(sizes: dict[int, int], lists: int, block_rows: int) -> tuple[np.ndar
             block, held = block + int(spread[own]), 0
         else:
             held += n
-    return first, spread
+    return Layout(first, spread)
 
 
 _BLOCK = "block bigint, gids array<bigint>, firsts array<bigint>, lists array<int>, rotated binary, originals binary"
 
 
-def _blocks(assigned: DataFrame, index: Index, first: np.ndarray, spread: np.ndarray) -> DataFrame:
+def _kind(vectors: DataFrame) -> str:
+    """In what numpy type the original components are kept, without loss."""
+    element = vectors.schema["embedding"].dataType.elementType.simpleString()
+    return "f4" if element == "float" else "f8"
+
+
+def _blocks(assigned: DataFrame, index: Index, places: Layout) -> DataFrame:
     """One row per block: rotated vectors, column block by column block, and the
     original ones."""
-    spark = assigned.sparkSession
-    table = [(i, int(a), int(b)) for i, (a, b) in enumerate(zip(first, spread))]
-    where = spark.createDataFrame(table, "list int, start bigint, spread bigint")
-    dealt = assigned.join(where, "list").withColumn(
-        "block", F.col("start") + F.pmod(F.xxhash64("gid"), F.col("spread"))
-    )
+    kind = _kind(assigned)
+    dealt = places.deal(assigned, "list", "gid", "block")
 
     def build(group: pa.Table) -> pa.Table:
         vectors = index.matrix(group["embedding"].combine_chunks())
@@ -224,7 +252,7 @@ def _blocks(assigned: DataFrame, index: Index, first: np.ndarray, spread: np.nda
                 "firsts": pa.array([group["first"].to_pylist()], pa.list_(pa.int64())),
                 "lists": pa.array([group["list"].to_pylist()], pa.list_(pa.int32())),
                 "rotated": pa.array([b"".join(c.tobytes() for c in cut)], pa.binary()),
-                "originals": pa.array([vectors.tobytes()], pa.binary()),
+                "originals": pa.array([vectors.astype(kind).tobytes()], pa.binary()),
             }
         )
 
@@ -260,7 +288,9 @@ def scan_block(
     return alive[partial <= limit + _SLACK]
 
 
-def _scan(queries: pa.Table, blocks: pa.Table, index: Index, keep: int, strict: float) -> dict[str, np.ndarray]:
+def _scan(
+    queries: pa.Table, blocks: pa.Table, index: Index, kind: str, keep: int, strict: float
+) -> dict[str, np.ndarray]:
     gids = blocks["gids"][0].values.to_numpy()
     firsts = blocks["firsts"][0].values.to_numpy()
     lists = blocks["lists"][0].values.to_numpy()
@@ -270,7 +300,7 @@ def _scan(queries: pa.Table, blocks: pa.Table, index: Index, keep: int, strict:
     for c in range(0, index.dims + 1, COLUMNS):
         width = min(COLUMNS, index.dims + 1 - c)
         columns.append(flat[c * n : (c + width) * n].reshape(width, n))
-    originals = np.frombuffer(blocks["originals"][0].as_buffer(), np.float64).reshape(n, index.dims)
+    originals = np.frombuffer(blocks["originals"][0].as_buffer(), kind).reshape(n, index.dims)
 
     qids = queries["qid"].to_numpy()
     asked = index.matrix(queries["embedding"].combine_chunks())
@@ -298,7 +328,7 @@ def _scan(queries: pa.Table, blocks: pa.Table, index: Index, keep: int, strict:
             left = scan_block(columns, turned[q], wanted, partial[row, wanted], float(limits[q]), strict)
             if not len(left):
                 continue
-            score = originals[left] @ asked[q]
+            score = originals[left].astype(np.float64) @ asked[q]
             order = np.lexsort((firsts[left], -score))[:keep]
             out["qid"].append(np.full(len(order), qids[q]))
             out["gid"].append(gids[left[order]])
@@ -311,58 +341,63 @@ def _scan(queries: pa.Table, blocks: pa.Table, index: Index, keep: int, strict:
     }
 
 
-def _probed(
-    queries: DataFrame, blocks: DataFrame, index: Index, first: np.ndarray, spread: np.ndarray,
-    lists: slice, keep: int, strict: float, query_rows: int,
-) -> DataFrame:
-    """Best candidates of each query (``qid``, ``embedding``, ``worst``) in some of its
-    lists, at most ``keep`` per block.
-
-    Queries whose nearest lists lie together are dealt together, in parts of
-    ``query_rows``, and a block goes to the parts that read it.
-    """
+def _homes(queries: DataFrame, index: Index) -> DataFrame:
+    """Queries (``qid``, ``embedding``) with the list nearest to each."""
     kind = queries.schema["embedding"].dataType.simpleString()
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, _ = index.directions(index.matrix(batch["embedding"]))
-            order = index.near_lists(flat)
-            take, block, own, home = [], [], [], []
-            for row, chosen in enumerate(order[:, lists].tolist()):
-                reads: dict[int, list[int]] = {}
-                for one in chosen:
-                    for b in range(int(first[one]), int(first[one] + spread[one])):
-                        reads.setdefault(b, []).append(one)
-                take += [row] * len(reads)
-                block += reads.keys()
-                own += reads.values()
-                home += [int(first[order[row, 0]])] * len(reads)
-            rows = pa.array(take, pa.int32())
+            own = index.assigned(index.directions(index.matrix(batch["embedding"]))[0])
             yield pa.RecordBatch.from_arrays(
-                [batch["qid"].take(rows), batch["embedding"].take(rows), batch["worst"].take(rows),
-                 pa.array(block, pa.int64()), pa.array(own, pa.list_(pa.int32())), pa.array(home, pa.int64())],
-                ["qid", "embedding", "worst", "block", "lists", "home"],
+                [*batch.columns, pa.array(own.astype(np.int32))], [*batch.schema.names, "home"]
             )
 
-    reading = queries.mapInArrow(
-        deal, f"qid bigint, embedding {kind}, worst double, block bigint, lists array<int>, home bigint"
+    return queries.mapInArrow(run, f"qid bigint, embedding {kind}, home int")
+
+
+def _probed(
+    queries: DataFrame, blocks: DataFrame, index: Index, places: Layout, lists: slice, keep: int, strict: float
+) -> DataFrame:
+    """Best candidates of each query (``qid``, ``embedding``, ``part``, ``worst``) in some of
+    its lists, at most ``keep`` per block. A block goes once to each part of the
+    queries that reads it."""
+    kind, stored_as = queries.schema["embedding"].dataType.simpleString(), _kind(queries)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, AT_ONCE):
+                batch = whole.slice(at, AT_ONCE)
+                flat, _ = index.directions(index.matrix(batch["embedding"]))
+                take, block, own = [], [], []
+                for row, chosen in enumerate(index.near_lists(flat)[:, lists].tolist()):
+                    reads: dict[int, list[int]] = {}
+                    for one in chosen:
+                        first = int(places.first[one])
+                        for b in range(first, first + int(places.spread[one])):
+                            reads.setdefault(b, []).append(one)
+                    take += [row] * len(reads)
+                    block += reads.keys()
+                    own += reads.values()
+                rows = pa.array(take, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch[c].take(rows) for c in ("qid", "embedding", "worst", "part")),
+                     pa.array(block, pa.int64()), pa.array(own, pa.list_(pa.int32()))],
+                    ["qid", "embedding", "worst", "part", "number", "lists"],
+                )
+
+    narrow = queries.select("qid", "embedding", "worst", "part")
+    reading = narrow.mapInArrow(
+        deal, f"qid bigint, embedding {kind}, worst double, part bigint, number bigint, lists array<int>"
     )
-    # Queries of one home block, and how many parts they make.
-    homes = reading.groupBy("home").agg(F.approx_count_distinct("qid").alias("own"))
-    parts = homes.select("home", F.ceil(F.col("own") / query_rows).alias("parts"))
-    reading = reading.join(parts, "home").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")))
-    reading = stored(reading.drop("parts"), "readings")
-    wanted = reading.select("block", F.col("home").alias("to"), F.col("part").alias("nth")).distinct()
+    reading = stored(reading, "readings")
+    wanted = reading.select(F.col("number").alias("block"), F.col("part").alias("to")).distinct()
     sent = blocks.join(wanted, "block")
 
     def scan(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        return pa.table(_scan(left, right, index, keep, strict))
+        return pa.table(_scan(left, right, index, stored_as, keep, strict))
 
-    asking = reading.withColumnRenamed("block", "number")
-    pairs = asking.groupBy("number", "home", "part").cogroup(sent.groupBy("block", "to", "nth"))
-    return pairs.applyInArrow(
-        scan, "qid bigint, gid bigint, first bigint, score double"
-    )
+    pairs = reading.groupBy("number", "part").cogroup(sent.groupBy("block", "to"))
+    return pairs.applyInArrow(scan, "qid bigint, gid bigint, first bigint, score double")
 
 
 _RESULT = "query_id bigint, rank int, vec_id bigint, score double"
@@ -404,28 +439,29 @@ def nearest_vectors(
         index.probes = min(probes, len(index.centroids))
 
     assigned = stored(_assign(vectors, index), "listed-vectors")
-    sizes = {r["list"]: r["n"] for r in assigned.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    first, spread = _layout(sizes, len(index.centroids), block_rows)
-    blocks = stored(_blocks(assigned, index, first, spread), "vector-blocks")
+    lists = len(index.centroids)
+    places = _layout(assigned, "list", lists, block_rows)
+    blocks = stored(_blocks(assigned, index, places), "vector-blocks")
 
     asked = rows.where(F.col("vec_id") % every == 0).distinct()
     asked = asked.join(vectors.select("gid", "embedding"), "embedding").select("vec_id", "gid", "embedding")
     asked = stored(asked, "queries")
-    # All queries of a vector have the same candidates.
-    queries = asked.select(F.col("gid").alias("qid"), "embedding").distinct()
+    # All queries of a vector have the same candidates. Those whose nearest lists lie
+    # together are in one part, as they read much the same blocks.
+    each = asked.select(F.col("gid").alias("qid"), "embedding").distinct()
+    homes = stored(_homes(each, index), "query-homes")
+    queries = _layout(homes, "home", lists, query_rows).deal(homes, "home", "qid", "part")
 
     start = min(FIRST_LISTS, index.probes)
     fresh = queries.withColumn("worst", F.lit(None).cast("double"))
-    seen = stored(
-        _probed(fresh, blocks, index, first, spread, slice(0, start), keep, strict, query_rows), "first-found"
-    )
+    seen = stored(_probed(fresh, blocks, index, places, slice(0, start), keep, strict), "first-found")
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "first")
     found = seen
     if index.probes > start:
         last = seen.withColumn("nth", F.row_number().over(best)).where(F.col("nth") == keep)
         bounded = queries.join(last.select("qid", F.col("score").alias("worst")), "qid", "left")
         rest = slice(start, index.probes)
-        more = _probed(bounded, blocks, index, first, spread, rest, keep, strict, query_rows)
+        more = _probed(bounded, blocks, index, places, rest, keep, strict)
         found = seen.unionByName(stored(more, "more-found"))
 
     few = found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= keep)

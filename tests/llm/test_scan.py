@@ -107,9 +107,9 @@ def test_the_test_drops_far_candidates_early():
 
 
 def test_lists_share_blocks_and_large_ones_spread():
-    first, spread = scan._layout({0: 3, 1: 3, 2: 25, 3: 1}, 5, 10)
-    assert first.tolist() == [0, 0, 1, 4, 4]
-    assert spread.tolist() == [1, 1, 3, 1, 1]
+    places = scan.layout({0: 3, 1: 3, 2: 25, 3: 1}, 5, 10)
+    assert places.first.tolist() == [0, 0, 1, 4, 4]
+    assert places.spread.tolist() == [1, 1, 3, 1, 1]
 
 
 def test_short_vectors_are_filled_up():
