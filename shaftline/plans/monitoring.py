@@ -33,6 +33,7 @@ from shaftline.sources.scratch import scratch_path
 from shaftline.sources.tables import (
     Receipt,
     drop_partitions,
+    drop_table,
     publish,
     read_table,
     table_exists,
@@ -85,6 +86,11 @@ class Tables:
     def scored(self) -> str:
         return f"{self.target}/scored"
 
+    @property
+    def pending(self) -> str:
+        """Where an update says what it is about to replace, until it has."""
+        return f"{self.target}/pending"
+
     def report(self, name: str) -> str:
         return f"{self.target}/reports/{name}"
 
@@ -216,52 +222,64 @@ def update_monitoring(
 
     With ``whole_days`` the readings are all those of their days and replace
     them; a day left without a usable reading is removed. The number of days
-    touched is bounded by the calendar.
+    touched is bounded by the calendar. Readings without a time are a day of
+    their own, the null one, as in a run.
+
+    What an update replaces is written down first, and where its clean rows wait. If it
+    fails between two tables, the next call replaces those clean rows again and
+    brings all tables up to date for their days too.
     """
     if set(cfg.sentinels) - set(cfg.measures):
         # Blanked, two rows that were different could no longer be told apart.
         raise ValueError("updates need every sentinel to be in a measure")
     tables = Tables(target)
     dated = with_date(readings, cfg.time, cfg.date)
-    days = [row[0] for row in dated.select(cfg.date).distinct().collect() if row[0] is not None]
-    touched = F.col(cfg.date).isin(days) if days else F.lit(False)
-    unusable = F.col(cfg.date).isNull()
-    batch = dated.where(usable(readings, cfg) & ~unusable)
+    batch = dated.where(usable(readings, cfg))
     schemas = {"clean": batch.schema}
-    started = table_exists(spark, tables.clean)
-    if started and not whole_days:
-        kept = read_table(spark, tables.clean, batch.schema).where(touched)
-        batch = kept.unionByName(batch)
     layout = {"partition_by": [cfg.date], "sort_by": [cfg.key]}
 
+    def replace(frame: DataFrame, path: str, only: Sequence[object], left: set, **how: object) -> None:
+        write_table(frame, path, partition_by=[cfg.date], only_given_partitions=True, **how)
+        drop_partitions(spark, path, cfg.date, [day for day in only if day not in left])
+
+    unfinished = _pending(spark, tables, schemas["clean"], cfg)
+    for waiting, days in unfinished:
+        replace(waiting, tables.clean, days, _days_of(waiting, cfg), arrange=False)
+    own = _days_of(dated, cfg)
+    again = {day for _, days in unfinished for day in days} - own
+    days = _in_order(own | again)
+    touched = _on_days(days, cfg)
+    started = table_exists(spark, tables.clean)
+    if started:
+        kept = _on_days(_in_order(again), cfg) if whole_days else touched
+        batch = read_table(spark, tables.clean, batch.schema).where(kept).unionByName(batch)
+
     # The partitions that are replaced are read by what replaces them.
     waiting = scratch_path(spark, "clean")
     write_table(dedup(batch), waiting, partition_by=[cfg.date])
     fresh = read_table(spark, waiting, schemas["clean"])
-    left = {row[0] for row in fresh.select(cfg.date).distinct().collect()}
-
-    def replace(frame: DataFrame, path: str, only: Sequence[object], **how: object) -> None:
-        write_table(frame, path, partition_by=[cfg.date], only_given_partitions=True, **how)
-        drop_partitions(spark, path, cfg.date, [day for day in only if day not in left])
+    left = _days_of(fresh, cfg)
+    _note_pending(spark, tables, waiting, days)
 
-    replace(fresh, tables.clean, days, arrange=False)
+    replace(fresh, tables.clean, days, left, arrange=False)
     daily = daily_from_clean(fresh.drop(cfg.date), cfg)
     schemas["daily"] = daily.schema
-    replace(daily, tables.daily, days, sort_by=[cfg.key])
+    replace(daily, tables.daily, days, left, sort_by=[cfg.key])
 
     daily = read_table(spark, tables.daily, schemas["daily"])
     flagged = flagged_days(daily, cfg)
     schemas["flagged"] = flagged.schema
-    replace(flagged.where(touched), tables.flagged, days, sort_by=[cfg.key], arrange=False)
+    replace(flagged.where(touched), tables.flagged, days, left, sort_by=[cfg.key], arrange=False)
 
     scored = baseline_zscore(daily, **cfg.baseline_rule, cfg=cfg)
     schemas["scored"] = scored.schema
-    if started and _same_elsewhere(spark, scored, tables, ~touched):
-        replace(scored.where(touched), tables.scored, days, sort_by=[cfg.key])
+    if table_exists(spark, tables.scored) and _same_elsewhere(spark, scored, tables, ~touched):
+        replace(scored.where(touched), tables.scored, days, left, sort_by=[cfg.key])
     else:
         write_table(scored, tables.scored, **layout)
 
     tables = _store_reports(spark, Tables(target, schemas), cfg)
+    drop_table(spark, tables.pending)
     counted = tables.read(spark, "flagged").agg(
         F.count(F.lit(1)), F.count_if(is_restricted(cfg))
     )
@@ -270,6 +288,41 @@ def update_monitoring(
     return Run(tables, receipt, None)
 
 
+def _days_of(dated: DataFrame, cfg: Monitor) -> set:
+    """Days of some rows, ``None`` for rows without one; the calendar bounds their number."""
+    return {row[0] for row in dated.select(cfg.date).distinct().collect()}
+
+
+def _in_order(days: set) -> list:
+    return sorted(days, key=lambda day: (day is not None, day))
+
+
+def _on_days(days: Sequence[object], cfg: Monitor) -> Column:
+    day, known = F.col(cfg.date), [day for day in days if day is not None]
+    inside = F.coalesce(day.isin(known), F.lit(False)) if known else F.lit(False)
+    return inside | day.isNull() if None in days else inside
+
+
+def _note_pending(spark: SparkSession, tables: Tables, waiting: str, days: Sequence[object]) -> None:
+    """Write down where clean rows wait and which days they replace, in one file."""
+    rows = [(waiting, day) for day in days]
+    write_table(spark.createDataFrame(rows, "waiting string, day date").coalesce(1), tables.pending)
+
+
+def _pending(
+    spark: SparkSession, tables: Tables, schema: T.StructType, cfg: Monitor
+) -> list[tuple[DataFrame, list]]:
+    """What an earlier update has not finished: clean rows that wait, and their days."""
+    if not table_exists(spark, f"{tables.pending}/_SUCCESS"):
+        return []
+    noted = read_table(spark, tables.pending).collect()
+    paths = sorted({row["waiting"] for row in noted})
+    return [
+        (read_table(spark, path, schema), [row["day"] for row in noted if row["waiting"] == path])
+        for path in paths
+    ]
+
+
 def _same_elsewhere(
     spark: SparkSession, scored: DataFrame, tables: Tables, elsewhere: Column
 ) -> bool:

@@ -262,6 +262,71 @@ ORDER BY MaxVibrationReached DESC, l_suppkey"""
 _WORST_Z = """SELECT MachineID, round(max(ZScore), 6) + 0.0 AS MaxZScore FROM s GROUP BY MachineID
 ORDER BY max(ZScore) DESC NULLS LAST, MachineID"""
 
+def _asof(recent: str) -> str:
+    """Every reading with the latest state of its machine; ``recent`` bounds its age."""
+    columns = ("StateSince", "StateId", "State")
+    told = ", ".join(f"CASE WHEN true{recent} THEN {c} END AS {c}" for c in columns)
+    return _with(
+        READINGS
+        + """,
+st AS (
+  SELECT CAST(event_id % 20 + 1 AS INTEGER) AS machine, ts AS StateSince, event_id AS StateId,
+         event_type AS State
+  FROM events WHERE event_id % 7 = 3
+  QUALIFY row_number() OVER (PARTITION BY event_id % 20, ts
+                             ORDER BY event_id DESC, event_type DESC) = 1
+)""",
+        f"""SELECT MachineID, "Timestamp", VibrationVelocity, {told}
+FROM r ASOF LEFT JOIN st ON r.MachineID = st.machine AND r."Timestamp" >= st.StateSince""",
+    )
+
+
+# Rows of one minute of each hour come last, three days behind the others at most.
+_TOO_LATE = """(minute("Timestamp") = 31 AND "Timestamp" < (
+    SELECT max("Timestamp") - INTERVAL 3 DAY FROM r
+    WHERE minute("Timestamp") <> 31 AND "Timestamp" < TIMESTAMP '2024-01-25'))"""
+
+_STEPS_OF_READINGS = (
+    READINGS
+    + """,
+steps AS (
+  SELECT MachineID, "Timestamp", before,
+         CASE WHEN before IS NULL OR epoch_us("Timestamp") - epoch_us(before) > 10800000000
+              THEN 1 ELSE 0 END AS opens
+  FROM (SELECT *, lag("Timestamp") OVER (PARTITION BY MachineID ORDER BY "Timestamp") AS before
+        FROM r)
+)"""
+)
+
+_DRIFT = (
+    CLEAN.replace("e AS (", "WITH RECURSIVE e AS (", 1)
+    + """,
+o AS (
+  SELECT MachineID AS m, "Timestamp" AS t, VibrationVelocity AS v,
+         Status = 'error' AND hour("Timestamp") = 3 AS restart,
+         row_number() OVER (PARTITION BY MachineID
+                            ORDER BY "Timestamp", VibrationVelocity, restart) AS n
+  FROM c
+),
+walk AS (
+  SELECT m, n, t, v, v AS a, greatest(0.0::DOUBLE, 0.0::DOUBLE + (v - 0.95::DOUBLE) - 0.05::DOUBLE) AS u,
+         greatest(0.0::DOUBLE, 0.0::DOUBLE - (v - 0.95::DOUBLE) - 0.05::DOUBLE) AS d
+  FROM o WHERE n = 1
+  UNION ALL
+  SELECT o.m, o.n, o.t, o.v,
+         CASE WHEN restart THEN o.v
+              ELSE (1.0::DOUBLE - 0.2::DOUBLE) * a + 0.2::DOUBLE * o.v END,
+         greatest(0.0::DOUBLE, CASE WHEN restart THEN 0.0::DOUBLE ELSE u END
+                               + (o.v - 0.95::DOUBLE) - 0.05::DOUBLE),
+         greatest(0.0::DOUBLE, CASE WHEN restart THEN 0.0::DOUBLE ELSE d END
+                               - (o.v - 0.95::DOUBLE) - 0.05::DOUBLE)
+  FROM walk JOIN o ON o.m = walk.m AND o.n = walk.n + 1
+)
+SELECT m AS MachineID, t AS "Timestamp", v AS VibrationVelocity, round(a, 6) AS Ewma,
+       round(u, 6) + 0.0 AS CusumUp, round(d, 6) + 0.0 AS CusumDown
+FROM walk"""
+)
+
 ORACLES: dict[str, str] = {
     "csv_ingest": _with(READINGS, "SELECT * FROM r"),
     "schema_profile": _profile(),
@@ -374,6 +439,38 @@ FROM d LEFT JOIN b USING (l_suppkey)""",
     ),
     "worst_zscore": _with(SCORED, _WORST_Z),
     "worst_zscore_top": _with(SCORED, f"{_WORST_Z} LIMIT 5"),
+    "asof_state": _asof(""),
+    "asof_state_recent": _asof(
+        """ AND epoch_us("Timestamp") - epoch_us(StateSince) <= 3600000000"""
+    ),
+    "shipments_in_windows": """
+SELECT part, l_orderkey, l_linenumber, l_shipdate, o_orderkey, opens, closes
+FROM (SELECT l_orderkey, l_linenumber, l_partkey AS part, l_shipdate FROM lineitem)
+JOIN (SELECT o_orderkey, o_custkey AS part, o_orderdate AS opens,
+             o_orderdate + to_days(CAST(CASE WHEN o_orderkey % 97 = 0 THEN 400
+                                             ELSE o_orderkey % 9 END AS INTEGER)) AS closes
+      FROM orders) USING (part)
+WHERE opens <= l_shipdate AND l_shipdate < closes""",
+    "reporting_gaps": _with(
+        _STEPS_OF_READINGS,
+        f"""SELECT MachineID, before AS GapStart, "Timestamp" AS GapEnd,
+       (epoch_us("Timestamp") - epoch_us(before)) / 1000000.0::DOUBLE AS Seconds
+FROM steps WHERE opens = 1 AND before IS NOT NULL""",
+    ),
+    "reporting_sessions": _with(
+        _STEPS_OF_READINGS,
+        """SELECT MachineID, min("Timestamp") AS SessionStart, max("Timestamp") AS SessionEnd,
+       count(*) AS Readings
+FROM (SELECT *, sum(opens) OVER (PARTITION BY MachineID ORDER BY "Timestamp", before NULLS FIRST
+                                 ROWS UNBOUNDED PRECEDING) AS session FROM steps)
+GROUP BY MachineID, session""",
+    ),
+    "vibration_drift": _DRIFT,
+    "streaming_daily": _with(
+        DAILY.replace("FROM (SELECT DISTINCT * FROM r)", f"FROM (SELECT DISTINCT * FROM r WHERE NOT {_TOO_LATE})"),
+        "SELECT * FROM d",
+    ),
+    "streaming_late_rows": _with(READINGS, f"SELECT * FROM r WHERE {_TOO_LATE}"),
     "vibration_trend_series": _with(
         DAILY,
         """SELECT MachineID, "Date", AvgVibration, MachineID IN (3, 11, 17) AS Highlighted,
@@ -411,4 +508,11 @@ FROM ({_STEPS})""",
     "stored_run_incremental": _with(
         _STORED, f"SELECT (SELECT count(*) FROM c) AS FinalRows, {_HEADLINES}"
     ),
+    "stored_run_untimed": _with(
+        _STORED.replace(
+            'ts AS "Timestamp"',
+            """CASE WHEN event_type <> 'signup' OR minute(ts) <> 7 THEN ts END AS "Timestamp\"""",
+        ),
+        f"""SELECT (SELECT count(*) FROM d WHERE "Date" IS NULL) AS UntimedDays, {_HEADLINES}""",
+    ),
 }

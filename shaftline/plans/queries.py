@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from shaftline.config import FAULTY_MACHINES, ZONES, DailyMeasure, Monitor
 from shaftline.operators import baseline as bl
 from shaftline.operators import charts, cleaning, grading, quality, rollup
+from shaftline.operators.asof import asof_join
+from shaftline.operators.drift import Drift, drift
+from shaftline.operators.intervals import interval_join
+from shaftline.operators.sessions import reporting_gaps, reporting_sessions
 from shaftline.plans.event_readings import EVENT_MONITOR as CFG
 from shaftline.plans.event_readings import event_readings
 from shaftline.plans.monitoring import (
@@ -22,6 +26,7 @@ from shaftline.plans.monitoring import (
     update_monitoring,
 )
 from shaftline.sources.scratch import scratch_path
+from shaftline.streaming.rollup import Stream, advance, late_rows, streamed_daily
 from shaftline.sources.tables import (
     publish,
     read_readings,
@@ -172,6 +177,84 @@ def stored_run_incremental(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stored_run_untimed(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches some of whose readings have no time: a day of their own, as in one run."""
+    readings, target = event_readings(spark, sf), scratch_path(spark, "untimed")
+    timed = F.when((F.col("Status") != "signup") | (F.minute(CFG.time) != 7), F.col(CFG.time))
+    readings, machine = readings.withColumn(CFG.time, timed), F.col(CFG.key)
+    for batch in (machine <= 12, machine > 8):
+        run = update_monitoring(spark, readings.where(batch), target, CFG)
+    untimed = run.tables.read(spark, "daily").where(F.col(CFG.date).isNull()).count()
+    return inspect_run(spark, run.tables, CFG).select(
+        F.lit(run.receipt.rows).cast("bigint").alias("MachineDays"),
+        F.lit(untimed).cast("bigint").alias("UntimedDays"),
+        "*",
+    )
+
+
+def machine_states(spark: SparkSession, sf: str) -> DataFrame:
+    """States that machines enter: every seventh event tells one."""
+    events = read_table(spark, f"{sf}/events.parquet").where("event_id % 7 = 3")
+    return events.selectExpr(
+        "CAST(event_id % 20 + 1 AS INT) AS MachineID",
+        "ts AS StateSince",
+        "event_id AS StateId",
+        "event_type AS State",
+    )
+
+
+def asof_state(spark: SparkSession, sf: str, tolerance: int | None = None) -> DataFrame:
+    readings = event_readings(spark, sf).select(CFG.key, CFG.time, CFG.vibration.source)
+    states = machine_states(spark, sf)
+    return asof_join(readings, states, CFG.key, CFG.time, "StateSince", tolerance)
+
+
+def shipments_in_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Shipments of a part within windows of up to eight days, and some of over a year."""
+    windows = read_table(spark, f"{sf}/orders.parquet").selectExpr(
+        "o_orderkey",
+        "o_custkey AS part",
+        "o_orderdate AS opens",
+        """timestampadd(DAY, CAST(CASE WHEN o_orderkey % 97 = 0 THEN 400
+             ELSE o_orderkey % 9 END AS INT), o_orderdate) AS closes""",
+    )
+    shipments = _lineitem(spark, sf).selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey AS part", "l_shipdate"
+    )
+    return interval_join(shipments, windows, ["part"], "l_shipdate", "opens", "closes")
+
+
+def vibration_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Drift from 0.95 mm/s, begun anew by errors between 3 and 4 o'clock."""
+    cleaned = cleaning.clean(event_readings(spark, sf), CFG)
+    restart = (F.col("Status") == "error") & (F.hour(CFG.time) == 3)
+    followed = drift(cleaned, CFG.vibration.source, Drift(0.95, 0.05), restart, cfg=CFG)
+    return followed.withColumns({c: F.round(c, 6) for c in ("Ewma", "CusumUp", "CusumDown")})
+
+
+def _streamed(spark: SparkSession, sf: str) -> Stream:
+    """The readings in four files that come one after the other, by day; some rows of all
+    days come with the last file only."""
+    readings, landing = event_readings(spark, sf), scratch_path(spark, "landing")
+    delayed = F.minute(CFG.time) == 31
+    bounds = ("2024-01-09", "2024-01-17", "2024-01-25")
+    days = [F.col(CFG.time) < bounds[0]]
+    days += [(F.col(CFG.time) >= a) & (F.col(CFG.time) < b) for a, b in zip(bounds, bounds[1:])]
+    stream = Stream(scratch_path(spark, "stream"), delay="3 days", files_per_batch=1, cfg=CFG)
+    for part in (*(day & ~delayed for day in days), (F.col(CFG.time) >= bounds[-1]) | delayed):
+        readings.where(part).coalesce(1).write.mode("append").parquet(landing)
+        advance(spark, landing, stream)
+    return stream
+
+
+def streaming_daily(spark: SparkSession, sf: str) -> DataFrame:
+    return streamed_daily(spark, _streamed(spark, sf))
+
+
+def streaming_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return late_rows(spark, _streamed(spark, sf)).drop("batch")
+
+
 QUERIES: dict[str, Query] = {
     # Sources and profile
     "csv_ingest": csv_ingest,
@@ -248,6 +331,16 @@ QUERIES: dict[str, Query] = {
     "significant_machines": lambda s, sf: bl.significant_entities(_scored(s, sf), cfg=CFG),
     "worst_zscore": lambda s, sf: _comparable(bl.worst_zscore(_scored(s, sf), cfg=CFG)),
     "worst_zscore_top": lambda s, sf: _comparable(bl.worst_zscore(_scored(s, sf), n=5, cfg=CFG)),
+    # Order in time
+    "asof_state": lambda s, sf: asof_state(s, sf),
+    "asof_state_recent": lambda s, sf: asof_state(s, sf, tolerance=3_600),
+    "shipments_in_windows": shipments_in_windows,
+    "reporting_gaps": lambda s, sf: reporting_gaps(event_readings(s, sf), "3 hours", cfg=CFG),
+    "reporting_sessions": lambda s, sf: reporting_sessions(event_readings(s, sf), "3 hours", cfg=CFG),
+    "vibration_drift": vibration_drift,
+    # Streams
+    "streaming_daily": streaming_daily,
+    "streaming_late_rows": streaming_late_rows,
     # Chart data
     "vibration_trend_series": lambda s, sf: charts.trend_series(
         _daily(s, sf), CFG.vibration.name, FAULTY_MACHINES, _ZONE_LINES, CFG
@@ -260,4 +353,5 @@ QUERIES: dict[str, Query] = {
     "publish_verify": publish_verify,
     "stored_run_summary": stored_run_summary,
     "stored_run_incremental": stored_run_incremental,
+    "stored_run_untimed": stored_run_untimed,
 }

@@ -77,6 +77,10 @@ def read_table(
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+# The name Spark gives to the partition of null.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _file_system(spark: SparkSession, path: str):
     """Hadoop's file system for ``path``, and the path as it wants it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -91,11 +95,17 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[object]) -> None:
     """Delete the partitions of these values, where there are any.
 
-    Writing only given partitions leaves those alone that no row is left for.
+    Writing only given partitions leaves those alone that no row is left for. ``None``
+    is the partition of rows without a value.
     """
     for value in values:
-        files, where = _file_system(spark, f"{path}/{column}={value}")
-        files.delete(where, True)
+        named = _NO_VALUE if value is None else value
+        drop_table(spark, f"{path}/{column}={named}")
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
 
 
 def _laid_out(

@@ -350,6 +350,49 @@ def test_a_replaced_day_without_usable_readings_is_removed(spark, tmp_path):
     assert [r.AvgVibration for r in run.tables.read(spark, "daily").collect()] == [7.0]
 
 
+def same_tables(rows, spark, run, whole):
+    for name in ("clean", "daily", "flagged", "scored", *monitoring.REPORTS):
+        one = whole.tables.read(spark, name)
+        assert rows(run.tables.read(spark, name).select(*one.columns)) == rows(one), name
+    assert run.receipt.counts == whole.receipt.counts and run.receipt.rows == whole.receipt.rows
+
+
+def test_updates_treat_readings_without_time_as_a_run_does(spark, ramp, tmp_path, rows):
+    untimed = F.when((F.hour("Timestamp") != 3) | (F.col("MachineID") % 2 == 0), F.col("Timestamp"))
+    readings = ramp.withColumn("Timestamp", untimed)
+    whole = monitoring.run_monitoring(spark, readings, str(tmp_path / "whole"))
+    assert whole.tables.read(spark, "daily").where("Date IS NULL").count() > 0
+    known = F.col("Timestamp").isNotNull()
+    for batch in (known & (F.col("MachineID") < 9), ~known, F.col("MachineID") >= 9):
+        run = monitoring.update_monitoring(spark, readings.where(batch), str(tmp_path / "parts"))
+    same_tables(rows, spark, run, whole)
+    one = readings.where("MachineID = 3")
+    replaced = monitoring.update_monitoring(spark, one, str(tmp_path / "parts"), whole_days=True)
+    same_tables(rows, spark, replaced, monitoring.run_monitoring(spark, one, str(tmp_path / "one")))
+
+
+@pytest.mark.parametrize(
+    "at, whole_days", [("daily_from_clean", False), ("flagged_days", True), ("baseline_zscore", False)]
+)
+def test_an_update_that_failed_is_taken_up_by_the_next(spark, ramp, tmp_path, rows, monkeypatch, at, whole_days):
+    """Whatever table it failed before, and though the next batch has other days."""
+    day = F.dayofmonth("Timestamp")
+    readings = ramp.where((F.hour("Timestamp") % 8 == 0) & (day <= 12))
+    target = str(tmp_path / "parts")
+    monitoring.update_monitoring(spark, readings.where(day <= 5), target)
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(monitoring, at, fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            monitoring.update_monitoring(spark, readings.where((day > 5) & (day <= 9)), target)
+    run = monitoring.update_monitoring(spark, readings.where(day > 9), target, whole_days=whole_days)
+    same_tables(rows, spark, run, monitoring.run_monitoring(spark, readings, str(tmp_path / "whole")))
+    assert not tables.table_exists(spark, run.tables.pending)
+
+
 def test_updates_refuse_sentinels_outside_the_measures(spark, ramp, tmp_path):
     cfg = Monitor(sentinels={"Status": -1.0})
     with pytest.raises(ValueError):
