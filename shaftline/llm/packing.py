@@ -141,7 +141,7 @@ def pieces_of_documents(
     step = 4 * capacity
 
     def per_batch(batch: pa.RecordBatch) -> Iterator[dict[str, object]]:
-        encode = encoder(path, False, remembered)
+        encode = encoder(path, False, remembered, special=True)
         for part in of_bounded_size(batch):
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, coded in enumerate(encode([t or "" for t in part["text"].to_pylist()])):

@@ -9,6 +9,7 @@ and a look-up of some documents skips all others by metadata.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -23,9 +24,13 @@ from shaftline.sources.scratch import scratch_path
 END = 2
 # Segments of one generation; a worker remembers two, up to about 300 MB.
 REMEMBERED = 800_000
+# Bytes of one generation where they are counted: a segment may be a line of any length.
+HELD_BYTES = 64 << 20
+# What a segment takes besides its characters and ids.
+_ENTRY = 60
 # White space next to white space, where a token may hold more than one of them.
 _RUN = re.compile(r"\s\s")
-_encoders: dict[tuple[str, bool, int], "Encoder"] = {}
+_encoders: dict[tuple, "Encoder"] = {}
 
 
 class Encoder:
@@ -36,16 +41,24 @@ class Encoder:
     into the token behind it and have a token for a line end; the others drop
     white space. Their segments are told apart here by their first character:
     one that starts with a line end has it in front, any other a space.
+
+    The strings of special tokens are ordinary text, or with ``special`` become these tokens,
+    as is the library's default. ``held`` bounds the segments of a generation in bytes besides
+    their number ``remembered``.
     """
 
-    def __init__(self, path: str, spaced: bool, remembered: int = REMEMBERED) -> None:
+    def __init__(
+        self, path: str, spaced: bool, remembered: int = REMEMBERED, special: bool = False, held: int | None = None
+    ) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # The strings of special tokens in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [token.content for token in added if token.special] if special else []
         self.spaced = spaced
         self.remembered = remembered
+        self.held, self.holding = held, 0
         # Segments seen lately, and those seen before them: what comes up again
         # moves on to the new generation, the rest is forgotten with the old one.
         self.known: dict[str, bytes] = {}
@@ -61,6 +74,19 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self._ids(text), "<u4").tobytes()
 
+    def _marked(self, text: str) -> bool:
+        """Whether a text has the string of a special token that counts as one."""
+        return any(mark in text for mark in self.special)
+
+    def _uncut(self, text: str) -> bytes:
+        if not self._marked(text):
+            return self._whole(text)
+        self.tokenizer.encode_special_tokens = False
+        try:
+            return self._whole(text)
+        finally:
+            self.tokenizer.encode_special_tokens = True
+
     def segments(self, text: str) -> list[str]:
         if not self.spaced:
             return text.replace("\n", " ").split(" ")
@@ -95,30 +121,36 @@ class Encoder:
                     self.known[front + word] = first + raw[a:b]
 
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
-        cut = [not (self.spaced and _RUN.search(text)) for text in texts]
+        cut = [not (self.spaced and _RUN.search(text) or self._marked(text)) for text in texts]
         parted = [self.segments(text) if ok else [] for text, ok in zip(texts, cut)]
         new = set().union(*parted) - self.known.keys()
-        if len(self.known) + len(new) > self.remembered:
-            self.known, self.before = {}, self.known
+        full = self.held is not None and self.holding > self.held
+        if full or len(self.known) + len(new) > self.remembered:
+            self.known, self.before, self.holding = {}, self.known, 0
             new = set().union(*parted)
         again = new & self.before.keys()
         self.known.update((part, self.before[part]) for part in again)
         self._learn(list(new - again))
+        if self.held is not None:
+            size = sys.getsizeof
+            self.holding += sum(size(part) + size(self.known[part]) + _ENTRY for part in new)
         find = self.known.__getitem__
         # The first segment had a line end put in front.
         skip = 4 if self.spaced else 0
         return [
-            b"".join(map(find, parts))[skip:] if ok else self._whole(text)
+            b"".join(map(find, parts))[skip:] if ok else self._uncut(text)
             for text, parts, ok in zip(texts, parted, cut)
         ]
 
 
-def encoder(path: str, spaced: bool, remembered: int = REMEMBERED) -> Encoder:
+def encoder(
+    path: str, spaced: bool, remembered: int = REMEMBERED, special: bool = False, held: int | None = None
+) -> Encoder:
     """One encoder per worker and vocabulary; it lives as long as the worker."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    key = (path, spaced, remembered)
+    key = (path, spaced, remembered, special, held)
     if key not in _encoders:
         _encoders[key] = Encoder(*key)
     return _encoders[key]
@@ -128,13 +160,14 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, end: int =
     """``doc_id`` and ``ids`` (array of int, the end id last) of every row.
 
     A null or empty text is the end id alone. Null and repeated ``doc_id`` are
-    kept as they are; other columns are not read.
+    kept as they are; other columns are not read. A worker remembers segments in
+    ``HELD_BYTES`` twice, and holds a long text besides, so texts without spaces take no more.
     """
     path = vocabulary or tokenizer_path("byte_bpe_50k.json")
     last = np.array([end], "<u4").tobytes()
 
     def per_batch(batch: pa.RecordBatch) -> Iterator[dict[str, object]]:
-        encode = encoder(path, True)
+        encode = encoder(path, True, special=True, held=HELD_BYTES)
         for part in of_bounded_size(batch):
             coded = [c + last for c in encode([t or "" for t in part["text"].to_pylist()])]
             offsets = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)

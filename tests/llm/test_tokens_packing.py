@@ -18,19 +18,19 @@ ODD = [" ", "\n", "a", "B", "é", "0", "'s", "|", "★", "\t", "\x1c", "\xa0", "
 
 
 def plain(path: str, text: str | None) -> list[int]:
-    own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
-    return own.encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("path, spaced", [(BYTE, True), (WORD, False)])
 def test_cut_texts_encode_like_whole_ones(path, spaced):
     rng = random.Random(3)
     texts = ["".join(rng.choices([*ODD, "<|endoftext|>"], k=rng.randrange(14))) for _ in range(800)]
-    own = tokens.Encoder(path, spaced)
-    for text, coded in zip(texts, own(texts)):
-        whole = own.tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(coded, "<u4").tolist() == whole
+    library = Tokenizer.from_file(path)
+    for special in (True, False):
+        library.encode_special_tokens = not special
+        for text, coded in zip(texts, tokens.Encoder(path, spaced, special=special)(texts)):
+            whole = library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(coded, "<u4").tolist() == whole
 
 
 def test_encoder_forgets_when_full():
@@ -39,6 +39,27 @@ def test_encoder_forgets_when_full():
         assert np.frombuffer(own([text])[0], "<u4").tolist() == plain(BYTE, text)
 
 
+def test_encoder_holds_no_more_bytes_than_it_may():
+    own = tokens.Encoder(BYTE, True, held=200_000)
+    rng = random.Random(0)
+    most = 0
+    for _ in range(60):
+        text = "".join(rng.choices("abcdefgh", k=20_000))  # one segment without spaces
+        assert np.frombuffer(own([text, "a b"])[0], "<u4").tolist() == plain(BYTE, text)
+        most = max(most, sum(len(k) + len(v) for held in (own.known, own.before) for k, v in held.items()))
+    assert most < 2 * (200_000 + 80_000) and own.before
+
+
+def test_special_tokens_in_texts_are_those_of_the_library(spark, documents, by_id):
+    texts = [(1, "a <|endoftext|> b\nc"), (2, "<|startoftext|>x  y"), (3, "<|endoftext|>"), (4, "<|endoftext |>")]
+    got = by_id(tokens.encode_documents(documents(texts)))
+    assert {i: r["ids"] for i, r in got.items()} == {i: [*plain(BYTE, t), 2] for i, t in texts}
+    assert 50256 in got[1]["ids"]
+    packed = packing.pack_documents(documents(texts)).collect()
+    crc = {i: zlib.crc32(np.array([*plain(WORD, t), 1], "<u4").tobytes()) for i, t in texts}
+    assert {r.doc_id: r.ids_crc32 for r in packed} == crc
+
+
 def test_token_files(spark, documents):
     texts = [(5, "one two"), (2, None), (9, ""), (None, "x"), (7, "long word " * 3_000), (5, "one two")]
     path = scratch_path(spark, "test-tokens")
