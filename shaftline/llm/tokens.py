@@ -9,7 +9,6 @@ and a look-up of some documents skips all others by metadata.
 from __future__ import annotations
 
 import re
-import sys
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -25,11 +24,15 @@ END = 2
 # Segments of one generation; a worker remembers two, up to about 300 MB.
 REMEMBERED = 800_000
 # Bytes of one generation where they are counted: a segment may be a line of any length.
-HELD_BYTES = 64 << 20
-# What a segment takes besides its characters and ids.
-_ENTRY = 60
+HELD_BYTES = 176 << 20
+# Bytes of text that are cut at a time there.
+CUT_BYTES = 1_000_000
+# What a segment takes in memory, about: in all, and more for each character.
+_ENTRY, _CHARACTER = 150, 6
 # White space next to white space, where a token may hold more than one of them.
 _RUN = re.compile(r"\s\s")
+# A segment with white space at an end, but for a line end in front, or next to other.
+_ODD = re.compile(r"^$|^\n?(?!\n)\s|\s$|\s\s")
 _encoders: dict[tuple, "Encoder"] = {}
 
 
@@ -63,6 +66,8 @@ class Encoder:
         # moves on to the new generation, the rest is forgotten with the old one.
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        # Segments seen that have white space where they were cut.
+        self.odd: set[str] = set()
         # Segments are encoded many at a time, parted by a token of its own.
         self.parting = "\n" if spaced else " \u2605 "
         (self.part_id,) = self._ids(self.parting)
@@ -98,12 +103,10 @@ class Encoder:
         for part in new:
             bare = self.spaced and part.startswith("\n")
             body = part[1:] if bare else part
-            if body and not body[0].isspace() and not body[-1].isspace():
+            if self.spaced and body or body and not body[0].isspace() and not body[-1].isspace():
                 plain[bare].append(body)
-            elif bare:
-                self.known[part] = self.line_end + self._whole(body)
             else:
-                self.known[part] = self._whole(f" {body}") if self.spaced else self._whole(body)
+                self.known[part] = self.line_end if bare else self._whole(body)
         for bare, words in plain.items():
             lead = " " if self.spaced and not bare else ""
             first, front = (self.line_end, "\n") if bare else (b"", "")
@@ -120,10 +123,30 @@ class Encoder:
                 for word, a, b in zip(some, starts, ends):
                     self.known[front + word] = first + raw[a:b]
 
+    def _parted(self, texts: Sequence[str]) -> tuple[list[list[str]], set[str]]:
+        """Segments of each text that can be cut, of others none; and all that are new.
+
+        White space next to white space shows in the few distinct segments, so texts need not
+        be searched for it: a segment is empty, or has some at an end.
+        """
+        parted = [[] if self._marked(text) else self.segments(text) for text in texts]
+        known = self.known
+        new = {part for part in set().union(*parted) if part not in known}
+        if not self.spaced:
+            return parted, new
+        search = _ODD.search
+        self.odd.update([part for part in new if search(part) and part != "\n"])
+        for i, (text, parts) in enumerate(zip(texts, parted)):
+            if "\n\n" in text or "\n " in text or not self.odd.isdisjoint(parts):
+                parted[i] = []
+        new -= self.odd
+        if len(self.odd) > 1_000:
+            self.odd.clear()
+        return parted, new
+
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
-        cut = [not (self.spaced and _RUN.search(text) or self._marked(text)) for text in texts]
-        parted = [self.segments(text) if ok else [] for text, ok in zip(texts, cut)]
-        new = set().union(*parted) - self.known.keys()
+        parted, new = self._parted(texts)
+        cut = [bool(parts) for parts in parted]
         full = self.held is not None and self.holding > self.held
         if full or len(self.known) + len(new) > self.remembered:
             self.known, self.before, self.holding = {}, self.known, 0
@@ -132,8 +155,7 @@ class Encoder:
         self.known.update((part, self.before[part]) for part in again)
         self._learn(list(new - again))
         if self.held is not None:
-            size = sys.getsizeof
-            self.holding += sum(size(part) + size(self.known[part]) + _ENTRY for part in new)
+            self.holding += _ENTRY * len(new) + _CHARACTER * sum(map(len, new))
         find = self.known.__getitem__
         # The first segment had a line end put in front.
         skip = 4 if self.spaced else 0
@@ -168,7 +190,7 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, end: int =
 
     def per_batch(batch: pa.RecordBatch) -> Iterator[dict[str, object]]:
         encode = encoder(path, True, special=True, held=HELD_BYTES)
-        for part in of_bounded_size(batch):
+        for part in of_bounded_size(batch, size=CUT_BYTES):
             coded = [c + last for c in encode([t or "" for t in part["text"].to_pylist()])]
             offsets = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)
             ids = pa.array(np.frombuffer(b"".join(coded), "<i4"))
