@@ -345,7 +345,7 @@ ORACLES: dict[str, str] = {
     "duplicate_summary_documents": "WITH t AS (SELECT * EXCLUDE (doc_id) FROM documents) "
     + _DUPLICATES.format(table="t"),
     "null_counts_documents": """SELECT count(*) - count(doc_id) AS doc_id,
-       count(*) - count(lang) AS lang, count(*) - count(source) AS source,
+       count(*) - count(text) AS text, count(*) - count(lang) AS lang, count(*) - count(source) AS source,
        count(*) - count(n_chars) AS n_chars, count(*) - count(quality) AS quality,
        count(*) - count(toxic) AS toxic
 FROM documents LEFT JOIN labels USING (doc_id)""",

@@ -92,7 +92,7 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with their labels, which many of them lack."""
     labels = read_table(spark, f"{sf}/labels.parquet")
-    return _documents(spark, sf).join(labels, "doc_id", "left").drop("text")
+    return _documents(spark, sf).join(labels, "doc_id", "left")
 
 
 def _daily_users(spark: SparkSession, sf: str) -> DataFrame:
