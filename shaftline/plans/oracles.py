@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 _COLUMNS = (
     "MachineID",
     "Timestamp",
@@ -327,6 +329,79 @@ SELECT m AS MachineID, t AS "Timestamp", v AS VibrationVelocity, round(a, 6) AS
 FROM walk"""
 )
 
+def _robust_over(days: str) -> str:
+    """Medians and median deviations of the clean readings of some days."""
+    return f"""
+rb AS (
+  SELECT MachineID, median(VibrationVelocity) AS BaselineMedian,
+         mad(VibrationVelocity) AS BaselineMad, count(*) AS BaselineReadings
+  FROM c JOIN (SELECT MachineID, min(CAST("Timestamp" AS DATE)) AS start FROM c GROUP BY MachineID)
+       USING (MachineID)
+  WHERE {days}
+  GROUP BY MachineID
+)"""
+
+
+_ROBUST_WEEK = _robust_over("""CAST("Timestamp" AS DATE) <= DATE '2024-01-07'""")
+_ROBUST_FIRST = _robust_over("""date_diff('day', start, CAST("Timestamp" AS DATE)) < 5""")
+_ROUNDED_R = """round(BaselineMedian, 6) + 0.0 AS BaselineMedian,
+       round(BaselineMad, 6) AS BaselineMad, BaselineReadings"""
+
+
+def _levels(key: str, value: str, decimals: int, sets: str) -> str:
+    """Graded days at several levels, straight from the days."""
+    names = [n for n in (key, "Month", "VibrationZone") if n in sets]
+    one = 10**decimals
+    units = f"CAST(sum(CAST(round({value} * {one}) AS BIGINT)) AS HUGEINT)"
+    return f"""SELECT {", ".join(names)}, CAST(grouping_id({", ".join(names)}) AS BIGINT) AS GroupingId,
+       count(*) AS MachineDays,
+       count(*) FILTER (VibrationZone IN ('C', 'D')) AS RestrictedDays,
+       count(*) FILTER (VibrationZone = 'D') AS DangerDays,
+       count(*) FILTER (TemperatureAlert <> 'Normal') AS AlertDays,
+       min({value}) AS MinVibration, max({value}) AS MaxVibration,
+       CAST((2 * {units} + count(*)) // (2 * count(*)) AS DOUBLE) / {one} AS AvgVibration
+FROM (SELECT *, CAST(date_trunc('month', "Date") AS DATE) AS Month FROM f)
+GROUP BY GROUPING SETS ({sets})"""
+
+
+def _published(name: str, condition: str) -> str:
+    """The days that readings meeting a condition give."""
+    days = FLAGGED.replace(READINGS, "", 1).replace("FROM r)", f"FROM r WHERE {condition})")
+    for cte in ("blanked", "c", "d", "f"):
+        days = re.sub(rf"\n{cte} AS \(", f"\n{name}_{cte} AS (", days)
+        days = re.sub(rf"\bFROM {cte}\b", f"FROM {name}_{cte}", days)
+    return days
+
+
+_PUBLISHES = (
+    READINGS
+    + _published("p", """minute("Timestamp") >= 2
+                         AND NOT (MachineID = 5 AND "Timestamp" >= TIMESTAMP '2024-01-20')""")
+    + _published("q", """(MachineID <> 7 OR hour("Timestamp") <> 4)""")
+)
+
+
+def _differing(before: str, after: str, columns: str, key: str) -> str:
+    """Two EXCEPT ALLs, their copies counted, and whether a key has rows in both."""
+    return f"""x AS (
+  SELECT {columns}, n AS Copies
+  FROM (SELECT {columns}, count(*) AS n FROM (FROM {after} EXCEPT ALL FROM {before}) GROUP BY ALL)
+  UNION ALL
+  SELECT {columns}, -n
+  FROM (SELECT {columns}, count(*) AS n FROM (FROM {before} EXCEPT ALL FROM {after}) GROUP BY ALL)
+),
+changes AS (
+  SELECT {columns}, Copies,
+         CASE WHEN min(Copies) OVER k < 0 AND max(Copies) OVER k > 0 THEN 'changed'
+              WHEN Copies > 0 THEN 'added' ELSE 'removed' END AS Change
+  FROM x WINDOW k AS (PARTITION BY {key})
+)"""
+
+
+_DAY_COLUMNS = 'MachineID, "Date", AvgVibration, AvgTemperature, VibrationZone, TemperatureAlert'
+_RECONCILED = _PUBLISHES + "," + _differing("p_f", "q_f", _DAY_COLUMNS, 'MachineID, "Date"')
+_READING_COLUMNS = ", ".join(f'"{c}"' for c in _COLUMNS)
+
 ORACLES: dict[str, str] = {
     "csv_ingest": _with(READINGS, "SELECT * FROM r"),
     "schema_profile": _profile(),
@@ -466,6 +541,46 @@ FROM (SELECT *, sum(opens) OVER (PARTITION BY MachineID ORDER BY "Timestamp", be
 GROUP BY MachineID, session""",
     ),
     "vibration_drift": _DRIFT,
+    "robust_baseline": _with(CLEAN + "," + _ROBUST_WEEK, f"SELECT MachineID, {_ROUNDED_R} FROM rb"),
+    "robust_baseline_first_days": _with(
+        CLEAN + "," + _ROBUST_FIRST, f"SELECT MachineID, {_ROUNDED_R} FROM rb"
+    ),
+    "robust_baseline_users": """SELECT user_id, round(median(value), 6) + 0.0 AS BaselineMedian,
+       round(mad(value), 6) AS BaselineMad, count(*) AS BaselineReadings
+FROM events GROUP BY user_id""",
+    "robust_zscore": _with(
+        DAILY + "," + _ROBUST_WEEK,
+        f"""SELECT d.*, {_ROUNDED_R},
+       round((AvgVibration - rb.BaselineMedian) / nullif(rb.BaselineMad * 1.4826, 0), 6) + 0.0
+         AS RobustScore
+FROM d LEFT JOIN rb USING (MachineID)""",
+    ),
+    "fleet_levels": _with(
+        FLAGGED,
+        _levels("MachineID", "AvgVibration", 3, "(MachineID, Month), (Month, VibrationZone), (MachineID), (Month), ()"),
+    ),
+    "fleet_levels_lineitem": _with(
+        SHIPMENTS
+        + f""",
+f AS (
+  SELECT *, {_zone("AvgQuantity", (20, 30, 40))} AS VibrationZone,
+         CASE WHEN AvgPrice >= 90 THEN 'Trip' WHEN AvgPrice >= 80 THEN 'Alarm'
+              ELSE 'Normal' END AS TemperatureAlert
+  FROM d
+)""",
+        _levels("l_suppkey", "AvgQuantity", 2, "(l_suppkey), (Month, VibrationZone), ()"),
+    ),
+    "reconciled_days": _with(_RECONCILED, "SELECT * FROM changes"),
+    "reconciled_counts": _with(
+        _RECONCILED,
+        """SELECT Change, CAST(sum(abs(Copies)) AS BIGINT) AS Rows,
+       count(DISTINCT (MachineID, "Date")) AS Keys
+FROM changes GROUP BY Change""",
+    ),
+    "reconciled_readings": _with(
+        CLEAN + "," + _differing("r", "c", _READING_COLUMNS, 'MachineID, "Timestamp"'),
+        "SELECT * FROM changes",
+    ),
     "streaming_daily": _with(
         DAILY.replace("FROM (SELECT DISTINCT * FROM r)", f"FROM (SELECT DISTINCT * FROM r WHERE NOT {_TOO_LATE})"),
         "SELECT * FROM d",

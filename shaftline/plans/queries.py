@@ -12,7 +12,11 @@ from shaftline.operators import baseline as bl
 from shaftline.operators import charts, cleaning, grading, quality, rollup
 from shaftline.operators.asof import asof_join
 from shaftline.operators.drift import Drift, drift
+from shaftline.operators.fleet import MONTH, fleet_report
 from shaftline.operators.intervals import interval_join
+from shaftline.operators.reconcile import reconcile, reconcile_counts
+from shaftline.operators.risk import risk_scores
+from shaftline.operators.robust import robust_baseline, robust_score
 from shaftline.operators.sessions import reporting_gaps, reporting_sessions
 from shaftline.plans.event_readings import EVENT_MONITOR as CFG
 from shaftline.plans.event_readings import event_readings
@@ -255,6 +259,73 @@ def streaming_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     return late_rows(spark, _streamed(spark, sf)).drop("batch")
 
 
+def _stored_clean(spark: SparkSession, sf: str) -> DataFrame:
+    path, cleaned = scratch_path(spark, "clean"), cleaning.clean(event_readings(spark, sf), CFG)
+    write_table(cleaned, path, arrange=False)
+    return read_table(spark, path, cleaned.schema)
+
+
+def _robust(df: DataFrame) -> DataFrame:
+    names = ("BaselineMedian", "BaselineMad", "RobustScore")
+    return df.withColumns({c: F.round(c, 6) for c in names if c in df.columns})
+
+
+def robust_baselines(spark: SparkSession, sf: str, **rule: object) -> DataFrame:
+    return _robust(robust_baseline(_stored_clean(spark, sf), **rule, cfg=CFG))
+
+
+def robust_baseline_users(spark: SparkSession, sf: str) -> DataFrame:
+    """Over all days: users have few events on each."""
+    events = read_table(spark, f"{sf}/events.parquet").select("user_id", "ts", "value")
+    return _robust(robust_baseline(events, cutoff="9999-12-31", cfg=USERS))
+
+
+def robust_zscore(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = _stored_clean(spark, sf)
+    baselines = robust_baseline(cleaned, cutoff=CFG.baseline_cutoff, cfg=CFG)
+    return _robust(robust_score(daily_from_clean(cleaned, CFG), baselines, CFG))
+
+
+def fleet_levels(spark: SparkSession, sf: str) -> DataFrame:
+    levels = ((CFG.key, MONTH), (MONTH, "VibrationZone"), (CFG.key,), (MONTH,), ())
+    return fleet_report(_flagged(spark, sf), levels, CFG)
+
+
+def fleet_levels_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    flagged = grading.flagged_days(_daily_shipments(spark, sf), SHIPMENTS)
+    return fleet_report(flagged, ((SHIPMENTS.key,), (MONTH, "VibrationZone"), ()), SHIPMENTS)
+
+
+def reconciled_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Two publishes: the first without the readings of some minutes and of one machine's
+    last days, the second without those of an hour of another machine."""
+    readings, machine, time = event_readings(spark, sf), F.col(CFG.key), F.col(CFG.time)
+    kept = ((F.minute(time) >= 2) & ~((machine == 5) & (time >= "2024-01-20")), (machine != 7) | (F.hour(time) != 4))
+    tables = []
+    for part in kept:
+        receipt = publish(
+            flagged_from_readings(readings.where(part), CFG), scratch_path(spark, "published")
+        )
+        tables.append(read_table(spark, receipt.uri, receipt.schema))
+    return reconcile(*tables, [CFG.key, CFG.date])
+
+
+def reconciled_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile_counts(reconciled_days(spark, sf), [CFG.key, CFG.date])
+
+
+def reconciled_readings(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings with their copies, against those cleaned."""
+    readings = event_readings(spark, sf)
+    return reconcile(readings, cleaning.clean(readings, CFG), [CFG.key, CFG.time])
+
+
+def risk_of_danger(spark: SparkSession, sf: str) -> DataFrame:
+    scored = risk_scores(_daily(spark, sf), split="2024-01-21", cfg=CFG)
+    names = ("LevelRate", "TemperatureRate", "LevelRise", "RiskScore")
+    return scored.withColumns({c: F.round(c, 6) for c in names})
+
+
 QUERIES: dict[str, Query] = {
     # Sources and profile
     "csv_ingest": csv_ingest,
@@ -338,6 +409,17 @@ QUERIES: dict[str, Query] = {
     "reporting_gaps": lambda s, sf: reporting_gaps(event_readings(s, sf), "3 hours", cfg=CFG),
     "reporting_sessions": lambda s, sf: reporting_sessions(event_readings(s, sf), "3 hours", cfg=CFG),
     "vibration_drift": vibration_drift,
+    # Robust baselines, levels, publishes, risk
+    "robust_baseline": lambda s, sf: robust_baselines(s, sf, cutoff=CFG.baseline_cutoff),
+    "robust_baseline_first_days": lambda s, sf: robust_baselines(s, sf, first_days=5),
+    "robust_baseline_users": robust_baseline_users,
+    "robust_zscore": robust_zscore,
+    "fleet_levels": fleet_levels,
+    "fleet_levels_lineitem": fleet_levels_lineitem,
+    "reconciled_days": reconciled_days,
+    "reconciled_counts": reconciled_counts,
+    "reconciled_readings": reconciled_readings,
+    "risk_of_danger": risk_of_danger,
     # Streams
     "streaming_daily": streaming_daily,
     "streaming_late_rows": streaming_late_rows,

@@ -14,6 +14,8 @@ DATA = Path("/root/testdata")
 # The text operators have tests of their own, as far as they are installed.
 QUERIES = {k: q for k, q in contract.queries().items() if k not in contract.TEXT_QUERIES}
 ORACLES = {k: q for k, q in contract.oracle_sql().items() if k not in contract.TEXT_ORACLES}
+# Fitted by iteration; held against a plain fit in test_risk.py.
+NO_SQL = {"risk_of_danger"}
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
 
@@ -33,11 +35,11 @@ def canonical(names: list[str], rows: list[tuple]) -> tuple[list[str], list[tupl
 
 
 def test_every_query_has_sql():
-    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() - NO_SQL == ORACLES.keys()
     assert all(len(inspect.signature(query).parameters) == 2 for query in QUERIES.values())
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", ORACLES)
 def test_matches_sql(spark, tables, name):
     folder, con = tables
     df = QUERIES[name](spark, folder)
