@@ -5,44 +5,50 @@ times that of each word given its class. Exchange clustering assigns the classes
 each unit in turn is offered to every class and moves to the one that raises the
 likelihood of the training text most.
 
-Units are what is clustered: every word that makes up at least ``OWN_SHARE`` of the
-training tokens, at most 1 / OWN_SHARE of them, and for all other words their
-ending, one of ``ENDINGS``. All other figures are over all words: each has its own
-emission count, and a class passes on a discount to words it has not seen.
-
-Counts of frequent words, at most 1 / HEAD_SHARE, are held by every task; those of
-the others are joined to the documents by word, where no word has more than that
-share of the rows.
+Units are what is clustered: every word that the training texts hold ``LEAST`` times
+or more, and for rarer and unseen words their ending, one of ``ENDINGS``. All other
+figures are over all words: each has its own emission count, and a class passes
+on a discount to words it has not seen.
+
+Texts are parted into tokens once and stored in chunks of about ``CHUNK`` tokens, numbered by the distinct
+words of the chunk; counts and units are joined to these words, and every later pass is over
+numbers. Classes of up to ``HELD`` units, a byte each, go along with the tasks; more are a
+table that is joined to the words of the chunks.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shaftline.llm.common import find_library, lower_words, map_arrow, of_bounded_size, stored
+from shaftline.llm.common import find_library, lower_words, of_bounded_size, stored
 
 CLASSES = 64
-OWN_SHARE = 1e-4
-HEAD_SHARE = 2e-6
+LEAST = 3
 ENDINGS = 256
-SWEEPS = 6
+# Two sweeps, in which each unit has its turn once, that raise the likelihood by less than this
+# share of what all sweeps have raised it by are the last ones.
+TOLERANCE = 0.01
 TRANSITION_SMOOTHING = 0.1
 HELD_OUT_FOLD, FOLDS = 2, 7
-# Distinct keys a task gathers before it passes them on.
-GATHERED = 400_000
-# No word is empty, so the empty one stands for the end of a text.
+CHUNK = 1 << 20
+HELD = 1 << 22
+# Distinct keys a task gathers before it passes them on, and counts it compares at a time.
+GATHERED = 1 << 21
+BLOCK = 1 << 14
+# No word is empty, so the empty one stands for the end of a text. It is unit 0, and word 0
+# of each chunk; endings follow, then words of their own.
 END = b""
+FIRST_OWN = 1 + ENDINGS
 
 
 def held_out(doc_id: Column) -> Column:
@@ -51,103 +57,229 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(digest, F.lit(FOLDS)) == HELD_OUT_FOLD, F.lit(False))
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``word`` (binary) and ``n`` over all of ``texts``, one end for each row.
+def ending(word: bytes) -> int:
+    return zlib.crc32(word[-3:]) % ENDINGS
 
-    Counts are gathered per task first, so a word costs one row a task.
-    """
-    find_library(texts.sparkSession)
 
-    def rows(seen: Counter[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict(
-            {"word": pa.array(seen.keys(), pa.binary()), "n": pa.array(seen.values(), pa.int64())}
-        )
+def _ending_column(word: Column) -> Column:
+    last = F.substring(word, F.greatest(F.lit(1), F.octet_length(word) - 2), F.lit(3))
+    return F.pmod(F.crc32(last), F.lit(ENDINGS))
+
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
+def _list(values: pa.Array) -> pa.ListArray:
+    """One row with all of ``values``."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def chunked(docs: DataFrame) -> DataFrame:
+    """``docs`` as rows of whole documents with about ``CHUNK`` tokens: the distinct ``words`` and how
+    often each is in training texts, ``tokens`` as 32-bit numbers of words, an end behind each
+    document, and ``lengths``, ``doc_ids`` and ``held`` per document."""
+    find_library(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = count(TaskContext.get().partitionId() << 32)
+        of: dict[bytes, int] = {END: 0}
+        tokens: list[np.ndarray] = []
+        lengths: list[int] = []
+        ids: list[object] = []
+        held: list[bool] = []
+
+        def row(kind: pa.DataType) -> pa.RecordBatch:
+            flat, sizes = np.concatenate(tokens), np.array(lengths, np.int32)
+            trained = flat[np.repeat(~np.array(held, bool), sizes)]
+            columns = {
+                "chunk": pa.array([next(numbers)], pa.int64()),
+                "words": _list(pa.array(of, pa.binary())),
+                "n": _list(pa.array(np.bincount(trained, minlength=len(of)).astype(np.int64))),
+                "tokens": pa.array([flat.astype("<i4").tobytes()], pa.binary()),
+                "lengths": _list(pa.array(sizes)),
+                "doc_ids": _list(pa.array(ids, kind)),
+                "held": _list(pa.array(held, pa.bool_())),
+            }
+            for gathered in (tokens, lengths, ids, held):
+                gathered.clear()
+            of.clear()
+            of[END] = 0
+            return pa.RecordBatch.from_pydict(columns)
+
+        kind = pa.null()
+        gathered = 0
         for batch in batches:
+            kind = batch.schema.field("doc_id").type
             for part in of_bounded_size(batch):
-                for text in part["text"].to_pylist():
-                    seen.update(lower_words(text))
-                seen[END] += part.num_rows
-                if len(seen) > GATHERED:
-                    yield rows(seen)
-                    seen = Counter()
-        if seen:
-            yield rows(seen)
+                for doc_id, out, text in zip(*(part[c].to_pylist() for c in ("doc_id", "out", "text"))):
+                    words = lower_words(text)
+                    words.append(END)
+                    numbered = (of.setdefault(w, len(of)) for w in words)
+                    tokens.append(np.fromiter(numbered, np.int32, len(words)))
+                    lengths.append(len(words))
+                    ids.append(doc_id)
+                    held.append(out)
+                    gathered += len(words)
+                    if gathered >= CHUNK:
+                        yield row(kind)
+                        gathered = 0
+        if lengths:
+            yield row(kind)
+        pa.default_memory_pool().release_unused()
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", held_out(F.col("doc_id")).alias("out"), "text").mapInArrow(
+        run,
+        "chunk bigint, words array<binary>, n array<bigint>, tokens binary, lengths array<int>, "
+        f"doc_ids array<{kind}>, held array<boolean>",
+    )
 
-    counted = texts.select("text").mapInArrow(count, "word binary, n bigint")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
+def word_counts(chunks: DataFrame) -> DataFrame:
+    """``word`` and ``n`` over all training texts, one end for each of them; a word costs one
+    row a chunk."""
+    zipped = F.explode(F.arrays_zip(F.col("words").alias("word"), F.col("n").alias("n")))
+    rows = chunks.select(zipped.alias("x")).select("x.*").where("n > 0")
+    return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
-def ending(word: bytes) -> int:
-    return zlib.crc32(word[-3:]) % ENDINGS
 
+def numbered(counts: DataFrame) -> tuple[DataFrame, int]:
+    """``word``, ``n`` and ``unit`` of all counted words, and how many units there are.
 
-def _ending_column(word: Column) -> Column:
-    last = F.substring(word, F.greatest(F.lit(1), F.octet_length(word) - 2), F.lit(3))
-    return F.pmod(F.crc32(last), F.lit(ENDINGS))
+    Numbers are given per partition of the stored words and moved together by the sizes of
+    the partitions before.
+    """
+    own = (F.col("n") >= LEAST) & (F.col("word") != F.lit(END))
+    placed = stored(counts.where(own).withColumn("id", F.monotonically_increasing_id()), "units")
+    part = F.shiftright("id", 33)
+    sizes = dict(placed.groupBy(part.alias("part")).count().collect())
+    starts, at = [], FIRST_OWN
+    for p in sorted(sizes):
+        starts.append((p, at))
+        at += sizes[p]
+    offsets = counts.sparkSession.createDataFrame(starts, "part bigint, start bigint")
+    mask = F.lit((1 << 33) - 1)
+    units = (
+        placed.withColumn("part", part)
+        .join(F.broadcast(offsets), "part")  # one row a partition
+        .select("word", "n", (F.col("start") + F.col("id").bitwiseAND(mask)).alias("unit"))
+    )
+    shared = counts.where(~own).select("word", "n", _shared_unit(F.col("word")).alias("unit"))
+    return units.unionByName(shared), at
 
 
-class Units:
-    """Unit numbers: 0 for the end, then words of their own, then endings."""
+def _shared_unit(word: Column) -> Column:
+    return F.when(word == F.lit(END), F.lit(0)).otherwise(1 + _ending_column(word)).cast("bigint")
 
-    def __init__(self, own: list[bytes]) -> None:
-        self.of = {END: 0} | {word: i for i, word in enumerate(own, 1)}
-        self.base = len(self.of)
-        self.n = self.base + ENDINGS
 
-    def __call__(self, word: bytes) -> int:
-        known = self.of.get(word)
-        return self.base + ending(word) if known is None else known
+def coded_chunks(chunks: DataFrame, words: DataFrame) -> DataFrame:
+    """``chunks`` with count ``n`` and ``units`` of each of their words instead of the word."""
+    listed = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
+    unit = F.coalesce("unit", _shared_unit(F.col("word")))
+    facts = (
+        listed.join(words, "word", "left")
+        .select("chunk", F.struct("at", F.coalesce("n", F.lit(0)).alias("n"), unit.alias("unit")).alias("x"))
+        .groupBy("chunk")
+        .agg(F.sort_array(F.collect_list("x")).alias("x"))
+        .select("chunk", F.col("x.n").alias("n"), F.col("x.unit").alias("units"))
+    )
+    return chunks.drop("words", "n").join(facts, "chunk")
 
 
-def unit_pairs(texts: DataFrame, units: Units) -> DataFrame:
-    """``a``, ``b`` and ``n``: how often unit b follows unit a, over all of ``texts``.
+class HeldClasses:
+    """The class of each unit, in every task."""
 
-    The end of a text is also what its first word follows. At most units ** 2
-    rows, whatever the corpus.
-    """
-    find_library(texts.sparkSession)
+    def __init__(self, classes: np.ndarray) -> None:
+        self.classes = classes
+
+    def onto(self, coded: DataFrame) -> DataFrame:
+        return coded
 
-    def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        keys, where = np.unique(np.concatenate(codes), return_inverse=True)
-        return keys, np.bincount(where, np.concatenate(counts), len(keys)).astype(np.int64)
+    def look_up(self) -> Callable[[pa.RecordBatch, int], np.ndarray]:
+        classes = self.classes
+        return lambda batch, i: classes[_values(batch, "units", i)].astype(np.int64)
 
-    def rows(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict(
-            {"a": pa.array(keys // units.n), "b": pa.array(keys % units.n), "n": pa.array(counts)}
+    def moved(self, moves: DataFrame) -> HeldClasses:
+        table = moves.toArrow()
+        classes = self.classes.copy()
+        classes[table["unit"].to_numpy()] = table["class"].to_numpy()
+        return HeldClasses(classes)
+
+
+class TabledClasses:
+    """The same as a table, for any number of units."""
+
+    def __init__(self, classes: DataFrame) -> None:
+        self.classes = classes
+
+    def onto(self, coded: DataFrame) -> DataFrame:
+        listed = coded.select("chunk", F.posexplode("units").alias("at", "unit"))
+        per_chunk = (
+            listed.join(self.classes, "unit")
+            .groupBy("chunk")
+            .agg(F.sort_array(F.collect_list(F.struct("at", "class"))).alias("x"))
+        )
+        return coded.join(per_chunk.select("chunk", F.col("x.class").alias("classes")), "chunk")
+
+    def look_up(self) -> Callable[[pa.RecordBatch, int], np.ndarray]:
+        return lambda batch, i: _values(batch, "classes", i).astype(np.int64)
+
+    def moved(self, moves: DataFrame) -> TabledClasses:
+        now = F.coalesce("to", "class").alias("class")
+        both = self.classes.join(moves.withColumnRenamed("class", "to"), "unit", "left")
+        return TabledClasses(stored(both.select("unit", now), "classes"))
+
+
+Classes = HeldClasses | TabledClasses
+
+
+def first_classes(words: DataFrame, n_units: int, classes: int) -> Classes:
+    """Words that end alike start in one class."""
+    unit = F.col("unit")
+    own = words.where(unit >= FIRST_OWN).select("unit", (1 + _ending_column(F.col("word")) % classes).alias("class"))
+    if n_units > HELD:
+        shared = words.sparkSession.range(FIRST_OWN).select(
+            F.col("id").alias("unit"),
+            F.when(F.col("id") == 0, F.lit(0)).otherwise(1 + (F.col("id") - 1) % classes).alias("class"),
         )
+        return TabledClasses(stored(own.unionByName(shared).selectExpr("unit", "CAST(class AS int) AS class"), "classes"))
+    of = np.zeros(n_units, np.int8)
+    of[1:FIRST_OWN] = 1 + np.arange(ENDINGS) % classes
+    return HeldClasses(of).moved(own)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        codes: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
+
+def _values(batch: pa.RecordBatch, column: str, i: int) -> np.ndarray:
+    return batch[column][i].values.to_numpy(zero_copy_only=False)
+
+
+def _tokens(batch: pa.RecordBatch, i: int) -> np.ndarray:
+    return np.frombuffer(batch["tokens"][i].as_buffer(), "<i4")
+
+
+def _training_pairs(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each training token of a chunk, behind the one before it; a text's first word
+    follows an end."""
+    trained = np.repeat(~_values(batch, "held", i), _values(batch, "lengths", i))
+    after = _tokens(batch, i)[trained]
+    return np.concatenate([np.zeros(1, after.dtype), after])[:-1], after
+
+
+def class_table(coded: DataFrame, assigned: Classes, classes: int) -> np.ndarray:
+    """How often a word of one class follows one of another in the training texts."""
+    size, look_up = classes + 1, assigned.look_up()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(size * size, np.int64)
         for batch in batches:
-            for part in of_bounded_size(batch):
-                flat = [END]
-                for text in part["text"].to_pylist():
-                    flat += lower_words(text)
-                    flat.append(END)
-                if len(known) > GATHERED:
-                    known.clear()
-                known.update((w, units(w)) for w in set(flat) - known.keys())
-                u = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
-                keys, n = np.unique(u[:-1] * units.n + u[1:], return_counts=True)
-                codes.append(keys)
-                counts.append(n)
-                if sum(map(len, codes)) > 4 * GATHERED:
-                    keys, n = merged(codes, counts)
-                    if len(keys) > 2 * GATHERED:
-                        yield rows(keys, n)
-                        codes, counts = [], []
-                    else:
-                        codes, counts = [keys], [n]
-        if codes:
-            yield rows(*merged(codes, counts))
-
-    counted = texts.select("text").mapInArrow(count, "a bigint, b bigint, n bigint")
-    return counted.groupBy("a", "b").agg(F.sum("n").alias("n"))
+            for i in range(batch.num_rows):
+                before, after = _training_pairs(batch, i)
+                c = look_up(batch, i)
+                table += np.bincount(c[before] * size + c[after], minlength=size * size)
+        at = np.flatnonzero(table)
+        yield pa.RecordBatch.from_pydict({"pair": pa.array(at), "n": pa.array(table[at])})
+
+    counted = assigned.onto(coded).mapInArrow(add, "pair bigint, n bigint")
+    table = np.zeros(size * size)
+    for pair, n in counted.groupBy("pair").agg(F.sum("n")).collect():
+        table[pair] = n
+    return table.reshape(size, size)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -159,124 +291,217 @@ def likelihood(table: np.ndarray) -> float:
     return float(_xlogx(table).sum() - _xlogx(table.sum(axis=1)).sum() - _xlogx(table.sum(0)).sum())
 
 
+def best_classes(
+    table: np.ndarray, own: np.ndarray, row: np.ndarray, slot: np.ndarray, n: np.ndarray
+) -> np.ndarray:
+    """The class each of some units belongs in, given all other units; its own on a tie.
+
+    ``own`` are their classes. Their neighbours come as entries, by ``row`` (which unit): ``n`` of class
+    ``slot`` before it, ``slot`` - size behind it, and itself behind itself for ``slot`` 2 * size, where size is that
+    of the table. Only entries that there are cost a comparison with each class. Class 0 is
+    the end's alone.
+    """
+    size, rows = len(table), len(own)
+    each = np.arange(rows)
+    dense = np.zeros((rows, 2 * size + 1))
+    dense[row, slot] = n
+    before, after, twice = dense[:, :size], dense[:, size:-1], dense[:, -1]
+    gain = np.zeros((rows, size))
+    for side, sums, other in ((slot < size, table, after), ((slot >= size) & (slot < 2 * size), table.T, before)):
+        r, x, m = row[side], slot[side] % size, n[side].astype(float)
+        mine, at = own[r], np.arange(len(r))
+        # Counts of the pairs with class x, without those of the unit.
+        rest = sums[x].astype(float)
+        rest[at, mine] -= m
+        same = np.flatnonzero(x == mine)
+        rest[same] -= other[r[same]]
+        rest[same, mine[same]] += twice[r[same]]
+        m[same] -= twice[r[same]]
+        change = _xlogx(rest + m[:, None]) - _xlogx(rest)
+        change[at, x] = 0.0
+        if len(r):
+            starts = np.flatnonzero(np.diff(r, prepend=-1))
+            gain[r[starts]] += np.add.reduceat(change, starts, axis=0)
+    corner = np.tile(np.diag(table).astype(float), (rows, 1))
+    corner[each, own] += twice - before[each, own] - after[each, own]
+    both = before + after + twice[:, None]
+    both[each, own] -= 2 * twice
+    gain += _xlogx(corner + both) - _xlogx(corner)
+    for axis, of_unit in ((1, after.sum(axis=1)), (0, before.sum(axis=1))):
+        total = np.tile(table.sum(axis=axis).astype(float), (rows, 1))
+        total[each, own] -= of_unit
+        gain -= _xlogx(total + of_unit[:, None]) - _xlogx(total)
+    gain[:, 0] = -np.inf
+    stays = gain[each, own] >= gain.max(axis=1) - 1e-9
+    return np.where(stays, own, gain.argmax(axis=1))
+
+
 def best_class(
     table: np.ndarray, own: int, before: np.ndarray, after: np.ndarray, twice: float
 ) -> int:
-    """The class a unit of class ``own`` belongs in, given all other units.
+    """``best_classes`` for one unit with all counts of its neighbours' classes."""
+    counts = np.concatenate([before, after, [twice]])
+    slots = np.flatnonzero(counts)
+    row = np.zeros(len(slots), np.int64)
+    return int(best_classes(table, np.array([own]), row, slots, counts[slots])[0])
+
+
+def _packed(keys: np.ndarray, n: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+    """Counts by (unit, class, slot) as one row a unit; those that are all below 256 take a byte each."""
+    width = 2 * size + 1
+    unit = keys // width
+    starts = np.flatnonzero(np.diff(unit, prepend=-1))
+    if not len(starts):
+        return
+    wide = np.maximum.reduceat(n, starts) > 255
+    sizes = np.diff(np.append(starts, len(unit)))
+    of_wide = np.repeat(wide, sizes)
+
+    def binary(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+        offsets = np.concatenate([[0], np.cumsum(lengths * values.itemsize)]).astype(np.int32)
+        return pa.Array.from_buffers(
+            pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())]
+        )
 
-    ``before`` and ``after`` count the classes of its neighbours, ``twice`` how
-    often it follows itself. Class 0 is the end's alone.
-    """
-    rest = table.copy()
-    rest[own] -= after
-    rest[:, own] -= before
-    rest[own, own] += twice
-    others_before, others_after = before.copy(), after.copy()
-    others_before[own] -= twice
-    others_after[own] -= twice
-    rows = _xlogx(rest + others_after) - _xlogx(rest)
-    columns = _xlogx(rest.T + others_before) - _xlogx(rest.T)
-    corner = np.diag(rest)
-    gain = rows.sum(axis=1) - np.diag(rows) + columns.sum(axis=1) - np.diag(columns)
-    gain += _xlogx(corner + others_after + others_before + twice) - _xlogx(corner)
-    for total, of_unit in ((table.sum(axis=1), after.sum()), (table.sum(axis=0), before.sum())):
-        total[own] -= of_unit
-        gain -= _xlogx(total + of_unit) - _xlogx(total)
-    gain[0] = -np.inf
-    return int(gain.argmax())
-
-
-def exchange(
-    pairs: DataFrame, n_units: int, classes: int = CLASSES, sweeps: int = SWEEPS
-) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each unit and the table of class pairs.
-
-    In a sweep every other unit is offered to all classes, in parallel, by
-    counts of its neighbours' classes, of which there are at most twice as many
-    as classes; half of the units standing still keeps two from swapping for
-    ever. Only the assignment and the class table come back to the driver.
-    """
-    assigned = np.array([0, *(1 + i % classes for i in range(n_units - 1))])
+    for chosen, entries, kind in ((~wide, ~of_wide, np.uint8), (wide, of_wide, np.int64)):
+        if chosen.any():
+            own = unit[starts[chosen]]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "unit": pa.array(own // size),
+                    "class": pa.array((own % size).astype(np.int32)),
+                    "slots": binary((keys[entries] % width).astype(np.int16), sizes[chosen]),
+                    "counts": binary(n[entries].astype(kind), sizes[chosen]),
+                }
+            )
 
-    def with_classes(now: np.ndarray) -> DataFrame:
-        known = now.copy()
 
-        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                a, b = batch["a"].to_numpy(), batch["b"].to_numpy()
-                columns = {"a": a, "b": b, "n": batch["n"], "c_a": known[a], "c_b": known[b]}
-                yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
+def _unpacked(parts: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many entries each part has, and their slots and counts."""
+    slots, counts = parts.field("slots"), parts.field("counts")
+    sizes = pc.binary_length(slots).to_numpy(zero_copy_only=False).astype(np.int64) // 2
+    wide = pc.binary_length(counts).to_numpy(zero_copy_only=False) > sizes
+    raw = counts.to_pylist()
+    n = np.empty(sizes.sum(), np.int64)
+    of_wide = np.repeat(wide, sizes)
+    n[~of_wide] = np.frombuffer(b"".join(c for c, w in zip(raw, wide) if not w), np.uint8)
+    n[of_wide] = np.frombuffer(b"".join(c for c, w in zip(raw, wide) if w), np.int64)
+    return sizes, np.frombuffer(b"".join(slots.to_pylist()), np.int16).astype(np.int64), n
 
-        return pairs.mapInArrow(look_up, "a bigint, b bigint, n bigint, c_a bigint, c_b bigint")
 
-    def class_table(now: np.ndarray) -> np.ndarray:
-        table = np.zeros((classes + 1, classes + 1))
-        counted = with_classes(now).groupBy("c_a", "c_b").agg(F.sum("n").alias("n")).collect()
-        for a, b, n in counted:
-            table[a, b] = n
-        return table
+def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) -> DataFrame:
+    """``unit`` and ``class`` of units that move: those whose turn it is in this ``sweep`` are offered to all
+    classes, by counts of their neighbours' classes.
 
-    table = class_table(assigned)
-    best, best_table = assigned, table
-    for sweep in range(sweeps):
-        mine, current = table, assigned
-        neighbours = (
-            with_classes(assigned)
-            .select(
-                F.explode(
-                    F.array(
-                        F.struct(F.col("a").alias("unit"), F.lit(1).alias("side"), F.col("c_b").alias("c")),
-                        F.struct(F.col("b").alias("unit"), F.lit(0).alias("side"), F.col("c_a").alias("c")),
-                    )
-                ).alias("x"),
-                F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0).alias("self"),
-                "n",
+    Half of the units stand still, which keeps two from swapping for ever. Tasks add up
+    counts before they pass them on, so a unit costs a row of at most 2 * classes counts a task, however
+    frequent it is.
+    """
+    size, look_up = len(table), assigned.look_up()
+    width = 2 * size + 1
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            return keys, np.bincount(where, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                before, after = _training_pairs(batch, i)
+                units, c = _values(batch, "units", i), look_up(batch, i)
+                turn = (units > 0) & ((units + sweep) % 2 == 0)
+                key = (units * size + c) * width
+                back, ahead = turn[after], turn[before]
+                itself = back & (units[before] == units[after])
+                found = (
+                    key[after[back]] + c[before[back]],
+                    key[before[ahead]] + c[after[ahead]] + size,
+                    key[after[itself]] + 2 * size,
+                )
+                held.append(np.unique(np.concatenate(found), return_counts=True))
+                if sum(len(k) for k, _ in held) > 2 * GATHERED:
+                    held = [merged()]
+                    if len(held[0][0]) > GATHERED:
+                        yield from _packed(*held[0], size)
+                        held = []
+        if held:
+            yield from _packed(*merged(), size)
+
+    def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch["parts"]
+            sizes, slots, n = _unpacked(lists.flatten())
+            of_part = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            keys, where = np.unique(np.repeat(of_part, sizes) * width + slots, return_inverse=True)
+            n = np.bincount(where, n, len(keys))
+            row, slot, own = keys // width, keys % width, batch["class"].to_numpy().astype(np.int64)
+            to = own.copy()
+            first = np.searchsorted(row, np.arange(len(own) + 1))
+            start = 0
+            while start < len(own):
+                end = int(np.searchsorted(first, first[start] + BLOCK, "right")) - 1
+                end = min(max(end, start + 1), start + BLOCK // 16)
+                a, b = first[start], first[min(end, len(own))]
+                to[start:end] = best_classes(table, own[start:end], row[a:b] - start, slot[a:b], n[a:b])
+                start = end
+            moved = np.flatnonzero(to != own)
+            yield pa.RecordBatch.from_pydict(
+                {"unit": batch["unit"].take(pa.array(moved)), "class": pa.array(to[moved].astype(np.int32))}
             )
-            .select("x.*", "self", "n")
-            .where((F.col("unit") > 0) & ((F.col("unit") + sweep) % 2 == 0))
-            .groupBy("unit", "side", "c")
-            .agg(F.sum("n").alias("n"), F.sum("self").alias("self"))
-        )
 
-        def offer(group: pd.DataFrame) -> pd.DataFrame:
-            sides = np.zeros((2, classes + 1))
-            sides[group["side"], group["c"]] = group["n"]
-            unit = int(group["unit"].iloc[0])
-            itself = float(group["self"].sum()) / 2  # it stands on both sides
-            to = best_class(mine, int(current[unit]), sides[0], sides[1], itself)
-            return pd.DataFrame({"unit": [unit], "to": [to]})
-
-        moved = neighbours.groupBy("unit").applyInPandas(offer, "unit bigint, to bigint").collect()
-        assigned = assigned.copy()
-        for unit, to in moved:
-            assigned[unit] = to
-        table = class_table(assigned)
+    gathered = assigned.onto(coded).mapInArrow(
+        gather, "unit bigint, class int, slots binary, counts binary"
+    )
+    return (
+        gathered.groupBy("unit", "class")
+        .agg(F.collect_list(F.struct("slots", "counts")).alias("parts"))
+        .mapInArrow(offer, "unit bigint, class int")
+    )
+
+
+def exchange(coded: DataFrame, assigned: Classes, classes: int = CLASSES) -> tuple[Classes, np.ndarray]:
+    """The best assignment and its table of class pairs, after sweeps until the likelihood
+    stops rising (``TOLERANCE``)."""
+    table = class_table(coded, assigned, classes)
+    best, best_table = assigned, table
+    first = reached = likelihood(table)
+    for sweep in count():
+        assigned = assigned.moved(moves(coded, assigned, table, sweep))
+        table = class_table(coded, assigned, classes)
         if likelihood(table) > likelihood(best_table):
             best, best_table = assigned, table
-    return best, best_table
+        if sweep % 2:
+            now = likelihood(best_table)
+            if now - reached <= TOLERANCE * (now - first):
+                return best, best_table
+            reached = now
+    raise AssertionError("sweeps end by the return above")
 
 
 @dataclass
 class Model:
-    """What scoring needs beside the counts of rare words; bounded in size."""
+    """What scoring needs beside the counts of words and the classes of units; bounded in size."""
 
     tokens: int
     types: int
     discount: float
-    units: Units
-    class_of: np.ndarray
     transition: np.ndarray  # log10, from class to class
     class_tokens: np.ndarray  # log10
     unseen: np.ndarray  # log10 of what a class passes on, before it is divided
-    head: dict[bytes, int]
-    head_counts: np.ndarray
 
-    def base(self, count: np.ndarray) -> np.ndarray:
-        return np.log10((count + 1) / (self.tokens + self.types + 1))
+    def base(self, n: np.ndarray) -> np.ndarray:
+        return np.log10((n + 1) / (self.tokens + self.types + 1))
+
+    def emission(self, n: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """log10 of the probability of words, given their classes; the end is the only word of its class."""
+        known = np.log10(np.maximum(n - self.discount, 1e-300))
+        out = np.where(n > 0, known, self.unseen[classes]) - self.class_tokens[classes]
+        return np.where(classes == 0, 0.0, out)
 
 
-def train(counts: DataFrame, texts: DataFrame) -> Model:
-    """A model from stored ``counts`` and the training ``texts`` they are of."""
+def train(counts: DataFrame, words: DataFrame, classes: Classes, table: np.ndarray) -> Model:
     tokens, types, once, twice = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)),
         F.count(F.lit(1)),
@@ -284,148 +509,78 @@ def train(counts: DataFrame, texts: DataFrame) -> Model:
         F.count_if(F.col("n") == 2),
     ).first()
     discount = min(0.9, max(0.1, once / max(1, once + 2 * twice)))
-    frequent = counts.where(F.col("n") >= max(1.0, HEAD_SHARE * tokens)).collect()
-    head = {bytes(row["word"]): i for i, row in enumerate(frequent)}
-    head_counts = np.array([row["n"] for row in frequent], np.float64)
-    own = sorted(
-        (w for w, i in head.items() if w != END and head_counts[i] >= OWN_SHARE * tokens),
-        key=lambda w: (-head_counts[head[w]], w),
-    )
-    units = Units(own)
-    pairs = stored(unit_pairs(texts, units), "unit-pairs")
-    class_of, table = exchange(pairs, units.n)
-
-    spark = counts.sparkSession
-    listed = spark.createDataFrame(
-        [(word, unit) for word, unit in units.of.items()], "word binary, own bigint"
-    )
-    unit = F.coalesce("own", units.base + _ending_column(F.col("word")))
-    by_unit = counts.join(listed, "word", "left").groupBy(unit.alias("unit")).agg(
-        F.sum("n"), F.count(F.lit(1))
-    )
-    n_of, v_of = np.zeros(len(table)), np.zeros(len(table))
-    for u, n, v in by_unit.collect():
-        n_of[class_of[u]] += n
-        v_of[class_of[u]] += v
+    size = len(table)
+    v_of = np.zeros(size)
+    of_unit = words.groupBy("unit").agg(F.count(F.lit(1)).alias("v"))
+    if isinstance(classes, HeldClasses):
+        # Words of their own are counted here; only the shared units are asked for.
+        v_of += np.bincount(classes.classes[FIRST_OWN:], minlength=size)
+        for unit, v in of_unit.where(F.col("unit") < FIRST_OWN).collect():
+            v_of[classes.classes[unit]] += v
+    else:
+        by_class = of_unit.join(classes.classes, "unit").groupBy("class").agg(F.sum("v"))
+        for c, v in by_class.collect():
+            v_of[c] += v
     smoothed = table + TRANSITION_SMOOTHING
     return Model(
         tokens,
         types,
         discount,
-        units,
-        class_of,
         np.log10(smoothed / smoothed.sum(axis=1, keepdims=True)),
-        np.log10(np.maximum(n_of, 1.0)),
+        np.log10(np.maximum(table.sum(axis=0), 1.0)),
         np.log10(np.where(v_of > 0, discount * v_of, 1.0)),
-        head,
-        head_counts,
     )
 
 
-def _document_parts(docs: DataFrame, model: Model) -> DataFrame:
-    """Per row what the model alone can tell, and its rare words with their number."""
-    seen = model.head_counts
-    base = model.base(seen)
-    units = model.units
-    unit_of_head = np.array([units(w) for w in model.head], np.int64)
-    class_of_head = model.class_of[unit_of_head] if len(unit_of_head) else unit_of_head
-    word = np.log10(np.maximum(seen - model.discount, 1e-300)) - model.class_tokens[class_of_head]
-    word[class_of_head == 0] = 0.0  # the end is the only word of its class
-    class_of_ending = model.class_of[units.base :]
-    unseen_of_ending = model.unseen[class_of_ending]
-
-    def per_batch(batch: pa.RecordBatch) -> Iterator[dict[str, object]]:
-        for part in of_bounded_size(batch):
-            names = ("n_tokens", "n_known", "base", "score", "rare")
-            out: dict[str, list[object]] = {name: [] for name in names}
-            for text in part["text"].to_pylist():
-                tokens = lower_words(text)
-                tokens.append(END)
-                at = np.fromiter(map(model.head.get, tokens, repeat(-1)), np.int64, len(tokens))
-                common = at[at >= 0]
-                classes = np.zeros(len(tokens) + 1, np.int64)
-                classes[1:] = class_of_head[at] if len(class_of_head) else 0
-                rare_at = np.flatnonzero(at < 0)
-                rare = [tokens[i] for i in rare_at.tolist()]
-                ends = np.fromiter(map(ending, rare), np.int64, len(rare))
-                classes[rare_at + 1] = class_of_ending[ends]
-                if len(rare) and rare[-1] == END:  # nothing to train on: no end is known
-                    classes[-1] = 0
-                score = model.transition[classes[:-1], classes[1:]].sum() + word[common].sum()
-                score -= model.class_tokens[classes[rare_at + 1]].sum()
-                counted = Counter(rare)
-                out["n_tokens"].append(len(tokens))
-                out["n_known"].append(len(common))
-                out["base"].append(base[common].sum())
-                out["score"].append(score)
-                out["rare"].append(
-                    [
-                        {"word": w, "n": n, "unseen": unseen_of_ending[ending(w)] if w else 0.0}
-                        for w, n in counted.items()
-                    ]
-                )
-            yield {
-                "row": part["row"],
-                "doc_id": part["doc_id"],
-                "held_out": part["held_out"],
-                "n_tokens": pa.array(out["n_tokens"], pa.int64()),
-                "n_known": pa.array(out["n_known"], pa.int64()),
-                "base": pa.array(out["base"], pa.float64()),
-                "score": pa.array(out["score"], pa.float64()),
-                "rare": pa.array(out["rare"], _RARE),
-            }
-
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
-        "text",
-    )
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_arrow(
-        rows,
-        per_batch,
-        f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
-        "base double, score double, rare array<struct<word: binary, n: bigint, unseen: double>>",
-    )
-
-
-_RARE = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64()), ("unseen", pa.float64())]))
-
-
 def score_documents(docs: DataFrame) -> DataFrame:
     """Train on the documents not held out and score all, one row per row of ``docs``.
 
     A null or empty text is one end. Without training documents every word is
-    unseen and the base score is 0. Repeated rows count and score one by one.
+    unseen and the base score is 0. Repeated rows count and score one by one. A text of any
+    length is scored whole; it is a chunk of its own if it is longer than one, so a task needs about 20 bytes
+    a token of it.
     """
-    texts = docs.where(~held_out(F.col("doc_id"))).select("text")
-    counts = stored(word_counts(texts), "word-counts")
-    model = train(counts, texts)
-    parts = stored(_document_parts(docs, model), "document-parts")
-    rare = parts.select("row", F.explode("rare").alias("r")).select("row", "r.*")
-    counted = rare.join(counts.withColumnRenamed("n", "count"), "word", "left")
-    count = F.coalesce("count", F.lit(0))
-    known = count > 0
-    floor = math.log10(model.tokens + model.types + 1)
-    of_rare = counted.groupBy("row").agg(
-        F.sum(F.when(known, F.col("n")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("n") * (F.log10(count + 1) - F.lit(floor))).alias("rare_base"),
-        F.sum(
-            F.col("n") * F.when(known, F.log10(count - F.lit(model.discount))).otherwise(F.col("unseen"))
-        ).alias("rare_score"),
+    chunks = stored(chunked(docs), "chunks")
+    counts = stored(word_counts(chunks), "word-counts")
+    words, n_units = numbered(counts)
+    coded = stored(coded_chunks(chunks, words), "coded-chunks")
+    assigned, table = exchange(coded, first_classes(words, n_units, CLASSES))
+    model, look_up = train(counts, words, assigned, table), assigned.look_up()
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                tokens, n, c = _tokens(batch, i), _values(batch, "n", i), look_up(batch, i)
+                lengths = _values(batch, "lengths", i).astype(np.int64)
+                starts = np.cumsum(lengths) - lengths
+                classes = c[tokens]
+                ahead = np.concatenate([[0], classes[:-1]])  # a text starts behind an end
+                total = model.emission(n, c)[tokens] + model.transition[ahead, classes]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": batch["doc_ids"][i].values,
+                        "held_out": batch["held"][i].values,
+                        "n_tokens": pa.array(lengths),
+                        "n_known": pa.array(np.add.reduceat((n > 0).astype(np.int64)[tokens], starts)),
+                        "base_score": pa.array(np.add.reduceat(model.base(n)[tokens], starts)),
+                        "score": pa.array(np.add.reduceat(total, starts)),
+                    }
+                )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    scored = assigned.onto(coded).mapInArrow(
+        score,
+        f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double",
     )
-    zero = F.lit(0.0)
-    score = F.col("score") + F.coalesce("rare_score", zero)
-    return parts.drop("rare").join(of_rare, "row", "left").select(
+    return scored.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        "n_known",
         F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", zero)).alias("base_score"),
-        score.alias("score"),
-        F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
+        "base_score",
+        "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )
 
 
