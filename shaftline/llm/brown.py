@@ -292,9 +292,15 @@ def likelihood(table: np.ndarray) -> float:
 
 
 def best_classes(
-    table: np.ndarray, own: np.ndarray, row: np.ndarray, slot: np.ndarray, n: np.ndarray
+    table: np.ndarray,
+    own: np.ndarray,
+    row: np.ndarray,
+    slot: np.ndarray,
+    n: np.ndarray,
+    draw: np.ndarray | int = 0,
 ) -> np.ndarray:
-    """The class each of some units belongs in, given all other units; its own on a tie.
+    """The class each of some units belongs in, given all other units; its own on a tie, or else
+    the one that ``draw`` picks: units that move at once should not all take the first empty class.
 
     ``own`` are their classes. Their neighbours come as entries, by ``row`` (which unit): ``n`` of class
     ``slot`` before it, ``slot`` - size behind it, and itself behind itself for ``slot`` 2 * size, where size is that
@@ -332,8 +338,10 @@ def best_classes(
         total[each, own] -= of_unit
         gain -= _xlogx(total + of_unit[:, None]) - _xlogx(total)
     gain[:, 0] = -np.inf
-    stays = gain[each, own] >= gain.max(axis=1) - 1e-9
-    return np.where(stays, own, gain.argmax(axis=1))
+    best = gain >= gain.max(axis=1, keepdims=True) - 1e-9
+    nth = np.cumsum(best, axis=1)
+    drawn = (nth == (draw % nth[:, -1] + 1)[:, None]).argmax(axis=1)
+    return np.where(best[each, own], own, drawn)
 
 
 def best_class(
@@ -437,14 +445,16 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
             keys, where = np.unique(np.repeat(of_part, sizes) * width + slots, return_inverse=True)
             n = np.bincount(where, n, len(keys))
             row, slot, own = keys // width, keys % width, batch["class"].to_numpy().astype(np.int64)
-            to = own.copy()
+            to, draw = own.copy(), batch["unit"].to_numpy() // 2 + sweep
             first = np.searchsorted(row, np.arange(len(own) + 1))
             start = 0
             while start < len(own):
                 end = int(np.searchsorted(first, first[start] + BLOCK, "right")) - 1
                 end = min(max(end, start + 1), start + BLOCK // 16)
                 a, b = first[start], first[min(end, len(own))]
-                to[start:end] = best_classes(table, own[start:end], row[a:b] - start, slot[a:b], n[a:b])
+                to[start:end] = best_classes(
+                    table, own[start:end], row[a:b] - start, slot[a:b], n[a:b], draw[start:end]
+                )
                 start = end
             moved = np.flatnonzero(to != own)
             yield pa.RecordBatch.from_pydict(
