@@ -37,10 +37,10 @@ LEAST = 3
 ENDINGS = 256
 # Two sweeps, in which each unit has its turn once, that raise the likelihood by less than this
 # share of what all sweeps have raised it by are the last ones.
-TOLERANCE = 0.01
+TOLERANCE = 0.02
 TRANSITION_SMOOTHING = 0.1
 HELD_OUT_FOLD, FOLDS = 2, 7
-CHUNK = 1 << 20
+CHUNK = 1 << 22
 HELD = 1 << 22
 # Distinct keys a task gathers before it passes them on, and counts it compares at a time.
 GATHERED = 1 << 21
@@ -71,9 +71,21 @@ def _list(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _planes(numbers: np.ndarray, width: int) -> bytes:
+    """Whole numbers as ``width`` bytes each, all lowest bytes first: the high ones are mostly
+    zeros, which files and shuffles compress away."""
+    return numbers.astype(f"<i{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def _from_planes(raw: pa.Scalar | bytes, width: int) -> np.ndarray:
+    data = raw if isinstance(raw, bytes) else raw.as_buffer()
+    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<i{width}").ravel()
+
+
 def chunked(docs: DataFrame) -> DataFrame:
     """``docs`` as rows of whole documents with about ``CHUNK`` tokens: the distinct ``words`` and how
-    often each is in training texts, ``tokens`` as 32-bit numbers of words, an end behind each
+    often each is in training texts, ``tokens`` as numbers of words of 4 bytes (``_planes``), an end behind each
     document, and ``lengths``, ``doc_ids`` and ``held`` per document."""
     find_library(docs.sparkSession)
 
@@ -88,11 +100,17 @@ def chunked(docs: DataFrame) -> DataFrame:
         def row(kind: pa.DataType) -> pa.RecordBatch:
             flat, sizes = np.concatenate(tokens), np.array(lengths, np.int32)
             trained = flat[np.repeat(~np.array(held, bool), sizes)]
+            # Frequent words get low numbers, the end 0.
+            often = np.bincount(flat, minlength=len(of))
+            often[0] = len(flat) + 1
+            order = np.argsort(-often, kind="stable")
+            place = np.empty(len(of), np.int32)
+            place[order] = np.arange(len(of))
             columns = {
                 "chunk": pa.array([next(numbers)], pa.int64()),
-                "words": _list(pa.array(of, pa.binary())),
-                "n": _list(pa.array(np.bincount(trained, minlength=len(of)).astype(np.int64))),
-                "tokens": pa.array([flat.astype("<i4").tobytes()], pa.binary()),
+                "words": _list(pa.array(of, pa.binary()).take(pa.array(order))),
+                "n": _list(pa.array(np.bincount(trained, minlength=len(of)).astype(np.int64)[order])),
+                "tokens": pa.array([_planes(place[flat], 4)], pa.binary()),
                 "lengths": _list(pa.array(sizes)),
                 "doc_ids": _list(pa.array(ids, kind)),
                 "held": _list(pa.array(held, pa.bool_())),
@@ -170,17 +188,57 @@ def _shared_unit(word: Column) -> Column:
 
 
 def coded_chunks(chunks: DataFrame, words: DataFrame) -> DataFrame:
-    """``chunks`` with count ``n`` and ``units`` of each of their words instead of the word."""
+    """``chunks`` with count ``n`` and ``units`` of each of their words instead of the word, 8 bytes each
+    (``_planes``). What is joined by word goes back to its chunk in one row a task."""
     listed = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
-    unit = F.coalesce("unit", _shared_unit(F.col("word")))
-    facts = (
-        listed.join(words, "word", "left")
-        .select("chunk", F.struct("at", F.coalesce("n", F.lit(0)).alias("n"), unit.alias("unit")).alias("x"))
-        .groupBy("chunk")
-        .agg(F.sort_array(F.collect_list("x")).alias("x"))
-        .select("chunk", F.col("x.n").alias("n"), F.col("x.unit").alias("units"))
+    unit = F.coalesce("unit", _shared_unit(F.col("word"))).alias("unit")
+    found = listed.join(words, "word", "left").select("chunk", "at", F.coalesce("n", F.lit(0)).alias("n"), unit)
+
+    def rows(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        columns = {c: np.concatenate([b[c].to_numpy() for b in held]) for c in ("chunk", "at", "n", "unit")}
+        order = np.argsort(columns["chunk"], kind="stable")
+        chunk = columns["chunk"][order]
+        starts = np.flatnonzero(np.diff(chunk, prepend=-1))
+        out: dict[str, object] = {"chunk": pa.array(chunk[starts])}
+        for c, width in (("at", 4), ("n", 8), ("unit", 8)):
+            parts = np.split(columns[c][order], starts[1:])
+            out[c] = pa.array([_planes(part, width) for part in parts], pa.binary())
+        return pa.RecordBatch.from_pydict(out)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) > GATHERED:
+                yield rows(held)
+                held = []
+        if sum(b.num_rows for b in held):
+            yield rows(held)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {name: batch[name] for name in kept}
+            for c in ("n", "units"):
+                columns[c] = []
+            for facts in batch["facts"].to_pylist():
+                at = np.concatenate([_from_planes(f["at"], 4) for f in facts])
+                for c, name in (("n", "n"), ("units", "unit")):
+                    values = np.empty(len(at), np.int64)
+                    values[at] = np.concatenate([_from_planes(f[name], 8) for f in facts])
+                    columns[c].append(_planes(values, 8))
+            for c in ("n", "units"):
+                columns[c] = pa.array(columns[c], pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
+
+    packed = found.mapInArrow(pack, "chunk bigint, at binary, n binary, unit binary")
+    facts = packed.groupBy("chunk").agg(F.collect_list(F.struct("at", "n", "unit")).alias("facts"))
+    kept = ("chunk", "tokens", "lengths", "doc_ids", "held")
+    doc_ids = chunks.schema["doc_ids"].dataType.simpleString()
+    return chunks.select(*kept).join(facts, "chunk").mapInArrow(
+        place,
+        f"chunk bigint, tokens binary, lengths array<int>, doc_ids {doc_ids}, held array<boolean>, "
+        "n binary, units binary",
     )
-    return chunks.drop("words", "n").join(facts, "chunk")
 
 
 class HeldClasses:
@@ -194,7 +252,7 @@ class HeldClasses:
 
     def look_up(self) -> Callable[[pa.RecordBatch, int], np.ndarray]:
         classes = self.classes
-        return lambda batch, i: classes[_values(batch, "units", i)].astype(np.int64)
+        return lambda batch, i: classes[_numbers(batch, "units", i)].astype(np.int64)
 
     def moved(self, moves: DataFrame) -> HeldClasses:
         table = moves.toArrow()
@@ -210,7 +268,16 @@ class TabledClasses:
         self.classes = classes
 
     def onto(self, coded: DataFrame) -> DataFrame:
-        listed = coded.select("chunk", F.posexplode("units").alias("at", "unit"))
+        def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    units = _numbers(batch, "units", i)
+                    chunk = np.full(len(units), batch["chunk"][i].as_py())
+                    at = np.arange(len(units), dtype=np.int32)
+                    columns = {"chunk": chunk, "at": at, "unit": units}
+                    yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
+
+        listed = coded.select("chunk", "units").mapInArrow(one_by_one, "chunk bigint, at int, unit bigint")
         per_chunk = (
             listed.join(self.classes, "unit")
             .groupBy("chunk")
@@ -249,15 +316,15 @@ def _values(batch: pa.RecordBatch, column: str, i: int) -> np.ndarray:
     return batch[column][i].values.to_numpy(zero_copy_only=False)
 
 
-def _tokens(batch: pa.RecordBatch, i: int) -> np.ndarray:
-    return np.frombuffer(batch["tokens"][i].as_buffer(), "<i4")
+def _numbers(batch: pa.RecordBatch, column: str, i: int) -> np.ndarray:
+    return _from_planes(batch[column][i], 4 if column == "tokens" else 8)
 
 
 def _training_pairs(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
     """Each training token of a chunk, behind the one before it; a text's first word
     follows an end."""
     trained = np.repeat(~_values(batch, "held", i), _values(batch, "lengths", i))
-    after = _tokens(batch, i)[trained]
+    after = _numbers(batch, "tokens", i)[trained]
     return np.concatenate([np.zeros(1, after.dtype), after])[:-1], after
 
 
@@ -378,23 +445,29 @@ def _packed(keys: np.ndarray, n: np.ndarray, size: int) -> Iterator[pa.RecordBat
                 {
                     "unit": pa.array(own // size),
                     "class": pa.array((own % size).astype(np.int32)),
-                    "slots": binary((keys[entries] % width).astype(np.int16), sizes[chosen]),
+                    "slots": binary((keys[entries] % width).astype(_slot_kind(size)), sizes[chosen]),
                     "counts": binary(n[entries].astype(kind), sizes[chosen]),
                 }
             )
 
 
-def _unpacked(parts: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _slot_kind(size: int) -> type:
+    return np.uint8 if 2 * size < 256 else np.int32
+
+
+def _unpacked(parts: pa.StructArray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """How many entries each part has, and their slots and counts."""
     slots, counts = parts.field("slots"), parts.field("counts")
-    sizes = pc.binary_length(slots).to_numpy(zero_copy_only=False).astype(np.int64) // 2
+    sizes = pc.binary_length(slots).to_numpy(zero_copy_only=False).astype(np.int64)
+    kind = np.dtype(_slot_kind(size))
+    sizes //= kind.itemsize
     wide = pc.binary_length(counts).to_numpy(zero_copy_only=False) > sizes
     raw = counts.to_pylist()
     n = np.empty(sizes.sum(), np.int64)
     of_wide = np.repeat(wide, sizes)
     n[~of_wide] = np.frombuffer(b"".join(c for c, w in zip(raw, wide) if not w), np.uint8)
     n[of_wide] = np.frombuffer(b"".join(c for c, w in zip(raw, wide) if w), np.int64)
-    return sizes, np.frombuffer(b"".join(slots.to_pylist()), np.int16).astype(np.int64), n
+    return sizes, np.frombuffer(b"".join(slots.to_pylist()), kind).astype(np.int64), n
 
 
 def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) -> DataFrame:
@@ -418,7 +491,7 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
         for batch in batches:
             for i in range(batch.num_rows):
                 before, after = _training_pairs(batch, i)
-                units, c = _values(batch, "units", i), look_up(batch, i)
+                units, c = _numbers(batch, "units", i), look_up(batch, i)
                 turn = (units > 0) & ((units + sweep) % 2 == 0)
                 key = (units * size + c) * width
                 back, ahead = turn[after], turn[before]
@@ -440,7 +513,7 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
     def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch["parts"]
-            sizes, slots, n = _unpacked(lists.flatten())
+            sizes, slots, n = _unpacked(lists.flatten(), size)
             of_part = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
             keys, where = np.unique(np.repeat(of_part, sizes) * width + slots, return_inverse=True)
             n = np.bincount(where, n, len(keys))
@@ -560,7 +633,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                tokens, n, c = _tokens(batch, i), _values(batch, "n", i), look_up(batch, i)
+                tokens, n, c = _numbers(batch, "tokens", i), _numbers(batch, "n", i), look_up(batch, i)
                 lengths = _values(batch, "lengths", i).astype(np.int64)
                 starts = np.cumsum(lengths) - lengths
                 classes = c[tokens]
