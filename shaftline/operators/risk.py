@@ -35,9 +35,10 @@ class RiskModel:
         return [(F.col(name) - F.lit(m)) / F.lit(s) for name, m, s in parts]
 
 
-def risk_features(daily: DataFrame, horizon: int = 3, cfg: Monitor = DEFAULT) -> DataFrame:
-    """Every machine-day with its features and ``Danger``: whether the key is above the last zone's bound
-    within the next ``horizon`` days.
+def risk_features(
+    daily: DataFrame, horizon: int = 3, bound: float | None = None, cfg: Monitor = DEFAULT
+) -> DataFrame:
+    """Every machine-day with its features and ``Danger``: whether the key is above ``bound`` (the last zone's) within the next ``horizon`` days.
 
     ``Level`` is the day's vibration, ``LevelRate`` and ``TemperatureRate`` the changes per day since the key's day
     before, and ``LevelRise`` that since its first day; a first day has zeros. ``Danger`` is null where
@@ -58,7 +59,7 @@ def risk_features(daily: DataFrame, horizon: int = 3, cfg: Monitor = DEFAULT) ->
     def rate(change: Column, days: Column) -> Column:
         return F.coalesce(F.try_divide(change, days), zero)
 
-    bound = cfg.zones[-1][0]
+    bound = cfg.zones[-1][0] if bound is None else bound
     dangerous = F.coalesce(F.max((v > bound).cast("int")).over(ahead), F.lit(0))
     return rows.select(
         "*",
@@ -118,7 +119,12 @@ def fit_risk(
 
 
 def risk_scores(
-    daily: DataFrame, split: object, horizon: int = 3, penalty: float = 1.0, cfg: Monitor = DEFAULT
+    daily: DataFrame,
+    split: object,
+    horizon: int = 3,
+    bound: float | None = None,
+    penalty: float = 1.0,
+    cfg: Monitor = DEFAULT,
 ) -> DataFrame:
     """Every machine-day of ``risk_features`` with ``HeldOut`` and ``RiskScore``, the probability of danger within the
     next ``horizon`` days.
@@ -126,7 +132,7 @@ def risk_scores(
     The model is fitted on the days whose horizon ends before ``split``, so it has seen nothing of the held-out days,
     which are those from ``split`` on and the ``horizon`` days before.
     """
-    features = risk_features(daily, horizon, cfg)
+    features = risk_features(daily, horizon, bound, cfg)
     path = scratch_path(daily.sparkSession, "risk-features")
     write_table(features, path, arrange=False)
     features = read_table(daily.sparkSession, path, features.schema)

@@ -321,7 +321,8 @@ def reconciled_readings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def risk_of_danger(spark: SparkSession, sf: str) -> DataFrame:
-    scored = risk_scores(_daily(spark, sf), split="2024-01-21", cfg=CFG)
+    """Being above the zones that are free of restrictions within three days."""
+    scored = risk_scores(_daily(spark, sf), split="2024-01-21", bound=CFG.zones[1][0], cfg=CFG)
     names = ("LevelRate", "TemperatureRate", "LevelRise", "RiskScore")
     return scored.withColumns({c: F.round(c, 6) for c in names})
 

@@ -188,7 +188,7 @@ def test_risk_features(spark):
     days, daily = some_series(spark, 1)
     own = sorted((k, d, v, w) for k, d, v, w in days if None not in (k, d, v))
     last = max(d for _, d, _, _ in own)
-    got = {(r.k, r.Date): r for r in risk_features(daily, 3, CFG).collect()}
+    got = {(r.k, r.Date): r for r in risk_features(daily, 3, cfg=CFG).collect()}
     assert len(got) == len(own)
     for i, (k, d, v, w) in enumerate(own):
         r = got[(k, d)]
@@ -208,7 +208,7 @@ def test_risk_features(spark):
 
 def test_the_fit_equals_a_plain_one_and_tells_held_out_days_apart(spark):
     _, daily = some_series(spark, 2)
-    features = risk_features(daily, 3, CFG)
+    features = risk_features(daily, 3, cfg=CFG)
     model = fit_risk(features, penalty=0.5)
     known = [r for r in features.collect() if r.Danger is not None]
     x = np.array([[r[f] for f in FEATURES] for r in known])
