@@ -40,10 +40,10 @@ ENDINGS = 256
 TOLERANCE = 0.02
 TRANSITION_SMOOTHING = 0.1
 HELD_OUT_FOLD, FOLDS = 2, 7
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 HELD = 1 << 22
 # Distinct keys a task gathers before it passes them on, and counts it compares at a time.
-GATHERED = 1 << 21
+GATHERED = 1 << 20
 BLOCK = 1 << 14
 # No word is empty, so the empty one stands for the end of a text. It is unit 0, and word 0
 # of each chunk; endings follow, then words of their own.
@@ -496,12 +496,13 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
                 key = (units * size + c) * width
                 back, ahead = turn[after], turn[before]
                 itself = back & (units[before] == units[after])
+                # One after the other, so that one side is sorted at a time.
                 found = (
-                    key[after[back]] + c[before[back]],
-                    key[before[ahead]] + c[after[ahead]] + size,
-                    key[after[itself]] + 2 * size,
+                    key[after[part]] + slots
+                    for part, slots in ((back, c[before[back]]), (itself, 2 * size))
                 )
-                held.append(np.unique(np.concatenate(found), return_counts=True))
+                held += [np.unique(keys, return_counts=True) for keys in found]
+                held.append(np.unique(key[before[ahead]] + c[after[ahead]] + size, return_counts=True))
                 if sum(len(k) for k, _ in held) > 2 * GATHERED:
                     held = [merged()]
                     if len(held[0][0]) > GATHERED:
