@@ -10,7 +10,8 @@ _MOST_UNITS = float(2**43)
 # Low bits are summed apart from high bits, so that neither sum outgrows a long
 # before a group has 2**40 readings; Spark raises an error if one ever does.
 _LOW_BITS = 20
-# Digits of the decimals that all other readings are summed as, and of sums.
+# Other readings below this are summed as decimals of these digits, and so are sums.
+_MOST = 1e12
 _READING = "decimal(38,18)"
 _SUM = "decimal(36,18)"
 
@@ -24,7 +25,11 @@ def rounded_average(column: str, decimals: int, exact: bool = True) -> Column:
     decimals, and rounds once, the mean. A reading that is a whole number of
     ``10 ** -decimals`` is added as a long and any other as a decimal: the same
     value either way, only faster as a long. NaN and infinities follow IEEE
-    arithmetic. Readings of 1e20 or more and sums of 1e18 or more raise an error.
+    arithmetic.
+
+    No reading ends a job. A group with a reading of 1e12 or more (but for whole numbers of
+    units below 2**43), or whose sum is 1e18 or more, gets the average of doubles, whose last
+    digits are not exact; null, if its decimals add up to more than 1e20.
 
     ``exact=False`` is the plain ``round(avg(column))``.
     """
@@ -33,35 +38,44 @@ def rounded_average(column: str, decimals: int, exact: bool = True) -> Column:
         return F.round(F.avg(reading), decimals)
 
     scale = float(10**decimals)
-    finite = F.abs(reading) < F.lit(float("inf"))
     rounded = F.rint(reading * F.lit(scale))
     # The double nearest to the whole number of units is the reading itself.
     whole = (F.abs(rounded) < F.lit(_MOST_UNITS)) & (rounded / F.lit(scale) == reading)
     units = F.when(whole, rounded.cast("bigint"))
     high = F.sum(F.shiftright(units, _LOW_BITS))
     low = F.sum(units.bitwiseAND(F.lit(2**_LOW_BITS - 1).cast("bigint")))
-    other = finite & ~whole
-    too_large = F.raise_error(F.lit(f"a reading of {column} is too large to average"))
-    decimal = F.when(F.abs(reading) < F.lit(1e20), reading.cast(_READING)).otherwise(
-        too_large.cast(_READING)
-    )
-    # Null if the sum overflows and overflows are no errors in the session.
-    others = F.when(F.count_if(other) > 0, F.sum(F.when(other, decimal)).cast(_SUM))
-    odd = F.sum(F.when(~finite, reading))
+    small = F.abs(reading) < F.lit(_MOST)
+    others = F.try_sum(F.when(small & ~whole, reading.cast(_READING)))
+    n_others = F.count_if(small & ~whole)
+    odd = F.sum(F.when(~small & ~whole, reading))
 
     unit = F.lit(f"{10**-decimals:.{decimals}f}").cast(f"decimal({decimals + 1},{decimals})")
     counted = high.cast("decimal(20,0)") * F.lit(2**_LOW_BITS) + low
-    zero = F.lit(0).cast(_SUM)
-    total = F.coalesce((counted * unit).cast(_SUM), zero) + others.otherwise(zero)
-    # The mean is total / readings; in units, total / step. Bound by a lambda, the
-    # two are not spelled out, and compiled, once for each time they are used.
-    step = F.nullif(F.count(reading), F.lit(0)).cast("decimal(20,0)") * unit
-    both = F.array(F.struct(total.alias("total"), step.alias("step"), odd.alias("odd")))
-    return F.element_at(F.transform(both, lambda sums: _mean(sums, scale)), 1)
+    # Null where it is 1e18 or more, or where the decimals have overflowed.
+    total = F.when(high.isNull(), F.lit(0).cast(_SUM)).otherwise(
+        (counted * unit).try_cast(_SUM)
+    ) + F.when(n_others == 0, F.lit(0).cast(_SUM)).otherwise(others.try_cast(_SUM))
+    plain = F.coalesce(counted.cast("double") / F.lit(scale), F.lit(0.0)) + F.when(
+        n_others == 0, F.lit(0.0)
+    ).otherwise(others.cast("double"))
+    n = F.nullif(F.count(reading), F.lit(0))
+    # The mean is total / readings; in units, total / step. Bound by a lambda, they
+    # are not spelled out, and compiled, once for each time they are used.
+    found = F.struct(
+        total.alias("total"),
+        (n.cast("decimal(20,0)") * unit).alias("step"),
+        odd.alias("odd"),
+        plain.alias("plain"),
+        n.alias("n"),
+    )
+    return F.element_at(F.transform(F.array(found), lambda sums: _mean(sums, decimals)), 1)
 
 
-def _mean(sums: Column, scale: float) -> Column:
+def _mean(sums: Column, decimals: int) -> Column:
     total, step, odd = sums["total"], sums["step"], sums["odd"]
     below = F.call_function("div", total, step)
     away = F.when(2 * F.abs(total % step) >= step, F.signum(total).cast("bigint")).otherwise(0)
-    return F.when(odd.isNotNull(), odd).otherwise((below + away) / F.lit(scale))
+    inexact = (sums["plain"] + F.coalesce(odd, F.lit(0.0))) / sums["n"]
+    return F.when(odd.isNotNull() | total.isNull(), F.round(inexact, decimals)).otherwise(
+        (below + away) / F.lit(float(10**decimals))
+    )
