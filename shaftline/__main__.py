@@ -15,7 +15,13 @@ from shaftline.operators.baseline import significant_days
 from shaftline.operators.cleaning import both_reports
 from shaftline.operators.grading import is_restricted, restricted_days
 from shaftline.operators.quality import preview
-from shaftline.plans.monitoring import REPORTS, inspect_run, run_monitoring, update_monitoring
+from shaftline.plans.monitoring import (
+    REPORTS,
+    TRENDS,
+    inspect_run,
+    run_monitoring,
+    update_monitoring,
+)
 from shaftline.session import build_session
 from shaftline.sources.tables import (
     publish,
@@ -98,7 +104,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     significant_days(run.tables.read(spark, "scored"), cfg=cfg).show(SHOWN)
     for name in REPORTS:
         print(f"{name} (whole in {run.tables.report(name)})")
-        run.tables.read(spark, name).show(SHOWN)
+        order = [cfg.key, cfg.date] if name in TRENDS else None
+        preview(run.tables.read(spark, name), SHOWN, order).show(SHOWN)
     inspect_run(spark, run.tables, cfg).show()
 
     if args.publish:

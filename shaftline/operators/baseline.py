@@ -113,6 +113,54 @@ def score_with(daily: DataFrame, baselines: DataFrame, cfg: Monitor = DEFAULT) -
     return _with_zscore(daily.join(baselines, on=cfg.key, how="left"), cfg)
 
 
+def baselines_of(scored: DataFrame, cfg: Monitor = DEFAULT) -> DataFrame:
+    """What each key of scored days is scored against, one row per key, with its first day.
+
+    To be stored: ``score_with`` gives new days the same scores as scoring all of them again,
+    and ``keys_to_score`` tells for which keys that does not hold.
+    """
+    return (
+        scored.where(F.col(cfg.key).isNotNull())
+        .groupBy(cfg.key)
+        .agg(
+            F.min(cfg.date).alias("FirstDay"),
+            F.max("BaselineMean").alias("BaselineMean"),
+            F.max("BaselineStdDev").alias("BaselineStdDev"),
+        )
+    )
+
+
+def keys_to_score(
+    before: DataFrame,
+    after: DataFrame,
+    baselines: DataFrame,
+    cutoff: object = None,
+    first_days: int | None = None,
+    cfg: Monitor = DEFAULT,
+) -> DataFrame:
+    """Keys whose stored baseline no longer holds when daily levels (key, day, level) of
+    some days change from ``before`` to ``after``.
+
+    These are the keys with a level within the baseline period that came, went or
+    changed, and keys without a baseline yet. The levels are compared as signed counts,
+    in one shuffle of the changed days; no other day is read.
+    """
+    _check_rule(cutoff, first_days)
+    level = cfg.vibration.name
+    signed = before.withColumn("__n", F.lit(-1)).unionByName(after.withColumn("__n", F.lit(1)))
+    differing = signed.groupBy(cfg.key, cfg.date, level).agg(F.sum("__n").alias("__n"))
+    earliest = (
+        differing.where((F.col("__n") != 0) & F.col(cfg.key).isNotNull())
+        .groupBy(cfg.key)
+        .agg(F.min(cfg.date).alias(cfg.date))
+    )
+    known = earliest.join(baselines.withColumnRenamed("FirstDay", _START), cfg.key, "left")
+    stale = _in_baseline(cutoff, first_days, cfg)
+    if first_days is not None:
+        stale = F.col(_START).isNull() | stale
+    return known.where(stale).select(cfg.key)
+
+
 def entities_without_baseline(scored: DataFrame, cfg: Monitor = DEFAULT) -> DataFrame:
     """One row: how many keys have no baseline that a day can be scored against."""
     usable = F.max((F.col("BaselineStdDev") > 0).cast("int"))

@@ -17,18 +17,22 @@ def trend_series(
     highlight: Sequence[object],
     lines: Mapping[str, float] | None = None,
     cfg: Monitor = DEFAULT,
+    ordered: bool = True,
 ) -> DataFrame:
     """``value`` per key over time, with the keys to highlight marked.
 
     ``lines`` adds the height of each horizontal reference line as a column.
+    ``ordered=False`` leaves the rows where they are, for storing: a whole history
+    needs no global sort to be read by key or day.
     """
-    return daily.select(
+    series = daily.select(
         cfg.key,
         cfg.date,
         value,
         F.col(cfg.key).isin(*highlight).alias("Highlighted"),
         *(F.lit(float(height)).alias(name) for name, height in (lines or {}).items()),
-    ).orderBy(cfg.key, cfg.date)
+    )
+    return series.orderBy(cfg.key, cfg.date) if ordered else series
 
 
 def max_bars(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -14,7 +15,10 @@ from shaftline.config import DEFAULT, Monitor
 from shaftline.operators.baseline import (
     baseline,
     baseline_zscore,
+    baselines_of,
     entities_without_baseline,
+    keys_to_score,
+    score_with,
     significant_day_count,
     significant_entities,
     worst_zscore,
@@ -86,6 +90,11 @@ class Tables:
     def scored(self) -> str:
         return f"{self.target}/scored"
 
+    @property
+    def baselines(self) -> str:
+        """What each key is scored against, for the next update."""
+        return f"{self.target}/baselines"
+
     @property
     def pending(self) -> str:
         """Where an update says what it is about to replace, until it has."""
@@ -121,6 +130,10 @@ REPORTS = (
     "max_vibration",
     "zscore_trend",
 )
+# Those with a row per key and day: stored by day like the daily tables, not sorted as a whole.
+TRENDS = ("vibration_trend", "zscore_trend")
+# Reports are small and independent jobs, so that many are written at a time.
+_AT_ONCE = 4
 
 
 def _reports(
@@ -135,22 +148,66 @@ def _reports(
         baseline(daily, **cfg.baseline_rule, cfg=cfg).orderBy(cfg.key),
         significant_entities(scored, cfg=cfg).orderBy(cfg.key),
         worst_zscore(scored, cfg=cfg),
-        trend_series(daily, cfg.vibration.name, cfg.highlight, lines, cfg),
+        trend_series(daily, cfg.vibration.name, cfg.highlight, lines, cfg, ordered=False),
         max_bars(daily, cfg=cfg),
-        trend_series(scored, "ZScore", cfg.highlight, limits, cfg),
+        trend_series(scored, "ZScore", cfg.highlight, limits, cfg, ordered=False),
     )
     return dict(zip(REPORTS, frames))
 
 
-def _store_reports(spark: SparkSession, tables: Tables, cfg: Monitor) -> Tables:
-    """The reports, from stored daily tables; ``tables`` with their schemas."""
+def _store_reports(
+    spark: SparkSession,
+    tables: Tables,
+    cfg: Monitor,
+    layout: Mapping[str, Sequence[str]],
+    days: Mapping[str, Sequence[object]] | None = None,
+) -> Tables:
+    """The reports, from stored daily tables; ``tables`` with their schemas.
+
+    ``days`` are those whose rows of the trends are replaced, all without it.
+    """
     frames = _reports(*(tables.read(spark, x) for x in ("daily", "flagged", "scored")), cfg)
-    for name, frame in frames.items():
-        write_table(frame, tables.report(name))
+
+    def store(name: str) -> None:
+        frame, path = frames[name], tables.report(name)
+        if name not in TRENDS:
+            write_table(frame, path)
+        elif days is None:
+            write_table(frame, path, **layout, arrange=False)
+        else:
+            _replace_days(spark, frame.where(_on_days(days[name], cfg)), path, days[name], cfg)
+
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        list(pool.map(store, frames))
     schemas = {name: frame.schema for name, frame in frames.items()}
     return Tables(tables.target, {**tables.schemas, **schemas})
 
 
+def _replace_days(
+    spark: SparkSession,
+    frame: DataFrame,
+    path: str,
+    days: Sequence[object],
+    cfg: Monitor,
+    left: set | None = None,
+    arrange: bool = False,
+    sort_by: Sequence[str] | None = None,
+) -> None:
+    """Replace some days of a table stored by day; days without rows, that is all but
+    ``left``, are removed. ``frame`` comes row by row from a table stored alike, unless
+    ``arrange`` says that its rows have to be brought together."""
+    write_table(
+        frame,
+        path,
+        partition_by=[cfg.date],
+        sort_by=[cfg.key] if sort_by is None else sort_by,
+        arrange=arrange,
+        only_given_partitions=True,
+    )
+    left = _days_of(frame, cfg) if left is None else left
+    drop_partitions(spark, path, cfg.date, [day for day in days if day not in left])
+
+
 def run_monitoring(
     spark: SparkSession,
     readings: DataFrame,
@@ -175,6 +232,7 @@ def run_monitoring(
     """
     tables = Tables(target)
     layout = {"partition_by": [cfg.date] if by_day else [], "sort_by": [cfg.key]}
+    drop_table(spark, tables.baselines)
 
     if store_clean:
         observation = Observation()
@@ -202,7 +260,7 @@ def run_monitoring(
     write_table(scored, tables.scored, **layout)
     schemas = {"clean": cleaned, "daily": daily, "flagged": flagged, "scored": scored}
     tables = Tables(target, {name: frame.schema for name, frame in schemas.items()})
-    return Run(_store_reports(spark, tables, cfg), receipt, counts)
+    return Run(_store_reports(spark, tables, cfg, layout), receipt, counts)
 
 
 def update_monitoring(
@@ -218,7 +276,10 @@ def update_monitoring(
     what one run over all of them gives. The clean readings are kept
     partitioned by day. Those of the days that ``readings`` touches are read
     back, copies are removed again, and just these days are rolled up, graded
-    and scored anew; other days are scored anew only if a baseline has changed.
+    and scored anew. What each machine is scored against is kept beside the tables:
+    only machines with a change within their baseline period are followed through all
+    their days, and only the days they have are stored again; of all others the history is
+    not read. (Small reports are made anew from the daily tables.)
 
     With ``whole_days`` the readings are all those of their days and replace
     them; a day left without a usable reading is removed. The number of days
@@ -238,13 +299,9 @@ def update_monitoring(
     schemas = {"clean": batch.schema}
     layout = {"partition_by": [cfg.date], "sort_by": [cfg.key]}
 
-    def replace(frame: DataFrame, path: str, only: Sequence[object], left: set, **how: object) -> None:
-        write_table(frame, path, partition_by=[cfg.date], only_given_partitions=True, **how)
-        drop_partitions(spark, path, cfg.date, [day for day in only if day not in left])
-
     unfinished = _pending(spark, tables, schemas["clean"], cfg)
     for waiting, days in unfinished:
-        replace(waiting, tables.clean, days, _days_of(waiting, cfg), arrange=False)
+        _replace_days(spark, waiting, tables.clean, days, cfg, sort_by=())
     own = _days_of(dated, cfg)
     again = {day for _, days in unfinished for day in days} - own
     days = _in_order(own | again)
@@ -261,24 +318,39 @@ def update_monitoring(
     left = _days_of(fresh, cfg)
     _note_pending(spark, tables, waiting, days)
 
-    replace(fresh, tables.clean, days, left, arrange=False)
+    _replace_days(spark, fresh, tables.clean, days, cfg, left, sort_by=())
     daily = daily_from_clean(fresh.drop(cfg.date), cfg)
     schemas["daily"] = daily.schema
-    replace(daily, tables.daily, days, left, sort_by=[cfg.key])
+    # Without what the last update has left, all is scored.
+    rebuild = bool(unfinished) or not table_exists(spark, tables.baselines)
+    before = None if rebuild else _levels_before(spark, tables, daily.schema, touched, cfg)
+    _replace_days(spark, daily, tables.daily, days, cfg, left, arrange=True)
 
     daily = read_table(spark, tables.daily, schemas["daily"])
     flagged = flagged_days(daily, cfg)
     schemas["flagged"] = flagged.schema
-    replace(flagged.where(touched), tables.flagged, days, left, sort_by=[cfg.key], arrange=False)
-
-    scored = baseline_zscore(daily, **cfg.baseline_rule, cfg=cfg)
-    schemas["scored"] = scored.schema
-    if table_exists(spark, tables.scored) and _same_elsewhere(spark, scored, tables, ~touched):
-        replace(scored.where(touched), tables.scored, days, left, sort_by=[cfg.key])
+    if started:
+        _replace_days(spark, flagged.where(touched), tables.flagged, days, cfg, left)
     else:
+        write_table(flagged, tables.flagged, **layout, arrange=False)
+
+    if before is None:
+        scored = baseline_zscore(daily, **cfg.baseline_rule, cfg=cfg)
         write_table(scored, tables.scored, **layout)
+        baselines, trends = baselines_of(read_table(spark, tables.scored, scored.schema), cfg), None
+    else:
+        scored, baselines, others = _scored_anew(spark, tables, daily, before, touched, cfg)
+        again = _in_order(set(days) | others)
+        rows = scored.where(_on_days(again, cfg))
+        _replace_days(spark, rows, tables.scored, again, cfg, left | others, arrange=True)
+        trends = {"vibration_trend": days, "zscore_trend": again}
+    schemas["scored"] = scored.schema
+    if baselines is not None:
+        waiting = scratch_path(spark, "baselines")
+        write_table(baselines, waiting)
+        write_table(read_table(spark, waiting, baselines.schema), tables.baselines)
 
-    tables = _store_reports(spark, Tables(target, schemas), cfg)
+    tables = _store_reports(spark, Tables(target, schemas), cfg, layout, trends)
     drop_table(spark, tables.pending)
     counted = tables.read(spark, "flagged").agg(
         F.count(F.lit(1)), F.count_if(is_restricted(cfg))
@@ -323,12 +395,40 @@ def _pending(
     ]
 
 
-def _same_elsewhere(
-    spark: SparkSession, scored: DataFrame, tables: Tables, elsewhere: Column
-) -> bool:
-    """Whether the stored scores of the other days are still right."""
-    old = read_table(spark, tables.scored, scored.schema).where(elsewhere)
-    return scored.where(elsewhere).exceptAll(old).isEmpty()
+def _levels_before(
+    spark: SparkSession, tables: Tables, schema: T.StructType, touched: Column, cfg: Monitor
+) -> DataFrame:
+    """The levels of the days that are about to be replaced, kept apart."""
+    path = scratch_path(spark, "before")
+    daily = read_table(spark, tables.daily, schema).where(touched)
+    levels = daily.select(cfg.key, cfg.date, cfg.vibration.name)
+    write_table(levels, path)
+    return read_table(spark, path, levels.schema)
+
+
+def _scored_anew(
+    spark: SparkSession,
+    tables: Tables,
+    daily: DataFrame,
+    before: DataFrame,
+    touched: Column,
+    cfg: Monitor,
+) -> tuple[DataFrame, DataFrame | None, set]:
+    """Scores against the baselines as they are now; the baselines, if any has changed;
+    and the days beside the touched ones that have rows of such keys."""
+    whole = baselines_of(baseline_zscore(daily, **cfg.baseline_rule, cfg=cfg), cfg)
+    kept = read_table(spark, tables.baselines, whole.schema)
+    after = daily.where(touched).select(*before.columns)
+    path = scratch_path(spark, "changed")
+    write_table(keys_to_score(before, after, kept, **cfg.baseline_rule, cfg=cfg), path)
+    changed = read_table(spark, path, daily.select(cfg.key).schema)
+    if changed.isEmpty():
+        return score_with(daily, kept.drop("FirstDay"), cfg), None, set()
+    own = daily.join(changed, cfg.key, "left_semi")
+    anew = baselines_of(baseline_zscore(own, **cfg.baseline_rule, cfg=cfg), cfg)
+    baselines = kept.join(changed, cfg.key, "left_anti").unionByName(anew)
+    others = _days_of(own.where(~touched), cfg)
+    return score_with(daily, baselines.drop("FirstDay"), cfg), baselines, others
 
 
 def inspect_run(spark: SparkSession, tables: Tables, cfg: Monitor = DEFAULT) -> DataFrame:
