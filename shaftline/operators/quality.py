@@ -50,6 +50,32 @@ def schema_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def table_profile(df: DataFrame) -> DataFrame:
+    """``schema_profile`` and ``column_counts`` of a stored table, side by side.
+
+    Types and nullability come from the table as it is stored, if ``df`` was read without
+    a pinned schema; rows, nulls and NaNs are counted in one pass over it.
+    """
+    fields = {
+        i: (field.dataType.simpleString(), field.nullable)
+        for i, field in enumerate(df.schema, start=1)
+    }
+
+    def of_field(k: int) -> Column:
+        known = F.create_map(*(F.lit(x) for i, own in fields.items() for x in (i, own[k])))
+        return F.element_at(known, F.col("Position"))
+
+    return column_counts(df).select(
+        "Position",
+        "ColumnName",
+        of_field(0).alias("DataType"),
+        of_field(1).alias("Nullable"),
+        "Rows",
+        "Nulls",
+        "NaNs",
+    )
+
+
 def column_counts(df: DataFrame) -> DataFrame:
     """One row per column: rows, nulls and NaNs, in one pass."""
     counts = [F.count(F.lit(1)).alias("rows")]

@@ -216,12 +216,33 @@ def _nulls(columns: tuple[str, ...], prefix: str = "") -> str:
 
 _TYPES = ("int", "timestamp_ntz", "double", "double", "double", "double", "string")
 
-
-def _profile() -> str:
-    return "\nUNION ALL ".join(
-        f"SELECT {i} AS Position, '{c}' AS ColumnName, '{t}' AS DataType, true AS Nullable"
-        for i, (c, t) in enumerate(zip(_COLUMNS, _TYPES), start=1)
+_LABELLED_TYPES = {
+    "doc_id": "bigint",
+    "text": "string",
+    "lang": "string",
+    "source": "string",
+    "n_chars": "bigint",
+    "quality": "int",
+    "toxic": "int",
+}
+_LINEITEM_TYPES = dict(
+    zip(
+        _LINEITEM,
+        ("bigint",) * 3 + ("int",) + ("double",) * 4 + ("string", "string", "timestamp_ntz"),
     )
+)
+
+
+def _profile(columns: dict[str, str], table: str) -> str:
+    """Types as stored, beside the counts of each column."""
+    rows = [
+        f"SELECT {i} AS Position, '{c}' AS ColumnName, '{t}' AS DataType, true AS Nullable, "
+        f'count(*) AS Rows, count(*) - count("{c}") AS Nulls, '
+        + (f'count(*) FILTER (isnan("{c}"))' if t == "double" else "CAST(0 AS BIGINT)")
+        + f" AS NaNs FROM {table}"
+        for i, (c, t) in enumerate(columns.items(), start=1)
+    ]
+    return "\nUNION ALL ".join(rows)
 
 
 def _column_counts() -> str:
@@ -404,7 +425,12 @@ _READING_COLUMNS = ", ".join(f'"{c}"' for c in _COLUMNS)
 
 ORACLES: dict[str, str] = {
     "csv_ingest": _with(READINGS, "SELECT * FROM r"),
-    "schema_profile": _profile(),
+    "schema_profile": _with(READINGS, _profile(dict(zip(_COLUMNS, _TYPES)), "r")),
+    "table_profile_documents": _with(
+        "l AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id))",
+        _profile(_LABELLED_TYPES, "l"),
+    ),
+    "table_profile_lineitem": _profile(_LINEITEM_TYPES, "lineitem"),
     "column_counts": _with(READINGS, _column_counts()),
     "preview_rows": _with(
         READINGS,

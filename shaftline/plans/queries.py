@@ -127,6 +127,13 @@ def csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return read_readings(spark, path, timestamp_format=_MICROSECONDS)
 
 
+def schema_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the readings as they are stored: types come from the files."""
+    path = scratch_path(spark, "readings")
+    write_table(event_readings(spark, sf), path)
+    return quality.table_profile(read_table(spark, path))
+
+
 def preview_rows(spark: SparkSession, sf: str) -> DataFrame:
     readings = event_readings(spark, sf)
     rest = [c for c in readings.columns if c not in (CFG.time, CFG.key)]
@@ -330,7 +337,9 @@ def risk_of_danger(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # Sources and profile
     "csv_ingest": csv_ingest,
-    "schema_profile": lambda s, sf: quality.schema_profile(event_readings(s, sf)),
+    "schema_profile": schema_profile,
+    "table_profile_documents": lambda s, sf: quality.table_profile(_labelled(s, sf)),
+    "table_profile_lineitem": lambda s, sf: quality.table_profile(_lineitem(s, sf)),
     "column_counts": lambda s, sf: quality.column_counts(event_readings(s, sf)),
     "preview_rows": preview_rows,
     "row_count": lambda s, sf: quality.row_count(event_readings(s, sf)),

@@ -83,6 +83,19 @@ def test_schema_profile_scans_nothing(spark, dirty, tmp_path):
     assert "FileScan" not in profile._jdf.queryExecution().executedPlan().toString()
 
 
+def test_table_profile_takes_types_from_the_files(spark, dirty, tmp_path):
+    """And is one scan, with rows counted where the schema is shown."""
+    dirty.selectExpr("CAST(MachineID AS BIGINT) AS id", "*").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    profile = quality.table_profile(stored)
+    assert profile._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    found = {r.ColumnName: r for r in profile.collect()}
+    counts = {r.ColumnName: r for r in quality.column_counts(dirty).collect()}
+    assert found["id"].DataType == "bigint" and found["MachineID"].DataType == "int"
+    for name, count in counts.items():
+        assert (found[name].Rows, found[name].Nulls, found[name].NaNs) == tuple(count)[2:]
+
+
 def test_column_counts(dirty, empty):
     counts = {r.ColumnName: r for r in quality.column_counts(dirty).collect()}
     assert counts["BearingTemperature"].NaNs == 1

@@ -330,6 +330,44 @@ def some_readings(spark, *values, day="2027-03-01"):
     return df.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
 
 
+def test_days_behind_the_baselines_leave_the_history_alone(spark, ramp, tmp_path, rows, monkeypatch):
+    """Neither scored nor stored anew, though a machine of its own first days comes along."""
+    day = F.dayofmonth("Timestamp")
+    readings = ramp.where(F.hour("Timestamp") % 8 == 0)
+    other = readings.where(day >= 19).withColumn("MachineID", F.lit(8))
+    target = tmp_path / "parts"
+    monitoring.update_monitoring(spark, readings.where(day <= 18), str(target))
+
+    def files() -> set[str]:
+        names = ("scored", "reports/zscore_trend", "reports/vibration_trend")
+        return {str(p) for n in names for p in (target / n).glob("Date=*/*.parquet") if str(p.parent)[-2:] < "19"}
+
+    before = files()
+    assert len({p.rsplit("/", 1)[0] for p in before}) == 54
+    with monkeypatch.context() as patch:
+        patch.setattr(monitoring, "baseline_zscore", lambda daily, **how: bl.baseline_zscore(daily, **how).where(
+            F.raise_error(F.lit("scored anew")).isNull()))
+        monitoring.update_monitoring(spark, readings.where(day == 19), str(target))
+    run = monitoring.update_monitoring(spark, readings.where(day > 19).union(other), str(target))
+    assert files() == before
+    whole = monitoring.run_monitoring(spark, readings.union(other), str(tmp_path / "whole"))
+    same_tables(rows, spark, run, whole)
+
+
+def test_a_first_day_that_comes_late_or_goes_moves_the_baseline(spark, ramp, tmp_path, rows):
+    day = F.dayofmonth("Timestamp")
+    readings = ramp.where(F.hour("Timestamp") % 12 == 0)
+    target = str(tmp_path / "parts")
+    for batch in (day.between(4, 15), day <= 2):
+        run = monitoring.update_monitoring(spark, readings.where(batch), target)
+    given = readings.where(day.between(4, 15) | (day <= 2))
+    same_tables(rows, spark, run, monitoring.run_monitoring(spark, given, str(tmp_path / "a")))
+    gone = given.where(day == 1).withColumn("VibrationVelocity", F.lit(None).cast("double"))
+    run = monitoring.update_monitoring(spark, gone, target, whole_days=True)
+    left = given.where(day != 1)
+    same_tables(rows, spark, run, monitoring.run_monitoring(spark, left, str(tmp_path / "b")))
+
+
 def test_a_partial_batch_adds_to_its_day(spark, tmp_path):
     first, second = some_readings(spark, 1.0, 3.0), some_readings(spark, 0.0, 0.0, 5.0).offset(2)
     for batch in (first, second):
