@@ -4,7 +4,9 @@ Three kinds are looked for (``KINDS``). A worklist holds the layers of a text: i
 starts with the text itself, and each layer that is scanned adds what its URL
 escapes, character escapes, base64 runs and compressed base64 runs decode to;
 compressed bytes are inflated until no compressed header is left. A
-layer seen before is not scanned again, so the list runs dry. Spans found in a
+layer seen before is not scanned again, so the list runs dry. Escaped signs of escapes in
+a row (``%252525...``) are unwound in one step, so that a text of many of them has few
+layers and takes time linear in its length. Spans found in a
 layer are mapped back to the characters of the text it came from: escapes map
 one to one, a base64 run maps as a whole, also one that is broken into lines.
 """
@@ -38,7 +40,12 @@ HEX = re.compile(r"[0-9a-f]+")
 # letters costs is then linear in its length.
 LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 URL_ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-CHARACTER_ESCAPES = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#x([0-9A-Fa-f]{1,6});")
+_CHARACTER = r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#x([0-9A-Fa-f]{1,6});"
+CHARACTER_ESCAPES = re.compile(_CHARACTER)
+ANY_ESCAPE = re.compile(r"%([0-9A-Fa-f]{2})|" + _CHARACTER)
+# From so many escapes of the sign of the next one on, a chain of them is one step. The
+# layers between would differ in the digits behind the sign only.
+CHAIN = 4
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 # The same over several lines, and what parts its lines: also line ends that are
 # written out, and what quotes or indents a line.
@@ -217,28 +224,51 @@ def _replaced(layer: Layer, parts: list[tuple[int, int, str]]) -> Layer:
     )
 
 
+def _unwound(text: str, end: int, sign: str) -> tuple[int, str]:
+    """Where the escape that has given ``sign`` and ends at ``end`` ends, and what it gives,
+    if the sign begins an escape with what follows, which gives the sign of a next one, and
+    so on. Shorter chains than ``CHAIN`` are left to the layers to come."""
+    at, last, steps = end, sign, 0
+    while last in "%\\&" and (m := ANY_ESCAPE.match(last + text[at : at + 10])):
+        code = int(m[1], 16) if m[1] else _code(m.groups()[1:])
+        if code is None or (m[1] and code >= 0x80):
+            break
+        at, last, steps = at + m.end() - 1, chr(code), steps + 1
+    return (at, last) if steps >= CHAIN else (end, sign)
+
+
+def _code(found: tuple[str | None, ...]) -> int | None:
+    """The character that the groups of a match of ``CHARACTER_ESCAPES`` stand for."""
+    four, two, decimal, hexadecimal = found
+    code = int(decimal) if decimal else int(four or two or hexadecimal or "", 16)
+    return code if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
+
+
 def _url_layer(layer: Layer) -> Layer | None:
     if "%" not in layer.text:
         return None
-    parts = []
-    for m in URL_ESCAPES.finditer(layer.text):
+    parts, at = [], 0
+    while m := URL_ESCAPES.search(layer.text, at):
         raw = bytes.fromhex(m[0].replace("%", ""))
         new = raw.decode("utf-8", "replace")
+        at, last = _unwound(layer.text, m.end(), new[-1])
         if len(new) == len(raw):  # ASCII: each character has its own escape
-            parts += [(m.start() + 3 * i, m.start() + 3 * i + 3, c) for i, c in enumerate(new)]
+            parts += [(m.start() + 3 * i, m.start() + 3 * i + 3, c) for i, c in enumerate(new[:-1])]
+            parts.append((m.end() - 3, at, last))
         else:
-            parts.append((m.start(), m.end(), new))
+            parts.append((m.start(), at, new[:-1] + last))
     return _replaced(layer, parts) if parts else None
 
 
 def _escape_layer(layer: Layer) -> Layer | None:
     if "\\" not in layer.text and "&#" not in layer.text:
         return None
-    parts = []
-    for m in CHARACTER_ESCAPES.finditer(layer.text):
-        code = int(m[3]) if m[3] else int(m[1] or m[2] or m[4], 16)
-        if code < 0x110000 and not 0xD800 <= code < 0xE000:
-            parts.append((m.start(), m.end(), chr(code)))
+    parts, at = [], 0
+    while m := CHARACTER_ESCAPES.search(layer.text, at):
+        at, code = m.end(), _code(m.groups())
+        if code is not None:
+            at, new = _unwound(layer.text, at, chr(code))
+            parts.append((m.start(), at, new))
     return _replaced(layer, parts) if parts else None
 
 

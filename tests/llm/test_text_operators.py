@@ -4,6 +4,7 @@ import base64
 import gzip
 import math
 import random
+import time
 import re
 import urllib.parse
 import zlib
@@ -179,6 +180,28 @@ def test_prose_and_lists_are_no_blocks():
     assert all(s.depth == 0 for s in secrets.find_secrets(text))
 
 
+@pytest.mark.parametrize("depth", [1, 2, 3, 4, 5, 6, 7, 30, 400])
+@pytest.mark.parametrize(
+    "sign, again, code",
+    [("%", "25", "3D"), ("&", "#38;", "#61;"), ("\\", "u005c", "x3d"), ("%", "26#x25;", "3d")],
+)
+def test_secrets_behind_chained_escapes(depth, sign, again, code):
+    """Chains of any length map to where they stand, alone and among shorter ones."""
+    own = "password" + sign + again * depth + code + "abcdef12"
+    text = f"%41 {own}, {own} &#97;"
+    spans = [(s.start, s.end) for s in secrets.find_secrets(text) if s.kind == "assign"]
+    assert spans == [(4, 4 + len(own)), (6 + len(own), 6 + 2 * len(own))]
+
+
+def test_texts_of_a_megabyte_of_escapes_take_seconds():
+    chains = ("%" + "25" * 500_000, "&" + "#38;" * 250_000, "\\" + "u005c" * 200_000, "%" + "26#37;" * 150_000)
+    started = time.monotonic()
+    for chain in (*chains, "%25252525252525252541 " * 45_000):
+        found = secrets.find_secrets(f"password=hunter22 {chain}61 {chain}3Dabcdef12")
+        assert (0, 17, "assign") in [(s.start, s.end, s.kind) for s in found]
+    assert time.monotonic() - started < 60
+
+
 def test_secrets_of_the_text_itself(documents, by_id):
     rng = random.Random(6)
     parts = ["password", "Api_Key", "=", ": ", '"', "'", " ", "abcdef", "0123456789abcdef" * 2, "AKIA", "X" * 16, "é", "%41", "\\x", "ſecret="]
