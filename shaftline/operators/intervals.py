@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,8 @@ _LEVEL, _BIN = "__level", "__bin"
 _STEP = 8
 _LEVELS = 20
 _WIDEST = 4e18
+# An interval is filed at most so many levels below its own: in up to 513 bins.
+_LOWER = 3
 
 
 def _width(level: Column, base: int) -> Column:
@@ -27,6 +29,31 @@ def typical_length(intervals: DataFrame, start: str, end: str) -> int:
     return max(1, int(middle or 1))
 
 
+def filing_levels(found: Mapping[int, tuple[int, float]], points: int, base: int) -> dict[int, int]:
+    """The level at which the intervals of each level are filed, so that fewest rows meet.
+
+    ``found`` has number and summed length of the intervals of each level. A level costs a copy of each of
+    the ``points``; intervals filed below their own level cost a copy for each of its bins they are in.
+    """
+
+    def copies(level: int, at: int) -> float:
+        n, length = found[level]
+        return n + length / min(float(base) * _STEP**at, _WIDEST)
+
+    levels = sorted(found)
+    # The least cost of all levels below the k-th, and the way they are filed.
+    least: list[tuple[float, dict[int, int]]] = [(0.0, {})]
+    for k in range(1, len(levels) + 1):
+        ways = []
+        for i in range(k):
+            if levels[k - 1] - levels[i] <= _LOWER:
+                cost, filed = least[i]
+                cost += points + sum(copies(level, levels[i]) for level in levels[i:k])
+                ways.append((cost, {**filed, **{level: levels[i] for level in levels[i:k]}}))
+        least.append(min(ways, key=lambda way: way[0]))
+    return least[-1][1]
+
+
 def interval_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -43,8 +70,9 @@ def interval_join(
     An interval is filed in bins about as wide as itself, which are at most two: the typical
     length (``base`` microseconds, measured if not given) is the narrowest, and each level of
     bins is eight times as wide. A point looks into one bin of each level that is in use. So every pair
-    is met once, a long interval is copied no more often than a short one, and a key that owns
-    most rows spreads over its bins. Rows with a null among ``on``, ``time``, ``start`` or ``end``, and
+    is met once, and a key that owns most rows spreads over its bins. Where the intervals of a level are few
+    beside the points, which are counted for that, they are filed in more of the narrower bins of a level
+    below instead, and points have no copy for theirs (``filing_levels``). Rows with a null among ``on``, ``time``, ``start`` or ``end``, and
     intervals that end before they start, match nothing. Repeated rows match each for themselves.
     Other columns must have names of their own.
     """
@@ -59,13 +87,22 @@ def interval_join(
     level = level + F.when(_width(level, base) < high - low, 1).otherwise(0)
     real = (low <= high) if closed else (low < high)
     filed = intervals.where(real).withColumn(_LEVEL, F.least(level, F.lit(_LEVELS)).cast("int"))
+    timed = points.where(F.col(f"`{time}`").isNotNull())
+
+    sizes = filed.groupBy(_LEVEL).agg(F.count(F.lit(1)), F.sum((high - low).cast("double")))
+    found = {n: (rows, length) for n, rows, length in sizes.collect()}  # _LEVELS + 1 at most
+    at_level = filing_levels(found, timed.count() if len(found) > 1 else 0, base)
+    lower = {n: to for n, to in at_level.items() if n != to}
+    if lower:
+        to_level = F.create_map(*(F.lit(n) for pair in lower.items() for n in pair))
+        filed = filed.withColumn(_LEVEL, F.coalesce(to_level[F.col(_LEVEL)], _LEVEL))
     width = _width(F.col(_LEVEL), base)
     last = F.floor((high if closed else high - 1) / width).cast("bigint")
     filed = filed.withColumn(_BIN, F.explode(F.sequence(F.floor(low / width).cast("bigint"), last)))
 
-    used = sorted(r[0] for r in filed.select(_LEVEL).distinct().collect())  # _LEVELS + 1 at most
+    used = sorted(set(at_level.values()))
     levels = F.array(*(F.lit(n) for n in used)) if used else F.array().cast("array<int>")
-    looking = points.where(F.col(f"`{time}`").isNotNull()).withColumn(_LEVEL, F.explode(levels))
+    looking = timed.withColumn(_LEVEL, F.explode(levels))
     looking = looking.withColumn(_BIN, F.floor(at / _width(F.col(_LEVEL), base)).cast("bigint"))
 
     met = looking.join(filed, [*on, _LEVEL, _BIN])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shaftline.config import Monitor
 from shaftline.operators.asof import asof_join
 from shaftline.operators.drift import Drift, apply_map, drift, follow, slice_map
-from shaftline.operators.intervals import interval_join
+from shaftline.operators.intervals import filing_levels, interval_join
 from shaftline.operators.ordering import seconds
 from shaftline.operators.sessions import reporting_gaps, reporting_sessions
 
@@ -115,6 +115,30 @@ def test_interval_join_copies_long_intervals_no_more_than_short_ones(spark):
     assert interval_join(left, right.limit(0), [], "t", "a", "b").count() == 0
 
 
+def test_interval_join_copies_points_for_few_long_intervals_no_more(spark, rows):
+    """A few intervals of other lengths go into several bins each, and each point is looked up once."""
+    points = [(i, START + timedelta(minutes=i)) for i in range(1_000)]
+    lengths = [4] * 30 + [9] * 10 + [700]
+    spans = [(i, START + timedelta(minutes=23 * i), START + timedelta(minutes=23 * i + n)) for i, n in enumerate(lengths)]
+    left = spark.createDataFrame(points, "id int, t timestamp_ntz")
+    right = spark.createDataFrame(spans, "span int, a timestamp_ntz, b timestamp_ntz")
+    joined = interval_join(left, right, [], "t", "a", "b")
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "explode(array(0))" in plan
+    want = [(i, t, j, a, b) for i, t in points for j, a, b in spans if a <= t < b]
+    assert rows(joined.select("id", "t", "span", "a", "b")) == sorted(want, key=repr)
+
+
+def test_filing_levels_weighs_copies_of_points_against_those_of_intervals():
+    found = {0: (80, 80.0 * 4), 1: (50, 50.0 * 8), 3: (2, 2.0 * 600)}
+    assert filing_levels(found, 600, 5) == {0: 0, 1: 0, 3: 0}
+    assert filing_levels(found, 100, 5) == {0: 0, 1: 1, 3: 1}
+    assert filing_levels(found, 1, 5) == {0: 0, 1: 1, 3: 3}
+    # However many points there are, an interval has a bounded number of copies.
+    assert filing_levels({0: (1, 4.0), 4: (1, 20_000.0)}, 10**12, 5) == {0: 0, 4: 4}
+    assert filing_levels({}, 10, 5) == {}
+
+
 @pytest.mark.parametrize("width", [86_400, 300])
 def test_gaps_and_sessions(spark, rows, width):
     readings = some_readings(8)
