@@ -45,6 +45,10 @@ HELD = 1 << 22
 # Distinct keys a task gathers before it passes them on, and counts it compares at a time.
 GATHERED = 1 << 20
 BLOCK = 1 << 14
+# Counts of neighbours that are looked up instead of calculated with.
+SMALL = 16
+# Tokens a task counts at a time.
+COUNTED = 1 << 16
 # No word is empty, so the empty one stands for the end of a text. It is unit 0, and word 0
 # of each chunk; endings follow, then words of their own.
 END = b""
@@ -83,6 +87,16 @@ def _from_planes(raw: pa.Scalar | bytes, width: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(f"<i{width}").ravel()
 
 
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-case words of all texts, one behind the other, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = lists.flatten()
+    real = pc.greater(pc.binary_length(flat), 0)  # white space at the ends of a text leaves an empty one
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    return flat.filter(real).cast(pa.binary()), np.diff(before[ends], prepend=0)
+
+
 def chunked(docs: DataFrame) -> DataFrame:
     """``docs`` as rows of whole documents with about ``CHUNK`` tokens: the distinct ``words`` and how
     often each is in training texts, ``tokens`` as numbers of words of 4 bytes (``_planes``), an end behind each
@@ -91,55 +105,62 @@ def chunked(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = count(TaskContext.get().partitionId() << 32)
-        of: dict[bytes, int] = {END: 0}
-        tokens: list[np.ndarray] = []
-        lengths: list[int] = []
-        ids: list[object] = []
-        held: list[bool] = []
-
-        def row(kind: pa.DataType) -> pa.RecordBatch:
-            flat, sizes = np.concatenate(tokens), np.array(lengths, np.int32)
-            trained = flat[np.repeat(~np.array(held, bool), sizes)]
+        tokens: list[pa.DictionaryArray] = []
+        lengths: list[np.ndarray] = []
+        ids: list[pa.Array] = []
+        held: list[pa.Array] = []
+
+        def row() -> pa.RecordBatch:
+            # Words are numbered as they come up, behind the end.
+            of = pa.concat_arrays([t.dictionary for t in tokens]).dictionary_encode()
+            number, starts = of.indices.to_numpy(), np.cumsum([0, *(len(t.dictionary) for t in tokens)])
+            sizes, out = np.concatenate(lengths).astype(np.int32), pa.concat_arrays(held)
+            flat = np.zeros(sizes.sum(), np.int32)
+            is_word = np.ones(len(flat), bool)
+            is_word[np.cumsum(sizes) - 1] = False
+            flat[is_word] = np.concatenate([number[t.indices.to_numpy() + at] for t, at in zip(tokens, starts)]) + 1
+            words = pa.concat_arrays([pa.array([END], pa.binary()), of.dictionary])
+            trained = flat[np.repeat(~out.to_numpy(zero_copy_only=False), sizes)]
             # Frequent words get low numbers, the end 0.
-            often = np.bincount(flat, minlength=len(of))
+            often = np.bincount(flat, minlength=len(words))
             often[0] = len(flat) + 1
             order = np.argsort(-often, kind="stable")
-            place = np.empty(len(of), np.int32)
-            place[order] = np.arange(len(of))
+            place = np.empty(len(words), np.int32)
+            place[order] = np.arange(len(words))
             columns = {
                 "chunk": pa.array([next(numbers)], pa.int64()),
-                "words": _list(pa.array(of, pa.binary()).take(pa.array(order))),
-                "n": _list(pa.array(np.bincount(trained, minlength=len(of)).astype(np.int64)[order])),
+                "words": _list(words.take(pa.array(order))),
+                "n": _list(pa.array(np.bincount(trained, minlength=len(words)).astype(np.int64)[order])),
                 "tokens": pa.array([_planes(place[flat], 4)], pa.binary()),
                 "lengths": _list(pa.array(sizes)),
-                "doc_ids": _list(pa.array(ids, kind)),
-                "held": _list(pa.array(held, pa.bool_())),
+                "doc_ids": _list(pa.concat_arrays(ids)),
+                "held": _list(out),
             }
             for gathered in (tokens, lengths, ids, held):
                 gathered.clear()
-            of.clear()
-            of[END] = 0
             return pa.RecordBatch.from_pydict(columns)
 
-        kind = pa.null()
         gathered = 0
         for batch in batches:
-            kind = batch.schema.field("doc_id").type
             for part in of_bounded_size(batch):
-                for doc_id, out, text in zip(*(part[c].to_pylist() for c in ("doc_id", "out", "text"))):
-                    words = lower_words(text)
-                    words.append(END)
-                    numbered = (of.setdefault(w, len(of)) for w in words)
-                    tokens.append(np.fromiter(numbered, np.int32, len(words)))
-                    lengths.append(len(words))
-                    ids.append(doc_id)
-                    held.append(out)
-                    gathered += len(words)
+                words, n = _words(part["text"])
+                ends, start = np.cumsum(n), 0
+                totals = np.cumsum(n + 1)
+                while start < len(n):
+                    done = totals[start - 1] if start else 0
+                    end = min(int(np.searchsorted(totals, CHUNK - gathered + done)) + 1, len(n))
+                    first = int(ends[start - 1]) if start else 0
+                    tokens.append(words.slice(first, int(ends[end - 1]) - first).dictionary_encode())
+                    lengths.append(n[start:end] + 1)
+                    ids.append(part["doc_id"].slice(start, end - start))
+                    held.append(part["out"].slice(start, end - start))
+                    gathered += int(totals[end - 1] - done)
+                    start = end
                     if gathered >= CHUNK:
-                        yield row(kind)
+                        yield row()
                         gathered = 0
         if lengths:
-            yield row(kind)
+            yield row()
         pa.default_memory_pool().release_unused()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -312,6 +333,10 @@ def first_classes(words: DataFrame, n_units: int, classes: int) -> Classes:
     return HeldClasses(of).moved(own)
 
 
+# What is read of the chunks in a sweep.
+_TRAINING = ("chunk", "tokens", "lengths", "held", "units")
+
+
 def _values(batch: pa.RecordBatch, column: str, i: int) -> np.ndarray:
     return batch[column][i].values.to_numpy(zero_copy_only=False)
 
@@ -320,12 +345,19 @@ def _numbers(batch: pa.RecordBatch, column: str, i: int) -> np.ndarray:
     return _from_planes(batch[column][i], 4 if column == "tokens" else 8)
 
 
-def _training_pairs(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each training token of a chunk, behind the one before it; a text's first word
-    follows an end."""
-    trained = np.repeat(~_values(batch, "held", i), _values(batch, "lengths", i))
-    after = _numbers(batch, "tokens", i)[trained]
-    return np.concatenate([np.zeros(1, after.dtype), after])[:-1], after
+def _training_tokens(batch: pa.RecordBatch, i: int) -> np.ndarray:
+    """The training tokens of a chunk, an end behind each text."""
+    held = _values(batch, "held", i)
+    return _numbers(batch, "tokens", i)[np.repeat(~held, _values(batch, "lengths", i))]
+
+
+def _runs(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sum of their counts. Runs that are in order already, as
+    these are, cost a pass over them instead of a sort."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[starts], np.add.reduceat(n[order], starts) if len(starts) else n
 
 
 def class_table(coded: DataFrame, assigned: Classes, classes: int) -> np.ndarray:
@@ -336,13 +368,19 @@ def class_table(coded: DataFrame, assigned: Classes, classes: int) -> np.ndarray
         table = np.zeros(size * size, np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
-                before, after = _training_pairs(batch, i)
-                c = look_up(batch, i)
-                table += np.bincount(c[before] * size + c[after], minlength=size * size)
+                c = look_up(batch, i).astype(_slot_kind(size))[_training_tokens(batch, i)]
+                ahead = 0  # a text starts behind an end
+                for at in range(0, len(c), COUNTED):
+                    some = c[at : at + COUNTED]
+                    pairs = some.astype(np.int64)
+                    pairs[0] += ahead * size
+                    pairs[1:] += np.multiply(some[:-1], size, dtype=np.int64)
+                    table += np.bincount(pairs, minlength=size * size)
+                    ahead = int(some[-1])
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_pydict({"pair": pa.array(at), "n": pa.array(table[at])})
 
-    counted = assigned.onto(coded).mapInArrow(add, "pair bigint, n bigint")
+    counted = assigned.onto(coded.select(*_TRAINING)).mapInArrow(add, "pair bigint, n bigint")
     table = np.zeros(size * size)
     for pair, n in counted.groupBy("pair").agg(F.sum("n")).collect():
         table[pair] = n
@@ -358,6 +396,13 @@ def likelihood(table: np.ndarray) -> float:
     return float(_xlogx(table).sum() - _xlogx(table.sum(axis=1)).sum() - _xlogx(table.sum(0)).sum())
 
 
+def _steps(sums: np.ndarray) -> np.ndarray:
+    """By how much ``_xlogx`` of each count rises with 1 to ``SMALL`` more: most entries are that small,
+    and logarithms are what an offer costs."""
+    more = np.arange(1.0, SMALL + 1)[None, :, None]
+    return _xlogx(sums[:, None, :] + more) - _xlogx(sums.astype(float))[:, None, :]
+
+
 def best_classes(
     table: np.ndarray,
     own: np.ndarray,
@@ -365,6 +410,7 @@ def best_classes(
     slot: np.ndarray,
     n: np.ndarray,
     draw: np.ndarray | int = 0,
+    small: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> np.ndarray:
     """The class each of some units belongs in, given all other units; its own on a tie, or else
     the one that ``draw`` picks: units that move at once should not all take the first empty class.
@@ -372,7 +418,7 @@ def best_classes(
     ``own`` are their classes. Their neighbours come as entries, by ``row`` (which unit): ``n`` of class
     ``slot`` before it, ``slot`` - size behind it, and itself behind itself for ``slot`` 2 * size, where size is that
     of the table. Only entries that there are cost a comparison with each class. Class 0 is
-    the end's alone.
+    the end's alone. ``small`` are the ``_steps`` of the table and of its transpose, if they are at hand.
     """
     size, rows = len(table), len(own)
     each = np.arange(rows)
@@ -383,14 +429,21 @@ def best_classes(
     for side, sums, other in ((slot < size, table, after), ((slot >= size) & (slot < 2 * size), table.T, before)):
         r, x, m = row[side], slot[side] % size, n[side].astype(float)
         mine, at = own[r], np.arange(len(r))
+        steps = _steps(sums) if small is None else small[sums is not table]
+        whole = np.clip(m, 1, SMALL).astype(np.int64)
+        change = steps[x, whole - 1]
         # Counts of the pairs with class x, without those of the unit.
-        rest = sums[x].astype(float)
-        rest[at, mine] -= m
-        same = np.flatnonzero(x == mine)
-        rest[same] -= other[r[same]]
-        rest[same, mine[same]] += twice[r[same]]
-        m[same] -= twice[r[same]]
-        change = _xlogx(rest + m[:, None]) - _xlogx(rest)
+        rest = sums[x, mine] - m
+        change[at, mine] = _xlogx(rest + m) - _xlogx(rest)
+        one_by_one = np.flatnonzero((m != whole) | (x == mine))
+        r_, x_, m_, mine_ = r[one_by_one], x[one_by_one], m[one_by_one], mine[one_by_one]
+        rest = sums[x_].astype(float)
+        rest[np.arange(len(r_)), mine_] -= m_
+        same = np.flatnonzero(x_ == mine_)
+        rest[same] -= other[r_[same]]
+        rest[same, mine_[same]] += twice[r_[same]]
+        m_[same] -= twice[r_[same]]
+        change[one_by_one] = _xlogx(rest + m_[:, None]) - _xlogx(rest)
         change[at, x] = 0.0
         if len(r):
             starts = np.flatnonzero(np.diff(r, prepend=-1))
@@ -470,6 +523,34 @@ def _unpacked(parts: pa.StructArray, size: int) -> tuple[np.ndarray, np.ndarray,
     return sizes, np.frombuffer(b"".join(slots.to_pylist()), kind).astype(np.int64), n
 
 
+def _neighbours(
+    tokens: np.ndarray, units: np.ndarray, classes: np.ndarray, size: int, sweep: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (unit, class, slot), in order, and counts of the neighbours that the units whose turn it is
+    have in a chunk. ``units`` and ``classes`` are those of its words.
+
+    Units are numbered within the chunk for it, so that keys are short while they are sorted.
+    """
+    width = 2 * size + 1
+    turn = (units > 0) & ((units + sweep) % 2 == 0)
+    own, nth = np.unique(units[turn], return_inverse=True)
+    kind = np.uint32 if len(own) * width < 1 << 32 else np.int64
+    first = np.zeros(len(units), kind)
+    first[turn] = nth * width
+    class_of = np.zeros(len(own), np.int64)
+    class_of[nth] = classes[turn]
+    c = classes.astype(kind)[tokens]
+    start, mine = first[tokens], turn[tokens]
+    ahead = np.concatenate([np.zeros(1, kind), c])[: len(c)]  # a text's first word follows an end
+    back = (start + ahead)[mine]
+    # A word that follows its own unit; the end, which is before the first token, has no turn.
+    itself = np.flatnonzero(mine[1:] & mine[:-1] & (start[1:] == start[:-1])) + 1
+    behind = (start[:-1] + c[1:] + kind(size))[mine[:-1]]
+    keys, n = np.unique(np.concatenate([back, start[itself] + kind(2 * size), behind]), return_counts=True)
+    place, slot = np.divmod(keys.astype(np.int64), width)
+    return (own[place] * size + class_of[place]) * width + slot, n
+
+
 def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) -> DataFrame:
     """``unit`` and ``class`` of units that move: those whose turn it is in this ``sweep`` are offered to all
     classes, by counts of their neighbours' classes.
@@ -485,24 +566,13 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return keys, np.bincount(where, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
+            if len(held) == 1:
+                return held[0]
+            return _runs(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
 
         for batch in batches:
             for i in range(batch.num_rows):
-                before, after = _training_pairs(batch, i)
-                units, c = _numbers(batch, "units", i), look_up(batch, i)
-                turn = (units > 0) & ((units + sweep) % 2 == 0)
-                key = (units * size + c) * width
-                back, ahead = turn[after], turn[before]
-                itself = back & (units[before] == units[after])
-                # One after the other, so that one side is sorted at a time.
-                found = (
-                    key[after[part]] + slots
-                    for part, slots in ((back, c[before[back]]), (itself, 2 * size))
-                )
-                held += [np.unique(keys, return_counts=True) for keys in found]
-                held.append(np.unique(key[before[ahead]] + c[after[ahead]] + size, return_counts=True))
+                held.append(_neighbours(_training_tokens(batch, i), _numbers(batch, "units", i), look_up(batch, i), size, sweep))
                 if sum(len(k) for k, _ in held) > 2 * GATHERED:
                     held = [merged()]
                     if len(held[0][0]) > GATHERED:
@@ -512,12 +582,12 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
             yield from _packed(*merged(), size)
 
     def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = _steps(table), _steps(table.T)
         for batch in batches:
             lists = batch["parts"]
             sizes, slots, n = _unpacked(lists.flatten(), size)
             of_part = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-            keys, where = np.unique(np.repeat(of_part, sizes) * width + slots, return_inverse=True)
-            n = np.bincount(where, n, len(keys))
+            keys, n = _runs(np.repeat(of_part, sizes) * width + slots, n)
             row, slot, own = keys // width, keys % width, batch["class"].to_numpy().astype(np.int64)
             to, draw = own.copy(), batch["unit"].to_numpy() // 2 + sweep
             first = np.searchsorted(row, np.arange(len(own) + 1))
@@ -527,7 +597,7 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
                 end = min(max(end, start + 1), start + BLOCK // 16)
                 a, b = first[start], first[min(end, len(own))]
                 to[start:end] = best_classes(
-                    table, own[start:end], row[a:b] - start, slot[a:b], n[a:b], draw[start:end]
+                    table, own[start:end], row[a:b] - start, slot[a:b], n[a:b], draw[start:end], small
                 )
                 start = end
             moved = np.flatnonzero(to != own)
@@ -535,7 +605,7 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
                 {"unit": batch["unit"].take(pa.array(moved)), "class": pa.array(to[moved].astype(np.int32))}
             )
 
-    gathered = assigned.onto(coded).mapInArrow(
+    gathered = assigned.onto(coded.select(*_TRAINING)).mapInArrow(
         gather, "unit bigint, class int, slots binary, counts binary"
     )
     return (

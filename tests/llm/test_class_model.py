@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shaftline.llm import brown
@@ -152,3 +153,51 @@ def test_a_text_of_megabytes(documents):
     rows = brown.score_documents(documents([(1, long), (2, "x" * 2_000_000), (3, "w1 w2")])).collect()
     assert {r.doc_id: r.n_tokens for r in rows} == {1: 400_001, 2: 2, 3: 3}
     assert all(math.isfinite(r.score) for r in rows)
+
+
+def test_words_are_those_of_plain_python():
+    rng = random.Random(3)
+    signs = [*" \t\n\r\x0b\x0c\x1c\x85\xa0\u3000AZaÄé", "ab", "İ"]
+    texts = [None, "", " ", *("".join(rng.choices(signs, k=rng.randrange(20))) for _ in range(500))]
+    for array, own in ((pa.array(texts), texts), (pa.array(texts).slice(9, 60), texts[9:69])):
+        words, n = brown._words(array)
+        want = [tokens_of(t)[:-1] for t in own]
+        assert words.to_pylist() == [w for ws in want for w in ws] and n.tolist() == [len(ws) for ws in want]
+
+
+@pytest.mark.parametrize("sweep", [0, 1])
+def test_neighbours_are_counted_by_unit(sweep):
+    rng = np.random.default_rng(sweep)
+    units, size = np.array([0, 5, 9, 5, 3, 8, 12]), 4
+    of = rng.integers(1, size, 13)
+    of[0] = 0
+    tokens = rng.integers(0, 7, 300).astype(np.int32)
+    want, width = Counter(), 2 * size + 1
+    for a, b in zip([0, *tokens], tokens):
+        u, v = units[a], units[b]
+        for unit, slot, counts in ((v, of[u], True), (u, size + of[v], True), (v, 2 * size, u == v)):
+            if counts and unit and (unit + sweep) % 2 == 0:
+                want[(unit * size + of[unit]) * width + slot] += 1
+    keys, n = brown._neighbours(tokens, units, of[units], size, sweep)
+    assert dict(zip(keys.tolist(), n.tolist())) == want and (np.diff(keys) > 0).all()
+    none = brown._neighbours(tokens[:0], units, of[units], size, sweep)
+    assert not len(none[0]) and not len(none[1])
+
+
+def test_offers_take_few_logarithms(monkeypatch):
+    """Entries of a few neighbours, which most are, look up what a class gains; large ones count alike."""
+    rng = np.random.default_rng(4)
+    size, rows = 65, 60
+    table = rng.integers(400, 900, (size, size)).astype(float)
+    keys = np.unique(rng.integers(0, rows * 2 * size, 3_000))
+    row, slot = keys // (2 * size), keys % (2 * size)
+    n, own = rng.integers(1, 30, len(keys)), rng.integers(1, size, rows)
+    small = brown._steps(table), brown._steps(table.T)
+    taken, plain = [], brown._xlogx
+    monkeypatch.setattr(brown, "_xlogx", lambda x: taken.append(np.size(x)) or plain(x))
+    ones = np.ones(len(keys), np.int64)
+    brown.best_classes(table, own, row, slot, ones, 0, small)
+    assert sum(taken) < len(keys) * size / 2
+    got = brown.best_classes(table, own, row, slot, n, 0, small)
+    monkeypatch.setattr(brown, "SMALL", 1)
+    assert (got == brown.best_classes(table, own, row, slot, n)).all()
