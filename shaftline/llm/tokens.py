@@ -27,12 +27,16 @@ REMEMBERED = 800_000
 HELD_BYTES = 176 << 20
 # Bytes of text that are cut at a time there.
 CUT_BYTES = 1_000_000
+# New segments that are encoded at a time.
+TOGETHER = 250
 # What a segment takes in memory, about: in all, and more for each character.
 _ENTRY, _CHARACTER = 150, 6
 # White space next to white space, where a token may hold more than one of them.
 _RUN = re.compile(r"\s\s")
 # A segment with white space at an end, but for a line end in front, or next to other.
 _ODD = re.compile(r"^$|^\n?(?!\n)\s|\s$|\s\s")
+# Letters with a sign behind them that is a token of its own wherever letters and signs are parted.
+_ENDED = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+[,.]")
 _encoders: dict[tuple, "Encoder"] = {}
 
 
@@ -54,6 +58,7 @@ class Encoder:
         self, path: str, spaced: bool, remembered: int = REMEMBERED, special: bool = False, held: int | None = None
     ) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
@@ -72,9 +77,13 @@ class Encoder:
         self.parting = "\n" if spaced else " \u2605 "
         (self.part_id,) = self._ids(self.parting)
         self.line_end = np.array([self.part_id], "<u4").tobytes()
+        # Words with one of these behind them need no encoding beside the words.
+        parts_signs = spaced and isinstance(self.tokenizer.pre_tokenizer, ByteLevel) and self.tokenizer.pre_tokenizer.use_regex
+        self.signs = {sign: self._whole(sign) for sign in ",."} if parts_signs and self.tokenizer.normalizer is None else {}
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        # The fast way keeps no offsets, which nobody asks for.
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._ids(text), "<u4").tobytes()
@@ -97,31 +106,56 @@ class Encoder:
             return text.replace("\n", " ").split(" ")
         return ("\n" + text).replace("\n", " \n")[1:].split(" ")
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode new segments, those that are plain words a thousand at a time."""
+    def _learn(self, new: set[str]) -> None:
+        """Encode new segments; of those that end in a sign only the words in front of it, once each."""
+        if not self.signs:
+            self.known.update(self._encoded(list(new)))
+            return
+        ended = [part for part in new if _ENDED.fullmatch(part)]
+        alone = new.difference(ended)
+        words = {part[:-1] for part in ended}
+        passing = words.difference(alone).difference(self.known)
+        coded = self._encoded([*alone, *passing])
+        known, signs = self.known, self.signs
+        known.update([(part, (coded.get(part[:-1]) or known[part[:-1]]) + signs[part[-1]]) for part in ended])
+        for word in passing:
+            del coded[word]
+        known.update(coded)
+
+    def _encoded(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of segments; those that are plain words are encoded ``TOGETHER`` at a time."""
+        coded: dict[str, bytes] = {}
         plain: dict[bool, list[str]] = {False: [], True: []}
-        for part in new:
-            bare = self.spaced and part.startswith("\n")
-            body = part[1:] if bare else part
-            if self.spaced and body or body and not body[0].isspace() and not body[-1].isspace():
-                plain[bare].append(body)
-            else:
-                self.known[part] = self.line_end if bare else self._whole(body)
+        if self.spaced:
+            plain = {False: [part for part in new if part[:1] != "\n"], True: [part[1:] for part in new if part[:1] == "\n"]}
+            for bare, words in plain.items():
+                if "" in words:
+                    words.remove("")
+                    coded.update({"\n": self.line_end} if bare else {"": self._whole("")})
+        else:
+            for part in new:
+                if part and not part[0].isspace() and not part[-1].isspace():
+                    plain[False].append(part)
+                else:
+                    coded[part] = self._whole(part)
         for bare, words in plain.items():
             lead = " " if self.spaced and not bare else ""
             first, front = (self.line_end, "\n") if bare else (b"", "")
-            for at in range(0, len(words), 1_000):
-                some = words[at : at + 1_000]
-                joined = self.parting.join([lead + word for word in some])
-                ids = np.array(self._ids(joined), "<u4")
+            between = self.parting + lead
+            for at in range(0, len(words), TOGETHER):
+                some = words[at : at + TOGETHER]
+                ids = np.array(self._ids(lead + between.join(some)), "<u4")
                 cuts = np.flatnonzero(ids == self.part_id).tolist()
                 if len(cuts) != len(some) - 1:  # a word holds the token that parts them
-                    self.known.update((front + w, first + self._whole(lead + w)) for w in some)
+                    coded.update((front + w, first + self._whole(lead + w)) for w in some)
                     continue
                 raw = ids.tobytes()
                 starts, ends = [0, *(4 * c + 4 for c in cuts)], [*(4 * c for c in cuts), len(raw)]
-                for word, a, b in zip(some, starts, ends):
-                    self.known[front + word] = first + raw[a:b]
+                found = [raw[a:b] for a, b in zip(starts, ends)]
+                if bare:
+                    some, found = [front + word for word in some], [first + ids for ids in found]
+                coded.update(zip(some, found))
+        return coded
 
     def _parted(self, texts: Sequence[str]) -> tuple[list[list[str]], set[str]]:
         """Segments of each text that can be cut, of others none; and all that are new.
@@ -131,11 +165,14 @@ class Encoder:
         """
         parted = [[] if self._marked(text) else self.segments(text) for text in texts]
         known = self.known
-        new = {part for part in set().union(*parted) if part not in known}
+        new = set().union(*parted).difference(known)
         if not self.spaced:
             return parted, new
-        search = _ODD.search
-        self.odd.update([part for part in new if search(part) and part != "\n"])
+        bodies = [part[1:] if part[0] == "\n" else part for part in new if part and part != "\n"]
+        # Parts that are words and nothing else, as most are, need not be searched one by one.
+        if "" in new or " ".join(bodies).split() != bodies:
+            search = _ODD.search
+            self.odd.update([part for part in new if search(part) and part != "\n"])
         for i, (text, parts) in enumerate(zip(texts, parted)):
             if "\n\n" in text or "\n " in text or not self.odd.isdisjoint(parts):
                 parted[i] = []
@@ -153,7 +190,7 @@ class Encoder:
             new = set().union(*parted)
         again = new & self.before.keys()
         self.known.update((part, self.before[part]) for part in again)
-        self._learn(list(new - again))
+        self._learn(new - again)
         if self.held is not None:
             self.holding += _ENTRY * len(new) + _CHARACTER * sum(map(len, new))
         find = self.known.__getitem__

@@ -33,6 +33,17 @@ def test_cut_texts_encode_like_whole_ones(path, spaced):
             assert np.frombuffer(coded, "<u4").tolist() == whole
 
 
+def test_words_before_signs_are_encoded_once():
+    """A word with a comma or a full stop behind it costs no encoding of its own."""
+    own, seen, ids = tokens.Encoder(BYTE, True), [], tokens.Encoder._ids
+    own._ids = lambda text: seen.append(text) or ids(own, text)
+    texts = ["a wordy wordy, wordy. élan, élan. end.", "x élan wordy, y wordy., y wordy.z q\u0378, it's, 7. ,", "nova, nova"]
+    for text in texts:
+        assert np.frombuffer(own([text])[0], "<u4").tolist() == plain(BYTE, text)
+    encoded = "".join(seen)
+    assert encoded.count("wordy") == 3 and "wordy," not in encoded.replace("wordy.,", "") and encoded.count("end") == 1
+
+
 def test_encoder_forgets_when_full():
     own = tokens.Encoder(BYTE, True, remembered=3)
     for text in ("a b c d e", "a f", "g h i j"):
