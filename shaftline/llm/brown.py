@@ -508,9 +508,8 @@ def _slot_kind(size: int) -> type:
     return np.uint8 if 2 * size < 256 else np.int32
 
 
-def _unpacked(parts: pa.StructArray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(slots: pa.Array, counts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """How many entries each part has, and their slots and counts."""
-    slots, counts = parts.field("slots"), parts.field("counts")
     sizes = pc.binary_length(slots).to_numpy(zero_copy_only=False).astype(np.int64)
     kind = np.dtype(_slot_kind(size))
     sizes //= kind.itemsize
@@ -583,13 +582,19 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
 
     def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = _steps(table), _steps(table.T)
-        for batch in batches:
-            lists = batch["parts"]
-            sizes, slots, n = _unpacked(lists.flatten(), size)
-            of_part = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-            keys, n = _runs(np.repeat(of_part, sizes) * width + slots, n)
-            row, slot, own = keys // width, keys % width, batch["class"].to_numpy().astype(np.int64)
-            to, draw = own.copy(), batch["unit"].to_numpy() // 2 + sweep
+
+        def of_units(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+            """The moves of units all rows of which are here, one behind the other."""
+            unit, own, slots, counts = (
+                pa.concat_arrays([b[c] for b in rows]) for c in ("unit", "class", "slots", "counts")
+            )
+            unit, own = unit.to_numpy(), own.to_numpy().astype(np.int64)
+            new = np.diff(unit, prepend=-1) != 0
+            sizes, slots, n = _unpacked(slots, counts, size)
+            keys, n = _runs(np.repeat(np.cumsum(new) - 1, sizes) * width + slots, n)
+            unit, own = unit[new], own[new]
+            row, slot = keys // width, keys % width
+            to, draw = own.copy(), unit // 2 + sweep
             first = np.searchsorted(row, np.arange(len(own) + 1))
             start = 0
             while start < len(own):
@@ -601,18 +606,30 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
                 )
                 start = end
             moved = np.flatnonzero(to != own)
-            yield pa.RecordBatch.from_pydict(
-                {"unit": batch["unit"].take(pa.array(moved)), "class": pa.array(to[moved].astype(np.int32))}
+            return pa.RecordBatch.from_pydict(
+                {"unit": pa.array(unit[moved]), "class": pa.array(to[moved].astype(np.int32))}
             )
 
+        last: list[pa.RecordBatch] = []  # rows of one unit, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            unit = batch["unit"].to_numpy()
+            if last and last[0]["unit"][0].as_py() == unit[-1]:
+                last.append(batch)
+                continue
+            at = int(np.searchsorted(unit, unit[-1]))
+            done, last = [*last, batch.slice(0, at)], [batch.slice(at)]
+            if sum(b.num_rows for b in done):
+                yield of_units(done)
+        if last:
+            yield of_units(last)
+
     gathered = assigned.onto(coded.select(*_TRAINING)).mapInArrow(
         gather, "unit bigint, class int, slots binary, counts binary"
     )
-    return (
-        gathered.groupBy("unit", "class")
-        .agg(F.collect_list(F.struct("slots", "counts")).alias("parts"))
-        .mapInArrow(offer, "unit bigint, class int")
-    )
+    # In order of numbers, rows of a unit meet without lists of them being built.
+    return gathered.repartition("unit").sortWithinPartitions("unit").mapInArrow(offer, "unit bigint, class int")
 
 
 def exchange(coded: DataFrame, assigned: Classes, classes: int = CLASSES) -> tuple[Classes, np.ndarray]:
