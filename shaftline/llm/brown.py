@@ -41,12 +41,14 @@ TOLERANCE = 0.02
 TRANSITION_SMOOTHING = 0.1
 HELD_OUT_FOLD, FOLDS = 2, 7
 CHUNK = 1 << 21
-HELD = 1 << 22
+HELD = 1 << 25
 # Distinct keys a task gathers before it passes them on, and counts it compares at a time.
 GATHERED = 1 << 20
 BLOCK = 1 << 14
 # Counts of neighbours that are looked up instead of calculated with.
 SMALL = 16
+# Units in one row of counts, at most, and rows they are spread over if there are that many.
+TOGETHER, BLOCKS = 1 << 11, 1 << 10
 # Tokens a task counts at a time.
 COUNTED = 1 << 16
 # No word is empty, so the empty one stands for the end of a text. It is unit 0, and word 0
@@ -75,16 +77,24 @@ def _list(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _planes(numbers: np.ndarray, width: int) -> bytes:
-    """Whole numbers as ``width`` bytes each, all lowest bytes first: the high ones are mostly
-    zeros, which files and shuffles compress away."""
-    return numbers.astype(f"<i{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+def _planes(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 on in as many bytes each as the largest one needs, which the first byte says, all
+    lowest bytes first: the high ones are mostly zeros, which files and shuffles compress away."""
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    kind = np.int32 if width < 4 else np.int64
+    planes = numbers.astype(kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize)[:, :width].T
+    return bytes([width]) + planes.tobytes()
 
 
-def _from_planes(raw: pa.Scalar | bytes, width: int) -> np.ndarray:
-    data = raw if isinstance(raw, bytes) else raw.as_buffer()
-    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
-    return np.ascontiguousarray(planes.T).view(f"<i{width}").ravel()
+def _from_planes(raw: pa.Scalar | bytes) -> np.ndarray:
+    data = np.frombuffer(raw if isinstance(raw, bytes) else raw.as_buffer(), np.uint8)
+    width = int(data[0])
+    planes = data[1:].reshape(width, -1)
+    kind = np.int32 if width < 4 else np.int64
+    out = np.zeros((planes.shape[1], np.dtype(kind).itemsize), np.uint8)
+    for i, plane in enumerate(planes):
+        out[:, i] = plane
+    return out.view(kind).ravel()
 
 
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -99,8 +109,9 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 def chunked(docs: DataFrame) -> DataFrame:
     """``docs`` as rows of whole documents with about ``CHUNK`` tokens: the distinct ``words`` and how
-    often each is in training texts, ``tokens`` as numbers of words of 4 bytes (``_planes``), an end behind each
-    document, and ``lengths``, ``doc_ids`` and ``held`` per document."""
+    often each is in training texts, ``tokens`` of training documents as numbers of words (``_planes``), an end behind
+    each document, ``others`` of those held out, and ``lengths``, ``doc_ids`` and ``held`` per document, training
+    documents first."""
     find_library(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +131,9 @@ def chunked(docs: DataFrame) -> DataFrame:
             is_word[np.cumsum(sizes) - 1] = False
             flat[is_word] = np.concatenate([number[t.indices.to_numpy() + at] for t, at in zip(tokens, starts)]) + 1
             words = pa.concat_arrays([pa.array([END], pa.binary()), of.dictionary])
-            trained = flat[np.repeat(~out.to_numpy(zero_copy_only=False), sizes)]
+            apart = out.to_numpy(zero_copy_only=False)
+            trained = np.repeat(~apart, sizes)
+            documents = np.argsort(apart, kind="stable")
             # Frequent words get low numbers, the end 0.
             often = np.bincount(flat, minlength=len(words))
             often[0] = len(flat) + 1
@@ -130,11 +143,12 @@ def chunked(docs: DataFrame) -> DataFrame:
             columns = {
                 "chunk": pa.array([next(numbers)], pa.int64()),
                 "words": _list(words.take(pa.array(order))),
-                "n": _list(pa.array(np.bincount(trained, minlength=len(words)).astype(np.int64)[order])),
-                "tokens": pa.array([_planes(place[flat], 4)], pa.binary()),
-                "lengths": _list(pa.array(sizes)),
-                "doc_ids": _list(pa.concat_arrays(ids)),
-                "held": _list(out),
+                "n": _list(pa.array(np.bincount(flat[trained], minlength=len(words)).astype(np.int64)[order])),
+                "tokens": pa.array([_planes(place[flat[trained]])], pa.binary()),
+                "others": pa.array([_planes(place[flat[~trained]])], pa.binary()),
+                "lengths": _list(pa.array(sizes[documents])),
+                "doc_ids": _list(pa.concat_arrays(ids).take(pa.array(documents))),
+                "held": _list(pa.array(apart[documents])),
             }
             for gathered in (tokens, lengths, ids, held):
                 gathered.clear()
@@ -166,7 +180,7 @@ def chunked(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("out"), "text").mapInArrow(
         run,
-        "chunk bigint, words array<binary>, n array<bigint>, tokens binary, lengths array<int>, "
+        "chunk bigint, words array<binary>, n array<bigint>, tokens binary, others binary, lengths array<int>, "
         f"doc_ids array<{kind}>, held array<boolean>",
     )
 
@@ -174,8 +188,7 @@ def chunked(docs: DataFrame) -> DataFrame:
 def word_counts(chunks: DataFrame) -> DataFrame:
     """``word`` and ``n`` over all training texts, one end for each of them; a word costs one
     row a chunk."""
-    zipped = F.explode(F.arrays_zip(F.col("words").alias("word"), F.col("n").alias("n")))
-    rows = chunks.select(zipped.alias("x")).select("x.*").where("n > 0")
+    rows = chunks.select("n", F.posexplode("words").alias("at", "word")).select("word", F.col("n")[F.col("at")].alias("n")).where("n > 0")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -193,7 +206,8 @@ def numbered(counts: DataFrame) -> tuple[DataFrame, int]:
     for p in sorted(sizes):
         starts.append((p, at))
         at += sizes[p]
-    offsets = counts.sparkSession.createDataFrame(starts, "part bigint, start bigint")
+    columns = dict(zip(("part", "start"), np.array(starts, np.int64).reshape(-1, 2).T))
+    offsets = counts.sparkSession.createDataFrame(pa.table(columns))
     mask = F.lit((1 << 33) - 1)
     units = (
         placed.withColumn("part", part)
@@ -209,11 +223,12 @@ def _shared_unit(word: Column) -> Column:
 
 
 def coded_chunks(chunks: DataFrame, words: DataFrame) -> DataFrame:
-    """``chunks`` with count ``n`` and ``units`` of each of their words instead of the word, 8 bytes each
+    """``chunks`` with count ``n`` and ``units`` of each of their words instead of the word
     (``_planes``). What is joined by word goes back to its chunk in one row a task."""
     listed = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
     unit = F.coalesce("unit", _shared_unit(F.col("word"))).alias("unit")
-    found = listed.join(words, "word", "left").select("chunk", "at", F.coalesce("n", F.lit(0)).alias("n"), unit)
+    # Neither side is sorted: a task's share of the distinct words is small.
+    found = listed.join(words.hint("shuffle_hash"), "word", "left").select("chunk", "at", F.coalesce("n", F.lit(0)).alias("n"), unit)
 
     def rows(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         columns = {c: np.concatenate([b[c].to_numpy() for b in held]) for c in ("chunk", "at", "n", "unit")}
@@ -221,9 +236,9 @@ def coded_chunks(chunks: DataFrame, words: DataFrame) -> DataFrame:
         chunk = columns["chunk"][order]
         starts = np.flatnonzero(np.diff(chunk, prepend=-1))
         out: dict[str, object] = {"chunk": pa.array(chunk[starts])}
-        for c, width in (("at", 4), ("n", 8), ("unit", 8)):
+        for c in ("at", "n", "unit"):
             parts = np.split(columns[c][order], starts[1:])
-            out[c] = pa.array([_planes(part, width) for part in parts], pa.binary())
+            out[c] = pa.array([_planes(part) for part in parts], pa.binary())
         return pa.RecordBatch.from_pydict(out)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,22 +257,22 @@ def coded_chunks(chunks: DataFrame, words: DataFrame) -> DataFrame:
             for c in ("n", "units"):
                 columns[c] = []
             for facts in batch["facts"].to_pylist():
-                at = np.concatenate([_from_planes(f["at"], 4) for f in facts])
+                at = np.concatenate([_from_planes(f["at"]) for f in facts])
                 for c, name in (("n", "n"), ("units", "unit")):
                     values = np.empty(len(at), np.int64)
-                    values[at] = np.concatenate([_from_planes(f[name], 8) for f in facts])
-                    columns[c].append(_planes(values, 8))
+                    values[at] = np.concatenate([_from_planes(f[name]) for f in facts])
+                    columns[c].append(_planes(values))
             for c in ("n", "units"):
                 columns[c] = pa.array(columns[c], pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
 
     packed = found.mapInArrow(pack, "chunk bigint, at binary, n binary, unit binary")
     facts = packed.groupBy("chunk").agg(F.collect_list(F.struct("at", "n", "unit")).alias("facts"))
-    kept = ("chunk", "tokens", "lengths", "doc_ids", "held")
+    kept = ("chunk", "tokens", "others", "lengths", "doc_ids", "held")
     doc_ids = chunks.schema["doc_ids"].dataType.simpleString()
     return chunks.select(*kept).join(facts, "chunk").mapInArrow(
         place,
-        f"chunk bigint, tokens binary, lengths array<int>, doc_ids {doc_ids}, held array<boolean>, "
+        f"chunk bigint, tokens binary, others binary, lengths array<int>, doc_ids {doc_ids}, held array<boolean>, "
         "n binary, units binary",
     )
 
@@ -267,6 +282,7 @@ class HeldClasses:
 
     def __init__(self, classes: np.ndarray) -> None:
         self.classes = classes
+        self.units = len(classes)
 
     def onto(self, coded: DataFrame) -> DataFrame:
         return coded
@@ -285,14 +301,15 @@ class HeldClasses:
 class TabledClasses:
     """The same as a table, for any number of units."""
 
-    def __init__(self, classes: DataFrame) -> None:
+    def __init__(self, classes: DataFrame, units: int) -> None:
         self.classes = classes
+        self.units = units
 
     def onto(self, coded: DataFrame) -> DataFrame:
         def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    units = _numbers(batch, "units", i)
+                    units = _numbers(batch, "units", i).astype(np.int64)
                     chunk = np.full(len(units), batch["chunk"][i].as_py())
                     at = np.arange(len(units), dtype=np.int32)
                     columns = {"chunk": chunk, "at": at, "unit": units}
@@ -312,7 +329,7 @@ class TabledClasses:
     def moved(self, moves: DataFrame) -> TabledClasses:
         now = F.coalesce("to", "class").alias("class")
         both = self.classes.join(moves.withColumnRenamed("class", "to"), "unit", "left")
-        return TabledClasses(stored(both.select("unit", now), "classes"))
+        return TabledClasses(stored(both.select("unit", now), "classes"), self.units)
 
 
 Classes = HeldClasses | TabledClasses
@@ -327,14 +344,15 @@ def first_classes(words: DataFrame, n_units: int, classes: int) -> Classes:
             F.col("id").alias("unit"),
             F.when(F.col("id") == 0, F.lit(0)).otherwise(1 + (F.col("id") - 1) % classes).alias("class"),
         )
-        return TabledClasses(stored(own.unionByName(shared).selectExpr("unit", "CAST(class AS int) AS class"), "classes"))
+        both = own.unionByName(shared).selectExpr("unit", "CAST(class AS int) AS class")
+        return TabledClasses(stored(both, "classes"), n_units)
     of = np.zeros(n_units, np.int8)
     of[1:FIRST_OWN] = 1 + np.arange(ENDINGS) % classes
     return HeldClasses(of).moved(own)
 
 
 # What is read of the chunks in a sweep.
-_TRAINING = ("chunk", "tokens", "lengths", "held", "units")
+_TRAINING = ("chunk", "tokens", "units")
 
 
 def _values(batch: pa.RecordBatch, column: str, i: int) -> np.ndarray:
@@ -342,22 +360,21 @@ def _values(batch: pa.RecordBatch, column: str, i: int) -> np.ndarray:
 
 
 def _numbers(batch: pa.RecordBatch, column: str, i: int) -> np.ndarray:
-    return _from_planes(batch[column][i], 4 if column == "tokens" else 8)
-
-
-def _training_tokens(batch: pa.RecordBatch, i: int) -> np.ndarray:
-    """The training tokens of a chunk, an end behind each text."""
-    held = _values(batch, "held", i)
-    return _numbers(batch, "tokens", i)[np.repeat(~held, _values(batch, "lengths", i))]
+    return _from_planes(batch[column][i])
 
 
 def _runs(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order and the sum of their counts. Runs that are in order already, as
-    these are, cost a pass over them instead of a sort."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
+    """Distinct keys in order and the sum of their counts. Where both fit one number, numbers
+    are sorted instead of places."""
+    bits = int(n.max(initial=0)).bit_length()
+    if int(keys.max(initial=0)).bit_length() + bits < 64:
+        both = np.sort(keys << bits | n)
+        keys, n = both >> bits, both & ((1 << bits) - 1)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
     starts = np.flatnonzero(np.diff(keys, prepend=-1))
-    return keys[starts], np.add.reduceat(n[order], starts) if len(starts) else n
+    return keys[starts], np.add.reduceat(n, starts) if len(starts) else n
 
 
 def class_table(coded: DataFrame, assigned: Classes, classes: int) -> np.ndarray:
@@ -368,7 +385,7 @@ def class_table(coded: DataFrame, assigned: Classes, classes: int) -> np.ndarray
         table = np.zeros(size * size, np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
-                c = look_up(batch, i).astype(_slot_kind(size))[_training_tokens(batch, i)]
+                c = look_up(batch, i).astype(_slot_kind(size))[_numbers(batch, "tokens", i)]
                 ahead = 0  # a text starts behind an end
                 for at in range(0, len(c), COUNTED):
                     some = c[at : at + COUNTED]
@@ -403,6 +420,30 @@ def _steps(sums: np.ndarray) -> np.ndarray:
     return _xlogx(sums[:, None, :] + more) - _xlogx(sums.astype(float))[:, None, :]
 
 
+def _by_turn(row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where entries, which come by row, go so that the first ones of all rows are together, then the second
+    ones and so on, each with the rows of most entries ahead; how many each turn has; and those rows in order."""
+    n = np.bincount(row, minlength=rows)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(rows, np.int64)
+    rank[order] = np.arange(rows)
+    turn = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+    sizes = np.bincount(turn)
+    return (np.cumsum(sizes) - sizes)[turn] + rank[row], sizes, order[: sizes[0] if len(sizes) else 0]
+
+
+def _rises(totals: np.ndarray, more: np.ndarray, own: np.ndarray, small: np.ndarray) -> np.ndarray:
+    """By how much ``_xlogx`` of all ``totals`` rises with ``more`` for each row, which its ``own`` one holds
+    already. ``small`` are the ``_steps`` of the totals."""
+    whole = np.clip(more, 1, SMALL).astype(np.int64)
+    out = small[whole - 1]
+    large = np.flatnonzero(more != whole)
+    out[large] = _xlogx(totals + more[large, None]) - _xlogx(totals)
+    mine = totals[own]
+    out[np.arange(len(own)), own] = _xlogx(mine) - _xlogx(mine - more)
+    return out
+
+
 def best_classes(
     table: np.ndarray,
     own: np.ndarray,
@@ -427,36 +468,47 @@ def best_classes(
     before, after, twice = dense[:, :size], dense[:, size:-1], dense[:, -1]
     gain = np.zeros((rows, size))
     for side, sums, other in ((slot < size, table, after), ((slot >= size) & (slot < 2 * size), table.T, before)):
-        r, x, m = row[side], slot[side] % size, n[side].astype(float)
+        r = row[side]
+        place, sizes, order = _by_turn(r, rows)
+        by_turn = np.empty(len(r), np.int64)
+        by_turn[place] = np.flatnonzero(side)
+        r, x, m = row[by_turn], slot[by_turn] % size, n[by_turn].astype(float)
         mine, at = own[r], np.arange(len(r))
         steps = _steps(sums) if small is None else small[sums is not table]
         whole = np.clip(m, 1, SMALL).astype(np.int64)
-        change = steps[x, whole - 1]
+        change = steps.reshape(-1, size).take(x * SMALL + whole - 1, axis=0)
         # Counts of the pairs with class x, without those of the unit.
-        rest = sums[x, mine] - m
-        change[at, mine] = _xlogx(rest + m) - _xlogx(rest)
+        held = sums[x, mine].astype(float)
+        change[at, mine] = _xlogx(held) - _xlogx(held - m)
         one_by_one = np.flatnonzero((m != whole) | (x == mine))
         r_, x_, m_, mine_ = r[one_by_one], x[one_by_one], m[one_by_one], mine[one_by_one]
         rest = sums[x_].astype(float)
-        rest[np.arange(len(r_)), mine_] -= m_
+        without = _xlogx(sums.astype(float))[x_]
         same = np.flatnonzero(x_ == mine_)
         rest[same] -= other[r_[same]]
         rest[same, mine_[same]] += twice[r_[same]]
+        rest[np.arange(len(r_)), mine_] -= m_
+        without[same] = _xlogx(rest[same])
+        without[np.arange(len(r_)), mine_] = _xlogx(rest[np.arange(len(r_)), mine_])
         m_[same] -= twice[r_[same]]
-        change[one_by_one] = _xlogx(rest + m_[:, None]) - _xlogx(rest)
+        change[one_by_one] = _xlogx(rest + m_[:, None]) - without
         change[at, x] = 0.0
-        if len(r):
-            starts = np.flatnonzero(np.diff(r, prepend=-1))
-            gain[r[starts]] += np.add.reduceat(change, starts, axis=0)
-    corner = np.tile(np.diag(table).astype(float), (rows, 1))
-    corner[each, own] += twice - before[each, own] - after[each, own]
+        # Adding up by turns goes over whole rows of memory; a sum for each unit would not.
+        summed, start = np.zeros((len(order), size)), 0
+        for k in sizes.tolist():
+            summed[:k] += change[start : start + k]
+            start += k
+        gain[order] += summed
+    # Pairs within a class change only for classes beside the unit.
     both = before + after + twice[:, None]
     both[each, own] -= 2 * twice
-    gain += _xlogx(corner + both) - _xlogx(corner)
+    at, c = np.nonzero(both)
+    corner, mine = np.diag(table).astype(float)[c], c == own[at]
+    corner[mine] += (twice - before[each, own] - after[each, own])[at[mine]]
+    gain[at, c] += _xlogx(corner + both[at, c]) - _xlogx(corner)
     for axis, of_unit in ((1, after.sum(axis=1)), (0, before.sum(axis=1))):
-        total = np.tile(table.sum(axis=axis).astype(float), (rows, 1))
-        total[each, own] -= of_unit
-        gain -= _xlogx(total + of_unit[:, None]) - _xlogx(total)
+        totals = table.sum(axis=axis).astype(float)
+        gain -= _rises(totals, of_unit, own, _steps(totals[None, :])[0])
     gain[:, 0] = -np.inf
     best = gain >= gain.max(axis=1, keepdims=True) - 1e-9
     nth = np.cumsum(best, axis=1)
@@ -474,52 +526,55 @@ def best_class(
     return int(best_classes(table, np.array([own]), row, slots, counts[slots])[0])
 
 
-def _packed(keys: np.ndarray, n: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
-    """Counts by (unit, class, slot) as one row a unit; those that are all below 256 take a byte each."""
-    width = 2 * size + 1
-    unit = keys // width
-    starts = np.flatnonzero(np.diff(unit, prepend=-1))
-    if not len(starts):
+def _packed(keys: np.ndarray, n: np.ndarray, size: int, together: int) -> Iterator[pa.RecordBatch]:
+    """Counts by (unit, class, slot), in order, as one row for ``together`` units that follow each other: which
+    they are, their classes and how many slots each has, then all slots and counts. Counts below 255 take a byte, larger ones
+    are listed apart."""
+    if not len(keys):
         return
-    wide = np.maximum.reduceat(n, starts) > 255
-    sizes = np.diff(np.append(starts, len(unit)))
-    of_wide = np.repeat(wide, sizes)
-
-    def binary(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
-        offsets = np.concatenate([[0], np.cumsum(lengths * values.itemsize)]).astype(np.int32)
-        return pa.Array.from_buffers(
-            pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())]
-        )
-
-    for chosen, entries, kind in ((~wide, ~of_wide, np.uint8), (wide, of_wide, np.int64)):
-        if chosen.any():
-            own = unit[starts[chosen]]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "unit": pa.array(own // size),
-                    "class": pa.array((own % size).astype(np.int32)),
-                    "slots": binary((keys[entries] % width).astype(_slot_kind(size)), sizes[chosen]),
-                    "counts": binary(n[entries].astype(kind), sizes[chosen]),
-                }
-            )
+    kind = _slot_kind(size)
+    own, slot = np.divmod(keys, 2 * size + 1)
+    starts = np.flatnonzero(np.diff(own, prepend=-1))
+    unit, of = np.divmod(own[starts], size)
+    block, place = np.divmod(unit, together)
+    units = np.flatnonzero(np.diff(block, prepend=-1))
+    entries, large = starts[units], np.flatnonzero(n >= 255)
+
+    def cut(values: np.ndarray, at: np.ndarray) -> pa.Array:
+        offsets = (np.append(at, len(values)) * values.itemsize).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
+
+    yield pa.RecordBatch.from_pydict(
+        {
+            "block": pa.array(block[units]),
+            "units": cut(place.astype(np.uint16), units),
+            "classes": cut(of.astype(kind), units),
+            "sizes": cut(np.diff(np.append(starts, len(keys))).astype(kind), units),
+            "slots": cut(slot.astype(kind), entries),
+            "counts": cut(np.minimum(n, 255).astype(np.uint8), entries),
+            "large": cut(n[large], np.searchsorted(large, entries)),
+        }
+    )
 
 
 def _slot_kind(size: int) -> type:
     return np.uint8 if 2 * size < 256 else np.int32
 
 
-def _unpacked(slots: pa.Array, counts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """How many entries each part has, and their slots and counts."""
-    sizes = pc.binary_length(slots).to_numpy(zero_copy_only=False).astype(np.int64)
-    kind = np.dtype(_slot_kind(size))
-    sizes //= kind.itemsize
-    wide = pc.binary_length(counts).to_numpy(zero_copy_only=False) > sizes
-    raw = counts.to_pylist()
-    n = np.empty(sizes.sum(), np.int64)
-    of_wide = np.repeat(wide, sizes)
-    n[~of_wide] = np.frombuffer(b"".join(c for c, w in zip(raw, wide) if not w), np.uint8)
-    n[of_wide] = np.frombuffer(b"".join(c for c, w in zip(raw, wide) if w), np.int64)
-    return sizes, np.frombuffer(b"".join(slots.to_pylist()), kind).astype(np.int64), n
+def _unpacked(rows: pa.RecordBatch, size: int, together: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (unit, class, slot) and counts of such rows."""
+
+    def flat(column: str, kind: type) -> np.ndarray:
+        return np.frombuffer(b"".join(rows[column].to_pylist()), kind)
+
+    kind = _slot_kind(size)
+    of_row = pc.binary_length(rows["units"]).to_numpy(zero_copy_only=False) // 2
+    unit = np.repeat(rows["block"].to_numpy() * together, of_row) + flat("units", np.uint16)
+    own = unit * size + flat("classes", kind)
+    keys = np.repeat(own * (2 * size + 1), flat("sizes", kind)) + flat("slots", kind)
+    n = flat("counts", np.uint8).astype(np.int64)
+    n[n == 255] = flat("large", np.int64)
+    return keys, n
 
 
 def _neighbours(
@@ -532,20 +587,22 @@ def _neighbours(
     """
     width = 2 * size + 1
     turn = (units > 0) & ((units + sweep) % 2 == 0)
-    own, nth = np.unique(units[turn], return_inverse=True)
+    own, nth = np.unique(units[turn].astype(np.int64), return_inverse=True)
     kind = np.uint32 if len(own) * width < 1 << 32 else np.int64
     first = np.zeros(len(units), kind)
     first[turn] = nth * width
     class_of = np.zeros(len(own), np.int64)
     class_of[nth] = classes[turn]
-    c = classes.astype(kind)[tokens]
-    start, mine = first[tokens], turn[tokens]
-    ahead = np.concatenate([np.zeros(1, kind), c])[: len(c)]  # a text's first word follows an end
-    back = (start + ahead)[mine]
-    # A word that follows its own unit; the end, which is before the first token, has no turn.
-    itself = np.flatnonzero(mine[1:] & mine[:-1] & (start[1:] == start[:-1])) + 1
-    behind = (start[:-1] + c[1:] + kind(size))[mine[:-1]]
-    keys, n = np.unique(np.concatenate([back, start[itself] + kind(2 * size), behind]), return_counts=True)
+    # The class before each token, and that of the last one; a text's first word follows an end.
+    c = np.zeros(len(tokens) + 1, _slot_kind(size))
+    c[1:] = classes.astype(c.dtype)[tokens]
+    at = np.flatnonzero(turn[tokens])
+    start = first[tokens[at]]
+    # A word that follows its own unit.
+    itself = np.flatnonzero((np.diff(at) == 1) & (start[1:] == start[:-1])) + 1
+    followed = at[: np.searchsorted(at, len(tokens) - 1)]
+    behind = start[: len(followed)] + c[followed + 2] + kind(size)
+    keys, n = np.unique(np.concatenate([start + c[at], start[itself] + kind(2 * size), behind]), return_counts=True)
     place, slot = np.divmod(keys.astype(np.int64), width)
     return (own[place] * size + class_of[place]) * width + slot, n
 
@@ -555,45 +612,38 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
     classes, by counts of their neighbours' classes.
 
     Half of the units stand still, which keeps two from swapping for ever. Tasks add up
-    counts before they pass them on, so a unit costs a row of at most 2 * classes counts a task, however
-    frequent it is.
+    counts before they pass them on, so a unit costs at most 2 * classes counts a task, however
+    frequent it is; units that follow each other share a row.
     """
     size, look_up = len(table), assigned.look_up()
     width = 2 * size + 1
+    together = min(max(assigned.units // BLOCKS, 1), TOGETHER)
+
+    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        return _runs(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            if len(held) == 1:
-                return held[0]
-            return _runs(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
-
         for batch in batches:
             for i in range(batch.num_rows):
-                held.append(_neighbours(_training_tokens(batch, i), _numbers(batch, "units", i), look_up(batch, i), size, sweep))
+                held.append(_neighbours(_numbers(batch, "tokens", i), _numbers(batch, "units", i), look_up(batch, i), size, sweep))
                 if sum(len(k) for k, _ in held) > 2 * GATHERED:
-                    held = [merged()]
+                    held = [merged(held)]
                     if len(held[0][0]) > GATHERED:
-                        yield from _packed(*held[0], size)
+                        yield from _packed(*held[0], size, together)
                         held = []
         if held:
-            yield from _packed(*merged(), size)
+            yield from _packed(*(merged(held) if len(held) > 1 else held[0]), size, together)
 
     def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = _steps(table), _steps(table.T)
 
-        def of_units(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-            """The moves of units all rows of which are here, one behind the other."""
-            unit, own, slots, counts = (
-                pa.concat_arrays([b[c] for b in rows]) for c in ("unit", "class", "slots", "counts")
-            )
-            unit, own = unit.to_numpy(), own.to_numpy().astype(np.int64)
-            new = np.diff(unit, prepend=-1) != 0
-            sizes, slots, n = _unpacked(slots, counts, size)
-            keys, n = _runs(np.repeat(np.cumsum(new) - 1, sizes) * width + slots, n)
-            unit, own = unit[new], own[new]
-            row, slot = keys // width, keys % width
+        def of_units(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            """The moves of units all counts of which are here."""
+            each, slot = np.divmod(keys, width)
+            new = np.diff(each, prepend=-1) != 0
+            row = np.cumsum(new) - 1
+            unit, own = np.divmod(each[new], size)
             to, draw = own.copy(), unit // 2 + sweep
             first = np.searchsorted(row, np.arange(len(own) + 1))
             start = 0
@@ -610,26 +660,28 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
                 {"unit": pa.array(unit[moved]), "class": pa.array(to[moved].astype(np.int32))}
             )
 
-        last: list[pa.RecordBatch] = []  # rows of one unit, which may go on in the next batch
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # counts of the last block, which may go on
+        last = -1
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            unit = batch["unit"].to_numpy()
-            if last and last[0]["unit"][0].as_py() == unit[-1]:
-                last.append(batch)
-                continue
-            at = int(np.searchsorted(unit, unit[-1]))
-            done, last = [*last, batch.slice(0, at)], [batch.slice(at)]
-            if sum(b.num_rows for b in done):
-                yield of_units(done)
-        if last:
-            yield of_units(last)
+            for rows in of_bounded_size(batch, "slots", GATHERED):
+                block = rows["block"].to_numpy()
+                if block[-1] != last:
+                    at = int(np.searchsorted(block, block[-1]))
+                    if held or at:
+                        yield of_units(*merged([*held, _unpacked(rows.slice(0, at), size, together)]))
+                    held, last, rows = [], block[-1], rows.slice(at)
+                held.append(_unpacked(rows, size, together))
+                if sum(len(k) for k, _ in held) > 2 * GATHERED:
+                    held = [merged(held)]
+        if held:
+            yield of_units(*merged(held))
 
     gathered = assigned.onto(coded.select(*_TRAINING)).mapInArrow(
-        gather, "unit bigint, class int, slots binary, counts binary"
+        gather,
+        "block bigint, units binary, classes binary, sizes binary, slots binary, counts binary, large binary",
     )
-    # In order of numbers, rows of a unit meet without lists of them being built.
-    return gathered.repartition("unit").sortWithinPartitions("unit").mapInArrow(offer, "unit bigint, class int")
+    # In order of numbers, rows of a block meet without lists of them being built.
+    return gathered.repartition("block").sortWithinPartitions("block").mapInArrow(offer, "unit bigint, class int")
 
 
 def exchange(coded: DataFrame, assigned: Classes, classes: int = CLASSES) -> tuple[Classes, np.ndarray]:
@@ -721,7 +773,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                tokens, n, c = _numbers(batch, "tokens", i), _numbers(batch, "n", i), look_up(batch, i)
+                tokens = np.concatenate([_numbers(batch, side, i) for side in ("tokens", "others")])
+                n, c = _numbers(batch, "n", i), look_up(batch, i)
                 lengths = _values(batch, "lengths", i).astype(np.int64)
                 starts = np.cumsum(lengths) - lengths
                 classes = c[tokens]

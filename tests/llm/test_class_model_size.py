@@ -1,0 +1,91 @@
+"""What a sweep of the class model costs as words and tokens grow: how classes travel, rows, logarithms."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from shaftline.llm import brown
+
+
+def test_classes_of_millions_of_words_go_along_with_the_tasks(spark):
+    """A table of them is joined to the words of all chunks twice a sweep; 6 GB of texts have some 5.5 million."""
+    words = spark.createDataFrame([(b"", 9, 0), (b"some", 4, 5_999_999)], "word binary, n bigint, unit bigint")
+    held = brown.first_classes(words, 6_000_000, 64)
+    assert isinstance(held, brown.HeldClasses) and held.units == 6_000_000
+    assert held.classes[5_999_999] == 1 + brown.ending(b"some") % 64 and held.classes[0] == 0
+
+
+@pytest.mark.parametrize("size, together", [(65, 7), (65, 1), (200, 2_048)])
+def test_units_that_follow_each_other_share_a_row_of_counts(size, together):
+    rng = np.random.default_rng(size)
+    width = 2 * size + 1
+    of = rng.integers(1, size, 3_000)
+    unit = np.sort(rng.integers(0, 3_000, 9_000))
+    keys = np.unique((unit * size + of[unit]) * width + rng.integers(0, width, 9_000))
+    n = rng.choice([1, 2, 254, 255, 256, 1 << 40], len(keys))
+    (rows,) = brown._packed(keys, n, size, together)
+    assert rows.num_rows == len(np.unique(unit // together))
+    got = brown._unpacked(rows, size, together)
+    assert (got[0] == keys).all() and (got[1] == n).all()
+    part = brown._unpacked(rows.slice(1, 1), size, together)
+    mine = keys // width // size // together == rows["block"][1].as_py()
+    assert (part[0] == keys[mine]).all() and (part[1] == n[mine]).all()
+    assert not list(brown._packed(keys[:0], n[:0], size, together))
+
+
+@pytest.mark.parametrize("large", [1, 1 << 50])
+def test_counts_of_a_key_are_added_up(large):
+    rng = np.random.default_rng(1)
+    keys, n = rng.integers(0, 1 << 34, 500).repeat(3), rng.integers(1, 9, 1_500) * large
+    order = rng.permutation(1_500)
+    got = brown._runs(keys[order], n[order])
+    want: dict[int, int] = {}
+    for k, v in zip(keys.tolist(), n.tolist()):
+        want[k] = want.get(k, 0) + v
+    assert list(zip(*(x.tolist() for x in got))) == sorted(want.items())
+
+
+def test_numbers_take_the_bytes_they_need():
+    rng = np.random.default_rng(2)
+    for most in (1, 255, 256, 1 << 24, (1 << 31) - 1, 1 << 31, 1 << 55):
+        numbers = rng.integers(0, most, 1_000, endpoint=True)
+        numbers[0] = most
+        raw = brown._planes(numbers)
+        assert len(raw) == 1 + 1_000 * ((most.bit_length() + 7) // 8)
+        assert (brown._from_planes(raw) == numbers).all()
+        assert (brown._from_planes(pa.array([raw], pa.binary())[0]) == numbers).all()
+    assert not len(brown._from_planes(brown._planes(np.zeros(0, np.int64))))
+
+
+def test_offers_of_rare_units_take_few_logarithms(monkeypatch):
+    """Sums of a class and pairs within it rise by few, too; before, each took a logarithm for each class."""
+    rng = np.random.default_rng(3)
+    size, rows = 65, 2_000
+    table = rng.integers(400, 900, (size, size)).astype(float)
+    own = rng.integers(1, size, rows)
+    slots = np.sort(np.stack([rng.integers(0, size, rows), rng.integers(size, 2 * size, rows)], axis=1), axis=1).ravel()
+    small = brown._steps(table), brown._steps(table.T)
+    taken, plain = [], brown._xlogx
+    monkeypatch.setattr(brown, "_xlogx", lambda x: taken.append(np.size(x)) or plain(x))
+    ones = np.ones(2 * rows, np.int64)
+    brown.best_classes(table, own, np.arange(rows).repeat(2), slots, ones, 0, small)
+    assert sum(taken) < rows * size
+
+
+@pytest.mark.parametrize("blocks", [1, 1 << 10])
+def test_rows_of_units_however_dealt_make_the_same_moves(documents, monkeypatch, blocks):
+    """Rows of one unit each, and of all units in one row that comes in pieces and is added up on the way."""
+    texts = [(k, " ".join(f"w{(k * 7 + i * i) % 40}" for i in range(k % 30))) for k in range(300)]
+    want = {r.doc_id: r.score for r in brown.score_documents(documents(texts)).collect()}
+    monkeypatch.setattr(brown, "BLOCKS", blocks)
+    monkeypatch.setattr(brown, "GATHERED", 50)
+    monkeypatch.setattr(brown, "CHUNK", 60)
+    got = {r.doc_id: r.score for r in brown.score_documents(documents(texts)).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_no_words_at_all(documents):
+    rows = brown.score_documents(documents([(1, ""), (2, None), (3, " ")])).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.n_known) for r in rows) == [(1, 1, 1), (2, 1, 1), (3, 1, 1)]
