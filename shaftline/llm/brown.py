@@ -188,7 +188,8 @@ def chunked(docs: DataFrame) -> DataFrame:
 def word_counts(chunks: DataFrame) -> DataFrame:
     """``word`` and ``n`` over all training texts, one end for each of them; a word costs one
     row a chunk."""
-    rows = chunks.select("n", F.posexplode("words").alias("at", "word")).select("word", F.col("n")[F.col("at")].alias("n")).where("n > 0")
+    listed = chunks.select("n", F.posexplode("words").alias("at", "word"))
+    rows = listed.select("word", F.col("n")[F.col("at")].alias("n")).where("n > 0")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -228,7 +229,8 @@ def coded_chunks(chunks: DataFrame, words: DataFrame) -> DataFrame:
     listed = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
     unit = F.coalesce("unit", _shared_unit(F.col("word"))).alias("unit")
     # Neither side is sorted: a task's share of the distinct words is small.
-    found = listed.join(words.hint("shuffle_hash"), "word", "left").select("chunk", "at", F.coalesce("n", F.lit(0)).alias("n"), unit)
+    joined = listed.join(words.hint("shuffle_hash"), "word", "left")
+    found = joined.select("chunk", "at", F.coalesce("n", F.lit(0)).alias("n"), unit)
 
     def rows(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         columns = {c: np.concatenate([b[c].to_numpy() for b in held]) for c in ("chunk", "at", "n", "unit")}
@@ -292,7 +294,8 @@ class HeldClasses:
         return lambda batch, i: classes[_numbers(batch, "units", i)].astype(np.int64)
 
     def moved(self, moves: DataFrame) -> HeldClasses:
-        table = moves.toArrow()
+        # Up to HELD units pass through the driver.
+        table = moves.select(F.col("unit").cast("int"), F.col("class").cast("tinyint")).toArrow()
         classes = self.classes.copy()
         classes[table["unit"].to_numpy()] = table["class"].to_numpy()
         return HeldClasses(classes)
@@ -626,7 +629,8 @@ def moves(coded: DataFrame, assigned: Classes, table: np.ndarray, sweep: int) ->
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for i in range(batch.num_rows):
-                held.append(_neighbours(_numbers(batch, "tokens", i), _numbers(batch, "units", i), look_up(batch, i), size, sweep))
+                tokens, units = (_numbers(batch, c, i) for c in ("tokens", "units"))
+                held.append(_neighbours(tokens, units, look_up(batch, i), size, sweep))
                 if sum(len(k) for k, _ in held) > 2 * GATHERED:
                     held = [merged(held)]
                     if len(held[0][0]) > GATHERED:
